@@ -92,6 +92,7 @@ def find_cycles(
     parent: str,
     *,
     max_rounds: int = 64,
+    checkpoint_every: int = 4,
 ) -> DataFrame:
     """Nodes whose parent chain never reaches a root, i.e. that lie on a cycle or lead into one.
 
@@ -104,7 +105,8 @@ def find_cycles(
     (one cheap count gives ``n``) every chain that ends at a root has reached
     it, every other chain sits on its cycle, and the image of the jump map is
     exactly the set of nodes on a cycle.  Each round is one self-join of an
-    ``n``-row table, checkpointed so lineage stays flat.
+    ``n``-row table; every ``checkpoint_every`` rounds the state is written to
+    the checkpoint folder so lineage stays short.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
@@ -120,17 +122,15 @@ def find_cycles(
     )
     # jump = node 2**k steps up (NULL once past a root); low = min key over steps 1..2**k
     state = g.select("v", F.col("p").alias("jump"), F.col("p").alias("low")).checkpoint(eager=True)
-    for _ in range(rounds):
+    for r in range(1, rounds + 1):
         other = state.select(F.col("v").alias("u"), F.col("jump").alias("jump2"), F.col("low").alias("low2"))
-        state = (
-            state.join(other, state["jump"] == other["u"], "left")
-            .select(
-                "v",
-                F.col("jump2").alias("jump"),
-                F.when(F.col("jump2").isNull(), F.lit(None)).otherwise(F.least("low", "low2")).alias("low"),
-            )
-            .checkpoint(eager=True)
+        state = state.join(other, state["jump"] == other["u"], "left").select(
+            "v",
+            F.col("jump2").alias("jump"),
+            F.when(F.col("jump2").isNull(), F.lit(None)).otherwise(F.least("low", "low2")).alias("low"),
         )
+        if r % checkpoint_every == 0 or r == rounds:
+            state = state.checkpoint(eager=True)
     cyclic = state.filter(F.col("jump").isNotNull())
     # After enough rounds jump(v) is on v's terminal cycle; its 'low' spans the whole cycle.
     on_cycle = cyclic.select(F.col("jump").alias("c")).distinct()

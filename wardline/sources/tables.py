@@ -19,17 +19,40 @@ TEST_TABLES = (
 ).split()
 
 
+# Leading key column per test table: used to spread a table whose files give
+# fewer scan partitions than the session has cores (see ``TableSet``).
+TEST_SPREAD_KEYS = {
+    "lineitem": ("l_orderkey",), "orders": ("o_orderkey",), "customer": ("c_custkey",),
+    "part": ("p_partkey",), "supplier": ("s_suppkey",), "events": ("event_id",),
+    "documents": ("doc_id",), "conversations": ("conv_id",),
+}
+
+
 class TableSet:
     """Lazy access to one folder of ``<name>.parquet`` tables.
 
     ``tables['orders']`` returns a DataFrame; nothing is read until an action.
     ``schemas`` may pin a StructType per table (the hospital schema does).
+
+    ``spread_keys`` names a well-spread key per table.  When a table's files
+    yield fewer scan partitions than the session's default parallelism (one
+    large row group, say), the scan is hash-partitioned on that key so the
+    joins and partial aggregates that follow run on every core instead of one.
+    On a cluster reading many files the condition is false and the plan is
+    untouched.  Column pruning and filters still reach the scan below it.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, StructType] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schemas: dict[str, StructType] | None = None,
+        spread_keys: dict[str, tuple[str, ...]] | None = None,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = schemas or {}
+        self.spread_keys = TEST_SPREAD_KEYS if spread_keys is None else spread_keys
         self._cache: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
@@ -47,6 +70,11 @@ class TableSet:
             if name in self.schemas:
                 reader = reader.schema(self.schemas[name])
             df = reader.parquet(self.path(name))
+            keys = self.spread_keys.get(name)
+            if keys:
+                cores = self.spark.sparkContext.defaultParallelism
+                if df.rdd.getNumPartitions() < cores:
+                    df = df.repartition(cores, *keys)
             self._cache[name] = df
         return df
 
