@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.functions.calendar import days_between, in_week, in_year, minutes_between
-from wardline.functions.numeric import dialect_avg, greatest_strict, money, money_sum, ratio, scaled_half_up, unscale
+from wardline.functions.numeric import dialect_avg, greatest_strict, money, money_sum, scaled_half_up, unscale
 from wardline.operators import audit as A
 from wardline.operators.hierarchy import ancestors, find_cycles
 from wardline.operators.joins import anti_join, interval_join
@@ -39,6 +39,7 @@ from wardline.operators.relate import (
     overlap_pairs,
     pair_cooccurrence,
 )
+from wardline.plans.reports import triage_summary
 from wardline.sources.tables import TableSet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -363,29 +364,6 @@ def triage_referral(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triage_summary(vd)
 
 
-def triage_summary(vd: DataFrame) -> DataFrame:
-    """Per (level, department): distinct visits, mean wait, hospitalised percentage, referrals.
-
-    A visit matched by two stays counts twice in the sums and the mean but once
-    in the distinct divisor, as in the reference, so the percentage can pass 100.
-    """
-    agg = vd.groupBy("emergency_level", "department_name").agg(
-        F.count_distinct("visit_id").alias("total_visits"),
-        F.sum("wait_time_mins").alias("__wsum"),
-        F.count("wait_time_mins").alias("__wn"),
-        F.sum(F.when(F.col("disposition") == "HOSPITALIZED", 1).otherwise(0)).alias("__hosp"),
-        F.count("department_name").alias("referrals_count"),
-    )
-    return agg.select(
-        "emergency_level",
-        "total_visits",
-        dialect_avg("__wsum", "__wn", 2).alias("avg_wait_time_mins"),
-        ratio("__hosp", "total_visits", 2, times=100).alias("hosp_percentage"),
-        F.coalesce("department_name", F.lit("NO_ADMISSION")).alias("referred_department"),
-        "referrals_count",
-    ).orderBy("emergency_level", F.col("referrals_count").desc(), "referred_department")
-
-
 # ---------------------------------------------------------------- audits D1-D6
 
 

@@ -23,3 +23,191 @@ def conflicts(
     return with_sub.join(a, (with_sub[rx_patient] == a["__pat"]) & (with_sub["substance"] == a["__sub"])).drop(
         "__pat", "__sub"
     )
+
+
+# ---------------------------------------------------------------------------
+# Hospital-schema rules.  Each returns the offending rows in the audit shape
+# (rule, table_name, key_value, detail); ``*_rows`` variants return raw rows.
+# ---------------------------------------------------------------------------
+
+from collections.abc import Mapping  # noqa: E402
+
+from wardline.operators import audit as A  # noqa: E402
+from wardline.operators.hierarchy import find_cycles  # noqa: E402
+from wardline.operators.relate import lookup, overlap_pairs  # noqa: E402
+
+Tables = Mapping[str, DataFrame]
+
+
+def _shape(df: DataFrame, rule: str, table: str, key: list[str], detail) -> DataFrame:
+    return df.select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"),
+                     A.key_text(key).alias("key_value"), detail.cast("string").alias("detail"))
+
+
+def supervision_rules(tables: Tables) -> DataFrame:
+    """T1a-c: no self-supervision; a RESIDENT has a supervisor; a DIRECTOR has none (one pass)."""
+    d = tables["doctor"]
+    return A.audit_check(d, "doctor", ["amka"], {
+        "T1a_self_supervision": F.coalesce(F.col("supervisor_amka") != F.col("amka"), F.lit(True)),
+        "T1b_resident_needs_supervisor": ~((F.col("doctor_rank") == "RESIDENT") & F.col("supervisor_amka").isNull()),
+        "T1c_director_has_no_supervisor": ~((F.col("doctor_rank") == "DIRECTOR") & F.col("supervisor_amka").isNotNull()),
+    })
+
+
+def supervision_cycle_rows(tables: Tables) -> DataFrame:
+    """T1d: doctors whose supervisor chain never ends (on a cycle, or leading into one)."""
+    return find_cycles(tables["doctor"].select("amka", "supervisor_amka"), "amka", "supervisor_amka")
+
+
+def supervision_cycles(tables: Tables) -> DataFrame:
+    rows = supervision_cycle_rows(tables)
+    detail = F.concat(F.when(F.col("on_cycle"), F.lit("on cycle ")).otherwise(F.lit("leads to cycle ")), F.col("cycle_id"))
+    return _shape(rows, "T1d_supervision_cycle", "doctor", ["amka"], detail)
+
+
+def allergy_conflict_rows(tables: Tables) -> DataFrame:
+    """T2: prescriptions of a drug holding a substance the patient is allergic to."""
+    rx = tables["prescription"].select("prescription_id", "patient_amka", "drug_id")
+    return conflicts(rx, "patient_amka", "drug_id", tables["patient_allergy"], "patient_amka", "substance_id",
+                     tables["drug_active_substance"], "drug_id", "substance_id")
+
+
+def allergy_conflicts(tables: Tables) -> DataFrame:
+    return _shape(allergy_conflict_rows(tables), "T2_allergy_conflict", "prescription", ["prescription_id"],
+                  F.concat(F.lit("substance "), F.col("substance")))
+
+
+def _events(tables: Tables) -> DataFrame:
+    return tables["procedure_event"].select("procedure_event_id", "place_id", "chief_surgeon_amka", "start_ts", "end_ts")
+
+
+def place_overlap_rows(tables: Tables, bucket_hours: float = 24) -> DataFrame:
+    """T3: pairs of procedures overlapping in the same place."""
+    return overlap_pairs(_events(tables), "place_id", "procedure_event_id", "start_ts", "end_ts", bucket_hours=bucket_hours)
+
+
+def chief_overlap_rows(tables: Tables, bucket_hours: float = 24) -> DataFrame:
+    """T4: pairs of procedures overlapping with the same chief surgeon."""
+    return overlap_pairs(_events(tables), "chief_surgeon_amka", "procedure_event_id", "start_ts", "end_ts",
+                         bucket_hours=bucket_hours)
+
+
+def _participation(tables: Tables) -> DataFrame:
+    pp = tables["procedure_participant"].select("procedure_event_id", "personnel_amka")
+    ev = _events(tables).select("procedure_event_id", "start_ts", "end_ts")
+    return pp.join(ev, "procedure_event_id")
+
+
+def participant_overlap_rows(tables: Tables, bucket_hours: float = 24) -> DataFrame:
+    """T5a: a staff member taking part in two overlapping procedures."""
+    return overlap_pairs(_participation(tables), "personnel_amka", "procedure_event_id", "start_ts", "end_ts",
+                         bucket_hours=bucket_hours)
+
+
+def participant_chief_overlap_rows(tables: Tables, bucket_hours: float = 24) -> DataFrame:
+    """T5b: a person taking part in one procedure while chief of another overlapping one.
+
+    Both roles go into one interval table keyed by person, with ids
+    ``C:<event>`` / ``P:<event>``; a pair with one id of each role (``C`` sorts
+    first) and different events is a violation.  The same event in both roles
+    is T7.
+    """
+    part = _participation(tables).select(
+        "personnel_amka", F.concat(F.lit("P:"), F.col("procedure_event_id")).alias("role_event"), "start_ts", "end_ts")
+    chief = _events(tables).select(
+        F.col("chief_surgeon_amka").alias("personnel_amka"),
+        F.concat(F.lit("C:"), F.col("procedure_event_id")).alias("role_event"), "start_ts", "end_ts")
+    pairs = overlap_pairs(part.unionByName(chief), "personnel_amka", "role_event", "start_ts", "end_ts",
+                          bucket_hours=bucket_hours)
+    return pairs.filter(
+        F.col("role_event_a").startswith("C:") & F.col("role_event_b").startswith("P:")
+        & (F.substring("role_event_a", 3, 40) != F.substring("role_event_b", 3, 40))
+    ).select(
+        "personnel_amka",
+        F.substring("role_event_a", 3, 40).cast("long").alias("chief_event_id"),
+        F.substring("role_event_b", 3, 40).cast("long").alias("participant_event_id"),
+    )
+
+
+def place_type_mismatch_rows(tables: Tables) -> DataFrame:
+    """T6: procedures held in a place whose type differs from the procedure's required type."""
+    ev = tables["procedure_event"].select("procedure_event_id", "procedure_code", "place_id")
+    cat = tables["procedure_catalog"].select("procedure_code", "required_place_type")
+    place = tables["operating_place"].select("place_id", "place_type")
+    j = lookup(lookup(ev, cat, "procedure_code"), place, "place_id")
+    return j.filter(F.col("required_place_type") != F.col("place_type"))
+
+
+def chief_is_participant_rows(tables: Tables) -> DataFrame:
+    """T7: the chief surgeon also listed as a participant of the same procedure."""
+    pp = tables["procedure_participant"].select("procedure_event_id", "personnel_amka")
+    ev = tables["procedure_event"].select("procedure_event_id", F.col("chief_surgeon_amka").alias("personnel_amka"))
+    return pp.join(ev, ["procedure_event_id", "personnel_amka"], "left_semi")
+
+
+def admin_participant_rows(tables: Tables) -> DataFrame:
+    """T8: administrative staff listed as procedure participants."""
+    pp = tables["procedure_participant"].select("procedure_event_id", "personnel_amka")
+    admins = tables["personnel"].filter(F.col("personnel_type") == "ADMIN").select(F.col("amka").alias("personnel_amka"))
+    return pp.join(admins, "personnel_amka", "left_semi")
+
+
+def trigger_rules(tables: Tables) -> DataFrame:
+    """All trigger rules T1-T8 as one audit DataFrame."""
+    pair = lambda df, rule, key: _shape(
+        df, rule, "procedure_event", ["procedure_event_id_b"],
+        F.concat(F.lit(f"overlaps procedure_event {key} "), F.col("procedure_event_id_a").cast("string")))
+    frames = [
+        supervision_rules(tables),
+        supervision_cycles(tables),
+        allergy_conflicts(tables),
+        pair(place_overlap_rows(tables), "T3_place_overlap", "in place"),
+        pair(chief_overlap_rows(tables), "T4_chief_overlap", "with chief"),
+        _shape(participant_overlap_rows(tables), "T5a_participant_overlap", "procedure_participant",
+               ["procedure_event_id_b", "personnel_amka"],
+               F.concat(F.lit("overlaps procedure_event "), F.col("procedure_event_id_a").cast("string"))),
+        _shape(participant_chief_overlap_rows(tables), "T5b_participant_is_busy_chief", "procedure_participant",
+               ["participant_event_id", "personnel_amka"],
+               F.concat(F.lit("chief of procedure_event "), F.col("chief_event_id").cast("string"))),
+        _shape(place_type_mismatch_rows(tables), "T6_place_type_mismatch", "procedure_event", ["procedure_event_id"],
+               F.concat(F.col("required_place_type"), F.lit(" required, "), F.col("place_type"), F.lit(" used"))),
+        _shape(chief_is_participant_rows(tables), "T7_chief_is_participant", "procedure_participant",
+               ["procedure_event_id", "personnel_amka"], F.lit("chief surgeon listed as participant")),
+        _shape(admin_participant_rows(tables), "T8_admin_participant", "procedure_participant",
+               ["procedure_event_id", "personnel_amka"], F.lit("administrative staff")),
+    ]
+    return A.union_all(frames)
+
+
+def declared_constraints(tables: Tables, only: list[str] | None = None) -> DataFrame:
+    """D1-D6 for every table present in ``tables``, driven by the constraint catalogue."""
+    from wardline.sources import schemas as S
+
+    frames = []
+    for t in S.TABLES:
+        if t not in tables or (only and t not in only):
+            continue
+        df = tables[t]
+        pk = list(S.PRIMARY_KEYS[t])
+        frames.append(A.audit_primary_key(df, t, pk))
+        frames += [A.audit_unique(df, t, list(cols)) for tt, cols in S.UNIQUES if tt == t]
+        frames.append(A.audit_not_null(df, t, pk, S.not_null_columns(t)))
+        if t in S.CHECKS:
+            frames.append(A.audit_check(df, t, pk, S.CHECKS[t]))
+        limits = S.length_limits(t)
+        if limits:
+            frames.append(A.audit_length(df, t, pk, limits))
+        decs = S.decimal_columns(t)
+        if decs:
+            frames.append(A.audit_decimal(df, t, pk, decs))
+    for fk in S.FOREIGN_KEYS:
+        if fk.child in tables and fk.parent in tables and (not only or fk.child in only):
+            frames.append(A.audit_foreign_key(
+                tables[fk.child], fk.child, list(S.PRIMARY_KEYS[fk.child]), list(fk.cols),
+                tables[fk.parent], list(fk.parent_cols), rule=f"foreign_key({','.join(fk.cols)})->{fk.parent}"))
+    return A.union_all(frames)
+
+
+def audit_all(tables: Tables) -> DataFrame:
+    """Every declared constraint and trigger rule over whole tables, as one DataFrame."""
+    return declared_constraints(tables).unionByName(trigger_rules(tables))
