@@ -10,6 +10,9 @@ shape::
 ``key_value`` is the row's key columns cast to text and joined with ``|``.
 Every audit is a single pass (or one join) over its table; several audits are
 combined with ``unionByName``.
+
+Tables are expected as read from files, where every column is nullable; a
+DataFrame whose schema declares NOT NULL lets Catalyst fold ``IS NULL`` away.
 """
 
 from __future__ import annotations
