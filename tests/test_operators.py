@@ -1,0 +1,150 @@
+"""Generic operators: properties and brute-force comparisons on small random inputs."""
+
+from __future__ import annotations
+
+import datetime as dt
+import itertools
+import random
+
+from pyspark.sql import functions as F
+
+from tests.hospital_fixture import ROWS
+from wardline.functions.calendar import in_week, minutes_between
+from wardline.functions.numeric import dialect_avg, greatest_strict, ratio
+from wardline.operators.hierarchy import ancestors, find_cycles
+from wardline.operators.joins import interval_join, self_pairs
+from wardline.operators.maintain import assign_ids, propagate_delete, propagate_key_change
+from wardline.operators.relate import consecutive_equal, next_in_key, overlap_flags, overlap_pairs
+from wardline.plans.rules import declared_constraints
+from wardline.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS
+
+BASE = dt.datetime(2025, 1, 1)
+
+
+def _intervals(seed: int, n: int = 120, keys: int = 4):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        s = BASE + dt.timedelta(minutes=rnd.randrange(0, 3 * 24 * 60))
+        e = s + dt.timedelta(minutes=rnd.choice([0, 1, 15, 60, 300, 2000]))
+        rows.append((i, rnd.randrange(keys), s, e))
+    return rows
+
+
+def test_overlap_pairs_and_flags_match_brute_force(spark):
+    for seed in range(3):
+        rows = _intervals(seed)
+        df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz, e timestamp_ntz")
+        want_pairs = {(a[0], b[0]) for a, b in itertools.combinations(sorted(rows), 2)
+                      if a[1] == b[1] and a[2] < b[3] and a[3] > b[2]}
+        for hours in (0.5, 6, 24):
+            got = {(r[0], r[1]) for r in overlap_pairs(df, "k", "id", "s", "e", bucket_hours=hours)
+                   .select("id_a", "id_b").collect()}
+            assert got == want_pairs
+        want_flags = {r[0] for r in rows
+                      if any(o[1] == r[1] and (o[2], o[0]) < (r[2], r[0]) and o[3] > r[2] for o in rows)}
+        got_flags = {r[0] for r in overlap_flags(df, "k", "id", "s", "e", bucket_hours=2).select("id").collect()}
+        assert got_flags == want_flags
+        assert (not got_flags) == (not want_pairs)
+
+
+def test_self_pairs_salted_equals_plain(spark):
+    rnd = random.Random(7)
+    rows = [(rnd.choice([0, 0, 0, 1, 2]), i) for i in range(300)]  # key 0 is hot
+    df = spark.createDataFrame(rows, "g int, x long")
+    plain = {tuple(r) for r in self_pairs(df, ["g"], "x", hot_rows=10_000).collect()}
+    salted = {tuple(r) for r in self_pairs(df, ["g"], "x", hot_rows=50, salts=4).collect()}
+    want = {(a[0], a[1], b[1]) for a, b in itertools.combinations(rows, 2) if a[0] == b[0] and a[1] < b[1]}
+    want |= {(a[0], b[1], a[1]) for a, b in itertools.combinations(rows, 2) if a[0] == b[0] and b[1] < a[1]}
+    assert plain == salted == want
+
+
+def test_interval_join_left_semantics(spark):
+    left = spark.createDataFrame(
+        [(1, "p", BASE), (2, "p", BASE + dt.timedelta(hours=30)), (3, "q", BASE)],
+        "vid long, pk string, at timestamp_ntz")
+    right = spark.createDataFrame(
+        [("p", BASE + dt.timedelta(hours=24)), ("p", BASE + dt.timedelta(hours=1)), ("p", BASE - dt.timedelta(hours=1)),
+         ("q", BASE + dt.timedelta(hours=24, seconds=1))],
+        "rk string, rt timestamp_ntz")
+    got = sorted((r.vid, r.rt) for r in interval_join(left, right, keys=[("pk", "rk")], left_ts="at", right_ts="rt",
+                                                      hours=24, left_id="vid").collect())
+    assert got == [(1, BASE + dt.timedelta(hours=1)), (1, BASE + dt.timedelta(hours=24)), (2, None), (3, None)]
+
+
+def test_next_in_key_equals_lead(spark):
+    rows = _intervals(11, n=200, keys=3)
+    df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz, e timestamp_ntz")
+    got = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt", bucket_hours=3).collect()}
+    by_key = {}
+    for r in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
+        by_key.setdefault(r[1], []).append(r)
+    want = {}
+    for seq in by_key.values():
+        for a, b in zip(seq, seq[1:] + [None]):
+            want[a[0]] = b[2] if b else None
+    assert got == want
+
+
+def test_consecutive_equal_lead_equals_self_join(spark):
+    rows = [("a", 2020, 5), ("a", 2021, 5), ("a", 2022, 5), ("a", 2024, 5), ("b", 2020, 6), ("b", 2021, 7)]
+    df = spark.createDataFrame(rows, "code string, yr int, n long")
+    got = {tuple(r) for r in consecutive_equal(df, ["code"], "yr", "n").select("code", "period_1", "period_2", "n")
+           .collect()}
+    assert got == {("a", 2020, 2021, 5), ("a", 2021, 2022, 5)}
+
+
+def test_hierarchy_operators(spark):
+    nodes = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 3), (5, 6), (6, 5), (7, 5), (8, 99)],
+                                  "n long, p long")
+    walk = {(r.origin_n, r.ancestor_n, r.level) for r in ancestors(nodes.filter("n < 5 or n = 8"), "n", "p").collect()}
+    assert walk == {(2, 1, 1), (3, 2, 1), (3, 1, 2), (4, 3, 1), (4, 2, 2), (4, 1, 3), (8, 99, 1)}
+    cyc = {(r.n, r.on_cycle, r.cycle_id) for r in find_cycles(nodes, "n", "p").collect()}
+    assert cyc == {(5, True, 5), (6, True, 5), (7, False, 5)}
+
+
+def test_assign_ids_dense_in_order(spark):
+    df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5000).alias("v"))
+    got = assign_ids(df, ["v"], id_col="seq", start=10).orderBy("v").collect()
+    assert [r.seq for r in got] == list(range(10, 5010))
+
+
+def test_propagate_delete_hospital(hospital):
+    keys = {t: PRIMARY_KEYS[t] for t in hospital}
+    doomed = hospital["hospitalization"].filter("hosp_id = 1")
+    res = propagate_delete(hospital, FOREIGN_KEYS, {"hospitalization": doomed}, keys)
+    removed = {t: df.count() for t, df in res.removed.items() if df.count()}
+    # stay 1 cascades to its doctor link, evaluation, procedures 1/2/6, their participants, prescriptions 2/3
+    assert removed == {"hospitalization": 1, "hospitalization_doctor": 1, "hospitalization_evaluation": 1,
+                       "lab_test": 1, "procedure_event": 3, "procedure_participant": 4, "prescription": 2}
+    assert not res.is_blocked()
+    survivors = dict(res.survivors)
+    assert declared_constraints(survivors).filter("rule LIKE 'foreign_key%'").count() == 0
+    # deleting a patient is blocked by its stays (RESTRICT), even though the allergy row would cascade
+    res2 = propagate_delete(hospital, FOREIGN_KEYS, {"patient": hospital["patient"].filter("patient_amka = '01234567891'")},
+                            keys)
+    assert res2.is_blocked()
+    assert res2.blocked["hospitalization"].count() == 1
+
+
+def test_propagate_key_change_hospital(spark, hospital):
+    old = ROWS["doctor"][0][0]
+    key_map = spark.createDataFrame([(old, "99999999999")], "old_key string, new_key string")
+    res = propagate_key_change(hospital, FOREIGN_KEYS, "personnel", "amka", key_map)
+    changed = {t: df.count() for t, df in res.changed.items() if df.count()}
+    assert changed["personnel"] == 1 and changed["doctor"] == 2  # own key and A4's supervisor
+    assert changed["procedure_event"] == 3 and changed["prescription"] == 4
+    assert declared_constraints(res.tables).filter("rule LIKE 'foreign_key%'").count() == 0
+
+
+def test_calendar_and_numeric_helpers(spark):
+    df = spark.createDataFrame(
+        [(dt.datetime(2025, 5, 18, 23), dt.datetime(2025, 5, 18, 23, 1, 59), 1, 8, None),
+         (dt.datetime(2025, 5, 19, 0), dt.datetime(2025, 5, 18, 23, 58, 1), 201, 20000, 3)],
+        "a timestamp_ntz, b timestamp_ntz, s long, n long, z int")
+    got = df.select(
+        in_week("a", dt.date(2025, 5, 20)).alias("wk"), minutes_between("a", "b").alias("m"),
+        ratio("s", "n", 2, times=100).alias("pct"), dialect_avg("s", "n", 2).alias("avg"),
+        greatest_strict(F.lit(0), "z").alias("g"),
+    ).collect()
+    assert [tuple(r) for r in got] == [(False, 1, 12.5, 0.13, None), (True, -1, 1.01, 0.01, 3)]
