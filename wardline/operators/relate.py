@@ -34,29 +34,37 @@ def overlap_pairs(
     """Every pair of rows with the same ``key`` whose ``[start, end)`` intervals overlap.
 
     Output: ``key`` columns, ``{id}_a``, ``{id}_b`` (``a < b``) and both
-    intervals.  Each interval is copied into every time bucket it touches and
-    the self-join runs on ``(key, bucket)``; a pair is kept only in the bucket
-    that holds the later of the two starts, the first instant both intervals
-    cover, so it is reported exactly once.  A hot key is thus spread over its
-    buckets instead of landing in one task.
+    intervals.  Of two overlapping intervals, the one that starts later (ties:
+    larger id) starts inside the other's span; that is the join condition.  The
+    earlier interval is copied into every time bucket its span covers, the later
+    one sits only in the bucket of its start, and the equi-join on
+    ``(key, bucket)`` plus the range test finds each pair once.  Candidates
+    beyond the true pairs are limited to rows starting in the same bucket, so
+    the work follows the output, and a hot key is spread over its buckets.
+    The test is exactly ``a.start < b.end AND a.end > b.start``, so an empty
+    interval strictly inside another still counts, as in the reference.
     """
     keys = [key] if isinstance(key, str) else list(key)
     width = int(bucket_hours * HOUR_US)
     b = "__wl_b"
+    rows = df.select(*keys, id_col, start, end)
     first = bucket_of(start, width)
-    # last bucket touched by [start, end): the one holding end - 1 microsecond
-    last = F.floor((epoch_micros(end) - F.lit(1)) / F.lit(width)).cast("long")
-    cells = df.select(*keys, id_col, start, end).withColumn(b, F.explode(F.sequence(first, last)))
-    a = cells.select(*keys, b, *[F.col(c).alias(f"{c}_a") for c in (id_col, start, end)])
-    o = cells.select(*keys, b, *[F.col(c).alias(f"{c}_b") for c in (id_col, start, end)])
-    sa, ea, sb, eb = (F.col(f"{start}_a"), F.col(f"{end}_a"), F.col(f"{start}_b"), F.col(f"{end}_b"))
-    pairs = (
-        a.join(o, [*keys, b], "inner")
-        .filter((F.col(f"{id_col}_a") < F.col(f"{id_col}_b")) & (sa < eb) & (ea > sb))
-        .filter(bucket_of(F.greatest(sa, sb), width) == F.col(b))
-        .drop(b)
+    last = F.floor((epoch_micros(end) - F.lit(1)) / F.lit(width)).cast("long")  # holds end - 1 microsecond
+    early = rows.select(*keys, F.explode(F.sequence(first, F.greatest(first, last))).alias(b),
+                        *[F.col(c).alias(f"__e_{c}") for c in (id_col, start, end)])
+    late = rows.select(*keys, first.alias(b), *[F.col(c).alias(f"__l_{c}") for c in (id_col, start, end)])
+    es, ee, ei = F.col(f"__e_{start}"), F.col(f"__e_{end}"), F.col(f"__e_{id_col}")
+    ls, le, li = F.col(f"__l_{start}"), F.col(f"__l_{end}"), F.col(f"__l_{id_col}")
+    later = (ls > es) | ((ls == es) & (li > ei))
+    hits = early.join(late, [*keys, b], "inner").filter(later & (ls < ee) & (es < le))
+    a_first = ei < li
+    pick = lambda x, y: F.when(a_first, x).otherwise(y)
+    return hits.select(
+        *keys,
+        pick(ei, li).alias(f"{id_col}_a"), pick(li, ei).alias(f"{id_col}_b"),
+        pick(es, ls).alias(f"{start}_a"), pick(ee, le).alias(f"{end}_a"),
+        pick(ls, es).alias(f"{start}_b"), pick(le, ee).alias(f"{end}_b"),
     )
-    return pairs
 
 
 def overlap_flags(
@@ -71,7 +79,9 @@ def overlap_flags(
     """Rows of ``df`` overlapped by an earlier row of the same ``key``.
 
     "Earlier" is the order ``(start, id)``.  A row is flagged when the largest
-    ``end`` among earlier rows exceeds its ``start``.  That running maximum is
+    ``end`` among earlier rows exceeds its ``start``; for non-empty intervals
+    that is the same as overlapping an earlier row, so the flags are empty
+    exactly when ``overlap_pairs`` is.  That running maximum is
     computed in two bounded pieces: within the row's time bucket (a window
     partitioned by ``(key, bucket)``), and across earlier buckets from one
     aggregate row per ``(key, bucket)`` (a window over those few rows).  No
