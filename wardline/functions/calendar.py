@@ -29,11 +29,18 @@ def _as_date(d: _dt.date | str) -> _dt.date:
     return _dt.date.fromisoformat(str(d)[:10])
 
 
+def ntz_literal(ts: _dt.datetime | _dt.date) -> Column:
+    """A zone-free TIMESTAMP_NTZ literal (``F.lit(datetime)`` would be a zoned TIMESTAMP)."""
+    if not isinstance(ts, _dt.datetime):
+        ts = _dt.datetime(ts.year, ts.month, ts.day)
+    return F.expr(f"TIMESTAMP_NTZ '{ts.isoformat(sep=' ')}'")
+
+
 def _bound(col: ColumnOrName, d: _dt.date, as_timestamp: bool) -> Column:
-    # Compare a timestamp column with a midnight timestamp and a date column
+    # Compare a timestamp column with a zone-free midnight and a date column
     # with a date, so no cast lands on the column side of the predicate.
     if as_timestamp:
-        return F.lit(_dt.datetime(d.year, d.month, d.day))
+        return ntz_literal(d)
     return F.lit(d)
 
 
@@ -83,16 +90,17 @@ def plus_hours(ts: ColumnOrName, hours: int) -> Column:
     return _col(ts) + F.make_dt_interval(hours=F.lit(hours))
 
 
-_EPOCH = _dt.datetime(1970, 1, 1)
-
-
 def epoch_micros(ts: ColumnOrName) -> Column:
     """Microseconds since 1970-01-01 of the wall-clock value, independent of the session time zone.
 
     Used only to cut time into buckets; any monotone mapping works, and a
     zone-free one keeps DST jumps out of the bucket arithmetic.
     """
-    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH), _col(ts).cast("timestamp_ntz"))
+    c = _col(ts)
+    days = F.datediff(F.to_date(c), F.lit(_dt.date(1970, 1, 1))).cast("long")
+    clock = (F.hour(c) * 3600 + F.minute(c) * 60).cast("long") * 1_000_000
+    micros = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")  # seconds with fraction
+    return days * 86_400_000_000 + clock + micros
 
 
 def bucket_of(ts: ColumnOrName, bucket_micros: int) -> Column:

@@ -55,7 +55,7 @@ def interval_join(
     left_ts: str,
     right_ts: str,
     hours: int,
-    left_id: str,
+    left_id: str | None = None,
     how: str = "left",
     bucket_hours: int | None = None,
 ) -> DataFrame:
@@ -63,38 +63,33 @@ def interval_join(
 
     Both bounds are inclusive, as in ``r BETWEEN l AND l + INTERVAL hours HOUR``.
     ``how='left'`` keeps unmatched left rows once, with NULL right columns;
-    ``how='inner'`` keeps only matches.  ``left_id`` must be unique in ``left``.
-
-    Plan: the right side lands in the single bucket of its timestamp; each left
-    row is copied to every bucket its window touches (two for a window of one
-    bucket width).  The equi-join on ``(keys, bucket)`` plus the range residual
-    finds each match exactly once, since a right row lives in one bucket.
-    Unmatched left rows are added back with an anti join on ``left_id``.
+    ``how='inner'`` keeps only matches.  Left and right column names must be
+    disjoint.  (``left_id`` is accepted for callers that name the left key; the
+    plan does not need it.)
+
+    Plan: each left row sits in the single time bucket of ``left_ts``; each
+    right row is copied to every bucket a matching left row can sit in, i.e.
+    the buckets of ``[right_ts - hours, right_ts]`` (two when the bucket width
+    is the window).  A match ``(l, r)`` therefore meets in exactly one bucket,
+    and the whole operator is one equi-join on ``(keys, bucket)`` with the range
+    as residual: a plain left outer join, no anti join or de-duplication.  A
+    hot key is spread over its time buckets.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"interval_join supports how='left' or 'inner', not {how!r}")
     width_us = (bucket_hours or hours) * 3600 * 1_000_000
     window_us = hours * 3600 * 1_000_000
-    lb = "__wl_bucket"
-    start_b = bucket_of(left_ts, width_us)
-    end_b = F.floor((epoch_micros(left_ts) + F.lit(window_us)) / F.lit(width_us)).cast("long")
-    l = left.withColumn(lb, F.explode(F.sequence(start_b, end_b)))
-    r = right.withColumn(lb, bucket_of(right_ts, width_us))
-    cond = l[lb] == r[lb]
+    b = "__wl_bucket"
+    l = left.withColumn(b, bucket_of(left_ts, width_us))
+    last = bucket_of(right_ts, width_us)
+    first = F.floor((epoch_micros(right_ts) - F.lit(window_us)) / F.lit(width_us)).cast("long")
+    r = right.withColumn(b, F.explode(F.sequence(first, last)))
+    cond = l[b] == r[b]
     for lk, rk in keys:
         cond = cond & (l[lk] == r[rk])
     lt, rt = l[left_ts], r[right_ts]
     cond = cond & (rt >= lt) & (rt <= lt + F.make_dt_interval(hours=F.lit(hours)))
-    matched = l.join(r, cond, "inner").drop(l[lb]).drop(r[lb])
-    if how == "inner":
-        return matched
-    if how != "left":
-        raise ValueError(f"interval_join supports how='left' or 'inner', not {how!r}")
-    unmatched = left.join(matched.select(F.col(left_id).alias("__wl_lid")).distinct(),
-                          F.col(left_id) == F.col("__wl_lid"), "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
-
-
-def _rename(df: DataFrame, cols: Sequence[str], suffix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"{c}{suffix}") for c in cols])
+    return l.join(r, cond, how).drop(l[b]).drop(r[b])
 
 
 def self_pairs(
