@@ -76,8 +76,12 @@ def minutes_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Whole minutes elapsed from ``start`` to ``end`` (``TIMESTAMPDIFF(MINUTE, start, end)``).
 
     Truncates toward zero: 119 s is 1, -119 s is -1.  NULL if either side is NULL.
+    Counted on the wall clock of zone-free values, so a DST change in the
+    session time zone does not move the result.
     """
-    return F.timestamp_diff("MINUTE", _col(start), _col(end))
+    d = epoch_micros(end) - epoch_micros(start)
+    whole = F.floor(F.abs(d).cast("decimal(20,0)") / F.lit(60_000_000)).cast("long")
+    return F.signum(d).cast("long") * whole
 
 
 def days_between(start: ColumnOrName, end: ColumnOrName) -> Column:
