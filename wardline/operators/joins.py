@@ -2,8 +2,7 @@
 
 Scale notes
 -----------
-* A side is broadcast only after a bounded count proves it small
-  (``small_side``).  Otherwise the join stays a shuffle join and AQE may still
+* A side is broadcast only after a count proves it small (``small_side``).  Otherwise the join stays a shuffle join and AQE may still
   switch it to a broadcast from real shuffle sizes.
 * The interval join cuts time into buckets and joins on ``(key, bucket)``, so a
   key holding a third of all rows is still spread over many tasks.
@@ -31,19 +30,22 @@ _size_cache: dict[tuple[int, int], bool] = {}
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Counts at most ``max_rows + 1`` rows, so the check stays cheap on a large
-    input.  The answer is memoised per logical plan.
+    A plain ``count()``: a partial count per task and one row per task to the
+    final sum, and no column is decoded for an unfiltered Parquet scan.  (A
+    ``limit(n).count()`` would funnel up to ``n`` rows per partition into a
+    single task.)  It is meant for dimension-like inputs; the answer is
+    memoised per logical plan.
     """
     key = (df.semanticHash(), max_rows)
     hit = _size_cache.get(key)
     if hit is None:
-        hit = df.limit(max_rows + 1).count() <= max_rows
+        hit = df.count() <= max_rows
         _size_cache[key] = hit
     return hit
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if a bounded count proves it small, else ``df`` unchanged."""
+    """``broadcast(df)`` if a count proves it small, else ``df`` unchanged."""
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 

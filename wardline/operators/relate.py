@@ -215,7 +215,7 @@ def flag_any(base: DataFrame, base_key: str | Sequence[str], events: DataFrame,
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | str, how: str = "inner") -> DataFrame:
-    """Join a dimension, broadcasting it only when a bounded count proves it small."""
+    """Join a dimension, broadcasting it only when a count proves it small."""
     d = small_side(dim)
     if isinstance(on, str):
         return fact.join(d, on, how)
