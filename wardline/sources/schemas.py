@@ -302,3 +302,18 @@ def length_limits(table: str) -> dict[str, int]:
 
 def decimal_columns(table: str) -> dict[str, tuple[int, int]]:
     return {c.name: c.precision for c in TABLES[table] if c.kind == "DEC" and c.precision}
+
+
+# Physical layout replacing the secondary indexes: rows are range-partitioned
+# and sorted on the columns the reports filter or look up by, so each file and
+# row group covers a narrow key range and pushed filters skip the rest by
+# Parquet min/max statistics.
+LAYOUT: dict[str, tuple[str, ...]] = {
+    "hospitalization": ("patient_amka", "admission_ts"),       # one patient's stays (Q6), per-patient totals
+    "emergency_visit": ("arrival_ts",),
+    "procedure_event": ("start_ts", "place_id"),               # year filters (Q11), overlap checks
+    "department_shift": ("shift_date", "department_id"),       # day / week / year filters (Q2, Q8, Q12)
+    "shift_assignment": ("personnel_amka", "shift_id"),
+    "prescription": ("hosp_id", "patient_amka"),
+    "procedure_participant": ("personnel_amka", "procedure_event_id"),
+}

@@ -70,6 +70,8 @@ class TableSet:
             if name in self.schemas:
                 reader = reader.schema(self.schemas[name])
             df = reader.parquet(self.path(name))
+            if name in self.schemas:  # declared columns only, whatever else the folder holds
+                df = df.select(*self.schemas[name].fieldNames())
             keys = self.spread_keys.get(name)
             if keys:
                 cores = self.spark.sparkContext.defaultParallelism
@@ -78,6 +80,23 @@ class TableSet:
             self._cache[name] = df
         return df
 
+    def _exists(self, name: str) -> bool:
+        p = self.path(name)
+        return not p.startswith("/") or os.path.exists(p)
+
+    def __contains__(self, name: object) -> bool:
+        return isinstance(name, str) and (name in self._cache or self._exists(name))
+
+    def keys(self) -> list[str]:
+        names = list(self.schemas) if self.schemas else list(TEST_TABLES)
+        return [n for n in names if n in self]
+
+    def __iter__(self):
+        return iter(self.keys())
+
+    def __len__(self) -> int:
+        return len(self.keys())
+
     def register(self, names: Iterable[str] | None = None) -> None:
         """Expose tables as temp views, for ``spark.sql`` callers."""
         for n in names or TEST_TABLES:
@@ -90,3 +109,18 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+def write_hospital(tables: dict[str, DataFrame], root: str, *, mode: str = "overwrite") -> None:
+    """Write hospital tables to ``root/<table>`` with the layout of ``schemas.LAYOUT``.
+
+    Tables with a layout are range-partitioned and sorted on its columns, which
+    keeps Parquet min/max statistics tight: a point lookup (one patient's stays)
+    or a date range (one week's shifts) pushed to the scan skips most row groups.
+    """
+    from wardline.sources.schemas import LAYOUT
+
+    for name, df in tables.items():
+        cols = LAYOUT.get(name, ())
+        out = df.repartitionByRange(*cols).sortWithinPartitions(*cols) if cols else df
+        write_table(out, f"{root.rstrip('/')}/{name}", mode=mode)
