@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tests.hospital_fixture import ROWS
 from wardline.functions.calendar import in_week, minutes_between
 from wardline.functions.numeric import dialect_avg, greatest_strict, ratio
-from wardline.operators.hierarchy import ancestors, find_cycles
+from wardline.operators.hierarchy import DepthExceeded, ancestors, find_cycles
 from wardline.operators.joins import interval_join, self_pairs
 from wardline.operators.maintain import assign_ids, propagate_delete, propagate_key_change
 from wardline.operators.relate import consecutive_equal, next_in_key, overlap_flags, overlap_pairs
@@ -103,6 +103,19 @@ def test_hierarchy_operators(spark):
     assert cyc == {(5, True, 5), (6, True, 5), (7, False, 5)}
 
 
+def test_ancestors_deep_chain_and_depth_limit(spark):
+    chain = spark.range(0, 300).select(F.col("id").alias("n"),
+                                       F.when(F.col("id") > 0, F.col("id") - 1).alias("p"))
+    walk = ancestors(chain, "n", "p", max_depth=299)
+    assert walk.count() == 299 * 300 // 2
+    assert walk.filter("origin_n = 299").agg(F.max("level")).first()[0] == 299
+    try:
+        ancestors(chain, "n", "p", max_depth=298)
+        raise AssertionError("expected DepthExceeded")
+    except DepthExceeded:
+        pass
+
+
 def test_assign_ids_dense_in_order(spark):
     df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5000).alias("v"))
     got = assign_ids(df, ["v"], id_col="seq", start=10).orderBy("v").collect()

@@ -1,8 +1,9 @@
 """Hierarchy operators over a parent pointer per node (doctor -> supervisor).
 
-Both operators iterate joins.  Lineage is cut with a reliable ``checkpoint()``
-into the folder the session names (``spark.checkpoint.dir``), so a lost
-executor recomputes at most one round and the plan does not grow with depth.
+Both operators iterate joins with pointer doubling (rounds grow with the
+logarithm of the depth).  Lineage is cut with a reliable ``checkpoint()`` into
+the folder the session names (``spark.checkpoint.dir``), so a lost executor
+recomputes at most one round and the plan does not grow with depth.
 """
 
 from __future__ import annotations
@@ -36,11 +37,14 @@ def ancestors(
     key columns ``parent`` (NULL for a root).  Output: ``node`` columns renamed
     ``origin_*``, the ancestor key as ``ancestor_*`` and ``level``.  Matches a
     recursive CTE whose base is ``(n, parent(n), 1)`` and whose step follows the
-    parent while it is not NULL.
-
-    Each round joins the current frontier with the node table on the frontier's
-    ancestor key (a shuffle join; AQE splits a hot supervisor).  The walk stops
-    when the frontier is empty; still extending at ``max_depth`` raises
+    parent while the current node has one.
+
+    Pointer doubling, so a chain of depth ``d`` takes ``ceil(log2(d)) + 1``
+    rounds instead of ``d``: with ``jump`` = each node's ancestor exactly ``m``
+    levels up and ``closure`` = all pairs up to level ``m``, one round adds the
+    pairs at levels ``m+1 .. 2m`` as ``jump`` joined to ``closure`` on the jump
+    target (each pair once), and squares ``jump``.  Both are checkpointed each
+    round.  A chain still extending past ``max_depth`` (a cycle) raises
     ``DepthExceeded`` rather than silently cutting rows.
     """
     nk, pk = _names(node), _names(parent)
@@ -48,42 +52,39 @@ def ancestors(
         raise ValueError("node and parent must have the same number of columns")
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
+    k = len(nk)
     origin = [f"origin_{c}" for c in nk]
     anc = [f"ancestor_{c}" for c in nk]
-    edges = nodes.select(*[F.col(c).alias(f"__n{i}") for i, c in enumerate(nk)],
-                         *[F.col(c).alias(f"__p{i}") for i, c in enumerate(pk)])
-    not_root = F.lit(True)
-    for i in range(len(pk)):
-        not_root = not_root & F.col(f"__p{i}").isNotNull()
-    edges = edges.filter(not_root)
-    frontier = edges.select(
-        *[F.col(f"__n{i}").alias(origin[i]) for i in range(len(nk))],
-        *[F.col(f"__p{i}").alias(anc[i]) for i in range(len(nk))],
+    has_parent = F.lit(True)
+    for c in pk:
+        has_parent = has_parent & F.col(c).isNotNull()
+    base = nodes.filter(has_parent).select(
+        *[F.col(c).alias(o) for c, o in zip(nk, origin)], *[F.col(c).alias(a) for c, a in zip(pk, anc)],
         F.lit(1).alias("level"),
     )
-    levels = []
-    depth = 1
-    frontier = frontier.checkpoint(eager=True)
-    while not frontier.isEmpty():
-        levels.append(frontier)
-        cond = [frontier[anc[i]] == edges[f"__n{i}"] for i in range(len(nk))]
-        nxt = frontier.join(edges, cond, "inner").select(
-            *[F.col(o) for o in origin],
-            *[F.col(f"__p{i}").alias(anc[i]) for i in range(len(nk))],
-            (F.col("level") + 1).alias("level"),
-        )
-        # materialise each level once: the emptiness test and the final union
-        # both read the checkpoint instead of recomputing the chain of joins
-        frontier = nxt.checkpoint(eager=True)
-        if depth >= max_depth and not frontier.isEmpty():
+    closure = base.checkpoint(eager=True)  # levels 1..m
+    jump = closure.drop("level")  # ancestor exactly m levels up
+    m = 1
+    while True:
+        # pairs at levels m+1 .. 2m: (a -> b at m) then (b -> c at j <= m)
+        step = closure.select(*[F.col(o).alias(f"__b{i}") for i, o in enumerate(origin)],
+                              *[F.col(a).alias(f"__c{i}") for i, a in enumerate(anc)], F.col("level").alias("__j"))
+        cond = [jump[anc[i]] == step[f"__b{i}"] for i in range(k)]
+        new = jump.join(step, cond, "inner").select(
+            *origin, *[F.col(f"__c{i}").alias(anc[i]) for i in range(k)], (F.col("__j") + m).alias("level")
+        ).checkpoint(eager=True)
+        if new.isEmpty():
+            break
+        if not new.filter(F.col("level") > max_depth).isEmpty():
             raise DepthExceeded(f"hierarchy walk still extending after {max_depth} levels")
-        depth += 1
-    if not levels:
-        return frontier
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+        closure = closure.unionByName(new).checkpoint(eager=True)
+        hop = jump.select(*[F.col(o).alias(f"__b{i}") for i, o in enumerate(origin)],
+                          *[F.col(a).alias(f"__c{i}") for i, a in enumerate(anc)])
+        jump = jump.join(hop, [jump[anc[i]] == hop[f"__b{i}"] for i in range(k)], "inner").select(
+            *origin, *[F.col(f"__c{i}").alias(anc[i]) for i in range(k)]
+        ).checkpoint(eager=True)
+        m *= 2
+    return closure
 
 
 def find_cycles(
