@@ -67,6 +67,37 @@ def overlap_pairs(
     )
 
 
+def cross_overlap_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    key: str | Sequence[str],
+    id_col: str,
+    start: str,
+    end: str,
+    *,
+    bucket_hours: float = 24,
+) -> DataFrame:
+    """Pairs of a ``left`` row and a ``right`` row with the same ``key`` whose intervals overlap.
+
+    Output: ``key``, ``left_{id}``, ``right_{id}`` and both intervals.  Both
+    sides go into one interval table with a ``(role, id)`` struct as the row
+    id and ``overlap_pairs`` runs once; pairs whose two rows have different
+    roles are kept (left sorts first).  Used for "participant of one
+    procedure while chief of an overlapping one".
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    tag = "__wl_rid"
+    both = left.select(*keys, F.struct(F.lit(0).alias("r"), F.col(id_col).alias("i")).alias(tag), start, end).unionByName(
+        right.select(*keys, F.struct(F.lit(1).alias("r"), F.col(id_col).alias("i")).alias(tag), start, end))
+    pairs = overlap_pairs(both, keys, tag, start, end, bucket_hours=bucket_hours)
+    return pairs.filter((F.col(f"{tag}_a.r") == 0) & (F.col(f"{tag}_b.r") == 1)).select(
+        *keys,
+        F.col(f"{tag}_a.i").alias(f"left_{id_col}"), F.col(f"{tag}_b.i").alias(f"right_{id_col}"),
+        F.col(f"{start}_a").alias(f"left_{start}"), F.col(f"{end}_a").alias(f"left_{end}"),
+        F.col(f"{start}_b").alias(f"right_{start}"), F.col(f"{end}_b").alias(f"right_{end}"),
+    )
+
+
 def overlap_flags(
     df: DataFrame,
     key: str | Sequence[str],

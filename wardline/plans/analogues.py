@@ -29,6 +29,7 @@ from wardline.operators.joins import anti_join, interval_join
 from wardline.operators.maintain import ForeignKey, assign_ids, propagate_delete, propagate_key_change
 from wardline.operators.relate import (
     consecutive_equal,
+    cross_overlap_pairs,
     distinct_counts,
     equal_measure_pairs,
     flag_any,
@@ -513,6 +514,71 @@ def overlap_flags_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cross_overlap_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5b's shape: a user's purchase (as "chief") overlapping one of their views (as "participant")."""
+    t = _t(spark, sf_dir)
+    iv = t["events"].select("event_id", "user_id", "event_type", F.col("ts").alias("start_ts"),
+                            (F.col("ts") + F.expr("INTERVAL 30 MINUTES")).alias("end_ts"))
+    purchases = iv.filter(F.col("event_type") == "purchase").drop("event_type")
+    views = iv.filter(F.col("event_type") == "view").drop("event_type")
+    return cross_overlap_pairs(purchases, views, "user_id", "event_id", "start_ts", "end_ts", bucket_hours=1).select(
+        "user_id", F.col("left_event_id").alias("purchase_event_id"), F.col("right_event_id").alias("view_event_id"))
+
+
+def supervision_checks_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1a-c's shape on the customer tree: no self-parent; BUILDING needs a parent; AUTOMOBILE has none."""
+    t = _t(spark, sf_dir)
+    nodes = t["customer"].select(
+        "c_custkey", "c_mktsegment", F.when(F.col("c_custkey") != 0, F.expr("c_custkey div 10")).alias("parent_key"))
+    return A.audit_check(nodes, "customer", ["c_custkey"], {
+        "no_self_parent": F.coalesce(F.col("parent_key") != F.col("c_custkey"), F.lit(True)),
+        "building_needs_parent": ~((F.col("c_mktsegment") == "BUILDING") & F.col("parent_key").isNull()),
+        "automobile_has_no_parent": ~((F.col("c_mktsegment") == "AUTOMOBILE") & F.col("parent_key").isNotNull()),
+    })
+
+
+def ingest_gate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 on the test tables: the events file arrives as a stream and goes through the gate.
+
+    Rules: an event overlapping an earlier event of the same user (30-minute
+    intervals, the T3/T4 shape) and an event of a user who is not a customer
+    (the foreign-key shape).  The stream runs to completion (``availableNow``)
+    with its checkpoint and output under ``spark.checkpoint.dir``; the result
+    is the rejected rows, one per failing rule.
+    """
+    import os
+    import uuid
+
+    from wardline.session import ensure_checkpoint_dir
+    from wardline.streaming.gate import run_stream_gate, split_batch
+
+    t = _t(spark, sf_dir)
+    run = os.path.join(ensure_checkpoint_dir(spark), f"ingest-gate-{uuid.uuid4().hex}")
+    schema = t["events"].schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stored = spark.createDataFrame([], schema)
+    customers = t["customer"].select("c_custkey")
+
+    def overlaps_earlier(rows: DataFrame) -> DataFrame:
+        iv = rows.select("event_id", "user_id", F.col("ts").alias("start_ts"),
+                         (F.col("ts") + F.expr("INTERVAL 30 MINUTES")).alias("end_ts"))
+        pairs = overlap_pairs(iv, "user_id", "event_id", "start_ts", "end_ts", bucket_hours=1)
+        return pairs.select(F.col("event_id_b").alias("event_id")).distinct().withColumn("rule", F.lit("overlaps_earlier"))
+
+    def unknown_user(rows: DataFrame) -> DataFrame:
+        return rows.join(customers, rows.user_id == customers.c_custkey, "left_anti").select(
+            "event_id", F.lit("unknown_user").alias("rule"))
+
+    def gate(batch: DataFrame, so_far: DataFrame):
+        return split_batch(batch, so_far, ["event_id"], [overlaps_earlier, unknown_user])
+
+    q = run_stream_gate(spark, source, stored, gate, f"{run}/out", checkpoint_location=f"{run}/checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(f"{run}/out/rejected").select("event_id", "rule")
+
+
 def mismatch_lookup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     li = t["lineitem"].filter(F.col("l_linestatus") != "F").select("l_orderkey", "l_linenumber", "l_linestatus")
@@ -556,4 +622,7 @@ QUERIES: dict[str, Query] = {
     "overlap_pairs": overlap_pairs_q,
     "overlap_flags": overlap_flags_q,
     "mismatch_lookup": mismatch_lookup_q,
+    "cross_overlap": cross_overlap_q,
+    "supervision_checks": supervision_checks_q,
+    "ingest_gate": ingest_gate_q,
 }

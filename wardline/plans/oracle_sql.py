@@ -419,3 +419,34 @@ SELECT l.l_orderkey, l.l_linenumber, o.o_orderstatus AS required_status, l.l_lin
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 WHERE o.o_orderstatus = 'F' AND l.l_linestatus <> 'F'
 """
+
+ORACLE_SQL["cross_overlap"] = f"""
+WITH iv AS ({_EVENT_INTERVALS}), typed AS (SELECT iv.*, e.event_type FROM iv JOIN events e USING (event_id))
+SELECT p.user_id, p.event_id AS purchase_event_id, v.event_id AS view_event_id
+FROM typed p JOIN typed v
+  ON p.user_id = v.user_id AND p.start_ts < v.end_ts AND p.end_ts > v.start_ts
+WHERE p.event_type = 'purchase' AND v.event_type = 'view'
+"""
+
+ORACLE_SQL["supervision_checks"] = f"""
+WITH tree AS (
+    SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey <> 0 THEN c_custkey // 10 END AS parent_key FROM customer)
+SELECT 'no_self_parent' AS rule, 'customer' AS table_name, {_key('c_custkey')} AS key_value, 'check failed' AS detail
+FROM tree WHERE parent_key = c_custkey
+UNION ALL
+SELECT 'building_needs_parent', 'customer', {_key('c_custkey')}, 'check failed'
+FROM tree WHERE c_mktsegment = 'BUILDING' AND parent_key IS NULL
+UNION ALL
+SELECT 'automobile_has_no_parent', 'customer', {_key('c_custkey')}, 'check failed'
+FROM tree WHERE c_mktsegment = 'AUTOMOBILE' AND parent_key IS NOT NULL
+"""
+
+ORACLE_SQL["ingest_gate"] = f"""
+WITH iv AS ({_EVENT_INTERVALS})
+SELECT a.event_id, 'overlaps_earlier' AS rule
+FROM iv a
+WHERE EXISTS (SELECT 1 FROM iv b WHERE b.user_id = a.user_id AND b.event_id < a.event_id
+                                   AND b.start_ts < a.end_ts AND b.end_ts > a.start_ts)
+UNION ALL
+SELECT event_id, 'unknown_user' FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)
+"""

@@ -34,7 +34,7 @@ from collections.abc import Mapping  # noqa: E402
 
 from wardline.operators import audit as A  # noqa: E402
 from wardline.operators.hierarchy import find_cycles  # noqa: E402
-from wardline.operators.relate import lookup, overlap_pairs  # noqa: E402
+from wardline.operators.relate import cross_overlap_pairs, lookup, overlap_pairs  # noqa: E402
 
 Tables = Mapping[str, DataFrame]
 
@@ -107,26 +107,15 @@ def participant_overlap_rows(tables: Tables, bucket_hours: float = 24) -> DataFr
 def participant_chief_overlap_rows(tables: Tables, bucket_hours: float = 24) -> DataFrame:
     """T5b: a person taking part in one procedure while chief of another overlapping one.
 
-    Both roles go into one interval table keyed by person, with ids
-    ``C:<event>`` / ``P:<event>``; a pair with one id of each role (``C`` sorts
-    first) and different events is a violation.  The same event in both roles
-    is T7.
+    The same event in both roles is T7, not T5b.
     """
-    part = _participation(tables).select(
-        "personnel_amka", F.concat(F.lit("P:"), F.col("procedure_event_id")).alias("role_event"), "start_ts", "end_ts")
-    chief = _events(tables).select(
-        F.col("chief_surgeon_amka").alias("personnel_amka"),
-        F.concat(F.lit("C:"), F.col("procedure_event_id")).alias("role_event"), "start_ts", "end_ts")
-    pairs = overlap_pairs(part.unionByName(chief), "personnel_amka", "role_event", "start_ts", "end_ts",
-                          bucket_hours=bucket_hours)
-    return pairs.filter(
-        F.col("role_event_a").startswith("C:") & F.col("role_event_b").startswith("P:")
-        & (F.substring("role_event_a", 3, 40) != F.substring("role_event_b", 3, 40))
-    ).select(
-        "personnel_amka",
-        F.substring("role_event_a", 3, 40).cast("long").alias("chief_event_id"),
-        F.substring("role_event_b", 3, 40).cast("long").alias("participant_event_id"),
-    )
+    chief = _events(tables).select(F.col("chief_surgeon_amka").alias("personnel_amka"), "procedure_event_id",
+                                   "start_ts", "end_ts")
+    pairs = cross_overlap_pairs(chief, _participation(tables), "personnel_amka", "procedure_event_id", "start_ts",
+                                "end_ts", bucket_hours=bucket_hours)
+    return pairs.filter(F.col("left_procedure_event_id") != F.col("right_procedure_event_id")).select(
+        "personnel_amka", F.col("left_procedure_event_id").alias("chief_event_id"),
+        F.col("right_procedure_event_id").alias("participant_event_id"))
 
 
 def place_type_mismatch_rows(tables: Tables) -> DataFrame:

@@ -19,7 +19,7 @@ Idempotence: each batch writes ``accepted/batch_id=N`` and
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -55,13 +55,37 @@ def _relevant_stored(stored: DataFrame, batch: DataFrame, table: str) -> DataFra
     return out.dropDuplicates(pk) if len(parts) > 1 else out
 
 
+Rule = Callable[[DataFrame], DataFrame]
+
+
+def split_batch(
+    batch: DataFrame, stored: DataFrame, key: Sequence[str], rules: Sequence[Rule]
+) -> tuple[DataFrame, DataFrame]:
+    """Generic core: run ``rules`` on ``stored`` plus ``batch`` and split the batch.
+
+    Each rule maps the combined rows to offending rows holding the ``key``
+    columns and a ``rule`` column.  Offenders whose key belongs to the batch are
+    rejected (one row per failing rule); the rest of the batch is accepted.
+    """
+    key = list(key)
+    combined = stored.unionByName(batch.select(*stored.columns))
+    findings = [r(combined).select(*key, "rule") for r in rules]
+    found = findings[0]
+    for f in findings[1:]:
+        found = found.unionByName(f)
+    rejected = found.join(batch.select(*key).distinct(), key, "left_semi")
+    accepted = batch.join(rejected.select(*key).distinct(), key, "left_anti")
+    return accepted, rejected
+
+
 def gate_batch(batch: DataFrame, table: str, current: Tables) -> tuple[DataFrame, DataFrame]:
-    """Split ``batch`` (new rows of ``table``) into ``(accepted, rejected)``.
+    """Split ``batch`` (new rows of hospital ``table``) into ``(accepted, rejected)``.
 
     ``rejected`` has the audit shape (``rule, table_name, key_value, detail``),
-    one row per failing rule.  The rules run on the stored rows that can
-    conflict (same overlap keys) plus the batch, so the cost follows the batch,
-    not the stored table.
+    one row per failing rule: the declared constraints of the table and its
+    trigger rules.  The rules run on the stored rows that can conflict (same
+    overlap keys) plus the batch, so the cost follows the batch, not the
+    stored table.
     """
     pk = list(PRIMARY_KEYS[table])
     stored = current[table]
@@ -78,48 +102,69 @@ def gate_batch(batch: DataFrame, table: str, current: Tables) -> tuple[DataFrame
     return accepted, rejected
 
 
-def run_gate(
+def run_stream_gate(
     spark: SparkSession,
-    table: str,
-    source_dir: str,
-    current: Tables,
+    source: DataFrame,
+    stored: DataFrame,
+    gate: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
     out_dir: str,
     *,
-    checkpoint_location: str | None = None,
-    max_files_per_trigger: int = 1,
+    checkpoint_location: str,
 ) -> StreamingQuery:
-    """Start the gate on a folder of parquet files holding new ``table`` rows; process what is there, then stop.
+    """Run ``gate(batch, stored_so_far)`` on every micro-batch of the streaming ``source``.
 
-    ``current`` holds the stored tables.  Accepted and rejected rows go to
-    ``out_dir/accepted`` and ``out_dir/rejected``, partitioned by ``batch_id``.
-    The stream's checkpoint defaults to a folder under ``spark.checkpoint.dir``.
+    ``stored_so_far`` is ``stored`` plus the rows accepted by earlier batches
+    (read back from ``out_dir/accepted``, ``batch_id < N``).  Output goes to
+    ``out_dir/accepted|rejected/batch_id=N`` with overwrite, so a replayed batch
+    rewrites the same files.  Processes what is available, then stops.
     """
-    ckpt_root = ensure_checkpoint_dir(spark)
-    checkpoint_location = checkpoint_location or os.path.join(ckpt_root, f"gate-{table}")
-    schema = SCHEMAS[table]
     accepted_dir, rejected_dir = f"{out_dir}/accepted", f"{out_dir}/rejected"
-    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    with_batch = T.StructType([*stored.schema.fields, T.StructField("batch_id", T.LongType())])
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
         batch_df = batch_df.persist()
-        stored = current[table]
+        so_far = stored
         try:
             prior = spark.read.schema(with_batch).parquet(accepted_dir)
-            prior = prior.filter(F.col("batch_id") < batch_id).drop("batch_id")
-            stored = stored.unionByName(prior)
+            so_far = so_far.unionByName(prior.filter(F.col("batch_id") < batch_id).drop("batch_id"))
         except AnalysisException:  # no accepted output yet
             pass
-        view = dict(current)
-        view[table] = stored
-        accepted, rejected = gate_batch(batch_df, table, view)
+        accepted, rejected = gate(batch_df, so_far)
         accepted.write.mode("overwrite").parquet(f"{accepted_dir}/batch_id={batch_id}")
         rejected.write.mode("overwrite").parquet(f"{rejected_dir}/batch_id={batch_id}")
         batch_df.unpersist()
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
     return (
-        stream.writeStream.foreachBatch(per_batch)
+        source.writeStream.foreachBatch(per_batch)
         .option("checkpointLocation", checkpoint_location)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def run_gate(
+    spark: SparkSession,
+    table: str,
+    source_dir: str,
+    current: Tables,
+    out_dir: str,
+    *,
+    checkpoint_location: str | None = None,
+    max_files_per_trigger: int = 1,
+) -> StreamingQuery:
+    """The hospital gate on a folder of parquet files holding new ``table`` rows.
+
+    ``current`` holds the stored tables.  Accepted and rejected rows go to
+    ``out_dir/accepted`` and ``out_dir/rejected``, partitioned by ``batch_id``.
+    The stream's checkpoint defaults to a folder under ``spark.checkpoint.dir``.
+    """
+    ckpt_root = ensure_checkpoint_dir(spark)
+    checkpoint_location = checkpoint_location or os.path.join(ckpt_root, f"gate-{table}")
+    stream = spark.readStream.schema(SCHEMAS[table]).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
+
+    def gate(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+        view = dict(current)
+        view[table] = stored
+        return gate_batch(batch, table, view)
+
+    return run_stream_gate(spark, stream, current[table], gate, out_dir, checkpoint_location=checkpoint_location)
