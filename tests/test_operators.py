@@ -161,3 +161,20 @@ def test_calendar_and_numeric_helpers(spark):
         greatest_strict(F.lit(0), "z").alias("g"),
     ).collect()
     assert [tuple(r) for r in got] == [(False, 1, 12.5, 0.13, None), (True, -1, 1.01, 0.01, 3)]
+
+
+def test_week_across_year_end(spark):
+    days = [dt.date(2024, 12, 29) + dt.timedelta(days=i) for i in range(9)]  # Sunday .. next Monday
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = [r.d for r in df.filter(in_week("d", dt.date(2025, 1, 1), timestamp=False)).orderBy("d").collect()]
+    assert got == [dt.date(2024, 12, 30) + dt.timedelta(days=i) for i in range(7)]
+
+
+def test_top_k_tie_is_broken_by_item(spark):
+    from wardline.operators.relate import pair_cooccurrence
+
+    # (1,2) and (2,3) occur three times, (1,3) and (3,4) twice: the third place is a tie
+    baskets = [(b, i) for b, items in enumerate([[1, 2, 3], [1, 2, 3], [1, 2], [2, 3, 4], [3, 4]]) for i in items]
+    df = spark.createDataFrame(baskets, "basket long, item long")
+    got = [tuple(r) for r in pair_cooccurrence(df, "basket", "item", top=3).collect()]
+    assert got == [(1, 2, 3), (2, 3, 3), (1, 3, 2)]

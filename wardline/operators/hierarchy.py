@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +44,10 @@ def ancestors(
     rounds instead of ``d``: with ``jump`` = each node's ancestor exactly ``m``
     levels up and ``closure`` = all pairs up to level ``m``, one round adds the
     pairs at levels ``m+1 .. 2m`` as ``jump`` joined to ``closure`` on the jump
-    target (each pair once), and squares ``jump``.  Both are checkpointed each
-    round.  A chain still extending past ``max_depth`` (a cycle) raises
+    target (each pair once), and squares ``jump``.  The jump table is
+    checkpointed each round (its plan would double otherwise); each new band is
+    persisted, its lineage being one join over checkpointed inputs; the closure
+    is the union of the bands.  A chain still extending past ``max_depth`` (a cycle) raises
     ``DepthExceeded`` rather than silently cutting rows.
     """
     nk, pk = _names(node), _names(parent)
@@ -62,22 +65,30 @@ def ancestors(
         *[F.col(c).alias(o) for c, o in zip(nk, origin)], *[F.col(c).alias(a) for c, a in zip(pk, anc)],
         F.lit(1).alias("level"),
     )
-    closure = base.checkpoint(eager=True)  # levels 1..m
-    jump = closure.drop("level")  # ancestor exactly m levels up
+    first = base.checkpoint(eager=True)
+    pieces = [first]  # level bands; their union is the closure (a flat plan)
+    closure = first  # levels 1..m
+    jump = first.drop("level")  # ancestor exactly m levels up
     m = 1
     while True:
         # pairs at levels m+1 .. 2m: (a -> b at m) then (b -> c at j <= m)
         step = closure.select(*[F.col(o).alias(f"__b{i}") for i, o in enumerate(origin)],
                               *[F.col(a).alias(f"__c{i}") for i, a in enumerate(anc)], F.col("level").alias("__j"))
         cond = [jump[anc[i]] == step[f"__b{i}"] for i in range(k)]
+        # the band's inputs are checkpointed, so its lineage is one join: persisting it is enough
+        # (a lost block is recomputed from that join), and the depth probe fills the cache
         new = jump.join(step, cond, "inner").select(
             *origin, *[F.col(f"__c{i}").alias(anc[i]) for i in range(k)], (F.col("__j") + m).alias("level")
-        ).checkpoint(eager=True)
-        if new.isEmpty():
+        ).persist(StorageLevel.MEMORY_AND_DISK)
+        deepest = new.agg(F.max("level")).first()[0]  # NULL when nothing is new
+        if deepest is None:
             break
-        if not new.filter(F.col("level") > max_depth).isEmpty():
+        if deepest > max_depth:
             raise DepthExceeded(f"hierarchy walk still extending after {max_depth} levels")
-        closure = closure.unionByName(new).checkpoint(eager=True)
+        pieces.append(new)
+        closure = pieces[0]
+        for p in pieces[1:]:
+            closure = closure.unionByName(p)
         hop = jump.select(*[F.col(o).alias(f"__b{i}") for i, o in enumerate(origin)],
                           *[F.col(a).alias(f"__c{i}") for i, a in enumerate(anc)])
         jump = jump.join(hop, [jump[anc[i]] == hop[f"__b{i}"] for i in range(k)], "inner").select(
