@@ -43,8 +43,10 @@ def test_overlap_pairs_and_flags_match_brute_force(spark):
             assert got == want_pairs
         want_flags = {r[0] for r in rows
                       if any(o[1] == r[1] and (o[2], o[0]) < (r[2], r[0]) and o[3] > r[2] for o in rows)}
-        got_flags = {r[0] for r in overlap_flags(df, "k", "id", "s", "e", bucket_hours=2).select("id").collect()}
-        assert got_flags == want_flags
+        for split, hot in (("range", 1_000_000), ("range", 7), ("time", 0)):
+            got_flags = {r[0] for r in overlap_flags(df, "k", "id", "s", "e", split=split, bucket_hours=2, hot_rows=hot)
+                         .select("id").collect()}
+            assert got_flags == want_flags
         assert (not got_flags) == (not want_pairs)
 
 
@@ -76,6 +78,9 @@ def test_next_in_key_equals_lead(spark):
     rows = _intervals(11, n=200, keys=3)
     df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz, e timestamp_ntz")
     got = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt", bucket_hours=3).collect()}
+    got_time = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt", split="time", bucket_hours=3).collect()}
+    got_hot = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt", hot_rows=5).collect()}  # every key split
+    assert got == got_time == got_hot
     by_key = {}
     for r in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
         by_key.setdefault(r[1], []).append(r)

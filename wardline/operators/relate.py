@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardline.functions.calendar import bucket_of, epoch_micros
 from wardline.operators.joins import self_pairs, small_side
@@ -98,6 +99,54 @@ def cross_overlap_pairs(
     )
 
 
+def _segments(df: DataFrame, keys: list[str], split: str, ts: str, bucket_hours: float, col: str, *,
+              hot_rows: int = 1_000_000, max_hot: int = 1000, max_segments: int = 4096) -> DataFrame:
+    """Tag rows with a segment that cuts each key into bounded, time-ordered pieces.
+
+    ``split="range"`` (default): keys with more than ``hot_rows`` rows (at most
+    ``max_hot`` of them, largest first) are cut at approximate quantiles of
+    ``ts`` into ``S`` pieces, ``S`` the power of two that brings the largest
+    key to about ``hot_rows`` per piece (at most ``max_segments``); every other
+    key is one segment.  The cut points are data (collected, bounded by
+    ``max_hot * S`` values) and the segment is a pure function of the row, so a
+    recomputed task puts every row in the same segment.  Rows with equal ``ts``
+    share a segment, so segments follow the ``(ts, tiebreak)`` order.
+    ``split="time"``: fixed ``bucket_hours`` buckets of ``ts`` (no extra job,
+    bounded by time only).
+    """
+    if split == "time":
+        return df.withColumn(col, bucket_of(ts, int(bucket_hours * HOUR_US)))
+    if split != "range":
+        raise ValueError(f"split must be 'range' or 'time', not {split!r}")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__wl_n")).filter(F.col("__wl_n") > hot_rows)
+    hot = counts.orderBy(F.col("__wl_n").desc()).limit(max_hot).collect()  # bounded by max_hot rows
+    if not hot:
+        return df.withColumn(col, F.lit(0).cast("long"))
+    pieces = 2
+    while pieces < max_segments and hot[0]["__wl_n"] / pieces > hot_rows:
+        pieces *= 2
+    fractions = [i / pieces for i in range(1, pieces)]
+    spark = df.sparkSession
+    hot_keys = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema=counts.select(*keys).schema)
+    pos = epoch_micros(ts)
+    cuts = (
+        df.join(F.broadcast(hot_keys), keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.percentile_approx(pos, fractions, max(10_000, 4 * pieces)).alias("__wl_cuts"))
+        .collect()  # bounded: max_hot rows of pieces - 1 values
+    )
+    cut_df = spark.createDataFrame(
+        [(*(r[k] for k in keys), [int(x) for x in r["__wl_cuts"]]) for r in cuts],
+        schema=T.StructType([*counts.select(*keys).schema.fields, T.StructField("__wl_cuts", T.ArrayType(T.LongType()))]),
+    )
+    seg = F.size(F.filter(F.col("__wl_cuts"), lambda c: c <= pos)).cast("long")
+    return (
+        df.join(F.broadcast(cut_df), keys, "left")
+        .withColumn(col, F.coalesce(seg, F.lit(0).cast("long")))
+        .drop("__wl_cuts")
+    )
+
+
 def overlap_flags(
     df: DataFrame,
     key: str | Sequence[str],
@@ -105,23 +154,23 @@ def overlap_flags(
     start: str,
     end: str,
     *,
+    split: str = "range",
     bucket_hours: float = 24,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Rows of ``df`` overlapped by an earlier row of the same ``key``.
 
     "Earlier" is the order ``(start, id)``.  A row is flagged when the largest
     ``end`` among earlier rows exceeds its ``start``; for non-empty intervals
     that is the same as overlapping an earlier row, so the flags are empty
-    exactly when ``overlap_pairs`` is.  That running maximum is
-    computed in two bounded pieces: within the row's time bucket (a window
-    partitioned by ``(key, bucket)``), and across earlier buckets from one
-    aggregate row per ``(key, bucket)`` (a window over those few rows).  No
-    window ever holds all rows of a key.
+    exactly when ``overlap_pairs`` is.  The running maximum is computed in two
+    bounded pieces: within the row's segment (a window per ``(key, segment)``),
+    and across the key's earlier segments from one aggregate row per segment (a
+    window over those few rows).  No window ever holds all rows of a key.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    width = int(bucket_hours * HOUR_US)
     b = "__wl_b"
-    rows = df.withColumn(b, bucket_of(start, width))
+    rows = _segments(df, keys, split, start, bucket_hours, b, hot_rows=hot_rows)
     within = Window.partitionBy(*keys, b).orderBy(start, id_col).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("__wl_prev_end", F.max(end).over(within))
     per_bucket = rows.groupBy(*keys, b).agg(F.max(end).alias("__wl_bucket_end"))
@@ -258,20 +307,21 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | str,
 
 
 def next_in_key(
-    df: DataFrame, key: str | Sequence[str], ts: str, tiebreak: str, out_col: str, *, bucket_hours: float = 24
+    df: DataFrame, key: str | Sequence[str], ts: str, tiebreak: str, out_col: str, *,
+    split: str = "range", bucket_hours: float = 24, hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """``df`` with ``out_col`` = the ``ts`` of the next row of the same key in ``(ts, tiebreak)`` order.
 
     Same result as ``lead(ts) OVER (PARTITION BY key ORDER BY ts, tiebreak)``,
     without a window that holds every row of a hot key: the next row is looked
-    up inside the row's time bucket (window per ``(key, bucket)``) and, for the
-    last row of a bucket, taken from the first row of the key's next non-empty
-    bucket (a window over one aggregate row per bucket).
+    up inside the row's segment (window per ``(key, segment)``) and, for the
+    last row of a segment, taken from the first row of the key's next segment
+    (a window over one aggregate row per segment).  Segments as in
+    ``overlap_flags``.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    width = int(bucket_hours * HOUR_US)
     b = "__wl_b"
-    rows = df.withColumn(b, bucket_of(ts, width))
+    rows = _segments(df, keys, split, ts, bucket_hours, b, hot_rows=hot_rows)
     w = Window.partitionBy(*keys, b).orderBy(ts, tiebreak)
     rows = rows.withColumn("__wl_next", F.lead(ts).over(w))
     firsts = rows.groupBy(*keys, b).agg(F.min(ts).alias("__wl_first"))
