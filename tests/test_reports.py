@@ -288,6 +288,20 @@ def test_q15_triage_referral(hospital, hospital_duck):
     assert level3 == [(3, 1, 1.0, 0.0, "NO_ADMISSION", 0)]  # 119 s is one whole minute
 
 
+def test_q15_counts_referrals_by_department_key(spark, hospital, hospital_duck):
+    # a stay whose department row is missing still counts as a referral, under the NO_ADMISSION label
+    from decimal import Decimal
+
+    from wardline.sources.schemas import SCHEMAS
+
+    extra = spark.createDataFrame(
+        [(50, "11111111111", 9, 2, "K2", dt.datetime(2025, 5, 1, 12), None, "A00", None, Decimal("1.00"))],
+        SCHEMAS["hospitalization"])
+    t = dict(hospital, hospitalization=hospital["hospitalization"].unionByName(extra))
+    got = [r for r in rows_of(R.triage_referral(t)) if r[0] == 3]
+    assert got == [(3, 1, 1.0, 0.0, "NO_ADMISSION", 1)]
+
+
 def test_q15_first_match(hospital):
     got = rows_of(R.triage_referral(hospital, first_match=True))
     assert sum(r[5] for r in got if r[0] == 2) == 2  # each visit keeps one stay

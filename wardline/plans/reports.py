@@ -355,19 +355,20 @@ def equal_consecutive_years(tables: Tables, min_count: int = 5) -> DataFrame:
 # ---------------------------------------------------------------- Q15
 
 
-def triage_summary(vd: DataFrame) -> DataFrame:
+def triage_summary(vd: DataFrame, referral_col: str = "department_name") -> DataFrame:
     """Per (level, department): distinct visits, mean wait, hospitalised percentage, referrals.
 
     ``vd`` holds one row per (visit, matched stay).  A visit matched by two stays
     counts twice in the sums and the mean but once in the distinct divisor, as
-    in the reference, so the percentage can pass 100.
+    in the reference, so the percentage can pass 100.  ``referrals_count``
+    counts non-NULL ``referral_col`` (the matched stay's department key).
     """
     agg = vd.groupBy("emergency_level", "department_name").agg(
         F.count_distinct("visit_id").alias("total_visits"),
         F.sum("wait_time_mins").alias("__wsum"),
         F.count("wait_time_mins").alias("__wn"),
         F.sum(F.when(F.col("disposition") == "HOSPITALIZED", 1).otherwise(0)).alias("__hosp"),
-        F.count("department_name").alias("referrals_count"),
+        F.count(referral_col).alias("referrals_count"),
     )
     return agg.select(
         "emergency_level",
@@ -398,7 +399,7 @@ def triage_referral(tables: Tables, hours: int = 24, *, first_match: bool = Fals
     d = tables["department"].select(F.col("department_id").alias("d_id"), "department_name")
     vd = lookup(vd, d, [("h_dept", "d_id")], "left").withColumn(
         "wait_time_mins", minutes_between("arrival_ts", "service_start_ts"))
-    return triage_summary(vd)
+    return triage_summary(vd, referral_col="h_dept")
 
 
 REPORTS = {
