@@ -43,9 +43,9 @@ def test_overlap_pairs_and_flags_match_brute_force(spark):
             assert got == want_pairs
         want_flags = {r[0] for r in rows
                       if any(o[1] == r[1] and (o[2], o[0]) < (r[2], r[0]) and o[3] > r[2] for o in rows)}
-        for split, hot in (("range", 1_000_000), ("range", 7), ("time", 0)):
-            got_flags = {r[0] for r in overlap_flags(df, "k", "id", "s", "e", split=split, bucket_hours=2, hot_rows=hot)
-                         .select("id").collect()}
+        for split, hot, frac in (("range", 1_000_000, 0.01), ("range", 7, 1.0), ("range", 7, 0.5), ("time", 0, 1)):
+            got_flags = {r[0] for r in overlap_flags(df, "k", "id", "s", "e", split=split, bucket_hours=2, hot_rows=hot,
+                                                     sample_fraction=frac).select("id").collect()}
             assert got_flags == want_flags
         assert (not got_flags) == (not want_pairs)
 
@@ -55,7 +55,9 @@ def test_self_pairs_salted_equals_plain(spark):
     rows = [(rnd.choice([0, 0, 0, 1, 2]), i) for i in range(300)]  # key 0 is hot
     df = spark.createDataFrame(rows, "g int, x long")
     plain = {tuple(r) for r in self_pairs(df, ["g"], "x", hot_rows=10_000).collect()}
-    salted = {tuple(r) for r in self_pairs(df, ["g"], "x", hot_rows=50, salts=4).collect()}
+    salted = {tuple(r) for r in self_pairs(df, ["g"], "x", hot_rows=50, salts=4, sample_fraction=1.0).collect()}
+    sampled = {tuple(r) for r in self_pairs(df, ["g"], "x", hot_rows=50, salts=4, sample_fraction=0.3).collect()}
+    assert sampled == salted
     want = {(a[0], a[1], b[1]) for a, b in itertools.combinations(rows, 2) if a[0] == b[0] and a[1] < b[1]}
     want |= {(a[0], b[1], a[1]) for a, b in itertools.combinations(rows, 2) if a[0] == b[0] and b[1] < a[1]}
     assert plain == salted == want
@@ -79,7 +81,7 @@ def test_next_in_key_equals_lead(spark):
     df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz, e timestamp_ntz")
     got = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt", bucket_hours=3).collect()}
     got_time = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt", split="time", bucket_hours=3).collect()}
-    got_hot = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt", hot_rows=5).collect()}  # every key split
+    got_hot = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt", hot_rows=5, sample_fraction=1.0).collect()}
     assert got == got_time == got_hot
     by_key = {}
     for r in sorted(rows, key=lambda r: (r[1], r[2], r[0])):

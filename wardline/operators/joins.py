@@ -103,6 +103,7 @@ def self_pairs(
     hot_rows: int = 100_000,
     max_hot: int = 1000,
     salts: int = 16,
+    sample_fraction: float = 0.01,
 ) -> DataFrame:
     """Every unordered pair of rows that share ``group_cols``, ordered by ``order_col``.
 
@@ -114,11 +115,16 @@ def self_pairs(
     of its order value and the right copy is replicated over all salts, so the
     pair ``(a, b)`` is produced once, in the task of ``a``'s salt.  The other
     groups go through a plain shuffle join (which AQE may still split).
+
+    Hot groups are found on a seeded ``sample_fraction`` sample: the choice only
+    changes how pairs are computed, never which pairs come out, so an estimate
+    is enough and the probe shuffles a sample instead of every key.
     """
     group_cols = list(group_cols)
     cols = [order_col, *carry]
     base = df.select(*group_cols, *cols)
-    sizes = base.groupBy(*group_cols).count().filter(F.col("count") > hot_rows)
+    probe = base if sample_fraction >= 1 else base.sample(fraction=sample_fraction, seed=17)
+    sizes = probe.groupBy(*group_cols).count().filter(F.col("count") > hot_rows * min(sample_fraction, 1.0))
     hot = sizes.orderBy(F.col("count").desc()).limit(max_hot).drop("count")
     hot_rows_list = hot.collect()  # bounded by max_hot rows
     a_cols = [F.col(c).alias(f"{c}_a") for c in cols]

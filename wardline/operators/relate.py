@@ -100,7 +100,8 @@ def cross_overlap_pairs(
 
 
 def _segments(df: DataFrame, keys: list[str], split: str, ts: str, bucket_hours: float, col: str, *,
-              hot_rows: int = 1_000_000, max_hot: int = 1000, max_segments: int = 4096) -> DataFrame:
+              hot_rows: int = 1_000_000, max_hot: int = 1000, max_segments: int = 4096,
+              sample_fraction: float = 0.01) -> DataFrame:
     """Tag rows with a segment that cuts each key into bounded, time-ordered pieces.
 
     ``split="range"`` (default): keys with more than ``hot_rows`` rows (at most
@@ -110,7 +111,9 @@ def _segments(df: DataFrame, keys: list[str], split: str, ts: str, bucket_hours:
     key is one segment.  The cut points are data (collected, bounded by
     ``max_hot * S`` values) and the segment is a pure function of the row, so a
     recomputed task puts every row in the same segment.  Rows with equal ``ts``
-    share a segment, so segments follow the ``(ts, tiebreak)`` order.
+    share a segment, so segments follow the ``(ts, tiebreak)`` order.  Hot keys
+    and cut points come from a seeded ``sample_fraction`` sample: they only
+    shape the work, never the result.
     ``split="time"``: fixed ``bucket_hours`` buckets of ``ts`` (no extra job,
     bounded by time only).
     """
@@ -118,19 +121,21 @@ def _segments(df: DataFrame, keys: list[str], split: str, ts: str, bucket_hours:
         return df.withColumn(col, bucket_of(ts, int(bucket_hours * HOUR_US)))
     if split != "range":
         raise ValueError(f"split must be 'range' or 'time', not {split!r}")
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__wl_n")).filter(F.col("__wl_n") > hot_rows)
+    frac = min(sample_fraction, 1.0)
+    probe = df if frac >= 1 else df.sample(fraction=frac, seed=17)
+    counts = probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("__wl_n")).filter(F.col("__wl_n") > hot_rows * frac)
     hot = counts.orderBy(F.col("__wl_n").desc()).limit(max_hot).collect()  # bounded by max_hot rows
     if not hot:
         return df.withColumn(col, F.lit(0).cast("long"))
     pieces = 2
-    while pieces < max_segments and hot[0]["__wl_n"] / pieces > hot_rows:
+    while pieces < max_segments and hot[0]["__wl_n"] / frac / pieces > hot_rows:
         pieces *= 2
     fractions = [i / pieces for i in range(1, pieces)]
     spark = df.sparkSession
     hot_keys = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema=counts.select(*keys).schema)
     pos = epoch_micros(ts)
     cuts = (
-        df.join(F.broadcast(hot_keys), keys, "left_semi")
+        probe.join(F.broadcast(hot_keys), keys, "left_semi")
         .groupBy(*keys)
         .agg(F.percentile_approx(pos, fractions, max(10_000, 4 * pieces)).alias("__wl_cuts"))
         .collect()  # bounded: max_hot rows of pieces - 1 values
@@ -157,6 +162,7 @@ def overlap_flags(
     split: str = "range",
     bucket_hours: float = 24,
     hot_rows: int = 1_000_000,
+    sample_fraction: float = 0.01,
 ) -> DataFrame:
     """Rows of ``df`` overlapped by an earlier row of the same ``key``.
 
@@ -170,7 +176,7 @@ def overlap_flags(
     """
     keys = [key] if isinstance(key, str) else list(key)
     b = "__wl_b"
-    rows = _segments(df, keys, split, start, bucket_hours, b, hot_rows=hot_rows)
+    rows = _segments(df, keys, split, start, bucket_hours, b, hot_rows=hot_rows, sample_fraction=sample_fraction)
     within = Window.partitionBy(*keys, b).orderBy(start, id_col).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("__wl_prev_end", F.max(end).over(within))
     per_bucket = rows.groupBy(*keys, b).agg(F.max(end).alias("__wl_bucket_end"))
@@ -308,7 +314,7 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | str,
 
 def next_in_key(
     df: DataFrame, key: str | Sequence[str], ts: str, tiebreak: str, out_col: str, *,
-    split: str = "range", bucket_hours: float = 24, hot_rows: int = 1_000_000,
+    split: str = "range", bucket_hours: float = 24, hot_rows: int = 1_000_000, sample_fraction: float = 0.01,
 ) -> DataFrame:
     """``df`` with ``out_col`` = the ``ts`` of the next row of the same key in ``(ts, tiebreak)`` order.
 
@@ -321,7 +327,7 @@ def next_in_key(
     """
     keys = [key] if isinstance(key, str) else list(key)
     b = "__wl_b"
-    rows = _segments(df, keys, split, ts, bucket_hours, b, hot_rows=hot_rows)
+    rows = _segments(df, keys, split, ts, bucket_hours, b, hot_rows=hot_rows, sample_fraction=sample_fraction)
     w = Window.partitionBy(*keys, b).orderBy(ts, tiebreak)
     rows = rows.withColumn("__wl_next", F.lead(ts).over(w))
     firsts = rows.groupBy(*keys, b).agg(F.min(ts).alias("__wl_first"))
