@@ -185,3 +185,18 @@ def test_top_k_tie_is_broken_by_item(spark):
     df = spark.createDataFrame(baskets, "basket long, item long")
     got = [tuple(r) for r in pair_cooccurrence(df, "basket", "item", top=3).collect()]
     assert got == [(1, 2, 3), (2, 3, 3), (1, 3, 2)]
+
+
+def test_hot_key_window_groups_are_bounded(spark):
+    from wardline.operators.relate import _segments
+
+    rnd = random.Random(3)
+    # key 0 holds a third of the rows
+    rows = [(i, 0 if i % 3 == 0 else rnd.randrange(1, 50), BASE + dt.timedelta(seconds=rnd.randrange(10**6)))
+            for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz")
+    seg = _segments(df, ["k"], "range", "s", 24, "seg", hot_rows=200, sample_fraction=1.0)
+    sizes = seg.groupBy("k", "seg").count()
+    assert sizes.filter("k = 0").count() >= 8  # the hot key is cut into pieces
+    assert sizes.agg(F.max("count")).first()[0] <= 400  # no window group near the 2000 rows of key 0
+    assert seg.count() == 6000
