@@ -63,6 +63,34 @@ def test_self_pairs_salted_equals_plain(spark):
     assert plain == salted == want
 
 
+def test_interval_join_hot_key_split_matches_plain(spark):
+    rnd = random.Random(5)
+    left = spark.createDataFrame(
+        [(i, 0 if i % 2 else rnd.randrange(1, 5), BASE + dt.timedelta(minutes=rnd.randrange(0, 5000))) for i in range(400)],
+        "vid long, pk int, at timestamp_ntz")
+    right = spark.createDataFrame(
+        [(0 if j % 2 else rnd.randrange(1, 5), BASE + dt.timedelta(minutes=rnd.randrange(-100, 5200))) for j in range(300)],
+        "rk int, rt timestamp_ntz")
+    kw = dict(keys=[("pk", "rk")], left_ts="at", right_ts="rt", hours=2)
+    plain = sorted(tuple(r) for r in interval_join(left, right, split="time", **kw).collect())
+    hot = sorted(tuple(r) for r in interval_join(left, right, hot_rows=20, sample_fraction=1.0, **kw).collect())
+    lrows, rrows = left.collect(), right.collect()
+    want = []
+    for lr in lrows:
+        hits = [rr for rr in rrows if rr.rk == lr.pk and lr.at <= rr.rt <= lr.at + dt.timedelta(hours=2)]
+        want += [(*lr, *rr) for rr in hits] or [(*lr, None, None)]
+    assert plain == hot == sorted(want, key=lambda t: tuple((x is None, x) for x in t))
+
+
+def test_overlap_pairs_hot_key_split(spark):
+    rows = _intervals(4, n=200, keys=2)
+    df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz, e timestamp_ntz")
+    plain = {tuple(r) for r in overlap_pairs(df, "k", "id", "s", "e", split="time").select("id_a", "id_b").collect()}
+    hot = {tuple(r) for r in overlap_pairs(df, "k", "id", "s", "e", hot_rows=10, sample_fraction=1.0)
+           .select("id_a", "id_b").collect()}
+    assert plain == hot and plain
+
+
 def test_interval_join_left_semantics(spark):
     left = spark.createDataFrame(
         [(1, "p", BASE), (2, "p", BASE + dt.timedelta(hours=30)), (3, "q", BASE)],
@@ -188,14 +216,15 @@ def test_top_k_tie_is_broken_by_item(spark):
 
 
 def test_hot_key_window_groups_are_bounded(spark):
-    from wardline.operators.relate import _segments
+    from wardline.operators.segments import TimeSegments
 
     rnd = random.Random(3)
     # key 0 holds a third of the rows
     rows = [(i, 0 if i % 3 == 0 else rnd.randrange(1, 50), BASE + dt.timedelta(seconds=rnd.randrange(10**6)))
             for i in range(6000)]
     df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz")
-    seg = _segments(df, ["k"], "range", "s", 24, "seg", hot_rows=200, sample_fraction=1.0)
+    segs = TimeSegments(df, ["k"], "s", hot_rows=200, sample_fraction=1.0)
+    seg = segs.attach(df).withColumn("seg", segs.of("s"))
     sizes = seg.groupBy("k", "seg").count()
     assert sizes.filter("k = 0").count() >= 8  # the hot key is cut into pieces
     assert sizes.agg(F.max("count")).first()[0] <= 400  # no window group near the 2000 rows of key 0

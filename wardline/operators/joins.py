@@ -4,8 +4,9 @@ Scale notes
 -----------
 * A side is broadcast only after a count proves it small (``small_side``).  Otherwise the join stays a shuffle join and AQE may still
   switch it to a broadcast from real shuffle sizes.
-* The interval join cuts time into buckets and joins on ``(key, bucket)``, so a
-  key holding a third of all rows is still spread over many tasks.
+* The interval join cuts each key's time axis into segments (time buckets, and
+  quantile cuts for a hot key) and joins on ``(key, segment)``, so a key
+  holding a third of all rows is still spread over many tasks.
 * ``self_pairs`` emits each unordered pair of rows that share a group key.  Hot
   groups (found with a bounded aggregate) are split with a salt on one side and
   replicated on the other, so no task receives a whole hot group squared.
@@ -18,7 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.calendar import bucket_of, epoch_micros
+from wardline.functions.calendar import epoch_micros
+from wardline.operators.segments import TimeSegments
 
 # Default ceiling for a broadcast side, in rows.  Dimension tables of the
 # hospital schema (departments, codes, catalogues) sit far below it.
@@ -60,6 +62,9 @@ def interval_join(
     left_id: str | None = None,
     how: str = "left",
     bucket_hours: int | None = None,
+    split: str = "range",
+    hot_rows: int = 1_000_000,
+    sample_fraction: float = 0.01,
 ) -> DataFrame:
     """Rows of ``left`` with the rows of ``right`` that share the keys and fall in ``[left_ts, left_ts + hours]``.
 
@@ -69,23 +74,26 @@ def interval_join(
     disjoint.  (``left_id`` is accepted for callers that name the left key; the
     plan does not need it.)
 
-    Plan: each left row sits in the single time bucket of ``left_ts``; each
-    right row is copied to every bucket a matching left row can sit in, i.e.
-    the buckets of ``[right_ts - hours, right_ts]`` (two when the bucket width
-    is the window).  A match ``(l, r)`` therefore meets in exactly one bucket,
-    and the whole operator is one equi-join on ``(keys, bucket)`` with the range
-    as residual: a plain left outer join, no anti join or de-duplication.  A
-    hot key is spread over its time buckets.
+    Plan: the left side's time axis is cut into segments per key
+    (``TimeSegments``: buckets of ``bucket_hours``, default the window, and
+    quantile cuts for a hot key).  Each left row sits in the segment of
+    ``left_ts``; each right row is copied to every segment a matching left row
+    can sit in, those of ``[right_ts - hours, right_ts]``.  A match meets in
+    exactly one segment, so the operator is one equi-join on ``(keys,
+    segment)`` with the range as residual: a plain left outer join, no anti
+    join or de-duplication, and no task holds a whole hot key.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"interval_join supports how='left' or 'inner', not {how!r}")
-    width_us = (bucket_hours or hours) * 3600 * 1_000_000
     window_us = hours * 3600 * 1_000_000
     b = "__wl_bucket"
-    l = left.withColumn(b, bucket_of(left_ts, width_us))
-    last = bucket_of(right_ts, width_us)
-    first = F.floor((epoch_micros(right_ts) - F.lit(window_us)) / F.lit(width_us)).cast("long")
-    r = right.withColumn(b, F.explode(F.sequence(first, last)))
+    lkeys, rkeys = [lk for lk, _ in keys], [rk for _, rk in keys]
+    segs = TimeSegments(left, lkeys, left_ts, bucket_hours=bucket_hours or hours, split=split, hot_rows=hot_rows,
+                        sample_fraction=sample_fraction)
+    l = TimeSegments.detach(segs.attach(left).withColumn(b, segs.of(left_ts)))
+    ra = segs.attach(right, rkeys)
+    lo, hi = segs.of_epoch(epoch_micros(right_ts) - F.lit(window_us)), segs.of(right_ts)
+    r = TimeSegments.detach(ra.withColumn(b, F.explode(F.sequence(lo, F.greatest(lo, hi)))))
     cond = l[b] == r[b]
     for lk, rk in keys:
         cond = cond & (l[lk] == r[rk])

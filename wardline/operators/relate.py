@@ -10,12 +10,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from wardline.functions.calendar import bucket_of, epoch_micros
+from wardline.functions.calendar import epoch_micros
 from wardline.operators.joins import self_pairs, small_side
-
-HOUR_US = 3600 * 1_000_000
+from wardline.operators.segments import TimeSegments
 
 
 # --------------------------------------------------------------------------
@@ -31,26 +29,32 @@ def overlap_pairs(
     end: str,
     *,
     bucket_hours: float = 24,
+    split: str = "range",
+    hot_rows: int = 1_000_000,
+    sample_fraction: float = 0.01,
 ) -> DataFrame:
     """Every pair of rows with the same ``key`` whose ``[start, end)`` intervals overlap.
 
     Output: ``key`` columns, ``{id}_a``, ``{id}_b`` (``a < b``) and both
     intervals.  Of two overlapping intervals, the one that starts later (ties:
     larger id) starts inside the other's span; that is the join condition.  The
-    earlier interval is copied into every time bucket its span covers, the later
-    one sits only in the bucket of its start, and the equi-join on
-    ``(key, bucket)`` plus the range test finds each pair once.  Candidates
-    beyond the true pairs are limited to rows starting in the same bucket, so
-    the work follows the output, and a hot key is spread over its buckets.
-    The test is exactly ``a.start < b.end AND a.end > b.start``, so an empty
-    interval strictly inside another still counts, as in the reference.
+    earlier interval is copied into every segment (``TimeSegments``) its span
+    covers, the later one sits only in the segment of its start, and the
+    equi-join on ``(key, segment)`` plus the range test finds each pair once.
+    Candidates beyond the true pairs are limited to rows starting in the same
+    segment, so the work follows the output; a hot key is cut into segments of
+    about ``hot_rows`` rows.  The test is exactly ``a.start < b.end AND a.end >
+    b.start``, so an empty interval strictly inside another still counts, as
+    in the reference.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    width = int(bucket_hours * HOUR_US)
     b = "__wl_b"
     rows = df.select(*keys, id_col, start, end)
-    first = bucket_of(start, width)
-    last = F.floor((epoch_micros(end) - F.lit(1)) / F.lit(width)).cast("long")  # holds end - 1 microsecond
+    segs = TimeSegments(rows, keys, start, bucket_hours=bucket_hours, split=split, hot_rows=hot_rows,
+                        sample_fraction=sample_fraction)
+    rows = segs.attach(rows)
+    first = segs.of(start)
+    last = segs.of_epoch(epoch_micros(end) - F.lit(1))  # the segment holding end - 1 microsecond
     early = rows.select(*keys, F.explode(F.sequence(first, F.greatest(first, last))).alias(b),
                         *[F.col(c).alias(f"__e_{c}") for c in (id_col, start, end)])
     late = rows.select(*keys, first.alias(b), *[F.col(c).alias(f"__l_{c}") for c in (id_col, start, end)])
@@ -99,57 +103,9 @@ def cross_overlap_pairs(
     )
 
 
-def _segments(df: DataFrame, keys: list[str], split: str, ts: str, bucket_hours: float, col: str, *,
-              hot_rows: int = 1_000_000, max_hot: int = 1000, max_segments: int = 4096,
-              sample_fraction: float = 0.01) -> DataFrame:
-    """Tag rows with a segment that cuts each key into bounded, time-ordered pieces.
-
-    ``split="range"`` (default): keys with more than ``hot_rows`` rows (at most
-    ``max_hot`` of them, largest first) are cut at approximate quantiles of
-    ``ts`` into ``S`` pieces, ``S`` the power of two that brings the largest
-    key to about ``hot_rows`` per piece (at most ``max_segments``); every other
-    key is one segment.  The cut points are data (collected, bounded by
-    ``max_hot * S`` values) and the segment is a pure function of the row, so a
-    recomputed task puts every row in the same segment.  Rows with equal ``ts``
-    share a segment, so segments follow the ``(ts, tiebreak)`` order.  Hot keys
-    and cut points come from a seeded ``sample_fraction`` sample: they only
-    shape the work, never the result.
-    ``split="time"``: fixed ``bucket_hours`` buckets of ``ts`` (no extra job,
-    bounded by time only).
-    """
-    if split == "time":
-        return df.withColumn(col, bucket_of(ts, int(bucket_hours * HOUR_US)))
-    if split != "range":
-        raise ValueError(f"split must be 'range' or 'time', not {split!r}")
-    frac = min(sample_fraction, 1.0)
-    probe = df if frac >= 1 else df.sample(fraction=frac, seed=17)
-    counts = probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("__wl_n")).filter(F.col("__wl_n") > hot_rows * frac)
-    hot = counts.orderBy(F.col("__wl_n").desc()).limit(max_hot).collect()  # bounded by max_hot rows
-    if not hot:
-        return df.withColumn(col, F.lit(0).cast("long"))
-    pieces = 2
-    while pieces < max_segments and hot[0]["__wl_n"] / frac / pieces > hot_rows:
-        pieces *= 2
-    fractions = [i / pieces for i in range(1, pieces)]
-    spark = df.sparkSession
-    hot_keys = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema=counts.select(*keys).schema)
-    pos = epoch_micros(ts)
-    cuts = (
-        probe.join(F.broadcast(hot_keys), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx(pos, fractions, max(10_000, 4 * pieces)).alias("__wl_cuts"))
-        .collect()  # bounded: max_hot rows of pieces - 1 values
-    )
-    cut_df = spark.createDataFrame(
-        [(*(r[k] for k in keys), [int(x) for x in r["__wl_cuts"]]) for r in cuts],
-        schema=T.StructType([*counts.select(*keys).schema.fields, T.StructField("__wl_cuts", T.ArrayType(T.LongType()))]),
-    )
-    seg = F.size(F.filter(F.col("__wl_cuts"), lambda c: c <= pos)).cast("long")
-    return (
-        df.join(F.broadcast(cut_df), keys, "left")
-        .withColumn(col, F.coalesce(seg, F.lit(0).cast("long")))
-        .drop("__wl_cuts")
-    )
+def _segmented(df: DataFrame, keys: list[str], ts: str, col: str, **opts) -> DataFrame:
+    segs = TimeSegments(df, keys, ts, **opts)
+    return TimeSegments.detach(segs.attach(df).withColumn(col, segs.of(ts)))
 
 
 def overlap_flags(
@@ -170,13 +126,14 @@ def overlap_flags(
     ``end`` among earlier rows exceeds its ``start``; for non-empty intervals
     that is the same as overlapping an earlier row, so the flags are empty
     exactly when ``overlap_pairs`` is.  The running maximum is computed in two
-    bounded pieces: within the row's segment (a window per ``(key, segment)``),
+    bounded pieces: within the row's segment (``TimeSegments``; a window per ``(key, segment)``),
     and across the key's earlier segments from one aggregate row per segment (a
     window over those few rows).  No window ever holds all rows of a key.
     """
     keys = [key] if isinstance(key, str) else list(key)
     b = "__wl_b"
-    rows = _segments(df, keys, split, start, bucket_hours, b, hot_rows=hot_rows, sample_fraction=sample_fraction)
+    rows = _segmented(df, keys, start, b, split=split, bucket_hours=bucket_hours, hot_rows=hot_rows,
+                      sample_fraction=sample_fraction)
     within = Window.partitionBy(*keys, b).orderBy(start, id_col).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("__wl_prev_end", F.max(end).over(within))
     per_bucket = rows.groupBy(*keys, b).agg(F.max(end).alias("__wl_bucket_end"))
@@ -327,7 +284,8 @@ def next_in_key(
     """
     keys = [key] if isinstance(key, str) else list(key)
     b = "__wl_b"
-    rows = _segments(df, keys, split, ts, bucket_hours, b, hot_rows=hot_rows, sample_fraction=sample_fraction)
+    rows = _segmented(df, keys, ts, b, split=split, bucket_hours=bucket_hours, hot_rows=hot_rows,
+                      sample_fraction=sample_fraction)
     w = Window.partitionBy(*keys, b).orderBy(ts, tiebreak)
     rows = rows.withColumn("__wl_next", F.lead(ts).over(w))
     firsts = rows.groupBy(*keys, b).agg(F.min(ts).alias("__wl_first"))
