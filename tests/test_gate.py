@@ -43,3 +43,21 @@ def test_gate_batch_rejects_duplicate_key(spark, hospital):
     accepted, rejected = gate_batch(batch, "procedure_event", hospital)  # 6 is already stored
     assert accepted.count() == 0
     assert {r["rule"] for r in rejected.collect()} >= {"primary_key"}
+
+
+def test_gate_applies_declared_default(spark, hospital):
+    import datetime as dt
+
+    from wardline.sources.schemas import SCHEMAS
+
+    row = [(60, "22222222222", 2, 2, "K2", dt.datetime(2025, 5, 2), None, "A00", None, None)]
+    batch = spark.createDataFrame(row, _nullable(SCHEMAS["hospitalization"]))  # total_cost omitted (NULL)
+    accepted, rejected = gate_batch(batch, "hospitalization", hospital)
+    assert rejected.count() == 0
+    assert [r.total_cost for r in accepted.collect()] == [0]
+
+
+def _nullable(schema):
+    from pyspark.sql import types as T
+
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])

@@ -292,6 +292,16 @@ def schema(table: str) -> T.StructType:
 SCHEMAS: dict[str, T.StructType] = {t: schema(t) for t in TABLES}
 
 
+def with_defaults(df, table: str):
+    """``df`` with each declared column default filled in where the value is NULL (the insert-time DEFAULT)."""
+    from pyspark.sql import functions as F
+
+    for col, value in DEFAULTS.get(table, {}).items():
+        if col in df.columns:
+            df = df.withColumn(col, F.coalesce(F.col(col), F.lit(value).cast(df.schema[col].dataType)))
+    return df
+
+
 def not_null_columns(table: str) -> list[str]:
     return [c.name for c in TABLES[table] if not c.nullable]
 

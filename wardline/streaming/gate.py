@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wardline.operators.audit import key_text
 from wardline.plans.rules import declared_constraints, trigger_rules
-from wardline.sources.schemas import PRIMARY_KEYS, SCHEMAS
+from wardline.sources.schemas import PRIMARY_KEYS, SCHEMAS, with_defaults
 from wardline.session import ensure_checkpoint_dir
 
 Tables = Mapping[str, DataFrame]
@@ -83,11 +83,13 @@ def gate_batch(batch: DataFrame, table: str, current: Tables) -> tuple[DataFrame
 
     ``rejected`` has the audit shape (``rule, table_name, key_value, detail``),
     one row per failing rule: the declared constraints of the table and its
-    trigger rules.  The rules run on the stored rows that can conflict (same
+    trigger rules.  Declared column defaults are applied to the batch first, as
+    an insert would.  The rules run on the stored rows that can conflict (same
     overlap keys) plus the batch, so the cost follows the batch, not the
     stored table.
     """
     pk = list(PRIMARY_KEYS[table])
+    batch = with_defaults(batch, table)
     stored = current[table]
     combined = _relevant_stored(stored, batch, table).unionByName(batch.select(*stored.columns))
     view = dict(current)
