@@ -50,11 +50,13 @@ def test_gate_applies_declared_default(spark, hospital):
 
     from wardline.sources.schemas import SCHEMAS
 
-    row = [(60, "22222222222", 2, 2, "K2", dt.datetime(2025, 5, 2), None, "A00", None, None)]
-    batch = spark.createDataFrame(row, _nullable(SCHEMAS["hospitalization"]))  # total_cost omitted (NULL)
+    rows = [(None, "22222222222", 2, 2, "K2", dt.datetime(2025, 5, 2), None, "A00", None, None),
+            (None, "22222222222", 2, 2, "K2", dt.datetime(2025, 5, 3), None, "A00", None, None)]
+    batch = spark.createDataFrame(rows, _nullable(SCHEMAS["hospitalization"]))  # id and total_cost omitted
     accepted, rejected = gate_batch(batch, "hospitalization", hospital)
     assert rejected.count() == 0
-    assert [r.total_cost for r in accepted.collect()] == [0]
+    got = sorted((r.hosp_id, r.total_cost) for r in accepted.collect())
+    assert got == [(211, 0), (212, 0)]  # ids continue after the stored maximum (210)
 
 
 def _nullable(schema):

@@ -29,7 +29,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wardline.operators.audit import key_text
 from wardline.plans.rules import declared_constraints, trigger_rules
-from wardline.sources.schemas import PRIMARY_KEYS, SCHEMAS, with_defaults
+from wardline.operators.maintain import assign_ids
+from wardline.sources.schemas import GENERATED_KEYS, PRIMARY_KEYS, SCHEMAS, with_defaults
 from wardline.session import ensure_checkpoint_dir
 
 Tables = Mapping[str, DataFrame]
@@ -78,19 +79,38 @@ def split_batch(
     return accepted, rejected
 
 
+def fill_generated_keys(batch: DataFrame, table: str, stored: DataFrame) -> DataFrame:
+    """Give rows whose generated key (AUTO_INCREMENT) is NULL the next ids after the stored maximum.
+
+    Ids follow the batch rows' column order (declared columns left to right), so
+    a replayed batch gets the same ids.  The stored maximum is a one-row aggregate.
+    """
+    col = GENERATED_KEYS.get(table)
+    if col is None or col not in batch.columns:
+        return batch
+    missing = batch.filter(F.col(col).isNull())
+    if missing.isEmpty():
+        return batch
+    top = stored.agg(F.max(col)).first()[0] or 0
+    order = [c for c in batch.columns if c != col]
+    numbered = assign_ids(missing.drop(col), order, id_col=col, start=top + 1)
+    numbered = numbered.withColumn(col, F.col(col).cast(batch.schema[col].dataType)).select(*batch.columns)
+    return batch.filter(F.col(col).isNotNull()).unionByName(numbered)
+
+
 def gate_batch(batch: DataFrame, table: str, current: Tables) -> tuple[DataFrame, DataFrame]:
     """Split ``batch`` (new rows of hospital ``table``) into ``(accepted, rejected)``.
 
     ``rejected`` has the audit shape (``rule, table_name, key_value, detail``),
     one row per failing rule: the declared constraints of the table and its
-    trigger rules.  Declared column defaults are applied to the batch first, as
-    an insert would.  The rules run on the stored rows that can conflict (same
+    trigger rules.  Declared column defaults and missing generated keys are
+    filled in first, as an insert would.  The rules run on the stored rows that can conflict (same
     overlap keys) plus the batch, so the cost follows the batch, not the
     stored table.
     """
     pk = list(PRIMARY_KEYS[table])
-    batch = with_defaults(batch, table)
     stored = current[table]
+    batch = fill_generated_keys(with_defaults(batch, table), table, stored)
     combined = _relevant_stored(stored, batch, table).unionByName(batch.select(*stored.columns))
     view = dict(current)
     view[table] = combined
