@@ -229,3 +229,14 @@ def test_hot_key_window_groups_are_bounded(spark):
     assert sizes.filter("k = 0").count() >= 8  # the hot key is cut into pieces
     assert sizes.agg(F.max("count")).first()[0] <= 400  # no window group near the 2000 rows of key 0
     assert seg.count() == 6000
+
+
+def test_cut_points_follow_each_hot_key_size(spark):
+    from wardline.operators.segments import TimeSegments
+
+    rows = [(0, BASE + dt.timedelta(seconds=i)) for i in range(4000)] + \
+           [(1, BASE + dt.timedelta(seconds=7 * i)) for i in range(600)] + [(2, BASE)] * 10
+    df = spark.createDataFrame(rows, "k int, s timestamp_ntz")
+    segs = TimeSegments(df, ["k"], "s", hot_rows=250, sample_fraction=1.0)
+    cuts = {r.k: len(r["__wl_cuts"]) for r in segs.cuts.collect()}
+    assert cuts == {0: 15, 1: 3}  # 16 and 4 segments; key 2 is not hot

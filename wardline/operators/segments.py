@@ -6,7 +6,9 @@ key.  A key with at most ``hot_rows`` rows uses fixed time buckets; a hot key
 (more rows than that, found on a seeded sample, at most ``max_hot`` of them)
 is cut at approximate quantiles of its timestamps, so each of its segments
 holds about ``hot_rows`` rows whatever the density.  The cut points are
-collected (bounded by ``max_hot * max_segments`` values) and broadcast, and a
+collected and broadcast, each key keeping only as many as its own size needs
+(so the broadcast grows with the hot rows, and never past ``max_hot *
+max_segments`` values), and a
 row's segment is a pure, monotone function of its key and time: recomputed
 tasks agree with the first run, and a range ``[lo, hi]`` of times maps to the
 contiguous segment range ``[seg(lo), seg(hi)]``.
@@ -66,9 +68,18 @@ class TimeSegments:
             .agg(F.percentile_approx(epoch_micros(ts), fractions, max(10_000, 4 * pieces)).alias(CUTS))
             .collect()  # bounded: max_hot rows of pieces - 1 values
         )
+        # each key keeps only the cuts its own size needs (every step-th of the shared quantiles)
+        sizes = {tuple(r[k] for k in self.keys): r["__wl_n"] / frac for r in hot}
+        out = []
+        for r in rows:
+            key = tuple(r[k] for k in self.keys)
+            own = 2
+            while own < pieces and sizes.get(key, 0) / own > hot_rows:
+                own *= 2
+            step = pieces // own
+            out.append((*key, [int(x) for x in r[CUTS][step - 1::step]]))
         schema = T.StructType([*key_schema.fields, T.StructField(CUTS, T.ArrayType(T.LongType()))])
-        self.cuts = spark.createDataFrame(
-            [(*(r[k] for k in self.keys), [int(x) for x in r[CUTS]]) for r in rows], schema=schema)
+        self.cuts = spark.createDataFrame(out, schema=schema)
 
     def attach(self, df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
         """``df`` with its key's cut points (NULL for a key that is not hot); ``keys`` names df's key columns."""
