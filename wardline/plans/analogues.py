@@ -51,8 +51,6 @@ ROSTER_YEAR = 1998
 NOT_ASSIGNED_YEAR = 1997
 GAP_YEAR = 1997
 WEEK_OF = dt.date(1997, 5, 20)
-SUPPLIER_KEY = 7
-CUSTOMER_KEY = 7
 
 
 def _t(spark: SparkSession, sf_dir: str) -> TableSet:
@@ -122,11 +120,10 @@ def frequent_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bridge_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4's shape for every supplier: mean quantity and line number over its line items, through the order bridge."""
     t = _t(spark, sf_dir)
-    s = t["supplier"].filter(F.col("s_suppkey") == SUPPLIER_KEY).select("s_suppkey", "s_name")
-    li = t["lineitem"].filter(F.col("l_suppkey") == SUPPLIER_KEY).select(
-        "l_suppkey", "l_orderkey", "l_quantity", "l_linenumber"
-    )
+    s = t["supplier"].select("s_suppkey", "s_name")
+    li = t["lineitem"].select("l_suppkey", "l_orderkey", "l_quantity", "l_linenumber")
     o = t["orders"].select("o_orderkey")
     j = s.join(li, s.s_suppkey == li.l_suppkey).join(o, F.col("l_orderkey") == o.o_orderkey)
     cents = (money("l_quantity") * 100).cast("decimal(38,0)")
@@ -135,7 +132,7 @@ def bridge_average(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("l_linenumber").alias("__l"), F.count("l_linenumber").alias("__nl"),
     )
     return agg.select(
-        "s_name",
+        "s_suppkey", "s_name",
         unscale(scaled_half_up("__q", F.col("__nq") * 100, 4), 4).alias("avg_quantity"),
         dialect_avg("__l", "__nl", 4).alias("avg_linenumber"),
     )
@@ -175,8 +172,9 @@ def entity_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dual_role_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6's two-role lookup for every order: nation as the customer's (inner) and the supplier's (left)."""
     t = _t(spark, sf_dir)
-    o = t["orders"].filter(F.col("o_custkey") == CUSTOMER_KEY).select("o_orderkey", "o_custkey", "o_orderdate")
+    o = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
     li = t["lineitem"].select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
     c = t["customer"].select("c_custkey", "c_nationkey")
     s = t["supplier"].select("s_suppkey", "s_nationkey")

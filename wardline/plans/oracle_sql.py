@@ -75,13 +75,12 @@ ORDER BY total_orders DESC
 """
 
 ORACLE_SQL["bridge_average"] = f"""
-SELECT s.s_name,
+SELECT s.s_suppkey, s.s_name,
        {_ratio('SUM(CAST(CAST(l.l_quantity AS DECIMAL(12,2)) * 100 AS HUGEINT))', 'COUNT(l.l_quantity) * 100', 4)} AS avg_quantity,
        {_dialect_avg('SUM(l.l_linenumber)', 'COUNT(l.l_linenumber)', 4)} AS avg_linenumber
 FROM supplier s
 JOIN lineitem l ON s.s_suppkey = l.l_suppkey
 JOIN orders o ON l.l_orderkey = o.o_orderkey
-WHERE s.s_suppkey = 7
 GROUP BY s.s_suppkey, s.s_name
 """
 
@@ -110,7 +109,6 @@ JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation nc ON c.c_nationkey = nc.n_nationkey
 LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 LEFT JOIN nation ns ON s.s_nationkey = ns.n_nationkey
-WHERE o.o_custkey = 7
 ORDER BY o.o_orderdate DESC
 """
 

@@ -133,19 +133,25 @@ def frequent_groups(tables: Tables, min_stays: int = 3) -> DataFrame:
 # ---------------------------------------------------------------- Q4
 
 
-def bridge_average(tables: Tables, doctor_amka: str) -> DataFrame:
-    """Q4 (and Q4b): one doctor's mean medical and overall score over the stays they are linked to."""
-    d = tables["doctor"].filter(F.col("amka") == doctor_amka).select("amka")
-    p = tables["personnel"].filter(F.col("amka") == doctor_amka).select("amka", "first_name", "last_name")
-    hd = tables["hospitalization_doctor"].filter(F.col("doctor_amka") == doctor_amka).select("hosp_id", "doctor_amka")
+def bridge_average(tables: Tables, doctor_amka: str | None = None) -> DataFrame:
+    """Q4 (and Q4b): a doctor's mean medical and overall score over the stays they are linked to.
+
+    With ``doctor_amka`` the report is that one doctor's (the filter reaches
+    every scan); without it, one row per rated doctor, with ``amka`` first.
+    """
+    one = (lambda c: F.col(c) == doctor_amka) if doctor_amka is not None else (lambda c: F.lit(True))
+    d = tables["doctor"].filter(one("amka")).select("amka")
+    p = tables["personnel"].filter(one("amka")).select("amka", "first_name", "last_name")
+    hd = tables["hospitalization_doctor"].filter(one("doctor_amka")).select("hosp_id", "doctor_amka")
     e = tables["hospitalization_evaluation"].select("hosp_id", "medical_care_score", "overall_experience_score")
     j = d.join(p, "amka").join(hd, F.col("amka") == F.col("doctor_amka")).join(e, "hosp_id")
     agg = j.groupBy("amka", "first_name", "last_name").agg(
         F.sum("medical_care_score").alias("__m"), F.count("medical_care_score").alias("__mn"),
         F.sum("overall_experience_score").alias("__o"), F.count("overall_experience_score").alias("__on"),
     )
+    keys = ["first_name", "last_name"] if doctor_amka is not None else ["amka", "first_name", "last_name"]
     return agg.select(
-        "first_name", "last_name",
+        *keys,
         dialect_avg("__m", "__mn", 4).alias("avg_medical_care"),
         dialect_avg("__o", "__on", 4).alias("avg_overall_experience"),
     )
@@ -172,14 +178,20 @@ def filtered_leaderboard(tables: Tables, max_age: int = 35, category: str = "SUR
 # ---------------------------------------------------------------- Q6
 
 
-def entity_timeline(tables: Tables, patient_amka: str, *, with_discharge: bool = True) -> DataFrame:
-    """Q6: one patient's stays, newest first, with admission/discharge diagnoses and the mean score.
+def entity_timeline(tables: Tables, patient_amka: str | None = None, *, with_discharge: bool = True) -> DataFrame:
+    """Q6: a patient's stays, newest first, with admission/discharge diagnoses and the mean score.
 
+    With ``patient_amka`` the report is that one patient's (the filter reaches
+    the scan); without it, every patient's stays, with ``patient_amka`` first.
     ``with_discharge=False`` is the reduced Q6b (no discharge lookup, 7 columns).
     The mean is NULL for an unrated stay (any NULL score propagates).
     """
-    h = tables["hospitalization"].filter(F.col("patient_amka") == patient_amka).select(
-        "hosp_id", "admission_ts", "discharge_ts", "admission_icd10_code", "discharge_icd10_code", "total_cost"
+    stays = tables["hospitalization"]
+    if patient_amka is not None:
+        stays = stays.filter(F.col("patient_amka") == patient_amka)
+    h = stays.select(
+        "patient_amka", "hosp_id", "admission_ts", "discharge_ts", "admission_icd10_code", "discharge_icd10_code",
+        "total_cost"
     )
     icd = tables["icd10_diagnosis"]
     icd_in = icd.select(F.col("icd10_code").alias("admission_diagnosis_code"),
@@ -199,11 +211,12 @@ def entity_timeline(tables: Tables, patient_amka: str, *, with_discharge: bool =
     j = j.join(e, j.hosp_id == e.e_hosp, "left")
     avg = (F.col("__score_sum").cast("decimal(12,0)") / F.lit(5)).cast("decimal(12,5)")
     name = "average_evaluation_score" if with_discharge else "avg_score"
-    out = j.select(*cols, "total_cost", avg.alias(name))
+    lead = [] if patient_amka is not None else ["patient_amka"]
+    out = j.select(*lead, *cols, "total_cost", avg.alias(name))
     if not with_discharge:
         out = out.withColumnRenamed("admission_diagnosis_code", "icd10_code").withColumnRenamed(
             "admission_diagnosis_desc", "icd10_description")
-    return out.orderBy(F.col("admission_ts").desc(), "hosp_id")
+    return out.orderBy(*lead, F.col("admission_ts").desc(), "hosp_id")
 
 
 # ---------------------------------------------------------------- Q7
