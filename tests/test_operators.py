@@ -240,3 +240,10 @@ def test_cut_points_follow_each_hot_key_size(spark):
     segs = TimeSegments(df, ["k"], "s", hot_rows=250, sample_fraction=1.0)
     cuts = {r.k: len(r["__wl_cuts"]) for r in segs.cuts.collect()}
     assert cuts == {0: 15, 1: 3}  # 16 and 4 segments; key 2 is not hot
+
+
+def test_overlap_flags_null_start_flags_nothing(spark):
+    rows = [(1, 0, None, BASE + dt.timedelta(days=9)), (2, 0, BASE, BASE + dt.timedelta(hours=1)),
+            (3, 0, BASE + dt.timedelta(minutes=30), BASE + dt.timedelta(hours=2))]
+    df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz, e timestamp_ntz")
+    assert {r.id for r in overlap_flags(df, "k", "id", "s", "e").collect()} == {3}

@@ -135,8 +135,9 @@ def overlap_flags(
     rows = _segmented(df, keys, start, b, split=split, bucket_hours=bucket_hours, hot_rows=hot_rows,
                       sample_fraction=sample_fraction)
     within = Window.partitionBy(*keys, b).orderBy(start, id_col).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("__wl_prev_end", F.max(end).over(within))
-    per_bucket = rows.groupBy(*keys, b).agg(F.max(end).alias("__wl_bucket_end"))
+    known_end = F.when(F.col(start).isNotNull(), F.col(end))  # a row without a start is earlier than nothing
+    rows = rows.withColumn("__wl_prev_end", F.max(known_end).over(within))
+    per_bucket = rows.groupBy(*keys, b).agg(F.max(known_end).alias("__wl_bucket_end"))
     across = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(*keys, b, F.max("__wl_bucket_end").over(across).alias("__wl_carry_end"))
     flagged = (
