@@ -247,3 +247,22 @@ def test_overlap_flags_null_start_flags_nothing(spark):
             (3, 0, BASE + dt.timedelta(minutes=30), BASE + dt.timedelta(hours=2))]
     df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz, e timestamp_ntz")
     assert {r.id for r in overlap_flags(df, "k", "id", "s", "e").collect()} == {3}
+
+
+def test_find_cycles_random_graphs_match_brute_force(spark):
+    for seed, n, roots in ((1, 300, 0), (2, 300, 5), (3, 64, 64), (4, 500, 1)):
+        rnd = random.Random(seed)
+        parent = {v: (None if v < roots else rnd.randrange(n)) for v in range(n)}
+        df = spark.createDataFrame(list(parent.items()), "v long, p long")
+        got = {(r.v, r.on_cycle, r.cycle_id) for r in find_cycles(df, "v", "p").collect()}
+        want = set()
+        for v in range(n):
+            seen, x = [], v
+            while x is not None and x not in seen:
+                seen.append(x)
+                x = parent[x]
+            if x is None:
+                continue  # reaches a root
+            cycle = seen[seen.index(x):]
+            want.add((v, v in cycle, min(cycle)))
+        assert got == want

@@ -116,7 +116,11 @@ def find_cycles(
     and the smallest key among those steps.  After ``ceil(log2(n)) + 1`` rounds
     (one cheap count gives ``n``) every chain that ends at a root has reached
     it, every other chain sits on its cycle, and the image of the jump map is
-    exactly the set of nodes on a cycle.  Each round is one self-join of an
+    exactly the set of nodes on a cycle.  It usually stops much earlier: when no
+    jump is left (no cycles), or when the image stops shrinking (then it is the
+    set of cycle nodes) and ``2**k`` is at least its size (every cycle's
+    smallest key has been seen), so the rounds follow the depth of the
+    hierarchy, not its size.  Each round is one self-join of an
     ``n``-row table; every ``checkpoint_every`` rounds the state is written to
     the checkpoint folder so lineage stays short.
     """
@@ -134,6 +138,7 @@ def find_cycles(
     )
     # jump = node 2**k steps up (NULL once past a root); low = min key over steps 1..2**k
     state = g.select("v", F.col("p").alias("jump"), F.col("p").alias("low")).checkpoint(eager=True)
+    image = None
     for r in range(1, rounds + 1):
         other = state.select(F.col("v").alias("u"), F.col("jump").alias("jump2"), F.col("low").alias("low2"))
         state = state.join(other, state["jump"] == other["u"], "left").select(
@@ -141,8 +146,17 @@ def find_cycles(
             F.col("jump2").alias("jump"),
             F.when(F.col("jump2").isNull(), F.lit(None)).otherwise(F.least("low", "low2")).alias("low"),
         )
-        if r % checkpoint_every == 0 or r == rounds:
-            state = state.checkpoint(eager=True)
+        if r % checkpoint_every and r != rounds:
+            continue
+        state = state.checkpoint(eager=True)
+        # at each checkpoint one small aggregate decides whether the answer is already final;
+        # images only shrink, so equal sizes a few rounds apart mean the image is stable
+        live, img = state.agg(F.count("jump"), F.count_distinct("jump")).first()
+        if live == 0:
+            break  # every chain has reached a root: no cycles
+        if img == image and 2**r >= img:
+            break  # the image (= the cycle nodes) is stable and every cycle has been walked round
+        image = img
     cyclic = state.filter(F.col("jump").isNotNull())
     # After enough rounds jump(v) is on v's terminal cycle; its 'low' spans the whole cycle.
     on_cycle = cyclic.select(F.col("jump").alias("c")).distinct()
