@@ -96,3 +96,16 @@ def test_gate_replay_is_idempotent(spark, hospital, tmp_path):
     after = {p.name: sorted(f.name for f in p.iterdir()) for p in sorted((out / "accepted").glob("batch_id=*"))}
     assert after[batch_dirs[0].name] == before[batch_dirs[0].name]  # earlier batch untouched
     assert after[batch_dirs[-1].name] != before[batch_dirs[-1].name]  # last batch really ran again
+
+
+def test_gate_rejects_reused_id_with_other_keys(spark, hospital):
+    import datetime as dt
+
+    from wardline.sources.schemas import SCHEMAS
+
+    # id 6 is stored (place 1, chief A2); the new row reuses it with another place and chief
+    row = [(6, 5, "PC1", 2, "00000000003", dt.datetime(2030, 1, 1, 8), dt.datetime(2030, 1, 1, 9), 60)]
+    batch = spark.createDataFrame(row, SCHEMAS["procedure_event"])
+    accepted, rejected = gate_batch(batch, "procedure_event", hospital)
+    assert accepted.count() == 0
+    assert "primary_key" in {r["rule"] for r in rejected.collect()}

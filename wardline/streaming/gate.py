@@ -30,13 +30,13 @@ from pyspark.sql.streaming import StreamingQuery
 from wardline.operators.audit import key_text
 from wardline.plans.rules import declared_constraints, trigger_rules
 from wardline.operators.maintain import assign_ids
-from wardline.sources.schemas import GENERATED_KEYS, PRIMARY_KEYS, SCHEMAS, with_defaults
+from wardline.sources.schemas import GENERATED_KEYS, PRIMARY_KEYS, SCHEMAS, UNIQUES, with_defaults
 from wardline.session import ensure_checkpoint_dir
 
 Tables = Mapping[str, DataFrame]
 
-# Columns whose values decide which stored rows a new row can conflict with
-# (overlap keys); stored rows sharing none of them are not read by the rules.
+# Overlap keys: stored rows sharing none of these (nor the primary or a unique
+# key) with a batch row cannot conflict with it and are not read by the rules.
 CONFLICT_KEYS = {
     "procedure_event": ["place_id", "chief_surgeon_amka"],
     "procedure_participant": ["personnel_amka"],
@@ -45,15 +45,19 @@ CONFLICT_KEYS = {
 
 
 def _relevant_stored(stored: DataFrame, batch: DataFrame, table: str) -> DataFrame:
-    keys = CONFLICT_KEYS.get(table)
-    if not keys:
-        return stored
+    """Stored rows a batch row can conflict with: same overlap key, same primary key or same unique key.
+
+    Each condition is a semi join of the stored table against the batch's
+    distinct values (small, since the batch is); rows found by several are
+    kept once by primary key.
+    """
     pk = list(PRIMARY_KEYS[table])
-    parts = [stored.join(batch.select(k).distinct(), k, "left_semi") for k in keys]
+    probes = [[k] for k in CONFLICT_KEYS.get(table, [])] + [pk] + [list(cols) for t, cols in UNIQUES if t == table]
+    parts = [stored.join(batch.select(*cols).distinct(), cols, "left_semi") for cols in probes]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.dropDuplicates(pk) if len(parts) > 1 else out
+    return out.dropDuplicates(pk)
 
 
 Rule = Callable[[DataFrame], DataFrame]
@@ -104,9 +108,9 @@ def gate_batch(batch: DataFrame, table: str, current: Tables) -> tuple[DataFrame
     ``rejected`` has the audit shape (``rule, table_name, key_value, detail``),
     one row per failing rule: the declared constraints of the table and its
     trigger rules.  Declared column defaults and missing generated keys are
-    filled in first, as an insert would.  The rules run on the stored rows that can conflict (same
-    overlap keys) plus the batch, so the cost follows the batch, not the
-    stored table.
+    filled in first, as an insert would.  The rules run on the stored rows that
+    can conflict (same overlap, primary or unique key) plus the batch, so the
+    cost follows the batch, not the stored table.
     """
     pk = list(PRIMARY_KEYS[table])
     stored = current[table]
