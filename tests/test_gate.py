@@ -109,3 +109,15 @@ def test_gate_rejects_reused_id_with_other_keys(spark, hospital):
     accepted, rejected = gate_batch(batch, "procedure_event", hospital)
     assert accepted.count() == 0
     assert "primary_key" in {r["rule"] for r in rejected.collect()}
+
+
+def test_gate_doctor_cycle_through_stored_rows(spark, hospital):
+    from wardline.sources.schemas import SCHEMAS
+
+    # stored: 00000000009 is supervised by the (not yet present) 00000000010; inserting 10 under 9 closes a cycle
+    stored = hospital["doctor"].unionByName(
+        spark.createDataFrame([("00000000009", "L9", "S", "CONSULTANT_A", "00000000010")], SCHEMAS["doctor"]))
+    batch = spark.createDataFrame([("00000000010", "L10", "S", "CONSULTANT_A", "00000000009")], SCHEMAS["doctor"])
+    accepted, rejected = gate_batch(batch, "doctor", dict(hospital, doctor=stored))
+    assert accepted.count() == 0
+    assert "T1d_supervision_cycle" in {r["rule"] for r in rejected.collect()}

@@ -44,13 +44,20 @@ CONFLICT_KEYS = {
 }
 
 
+# Tables whose rules follow chains through arbitrary stored rows (supervision
+# cycles): the gate reads them whole.  The doctor table is small.
+WHOLE_TABLE = {"doctor"}
+
+
 def _relevant_stored(stored: DataFrame, batch: DataFrame, table: str) -> DataFrame:
     """Stored rows a batch row can conflict with: same overlap key, same primary key or same unique key.
 
     Each condition is a semi join of the stored table against the batch's
     distinct values (small, since the batch is); rows found by several are
-    kept once by primary key.
+    kept once by primary key.  Tables in ``WHOLE_TABLE`` are returned as they are.
     """
+    if table in WHOLE_TABLE:
+        return stored
     pk = list(PRIMARY_KEYS[table])
     probes = [[k] for k in CONFLICT_KEYS.get(table, [])] + [pk] + [list(cols) for t, cols in UNIQUES if t == table]
     parts = [stored.join(batch.select(*cols).distinct(), cols, "left_semi") for cols in probes]
