@@ -571,7 +571,9 @@ def ingest_gate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return split_batch(batch, so_far, ["event_id"], [overlaps_earlier, unknown_user])
 
     q = run_stream_gate(spark, source, stored, gate, f"{run}/out", checkpoint_location=f"{run}/checkpoint")
-    q.awaitTermination()
+    if not q.awaitTermination(3600):  # availableNow ends by itself; never wait without bound
+        q.stop()
+        raise TimeoutError("ingest gate stream did not finish within an hour")
     if q.exception() is not None:
         raise q.exception()
     return spark.read.parquet(f"{run}/out/rejected").select("event_id", "rule")
