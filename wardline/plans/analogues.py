@@ -40,6 +40,7 @@ from wardline.operators.relate import (
     overlap_pairs,
     pair_cooccurrence,
 )
+from wardline.plans import reports as R
 from wardline.plans.reports import triage_summary
 from wardline.sources.tables import TableSet
 
@@ -106,7 +107,7 @@ def frequent_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         t["orders"]
         .groupBy("o_custkey", "o_orderstatus")
         .agg(F.count("o_orderkey").alias("total_orders"), money_sum("o_totalprice").alias("total_cost"))
-        .filter(F.col("total_orders") > 3)
+        .filter(F.col("total_orders") > R.MIN_STAYS)
     )
     c = t["customer"].select("c_custkey", "c_name")
     return (
@@ -222,7 +223,7 @@ def equal_measure_pairs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         t["orders"]
         .groupBy("o_custkey", F.year("o_orderdate").alias("order_year"))
         .agg(F.sum(days_between("o_orderdate", F.lit(AS_OF))).cast("long").alias("total_days"))
-        .filter(F.col("total_days") > 15)
+        .filter(F.col("total_days") > R.MIN_TOTAL_DAYS)
     )
     pairs = equal_measure_pairs(totals, "o_custkey", ["order_year"], "total_days")
     return pairs.select(
@@ -238,7 +239,7 @@ def pair_cooccurrence_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = t["lineitem"].select("l_orderkey", "l_partkey")
     p = t["part"].select("p_partkey", "p_brand")
     items = lookup(li, p, [("l_partkey", "p_partkey")]).select("l_orderkey", "p_brand")
-    return pair_cooccurrence(items, "l_orderkey", "p_brand", top=3).select(
+    return pair_cooccurrence(items, "l_orderkey", "p_brand", top=R.TOP_PAIRS).select(
         F.col("item_1").alias("brand_1"), F.col("item_2").alias("brand_2"), "co_occurrence_count"
     )
 
@@ -251,7 +252,7 @@ def gap_to_max_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = (
         t["orders"].filter(in_year("o_orderdate", GAP_YEAR)).groupBy("o_custkey").agg(F.count("o_orderkey").alias("num_orders"))
     )
-    return gap_to_max(counts, "num_orders", 5, "max_orders").orderBy(F.col("num_orders").desc(), "o_custkey")
+    return gap_to_max(counts, "num_orders", R.GAP_TO_MAX, "max_orders").orderBy(F.col("num_orders").desc(), "o_custkey")
 
 
 # ---------------------------------------------------------------- Q12
@@ -329,7 +330,7 @@ def consecutive_equal_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         lookup(li, p, [("l_partkey", "p_partkey")])
         .groupBy("p_brand", "p_type", F.year("l_shipdate").alias("ship_year"))
         .agg(F.count(F.lit(1)).alias("n_items"))
-        .filter(F.col("n_items") >= 5)
+        .filter(F.col("n_items") >= R.MIN_ADMISSIONS)
     )
     return (
         consecutive_equal(counts, ["p_brand", "p_type"], "ship_year", "n_items")
@@ -358,7 +359,7 @@ def triage_referral(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     vd = interval_join(
         visits, stays, keys=[("user_id", "stay_user")], left_ts="arrival_ts", right_ts="admission_ts",
-        hours=24, left_id="visit_id",
+        hours=R.REFERRAL_HOURS, left_id="visit_id",
     ).withColumn("wait_time_mins", minutes_between("arrival_ts", "service_start_ts"))
     return triage_summary(vd)
 

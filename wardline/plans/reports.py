@@ -48,6 +48,16 @@ from wardline.operators.relate import (
 
 Tables = Mapping[str, DataFrame]
 
+# --- fixed values: the reports' literals, as the reference states them (defaults of the arguments)
+MIN_STAYS = 3  # Q3: more than 3 stays
+MAX_AGE = 35  # Q5: younger than 35
+SURGICAL = "SURGICAL"  # Q5: procedure category
+MIN_TOTAL_DAYS = 15  # Q9: more than 15 days
+TOP_PAIRS = 3  # Q10: LIMIT 3
+GAP_TO_MAX = 5  # Q11: at most the maximum minus 5
+MIN_ADMISSIONS = 5  # Q14: at least 5 admissions
+REFERRAL_HOURS = 24  # Q15: admission within 24 hours of arrival
+
 
 def _year(as_of: dt.date | None) -> int:
     return (as_of or dt.date.today()).year
@@ -113,7 +123,7 @@ def roster_flag(tables: Tables, specialization: str, *, as_of: dt.date | None =
 # ---------------------------------------------------------------- Q3
 
 
-def frequent_groups(tables: Tables, min_stays: int = 3) -> DataFrame:
+def frequent_groups(tables: Tables, min_stays: int = MIN_STAYS) -> DataFrame:
     """Q3: (patient, department) pairs with more than ``min_stays`` stays, with their total cost."""
     per = (
         tables["hospitalization"].groupBy("patient_amka", "department_id")
@@ -160,7 +170,7 @@ def bridge_average(tables: Tables, doctor_amka: str | None = None) -> DataFrame:
 # ---------------------------------------------------------------- Q5
 
 
-def filtered_leaderboard(tables: Tables, max_age: int = 35, category: str = "SURGICAL") -> DataFrame:
+def filtered_leaderboard(tables: Tables, max_age: int = MAX_AGE, category: str = SURGICAL) -> DataFrame:
     """Q5: staff younger than ``max_age`` by number of procedures of ``category`` led as chief."""
     cat = tables["procedure_catalog"].filter(F.col("procedure_category") == category).select("procedure_code")
     pe = lookup(tables["procedure_event"].select("procedure_event_id", "procedure_code", "chief_surgeon_amka"), cat,
@@ -247,7 +257,7 @@ def not_assigned(tables: Tables, day: dt.date, department_id: int) -> DataFrame:
 # ---------------------------------------------------------------- Q9
 
 
-def equal_total_pairs(tables: Tables, min_days: int = 15, *, as_of: dt.datetime | None = None) -> DataFrame:
+def equal_total_pairs(tables: Tables, min_days: int = MIN_TOTAL_DAYS, *, as_of: dt.datetime | None = None) -> DataFrame:
     """Q9: patient pairs with the same total stay days (> ``min_days``) in the same admission year.
 
     An open stay runs to ``as_of`` (default: now); a stay counts wholly in its admission year.
@@ -268,7 +278,7 @@ def equal_total_pairs(tables: Tables, min_days: int = 15, *, as_of: dt.datetime
 # ---------------------------------------------------------------- Q10
 
 
-def substance_cooccurrence(tables: Tables, top: int = 3) -> DataFrame:
+def substance_cooccurrence(tables: Tables, top: int = TOP_PAIRS) -> DataFrame:
     """Q10: the ``top`` substance pairs prescribed together in the most stays (ties by substance id)."""
     rx = tables["prescription"].select("hosp_id", "patient_amka", "drug_id")
     das = tables["drug_active_substance"].select("drug_id", "substance_id")
@@ -287,7 +297,7 @@ def substance_cooccurrence(tables: Tables, top: int = 3) -> DataFrame:
 # ---------------------------------------------------------------- Q11
 
 
-def surgeons_below_max(tables: Tables, gap: int = 5, *, as_of: dt.date | None = None) -> DataFrame:
+def surgeons_below_max(tables: Tables, gap: int = GAP_TO_MAX, *, as_of: dt.date | None = None) -> DataFrame:
     """Q11: chiefs of this year whose procedure count is at most the year's maximum minus ``gap``."""
     counts = (
         tables["procedure_event"].filter(in_year("start_ts", _year(as_of)))
@@ -347,7 +357,7 @@ def supervisor_closure(tables: Tables, *, max_depth: int = 1000) -> DataFrame:
 # ---------------------------------------------------------------- Q14
 
 
-def equal_consecutive_years(tables: Tables, min_count: int = 5) -> DataFrame:
+def equal_consecutive_years(tables: Tables, min_count: int = MIN_ADMISSIONS) -> DataFrame:
     """Q14: admission codes with the same count (>= ``min_count``) in two consecutive years."""
     counts = (
         tables["hospitalization"].groupBy(F.col("admission_icd10_code").alias("icd10"),
@@ -393,7 +403,7 @@ def triage_summary(vd: DataFrame, referral_col: str = "department_name") -> Data
     ).orderBy("emergency_level", F.col("referrals_count").desc(), "referred_department")
 
 
-def triage_referral(tables: Tables, hours: int = 24, *, first_match: bool = False) -> DataFrame:
+def triage_referral(tables: Tables, hours: int = REFERRAL_HOURS, *, first_match: bool = False) -> DataFrame:
     """Q15: triage statistics, linking each visit to stays of the same patient admitted within ``hours``.
 
     ``first_match=True`` keeps only the earliest such stay per visit (so the
