@@ -22,33 +22,46 @@ from pyspark.sql import functions as F
 from wardline.functions.calendar import epoch_micros
 from wardline.operators.segments import TimeSegments
 
-# Default ceiling for a broadcast side, in rows.  Dimension tables of the
-# hospital schema (departments, codes, catalogues) sit far below it.
-BROADCAST_MAX_ROWS = 2_000_000
+# Default ceiling for a broadcast side, in estimated bytes (rows times the
+# projected row width).  Dimension tables of the hospital schema (departments,
+# codes, catalogues) sit far below it; a fact table never does.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+# Estimated bytes per value by type name, for the broadcast size check (strings
+# are costed at a typical short code or name).
+_WIDTH = {"string": 32, "binary": 32, "decimal": 16, "timestamp": 8, "timestamp_ntz": 8, "date": 4,
+          "bigint": 8, "long": 8, "int": 4, "integer": 4, "smallint": 2, "tinyint": 1, "double": 8, "float": 4,
+          "boolean": 1}
 
 _size_cache: dict[tuple[int, int], bool] = {}
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row of ``df`` (nested and unknown types count 64)."""
+    return sum(_WIDTH.get(f.dataType.typeName().split("(")[0], 64) for f in df.schema.fields) + 8
+
+
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` is estimated at no more than ``max_bytes`` (row count times row width).
 
-    A plain ``count()``: a partial count per task and one row per task to the
-    final sum, and no column is decoded for an unfiltered Parquet scan.  (A
-    ``limit(n).count()`` would funnel up to ``n`` rows per partition into a
-    single task.)  It is meant for dimension-like inputs; the answer is
-    memoised per logical plan.
+    The count is a plain ``count()``: a partial count per task and one row per
+    task to the final sum, and no column is decoded for an unfiltered Parquet
+    scan.  (A ``limit(n).count()`` would funnel up to ``n`` rows per partition
+    into a single task.)  Meant for dimension-like inputs; memoised per plan.
     """
-    key = (df.semanticHash(), max_rows)
+    key = (df.semanticHash(), max_bytes)
     hit = _size_cache.get(key)
     if hit is None:
-        hit = df.count() <= max_rows
+        if len(_size_cache) > 4096:
+            _size_cache.clear()
+        hit = df.count() * row_width(df) <= max_bytes
         _size_cache[key] = hit
     return hit
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``broadcast(df)`` if a count proves it small, else ``df`` unchanged."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 def interval_join(
