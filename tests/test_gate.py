@@ -121,3 +121,19 @@ def test_gate_doctor_cycle_through_stored_rows(spark, hospital):
     accepted, rejected = gate_batch(batch, "doctor", dict(hospital, doctor=stored))
     assert accepted.count() == 0
     assert "T1d_supervision_cycle" in {r["rule"] for r in rejected.collect()}
+
+
+def test_gate_participants(spark, hospital):
+    from wardline.sources.schemas import SCHEMAS
+
+    pp = hospital["procedure_participant"]
+    stored = pp.filter(~(((F.col("procedure_event_id") == 1) & (F.col("personnel_amka") == "00000000001"))
+                         | ((F.col("procedure_event_id") == 2) & (F.col("personnel_amka") == "00000000006"))))
+    batch = spark.createDataFrame(
+        [(1, "00000000001"), (2, "00000000006"), (5, "00000000005")], SCHEMAS["procedure_participant"])
+    accepted, rejected = gate_batch(batch, "procedure_participant", dict(hospital, procedure_participant=stored))
+    rules = {(r["key_value"], r["rule"]) for r in rejected.collect()}
+    assert ("1|00000000001", "T7_chief_is_participant") in rules  # chief of event 1 listed as its participant
+    assert ("1|00000000001", "T5b_participant_is_busy_chief") in rules  # and chief of overlapping event 4
+    assert ("2|00000000006", "T8_admin_participant") in rules
+    assert [tuple(r) for r in accepted.collect()] == [(5, "00000000005")]
