@@ -266,3 +266,25 @@ def test_find_cycles_random_graphs_match_brute_force(spark):
             cycle = seen[seen.index(x):]
             want.add((v, v in cycle, min(cycle)))
         assert got == want
+
+
+def test_exact_rounding_against_decimal(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    rnd = random.Random(9)
+    cases = [(rnd.randrange(-10**9, 10**9), rnd.choice([0, 1, 2, 3, 7, 8, 16, 20000, rnd.randrange(1, 10**6)]))
+             for _ in range(1000)]
+    cases += [(201, 20000), (1, 8), (-1, 8), (5, 1000), (125, 10000), (-125, 10000)]  # exact ties
+    df = spark.createDataFrame(cases, "n long, d long")
+    got = df.select("n", "d", ratio("n", "d", 2, times=100).alias("pct"), dialect_avg("n", "d", 2).alias("avg")).collect()
+
+    def half_up(x: Decimal, digits: int) -> Decimal:
+        return x.quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP)
+
+    for r in got:
+        if r.d == 0:
+            assert r.pct is None and r.avg is None
+            continue
+        q = Decimal(r.n) / Decimal(r.d)
+        assert r.pct == float(half_up(q * 100, 2)), (r.n, r.d, r.pct)
+        assert r.avg == float(half_up(half_up(q, 4), 2)), (r.n, r.d, r.avg)  # AVG(int) keeps 4 digits, then ROUND
