@@ -288,3 +288,12 @@ def test_exact_rounding_against_decimal(spark):
         q = Decimal(r.n) / Decimal(r.d)
         assert r.pct == float(half_up(q * 100, 2)), (r.n, r.d, r.pct)
         assert r.avg == float(half_up(half_up(q, 4), 2)), (r.n, r.d, r.avg)  # AVG(int) keeps 4 digits, then ROUND
+
+
+def test_propagate_delete_seed_by_key_counts_each_row_once(spark, hospital):
+    keys = {t: PRIMARY_KEYS[t] for t in hospital}
+    deletes = {"hospitalization": spark.createDataFrame([(1,)], "hosp_id long"),
+               "procedure_event": spark.createDataFrame([(1,)], "procedure_event_id long")}  # also cascaded from stay 1
+    res = propagate_delete(hospital, FOREIGN_KEYS, deletes, keys)
+    assert res.removed["hospitalization"].count() == 1
+    assert res.removed["procedure_event"].count() == 3  # events 1, 2 and 6, event 1 once

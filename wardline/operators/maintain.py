@@ -92,17 +92,24 @@ def propagate_delete(
       whole delete fail in the reference, even when it sits below a cascade;
     * ``survivors[t]``: the table after the delete (meaningful when nothing is blocked).
 
-    ``keys`` (table -> key columns) is used to subtract removed rows; without
-    it a table's survivors are computed with the cascade conditions negated.
+    ``deletes[t]`` may hold whole rows or only the key columns of ``t``.
+    ``keys`` (table -> key columns) is used to pick seed rows by key, to count a
+    row reached twice once, and to subtract removed rows; without it, rows are
+    compared whole.  A CASCADE key of a table to itself is not followed.
     """
     names = list(tables)
     removed: dict[str, DataFrame] = {}
     for t in _cascade_order(names, fks):
         df = tables[t]
         incoming = [fk for fk in fks if fk.child == t and fk.on_delete == "CASCADE" and fk.parent in removed]
+        kcols = list((keys or {}).get(t, ()))
         parts = []
         if t in deletes:
-            parts.append(deletes[t].select(*df.columns))
+            seed = deletes[t]
+            if kcols and set(kcols) <= set(seed.columns):
+                parts.append(df.join(seed.select(*kcols).distinct(), kcols, "left_semi"))  # keys are enough
+            else:
+                parts.append(seed.select(*df.columns))
         if len(incoming) == 1:
             fk = incoming[0]
             parts.append(_referencing(df, fk.cols, removed[fk.parent], fk.parent_cols, "left_semi"))
@@ -124,6 +131,8 @@ def propagate_delete(
             out = parts[0]
             for p in parts[1:]:
                 out = out.unionByName(p)
+            if len(parts) > 1:  # a row deleted directly may also be reached by a cascade
+                out = out.dropDuplicates(kcols) if kcols else out.distinct()
             removed[t] = out
     blocked: dict[str, DataFrame] = {t: tables[t].limit(0) for t in names}
     for fk in fks:
