@@ -90,11 +90,13 @@ def split_batch(
     return accepted, rejected
 
 
-def fill_generated_keys(batch: DataFrame, table: str, stored: DataFrame) -> DataFrame:
-    """Give rows whose generated key (AUTO_INCREMENT) is NULL the next ids after the stored maximum.
+def fill_generated_keys(batch: DataFrame, table: str, stored: DataFrame, *, top: int | None = None) -> DataFrame:
+    """Give rows whose generated key (AUTO_INCREMENT) is NULL the next ids after ``top``.
 
-    Ids follow the batch rows' column order (declared columns left to right), so
-    a replayed batch gets the same ids.  The stored maximum is a one-row aggregate.
+    ``top`` is the largest id in use; without it the stored maximum is taken (a
+    one-row aggregate over the stored key column; ``run_gate`` computes it once
+    per stream start instead).  Ids follow the batch rows' column order
+    (declared columns left to right), so a replayed batch gets the same ids.
     """
     col = GENERATED_KEYS.get(table)
     if col is None or col not in batch.columns:
@@ -102,14 +104,15 @@ def fill_generated_keys(batch: DataFrame, table: str, stored: DataFrame) -> Data
     missing = batch.filter(F.col(col).isNull())
     if missing.isEmpty():
         return batch
-    top = stored.agg(F.max(col)).first()[0] or 0
+    if top is None:
+        top = stored.agg(F.max(col)).first()[0] or 0
     order = [c for c in batch.columns if c != col]
     numbered = assign_ids(missing.drop(col), order, id_col=col, start=top + 1)
     numbered = numbered.withColumn(col, F.col(col).cast(batch.schema[col].dataType)).select(*batch.columns)
     return batch.filter(F.col(col).isNotNull()).unionByName(numbered)
 
 
-def gate_batch(batch: DataFrame, table: str, current: Tables) -> tuple[DataFrame, DataFrame]:
+def gate_batch(batch: DataFrame, table: str, current: Tables, *, top_id: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Split ``batch`` (new rows of hospital ``table``) into ``(accepted, rejected)``.
 
     ``rejected`` has the audit shape (``rule, table_name, key_value, detail``),
@@ -121,7 +124,7 @@ def gate_batch(batch: DataFrame, table: str, current: Tables) -> tuple[DataFrame
     """
     pk = list(PRIMARY_KEYS[table])
     stored = current[table]
-    batch = fill_generated_keys(with_defaults(batch, table), table, stored)
+    batch = fill_generated_keys(with_defaults(batch, table), table, stored, top=top_id)
     combined = _relevant_stored(stored, batch, table).unionByName(batch.select(*stored.columns))
     view = dict(current)
     view[table] = combined
@@ -195,9 +198,17 @@ def run_gate(
     checkpoint_location = checkpoint_location or os.path.join(ckpt_root, f"gate-{table}")
     stream = spark.readStream.schema(SCHEMAS[table]).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
 
+    key = GENERATED_KEYS.get(table)
+    state: dict[str, int | None] = {"top": None}
+
     def gate(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
         view = dict(current)
         view[table] = stored
-        return gate_batch(batch, table, view)
+        if key and state["top"] is None:  # once per stream start: stored rows plus earlier acceptances
+            state["top"] = stored.agg(F.max(key)).first()[0] or 0
+        accepted, rejected = gate_batch(batch, table, view, top_id=state["top"])
+        if key:  # advance from this batch only (small); a replay rebuilds the same value
+            state["top"] = max(state["top"] or 0, accepted.agg(F.max(key)).first()[0] or 0)
+        return accepted, rejected
 
     return run_stream_gate(spark, stream, current[table], gate, out_dir, checkpoint_location=checkpoint_location)
