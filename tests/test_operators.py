@@ -74,6 +74,11 @@ def test_interval_join_hot_key_split_matches_plain(spark):
     kw = dict(keys=[("pk", "rk")], left_ts="at", right_ts="rt", hours=2)
     plain = sorted(tuple(r) for r in interval_join(left, right, split="time", **kw).collect())
     hot = sorted(tuple(r) for r in interval_join(left, right, hot_rows=20, sample_fraction=1.0, **kw).collect())
+    from wardline.operators.segments import TimeSegments
+
+    shared = TimeSegments(left.select("pk", "at"), ["pk"], "at", bucket_hours=2, hot_rows=30, sample_fraction=1.0)
+    reused = sorted(tuple(r) for r in interval_join(left, right, segments=shared, **kw).collect())
+    assert reused == plain
     lrows, rrows = left.collect(), right.collect()
     want = []
     for lr in lrows:

@@ -78,6 +78,7 @@ def interval_join(
     split: str = "range",
     hot_rows: int = 1_000_000,
     sample_fraction: float = 0.01,
+    segments: TimeSegments | None = None,
 ) -> DataFrame:
     """Rows of ``left`` with the rows of ``right`` that share the keys and fall in ``[left_ts, left_ts + hours]``.
 
@@ -101,8 +102,8 @@ def interval_join(
     window_us = hours * 3600 * 1_000_000
     b = "__wl_bucket"
     lkeys, rkeys = [lk for lk, _ in keys], [rk for _, rk in keys]
-    segs = TimeSegments(left, lkeys, left_ts, bucket_hours=bucket_hours or hours, split=split, hot_rows=hot_rows,
-                        sample_fraction=sample_fraction)
+    segs = segments or TimeSegments(left, lkeys, left_ts, bucket_hours=bucket_hours or hours, split=split,
+                                    hot_rows=hot_rows, sample_fraction=sample_fraction)
     l = TimeSegments.detach(segs.attach(left).withColumn(b, segs.of(left_ts)))
     ra = segs.attach(right, rkeys)
     lo, hi = segs.of_epoch(epoch_micros(right_ts) - F.lit(window_us)), segs.of(right_ts)

@@ -32,6 +32,7 @@ def overlap_pairs(
     split: str = "range",
     hot_rows: int = 1_000_000,
     sample_fraction: float = 0.01,
+    segments: TimeSegments | None = None,
 ) -> DataFrame:
     """Every pair of rows with the same ``key`` whose ``[start, end)`` intervals overlap.
 
@@ -50,8 +51,8 @@ def overlap_pairs(
     keys = [key] if isinstance(key, str) else list(key)
     b = "__wl_b"
     rows = df.select(*keys, id_col, start, end)
-    segs = TimeSegments(rows, keys, start, bucket_hours=bucket_hours, split=split, hot_rows=hot_rows,
-                        sample_fraction=sample_fraction)
+    segs = segments or TimeSegments(rows, keys, start, bucket_hours=bucket_hours, split=split, hot_rows=hot_rows,
+                                    sample_fraction=sample_fraction)
     rows = segs.attach(rows)
     first = segs.of(start)
     last = segs.of_epoch(epoch_micros(end) - F.lit(1))  # the segment holding end - 1 microsecond
@@ -103,8 +104,9 @@ def cross_overlap_pairs(
     )
 
 
-def _segmented(df: DataFrame, keys: list[str], ts: str, col: str, **opts) -> DataFrame:
-    segs = TimeSegments(df, keys, ts, **opts)
+def _segmented(df: DataFrame, keys: list[str], ts: str, col: str, segments: TimeSegments | None = None,
+               **opts) -> DataFrame:
+    segs = segments or TimeSegments(df, keys, ts, **opts)
     return TimeSegments.detach(segs.attach(df).withColumn(col, segs.of(ts)))
 
 
@@ -119,6 +121,7 @@ def overlap_flags(
     bucket_hours: float = 24,
     hot_rows: int = 1_000_000,
     sample_fraction: float = 0.01,
+    segments: TimeSegments | None = None,
 ) -> DataFrame:
     """Rows of ``df`` overlapped by an earlier row of the same ``key``.
 
@@ -132,7 +135,7 @@ def overlap_flags(
     """
     keys = [key] if isinstance(key, str) else list(key)
     b = "__wl_b"
-    rows = _segmented(df, keys, start, b, split=split, bucket_hours=bucket_hours, hot_rows=hot_rows,
+    rows = _segmented(df, keys, start, b, segments, split=split, bucket_hours=bucket_hours, hot_rows=hot_rows,
                       sample_fraction=sample_fraction)
     within = Window.partitionBy(*keys, b).orderBy(start, id_col).rowsBetween(Window.unboundedPreceding, -1)
     known_end = F.when(F.col(start).isNotNull(), F.col(end))  # a row without a start is earlier than nothing
@@ -273,6 +276,7 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | str,
 def next_in_key(
     df: DataFrame, key: str | Sequence[str], ts: str, tiebreak: str, out_col: str, *,
     split: str = "range", bucket_hours: float = 24, hot_rows: int = 1_000_000, sample_fraction: float = 0.01,
+    segments: TimeSegments | None = None,
 ) -> DataFrame:
     """``df`` with ``out_col`` = the ``ts`` of the next row of the same key in ``(ts, tiebreak)`` order.
 
@@ -285,7 +289,7 @@ def next_in_key(
     """
     keys = [key] if isinstance(key, str) else list(key)
     b = "__wl_b"
-    rows = _segmented(df, keys, ts, b, split=split, bucket_hours=bucket_hours, hot_rows=hot_rows,
+    rows = _segmented(df, keys, ts, b, segments, split=split, bucket_hours=bucket_hours, hot_rows=hot_rows,
                       sample_fraction=sample_fraction)
     w = Window.partitionBy(*keys, b).orderBy(ts, tiebreak)
     rows = rows.withColumn("__wl_next", F.lead(ts).over(w))

@@ -12,6 +12,10 @@ max_segments`` values), and a
 row's segment is a pure, monotone function of its key and time: recomputed
 tasks agree with the first run, and a range ``[lo, hi]`` of times maps to the
 contiguous segment range ``[seg(lo), seg(hi)]``.
+
+Any such segmentation gives correct results, so one ``TimeSegments`` (one
+probe job) can be built for a table and key and passed to several operators
+through their ``segments`` argument.
 """
 
 from __future__ import annotations

@@ -40,6 +40,7 @@ from wardline.operators.relate import (
     overlap_pairs,
     pair_cooccurrence,
 )
+from wardline.operators.segments import TimeSegments
 from wardline.plans import reports as R
 from wardline.plans.reports import triage_summary
 from wardline.sources.tables import TableSet
@@ -345,8 +346,10 @@ def consecutive_equal_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def triage_referral(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     ev = t["events"].select("event_id", "user_id", "ts", "event_type", "value", "props")
+    # one probe of the users' time axis serves both time operators below
+    segs = TimeSegments(ev, ["user_id"], "ts", bucket_hours=R.REFERRAL_HOURS)
     # service start = the user's next event of any kind (NULL for the last one)
-    ev = next_in_key(ev, "user_id", "ts", "event_id", "service_start_ts")
+    ev = next_in_key(ev, "user_id", "ts", "event_id", "service_start_ts", segments=segs)
     visits = ev.filter(F.col("event_type") == "error").select(
         F.col("event_id").alias("visit_id"), "user_id", F.col("ts").alias("arrival_ts"),
         F.floor(F.col("value") / 50).cast("int").alias("emergency_level"),
@@ -359,7 +362,7 @@ def triage_referral(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     vd = interval_join(
         visits, stays, keys=[("user_id", "stay_user")], left_ts="arrival_ts", right_ts="admission_ts",
-        hours=R.REFERRAL_HOURS, left_id="visit_id",
+        hours=R.REFERRAL_HOURS, left_id="visit_id", segments=segs,
     ).withColumn("wait_time_mins", minutes_between("arrival_ts", "service_start_ts"))
     return triage_summary(vd)
 
