@@ -63,9 +63,9 @@ class DeleteResult:
         """One row per table: ``table_name, removed_rows, blocking_rows``."""
         parts = []
         for t in self.tables:
-            r = self.removed[t].agg(F.count(F.lit(1)).alias("removed_rows"))
-            b = self.blocked[t].agg(F.count(F.lit(1)).alias("blocking_rows"))
-            parts.append(r.crossJoin(b).select(F.lit(t).alias("table_name"), "removed_rows", "blocking_rows"))
+            blocking = self.blocked[t].agg(F.count(F.lit(1))).scalar()  # a scalar subquery, no join
+            parts.append(self.removed[t].agg(F.count(F.lit(1)).alias("removed_rows")).select(
+                F.lit(t).alias("table_name"), "removed_rows", blocking.alias("blocking_rows")))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)

@@ -215,12 +215,12 @@ def consecutive_equal(counts: DataFrame, code: Sequence[str], period: str, measu
 def gap_to_max(counts: DataFrame, measure: str, gap: int, max_col: str = "max_value") -> DataFrame:
     """Rows with ``measure <= max(measure) - gap``, with the maximum attached.
 
-    The maximum is a one-row aggregate, cross-joined as a broadcast: one row is
-    a proven bound, and no window without partitioning forces all rows into one
-    task.
+    The maximum is a scalar subquery (one partial + final aggregate, run once
+    and used as a value): no join, and no unpartitioned window forcing all rows
+    into one task.
     """
-    mx = counts.agg(F.max(measure).alias(max_col))
-    return counts.crossJoin(F.broadcast(mx)).filter(F.col(measure) <= F.col(max_col) - gap)
+    mx = counts.agg(F.max(measure)).scalar()
+    return counts.filter(F.col(measure) <= mx - gap).withColumn(max_col, mx)
 
 
 def distinct_counts(

@@ -17,7 +17,7 @@ Q7  two distinct counts from two pre-aggregated branches
 Q8  anti join against the day's roster
 Q9  patient-year day totals, then salted self pairs on (year, total)
 Q10 distinct substances per stay, pair counts, top-k, names last
-Q11 per-chief counts against the (broadcast, one-row) maximum
+Q11 per-chief counts against the maximum, a scalar subquery
 Q12 week as a date range, roster joins, subtype left joins, grouped count
 Q13 iterative ancestor walk with checkpoints
 Q14 per-code yearly counts, next year via lead over each code's years
