@@ -63,9 +63,14 @@ class DeleteResult:
         """One row per table: ``table_name, removed_rows, blocking_rows``."""
         parts = []
         for t in self.tables:
-            blocking = self.blocked[t].agg(F.count(F.lit(1))).scalar()  # a scalar subquery, no join
-            parts.append(self.removed[t].agg(F.count(F.lit(1)).alias("removed_rows")).select(
-                F.lit(t).alias("table_name"), "removed_rows", blocking.alias("blocking_rows")))
+            # one aggregate over both row sets, tagged: no join and no extra job per count
+            tagged = self.removed[t].select(F.lit(1).alias("__r"), F.lit(0).alias("__b")).unionByName(
+                self.blocked[t].select(F.lit(0).alias("__r"), F.lit(1).alias("__b")))
+            parts.append(tagged.agg(
+                F.lit(t).alias("table_name"),
+                F.coalesce(F.sum("__r"), F.lit(0)).cast("long").alias("removed_rows"),
+                F.coalesce(F.sum("__b"), F.lit(0)).cast("long").alias("blocking_rows"),
+            ))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
