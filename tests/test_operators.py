@@ -302,3 +302,21 @@ def test_propagate_delete_seed_by_key_counts_each_row_once(spark, hospital):
     res = propagate_delete(hospital, FOREIGN_KEYS, deletes, keys)
     assert res.removed["hospitalization"].count() == 1
     assert res.removed["procedure_event"].count() == 3  # events 1, 2 and 6, event 1 once
+
+
+def test_in_week_and_in_year_match_iso_calendar(spark):
+    from wardline.functions.calendar import in_year
+
+    rnd = random.Random(12)
+    days = [dt.date(1990, 1, 1) + dt.timedelta(days=rnd.randrange(0, 365 * 50)) for _ in range(2000)]
+    days += [dt.date(2020, 12, 28) + dt.timedelta(days=i) for i in range(14)]  # ISO week 53 of 2020
+    refs = [dt.date(2020, 12, 31), dt.date(2021, 1, 3), dt.date(2021, 1, 4), dt.date(2024, 12, 30), dt.date(1999, 6, 15)]
+    df = spark.createDataFrame([(d, dt.datetime(d.year, d.month, d.day, 13, 30)) for d in days], "d date, t timestamp_ntz")
+    cols = [in_week("d", r, timestamp=False).alias(f"w{i}") for i, r in enumerate(refs)]
+    cols += [in_week("t", r).alias(f"tw{i}") for i, r in enumerate(refs)]
+    cols += [in_year("t", r.year).alias(f"y{i}") for i, r in enumerate(refs)]
+    for row in df.select("d", *cols).collect():
+        for i, r in enumerate(refs):
+            same_week = row.d.isocalendar()[:2] == r.isocalendar()[:2]
+            assert row[f"w{i}"] == same_week == row[f"tw{i}"], (row.d, r)
+            assert row[f"y{i}"] == (row.d.year == r.year)
