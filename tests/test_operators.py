@@ -320,3 +320,19 @@ def test_in_week_and_in_year_match_iso_calendar(spark):
             same_week = row.d.isocalendar()[:2] == r.isocalendar()[:2]
             assert row[f"w{i}"] == same_week == row[f"tw{i}"], (row.d, r)
             assert row[f"y{i}"] == (row.d.year == r.year)
+
+
+def test_minutes_between_truncates_like_timestampdiff(spark):
+    rnd = random.Random(21)
+    pairs = []
+    for _ in range(2000):
+        a = BASE + dt.timedelta(microseconds=rnd.randrange(0, 10**13))
+        b = a + dt.timedelta(microseconds=rnd.randrange(-10**11, 10**11))
+        pairs.append((a, b))
+    pairs += [(BASE, BASE + dt.timedelta(seconds=119)), (BASE, BASE - dt.timedelta(seconds=119)),
+              (BASE, BASE + dt.timedelta(minutes=1)), (BASE, BASE - dt.timedelta(minutes=1, microseconds=1))]
+    df = spark.createDataFrame(pairs, "a timestamp_ntz, b timestamp_ntz")
+    for r in df.select("a", "b", minutes_between("a", "b").alias("m")).collect():
+        micros = (r.b - r.a) // dt.timedelta(microseconds=1)
+        want = abs(micros) // 60_000_000 * (1 if micros >= 0 else -1)
+        assert r.m == want, (r.a, r.b, r.m, want)
