@@ -15,3 +15,14 @@ def test_cli_report_and_audit(spark, hospital, tmp_path):
     assert spark.read.parquet(str(tmp_path / "q8")).count() == 7
     assert main(["rules", "--root", root, "--out", str(tmp_path / "rules")]) == 0
     assert spark.read.parquet(str(tmp_path / "rules")).count() > 0
+
+
+def test_cli_keeps_leading_zero_keys():
+    import datetime as dt
+
+    from wardline.__main__ import _value
+
+    assert _value("01234567890") == "01234567890"
+    assert _value("1") == 1 and _value("-3") == -3
+    assert _value("2025-05-20") == dt.date(2025, 5, 20)
+    assert _value("Χειρουργική") == "Χειρουργική"

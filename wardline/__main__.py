@@ -22,12 +22,16 @@ from pyspark.sql import SparkSession
 
 
 def _value(text: str):
-    for parse in (lambda s: dt.date.fromisoformat(s), int):
-        try:
-            return parse(text)
-        except ValueError:
-            pass
-    return text
+    """A date (YYYY-MM-DD), an integer written without leading zeros, or the text itself (keys like 01234567890)."""
+    try:
+        return dt.date.fromisoformat(text)
+    except ValueError:
+        pass
+    try:
+        number = int(text)
+    except ValueError:
+        return text
+    return number if str(number) == text else text
 
 
 def main(argv: list[str] | None = None) -> int:
