@@ -13,7 +13,7 @@ def test_cli_report_and_audit(spark, hospital, tmp_path):
     assert spark.read.parquet(str(tmp_path / "q15")).count() == 4  # level 2 in two departments, levels 1 and 3
     assert main(["Q8", "--root", root, "--arg", "2025-05-20", "--arg", "1", "--out", str(tmp_path / "q8")]) == 0
     assert spark.read.parquet(str(tmp_path / "q8")).count() == 7
-    assert main(["rules", "--root", root, "--out", str(tmp_path / "rules")]) == 0
+    assert main(["rules", "--root", root, "--suffix", "", "--out", str(tmp_path / "rules")]) == 0
     assert spark.read.parquet(str(tmp_path / "rules")).count() > 0
 
 

@@ -47,6 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", help="write the result as parquet here instead of showing it")
     ap.add_argument("--show", type=int, default=20, help="rows to show when --out is not given")
     ap.add_argument("--master", help="Spark master; default: the submitting cluster's, else local[*]")
+    ap.add_argument("--suffix", help="table folder suffix, e.g. '' or '.parquet' (default: detect on a local root)")
     ns = ap.parse_args(argv)
 
     if ns.master:
@@ -56,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         spark = local_session()
     ensure_checkpoint_dir(spark)
-    tables = TableSet(spark, ns.root, schemas=SCHEMAS, spread_keys={})
+    tables = TableSet(spark, ns.root, schemas=SCHEMAS, spread_keys={}, suffix=ns.suffix)
     what = ns.what.upper()
     if what in reports.REPORTS:
         df = reports.REPORTS[what](tables, *[_value(a) for a in ns.arg])

@@ -32,6 +32,8 @@ class TableSet:
 
     ``tables['orders']`` returns a DataFrame; nothing is read until an action.
     ``schemas`` may pin a StructType per table (the hospital schema does).
+    ``suffix`` names the folder suffix (``""`` for folders written by
+    ``write_hospital``, ``".parquet"`` for the test tables).
 
     ``spread_keys`` names a well-spread key per table.  When a table's files
     yield fewer scan partitions than the session's default parallelism (one
@@ -47,14 +49,20 @@ class TableSet:
         root: str,
         schemas: dict[str, StructType] | None = None,
         spread_keys: dict[str, tuple[str, ...]] | None = None,
+        suffix: str | None = None,
     ):
         self.spark = spark
+        self.suffix = suffix
         self.root = root.rstrip("/")
         self.schemas = schemas or {}
         self.spread_keys = TEST_SPREAD_KEYS if spread_keys is None else spread_keys
         self._cache: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
+        """``root/<name><suffix>``; with no suffix given, a local root is checked for
+        ``<name>.parquet`` and then ``<name>`` (a remote root assumes ``.parquet``)."""
+        if self.suffix is not None:
+            return f"{self.root}/{name}{self.suffix}"
         p = f"{self.root}/{name}.parquet"
         if not p.startswith(("s3", "gs", "abfs", "hdfs", "file:", "dbfs")) and not os.path.exists(p):
             alt = f"{self.root}/{name}"
