@@ -204,11 +204,13 @@ def propagate_key_change(
 ) -> KeyChangeResult:
     """Apply ``key_map`` (``old_key``, ``new_key``) to ``table.col`` and every column that cascades from it.
 
-    Each reached column gets a left join to the map (broadcast when a bounded
-    count proves the map small) and ``coalesce(new_key, old)``.
+    Each reached column gets a left join to the map (broadcast when a count
+    proves the map small) and ``coalesce(new_key, old)``.  ``old_key`` must be
+    unique in the map (exact duplicate rows are dropped); a key mapped to two
+    new values has no meaning, as in an UPDATE.
     """
     reached = key_columns_reached(fks, table, col)
-    m = small_side(key_map.select("old_key", "new_key"))
+    m = small_side(key_map.select("old_key", "new_key").distinct())
     new_tables, changed = {}, {}
     for t, df in tables.items():
         cols = reached.get(t, [])
