@@ -583,6 +583,26 @@ def ingest_gate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{run}/out/rejected").select("event_id", "rule")
 
 
+def role_conflict_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7's shape: line items whose supplier key equals their own order's customer key (lead listed as member)."""
+    from wardline.plans.rules import role_conflicts
+
+    t = _t(spark, sf_dir)
+    members = t["lineitem"].select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("person_key"))
+    leads = t["orders"].select("o_orderkey", "o_custkey")
+    return role_conflicts(members, "l_orderkey", "person_key", leads, "o_orderkey", "o_custkey").select(
+        "l_orderkey", "l_linenumber", "person_key")
+
+
+def forbidden_member_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8's shape: line items supplied by a supplier in a forbidden category (negative balance)."""
+    from wardline.plans.rules import forbidden_members
+
+    t = _t(spark, sf_dir)
+    members = t["lineitem"].select("l_orderkey", "l_linenumber", "l_suppkey")
+    return forbidden_members(members, "l_suppkey", t["supplier"], "s_suppkey", F.col("s_acctbal") < 0)
+
+
 def mismatch_lookup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     li = t["lineitem"].filter(F.col("l_linestatus") != "F").select("l_orderkey", "l_linenumber", "l_linestatus")
@@ -629,4 +649,6 @@ QUERIES: dict[str, Query] = {
     "cross_overlap": cross_overlap_q,
     "supervision_checks": supervision_checks_q,
     "ingest_gate": ingest_gate_q,
+    "role_conflict": role_conflict_q,
+    "forbidden_member": forbidden_member_q,
 }

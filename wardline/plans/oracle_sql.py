@@ -448,3 +448,15 @@ WHERE EXISTS (SELECT 1 FROM iv b WHERE b.user_id = a.user_id AND b.event_id < a.
 UNION ALL
 SELECT event_id, 'unknown_user' FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)
 """
+
+ORACLE_SQL["role_conflict"] = """
+SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey AS person_key
+FROM lineitem l
+WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_custkey = l.l_suppkey)
+"""
+
+ORACLE_SQL["forbidden_member"] = """
+SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey
+FROM lineitem l
+WHERE l.l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)
+"""

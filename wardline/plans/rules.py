@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -127,18 +127,29 @@ def place_type_mismatch_rows(tables: Tables) -> DataFrame:
     return j.filter(F.col("required_place_type") != F.col("place_type"))
 
 
+def role_conflicts(members: DataFrame, event: str, person: str, leads: DataFrame, lead_event: str, lead: str) -> DataFrame:
+    """Rows of ``members`` whose person is also the lead of the same event (a semi join on both keys)."""
+    ld = leads.select(F.col(lead_event).alias(event), F.col(lead).alias(person))
+    return members.join(ld, [event, person], "left_semi")
+
+
+def forbidden_members(members: DataFrame, person: str, people: DataFrame, key: str, forbidden: Column) -> DataFrame:
+    """Rows of ``members`` whose person falls in a forbidden category (a semi join to the filtered people)."""
+    bad = people.filter(forbidden).select(F.col(key).alias(person))
+    return members.join(bad, person, "left_semi")
+
+
 def chief_is_participant_rows(tables: Tables) -> DataFrame:
     """T7: the chief surgeon also listed as a participant of the same procedure."""
     pp = tables["procedure_participant"].select("procedure_event_id", "personnel_amka")
-    ev = tables["procedure_event"].select("procedure_event_id", F.col("chief_surgeon_amka").alias("personnel_amka"))
-    return pp.join(ev, ["procedure_event_id", "personnel_amka"], "left_semi")
+    return role_conflicts(pp, "procedure_event_id", "personnel_amka", tables["procedure_event"],
+                          "procedure_event_id", "chief_surgeon_amka")
 
 
 def admin_participant_rows(tables: Tables) -> DataFrame:
     """T8: administrative staff listed as procedure participants."""
     pp = tables["procedure_participant"].select("procedure_event_id", "personnel_amka")
-    admins = tables["personnel"].filter(F.col("personnel_type") == "ADMIN").select(F.col("amka").alias("personnel_amka"))
-    return pp.join(admins, "personnel_amka", "left_semi")
+    return forbidden_members(pp, "personnel_amka", tables["personnel"], "amka", F.col("personnel_type") == "ADMIN")
 
 
 def _pair(df: DataFrame, rule: str, what: str) -> DataFrame:
