@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.session import ensure_checkpoint_dir
@@ -82,22 +82,22 @@ def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[l
         yield held, np.zeros(len(held[0]), np.int64)
 
 
-def rank_in_group(df: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
-    """Number rows 0, 1, ... within each group, a group spread over many tasks.
+def running_sum(df: DataFrame, groups: list[str], order: list[Column | str], value: Column, name: str) -> DataFrame:
+    """Add the sum of ``value`` over the rows before this one in its group, a group spread over many tasks.
 
     Rows are range-sorted by (groups, order) and written once; each partition
-    numbers its own part of a group, and the row counts of the parts before it
-    (one row per partition and group) are added.  Nulls form a group of their
-    own and sort first.  Ties are numbered in an arbitrary but fixed order.
+    sums its own part of a group, and the sums of the parts before it (one row
+    per partition and group) are added.  With value 1 this is the row's place
+    from 0 on.  Nulls form a group of their own.  Ties get an arbitrary but
+    fixed order.
     """
-    from pyspark.sql import Window
-
-    part = materialise(df.repartitionByRange(*groups, *order).withColumn("__part", F.spark_partition_id()))
-    here = Window.partitionBy("__part", *groups)
-    counts = part.groupBy(*groups, "__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    numbered = part.withColumn("__row", F.row_number().over(here.orderBy(*order)) - 1)
-    on = [numbered["__part"] == offsets["__part"], *(numbered[g].eqNullSafe(offsets[g]) for g in groups)]
-    joined = numbered.join(offsets, on).select(*(numbered[c] for c in [*df.columns, "__row"]), offsets["__before"])
-    return joined.withColumn(name, (F.col("__row") + F.col("__before")).cast("long")).drop("__row", "__before")
+    ranged = df.withColumn("__value", value.cast("long")).repartitionByRange(*groups, *order)
+    rows = materialise(ranged.withColumn("__part", F.spark_partition_id()))
+    parts = rows.groupBy(*groups, "__part").agg(F.sum("__value").alias("__sum"))
+    earlier = Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.withColumn("__before", F.coalesce(F.sum("__sum").over(earlier), F.lit(0))).drop("__sum")
+    above = Window.partitionBy(*groups, "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__above", F.coalesce(F.sum("__value").over(above), F.lit(0)))
+    on = [rows["__part"] == offsets["__part"], *(rows[g].eqNullSafe(offsets[g]) for g in groups)]
+    out = rows.join(offsets, on).select(*(rows[c] for c in df.columns), (F.col("__above") + F.col("__before")).alias(name))
+    return out

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact_dedup, simhash
+from wardline.llm import bpe, exact_dedup, mixing, simhash
 from wardline.llm.common import read
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -21,15 +22,50 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document by a mix of 150% of all words, sources weighing 5, 2, 1 in turn."""
+    return mixing.mixed_words(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded and decoded again with the multi-language ranks."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of every document by its text after A-Z lower-casing; the largest doc_id stays."""
     out = exact_dedup.exact_groups(read(spark, sf_dir, "documents"), keep="largest")
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op5_source_mixing, op7_bpe_round_trip, op9_exact_dedup)}
 
 ORACLE_SQL = {
+    # the taken words in closed form: a document's stretch of its source's line, twice, below the quota
+    "op5_source_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   md5('17|' || doc_id) AS h FROM documents),
+        s AS (
+            SELECT source, sum(size) AS source_size,
+                   [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) + 1]::DOUBLE AS w
+            FROM d GROUP BY source),
+        r AS (
+            SELECT *, 2.0 * source_size::DOUBLE AS cap, 1.5 * (sum(source_size) OVER ())::DOUBLE AS goal,
+                   row_number() OVER (ORDER BY 2.0 * source_size::DOUBLE / w, source) AS k FROM s),
+        c AS (
+            SELECT *, coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+                   sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left FROM r),
+        l AS (SELECT min_by((goal - before) / weight_left, k) AS level FROM c WHERE cap >= w * ((goal - before) / weight_left)),
+        t AS (SELECT source, source_size, least(cap, w * level) AS target FROM c, l),
+        p AS (
+            SELECT d.doc_id, d.size, t.source_size::BIGINT AS source_size, t.target, floor(t.target)::BIGINT AS quota,
+                   (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.size, d.doc_id) - d.size)::BIGINT AS a
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, source_size, target,
+               (greatest(least(a + size, quota) - a, 0) + greatest(least(a + source_size + size, quota) - a - source_size, 0))::BIGINT AS taken
+        FROM p""",
     "op9_exact_dedup": f"""
         WITH t AS (SELECT doc_id, {LOWER} AS txt FROM documents),
         g AS (SELECT txt, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY txt)
