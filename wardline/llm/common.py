@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def materialise(df: DataFrame) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut an Arrow batch so that each piece holds about ``limit`` bytes of ``column`` (one row at least)."""
-    sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).to_pylist()
     start, held = 0, 0
     for i, n in enumerate(sizes):
         if held and held + (n or 0) > limit:
