@@ -6,12 +6,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, exact_dedup, mixing, simhash
+from wardline.llm import bpe, exact_dedup, grid_join, licenses, mixing, quality, simhash, url_rules
 from wardline.llm.common import read
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+# Host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of a third of the ids are held out."""
+    docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
+    out = quality.classify(docs, labels)
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, links at 4 or fewer differing bits."""
     out = simhash.simhash_groups(read(spark, sf_dir, "documents"))
@@ -22,26 +40,102 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page; the longest of five rules decides, else allow."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.apply_rules(read(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by a mix of 150% of all words, sources weighing 5, 2, 1 in turn."""
     return mixing.mixed_words(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector: cosine of at least 0.93 within a label."""
+    out = grid_join.near_vectors(read(spark, sf_dir, "embeddings"), threshold=0.93)
+    return out.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), F.expr("id = component").alias("kept")
+    )
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded again with the multi-language ranks."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trip(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences, rules and licences of every document."""
+    out = licenses.scan(read(spark, sf_dir, "documents"))
+    line = lambda c: F.array_join(c, ",").alias(c)
+    return out.select(F.col("id").alias("doc_id"), line("sentences"), line("rules"), line("licences"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of every document by its text after A-Z lower-casing; the largest doc_id stays."""
     out = exact_dedup.exact_groups(read(spark, sf_dir, "documents"), keep="largest")
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op5_source_mixing, op7_bpe_round_trip, op9_exact_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_classifier,
+        op2_simhash_near_dedup,
+        op4_url_filter,
+        op5_source_mixing,
+        op6_embedding_near_dedup,
+        op7_bpe_round_trip,
+        op8_license_scan,
+        op9_exact_dedup,
+    )
+}
+
+
+def _licence_sql() -> str:
+    """Known sentences found one by one, rules by comparing places, not by a pattern over the identifier line."""
+    known = ", ".join(f"('{name}', '{s}')" for name, s in licenses.SENTENCES.items())
+    steps = ", ".join(f"('{rule}', '{lic}', {i}, '{s}')" for rule, lic, parts in licenses.RULES for i, s in enumerate(parts))
+    most = max(len(parts) for _, _, parts in licenses.RULES)
+    return rf"""
+        WITH RECURSIVE known(name, sentence) AS (VALUES {known}),
+        step(rule, licence, i, name) AS (VALUES {steps}),
+        cut AS (
+            SELECT doc_id, generate_subscripts(a, 1) AS pos, unnest(a) AS s
+            FROM (SELECT doc_id, regexp_split_to_array(text, '[.!?:;]+(?:\s+|$)|[\r\n]+') AS a FROM documents WHERE text ILIKE '%licen%'
+                  OR text ILIKE '%copyright%' OR text ILIKE '%redistribut%' OR text ILIKE '%warrant%')),
+        hit AS (
+            SELECT doc_id, pos, name FROM cut JOIN known ON sentence = trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))),
+        walk(doc_id, rule, licence, i, pos) AS (
+            SELECT doc_id, rule, licence, 0, min(pos) FROM hit JOIN step USING (name) WHERE i = 0 GROUP BY ALL
+            UNION ALL
+            SELECT w.doc_id, w.rule, w.licence, w.i + 1,
+                   (SELECT min(h.pos) FROM hit h WHERE h.doc_id = w.doc_id AND h.pos > w.pos AND h.name = s.name) AS nxt
+            FROM walk w JOIN step s ON s.rule = w.rule AND s.i = w.i + 1
+            WHERE w.pos IS NOT NULL AND w.i < {most}),
+        done AS (
+            SELECT w.doc_id, w.rule, w.licence FROM walk w
+            WHERE w.pos IS NOT NULL AND w.i = (SELECT max(i) FROM step s WHERE s.rule = w.rule)),
+        r AS (SELECT doc_id, string_agg(DISTINCT rule, ',' ORDER BY rule) AS rules,
+                     string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences FROM done GROUP BY doc_id),
+        q AS (SELECT doc_id, string_agg(name, ',' ORDER BY pos) AS sentences FROM hit GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(q.sentences, '') AS sentences, coalesce(r.rules, '') AS rules, coalesce(r.licences, '') AS licences
+        FROM documents d LEFT JOIN q ON q.doc_id = d.doc_id LEFT JOIN r ON r.doc_id = d.doc_id"""
+
 
 ORACLE_SQL = {
+    "op4_url_filter": """
+        WITH r(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                                   ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+        u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        s AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
+        SELECT page_id, any_value(host) AS host, any_value(path) AS path,
+               max_by(h || p, length(h || p)) AS rule, coalesce(max_by(v, length(h || p)), 'allow') AS verdict
+        FROM s LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+        GROUP BY page_id""",
+    "op8_license_scan": _licence_sql(),
     # the taken words in closed form: a document's stretch of its source's line, twice, below the quota
     "op5_source_mixing": r"""
         WITH d AS (
