@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator, Sequence
+from hashlib import sha256
 from itertools import chain
 
 import numpy as np
@@ -27,6 +28,7 @@ from wardline.llm.common import ship, slices
 
 WIDTHS = (8, 16, 32)  # bytes of the matches that are merged many at a time
 CACHE = 300_000  # encoded matches that a worker remembers
+SLICE = 1 << 20  # bytes of text that are cut into matches at a time, one text at least
 ROWS = 20_000  # matches merged at a time
 NONE = np.int64(1) << 62
 
@@ -37,7 +39,6 @@ class Vocabulary:
     def __init__(self, lines: bytes, pattern: str):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines()) if a}
         size = max(self.ranks.values()) + 1
-        self.ids = list(range(size))  # one object per id, shared by all cached matches
         self.bytes = [b""] * size
         for token, rank in self.ranks.items():
             self.bytes[rank] = token
@@ -56,7 +57,7 @@ class Vocabulary:
         self.pair_ranks = np.array([*(pairs[k] for k in order), 0], np.int64)
         both = self.single[:, None] * size + self.single[None, :]
         self.byte_pairs = self.pair_rank(both // size, both % size).ravel()
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}  # ids of a match as 32-bit numbers
 
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Ranks of pairs of ids, NONE where they don't merge."""
@@ -104,8 +105,8 @@ class Vocabulary:
             i = after[i]
         return out
 
-    def encode_short(self, pieces: Sequence[bytes], width: int) -> list[list[int]]:
-        """Ids of many matches of at most ``width`` bytes (a power of two): row k of flat arrays is match k's tree."""
+    def encode_short(self, pieces: Sequence[bytes], width: int) -> list[bytes]:
+        """Ids (32-bit numbers) of many matches of at most ``width`` bytes (a power of two): row k of flat arrays is match k's tree."""
         n = len(pieces)
         raw = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in pieces]), np.uint8).reshape(n, width)
         length = np.fromiter(map(len, pieces), np.int64, n)[:, None]
@@ -152,33 +153,32 @@ class Vocabulary:
             has = prev >= 0
             put(row[has], prev[has], value(row[has], prev[has]))
             row = row[tree[row * (2 * width) + 1] < NONE]
-        flat = token[live].tolist()
-        ends = np.cumsum(live.reshape(n, width).sum(axis=1)).tolist()
+        flat = token[live].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(live.reshape(n, width).sum(axis=1))).tolist()
         return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def learn(self, pieces: set[str]) -> None:
         """Put the ids of matches into the cache."""
         if len(self.cache) + len(pieces) > CACHE:
             self.cache.clear()
-        ids, by_width = self.ids, {w: [] for w in WIDTHS}
+        by_width = {w: [] for w in WIDTHS}
         for piece in pieces:
             raw = piece.encode()
             rank = self.ranks.get(raw)
             width = next((w for w in WIDTHS if len(raw) <= w), None)
             if rank is not None:
-                self.cache[piece] = (ids[rank],)
+                self.cache[piece] = rank.to_bytes(4, "little")
             elif width:
                 by_width[width].append((piece, raw))
             else:
-                self.cache[piece] = tuple(self.encode_long(raw))
+                self.cache[piece] = np.array(self.encode_long(raw), "<i4").tobytes()
         for width, some in by_width.items():
             for i in range(0, len(some), ROWS):
                 part = some[i : i + ROWS]
-                for (piece, _), got in zip(part, self.encode_short([raw for _, raw in part], width), strict=True):
-                    self.cache[piece] = tuple([ids[x] for x in got])
+                self.cache.update(zip((piece for piece, _ in part), self.encode_short([raw for _, raw in part], width), strict=True))
 
-    def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one array, and each text's number of ids."""
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Ids of every text."""
         cut = [self.pattern.findall(t) for t in texts]
         seen = set(chain.from_iterable(cut))
         missing = seen - self.cache.keys()
@@ -187,9 +187,11 @@ class Vocabulary:
         if missing:
             self.learn(missing)
         known = self.cache.__getitem__
-        each = [list(chain.from_iterable(map(known, pieces))) for pieces in cut]
-        counts = np.fromiter(map(len, each), np.int64, len(each))
-        return np.fromiter(chain.from_iterable(each), np.int32, int(counts.sum())), counts
+        return [np.frombuffer(b"".join(map(known, pieces)), "<i4") for pieces in cut]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """Bytes of a sequence of ids."""
+        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
 
 
 _LOADED: dict[int, Vocabulary] = {}  # one per worker process and rank file
@@ -214,10 +216,10 @@ def encode(df: DataFrame, ranks: str, pattern: str, text_col: str = "text", name
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _vocabulary(lines.value, pattern)
         for batch in batches:
-            for part in slices(batch, text_col, 2 << 20):
-                flat, counts = words.encode([t or "" for t in part.column(text_col).to_pylist()])
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            for part in slices(batch, text_col, SLICE):
+                found = words.encode([t or "" for t in part.column(text_col).to_pylist()])
+                offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, name])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))]))
@@ -243,12 +245,30 @@ def decode(df: DataFrame, ranks: str, ids_col: str = "ids", name: str = "decoded
 
 
 def round_trip(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row ``id, n_tokens, ids_sha256, decoded_sha256``: the text encoded, the ids decoded again, both digested."""
+    """Per row ``id, n_tokens, ids_sha256, decoded_sha256``: the text encoded, the ids decoded again, both digested.
+
+    Encoder and decoder share a pass, so the ids, larger than the text, stay in
+    the worker.  Null and empty texts have no ids; repeated rows and null ids
+    are rows of their own; extra columns are ignored.
+    """
+    ship(df.sparkSession)
+    with open(ranks, "rb") as f:
+        lines = df.sparkSession.sparkContext.broadcast(f.read())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _vocabulary(lines.value, pattern)
+        number = list(map(str, range(words.size)))
+        for batch in batches:
+            for part in slices(batch, "text", SLICE):
+                counts, coded, decoded = [], [], []
+                for ids in words.encode([t or "" for t in part.column("text").to_pylist()]):
+                    counts.append(len(ids))
+                    coded.append(sha256(",".join(map(number.__getitem__, ids.tolist())).encode()).hexdigest())
+                    decoded.append(sha256(words.decode(ids)).hexdigest())
+                cols = [part.column("id"), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    coded = encode(rows, ranks, pattern).select("id", "ids")
-    return decode(coded, ranks).select(
-        "id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    names = ("ids_sha256", "decoded_sha256")
+    fields = [T.StructField("n_tokens", T.LongType()), *(T.StructField(n, T.StringType()) for n in names)]
+    return rows.mapInArrow(run, T.StructType([rows.schema["id"], *fields]))
