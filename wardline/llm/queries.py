@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, exact_dedup, grid_join, licenses, mixing, quality, simhash, url_rules
+from wardline.llm import bpe, exact_dedup, grid_join, licenses, mixing, quality, simhash, substring_dedup, url_rules
 from wardline.llm.common import read
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -78,6 +78,18 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document without the 50-byte strings that start in a document with a smaller doc_id."""
+    out = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,6 +101,7 @@ QUERIES = {
         op7_bpe_round_trip,
         op8_license_scan,
         op9_exact_dedup,
+        op10_substring_dedup,
     )
 }
 
