@@ -175,7 +175,7 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def classify(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """``documents`` plus ``score``; labels of held-out ids aren't read.  An empty document table gives an empty result."""
+def classify(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", name: str = "score") -> DataFrame:
+    """``documents`` plus ``name``; labels of held-out ids are never learnt.  An empty document table gives an empty result."""
     learn = labels.where(~held_out(F.col(id_col))).select(id_col, F.col(label_col).alias("label"))
-    return score(documents, fit(documents, learn, id_col, text_col), text_col)
+    return score(documents, fit(documents, learn, id_col, text_col), text_col, name)

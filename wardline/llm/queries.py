@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, exact_dedup, grid_join, licenses, mixing, quality, simhash, substring_dedup, url_rules
+from wardline.llm import bpe, exact_dedup, grid_join, licenses, mixing, quality, simhash, substring_dedup, tool_chat, url_rules
 from wardline.llm.common import read
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -40,6 +40,30 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOOLS = {"reply": {"properties": {"prompt": {"type": "string", "minLength": 1}}, "required": ["prompt"], "additionalProperties": False}}
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as linked calls and results.
+
+    The table has no tool calls of its own, so each user turn is stated as a
+    call of the tool ``reply`` with its text as the argument, and each
+    assistant turn as the result of the call one turn before.
+    """
+    chats = read(spark, sf_dir, "conversations")
+    call = F.struct(F.col("turn").cast("string").alias("id"), F.lit("reply").alias("name"), F.struct(F.col("text").alias("prompt")).alias("arguments"))
+    asked = F.to_json(F.struct(F.array(call).alias("tool_calls")))
+    answer = F.to_json(F.struct((F.col("turn") - 1).cast("string").alias("tool_call_id"), F.col("text").alias("content")))
+    stated = chats.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("role") == "user", asked).when(F.col("role") == "assistant", answer).otherwise(F.col("text")).alias("text"),
+    )
+    out = tool_chat.format_chats(stated, TOOLS)
+    return out.select(F.col("conv").alias("conv_id"), "turn", "kind", "call_id", "status", "error", "position", "json")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the url of every page; the longest of five rules decides, else allow."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -95,6 +119,7 @@ QUERIES = {
     for f in (
         op1_quality_classifier,
         op2_simhash_near_dedup,
+        op3_chat_format,
         op4_url_filter,
         op5_source_mixing,
         op6_embedding_near_dedup,
@@ -138,6 +163,25 @@ def _licence_sql() -> str:
 
 
 ORACLE_SQL = {
+    # turns are distinct within a conversation here, so a call's place is its turn's
+    "op3_chat_format": """
+        WITH c AS (SELECT *, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+                          CASE role WHEN 'user' THEN turn WHEN 'assistant' THEN turn - 1 END::VARCHAR AS call_id FROM conversations),
+        s AS (SELECT *, CASE
+                 WHEN kind = 'call' AND EXISTS (SELECT 1 FROM c r WHERE r.conv_id = c.conv_id AND r.kind = 'result' AND r.call_id = c.call_id) THEN 'answered'
+                 WHEN kind = 'call' THEN 'open'
+                 WHEN kind = 'result' AND EXISTS (SELECT 1 FROM c r WHERE r.conv_id = c.conv_id AND r.kind = 'call' AND r.call_id = c.call_id) THEN 'linked'
+                 WHEN kind = 'result' THEN 'orphan' ELSE 'plain' END AS status,
+                 CASE WHEN kind = 'call' AND text = '' THEN '$.prompt: too short'
+                      WHEN kind = 'call' AND text IS NULL THEN '$.prompt: missing' END AS error FROM c)
+        SELECT conv_id, turn, kind, call_id, status, error,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn, kind, text) - 1 AS position,
+               CASE kind
+                 WHEN 'call' THEN '{"arguments":{"prompt":' || to_json(text) || '},"error":' || coalesce(to_json(error), 'null')
+                      || ',"id":"' || call_id || '","kind":"call","name":"reply","role":"assistant","status":"' || status || '"}'
+                 WHEN 'result' THEN '{"content":' || to_json(text) || ',"id":"' || call_id || '","kind":"result","role":"tool","status":"' || status || '"}'
+                 ELSE '{"kind":"message","role":' || to_json(role) || ',"status":"plain","text":' || to_json(text) || '}' END AS json
+        FROM s""",
     "op4_url_filter": """
         WITH r(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
                                    ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
