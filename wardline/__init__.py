@@ -6,9 +6,9 @@ sources/    table schemas, constraint catalogue, parquet readers and writers
 functions/  column helpers (calendar ranges, exact decimal rounding)
 operators/  reusable relational operators (interval join, overlap, pairs,
             hierarchy walk, audits, delete/key propagation, id assignment,
-            per-key time segments for skew)
+            range-ordered parts and grid joins for skew)
 plans/      the reports and rule suites built from the operators, their
-            test-table stand-ins with SQL twins, and explain_analyze
+            test-table stand-ins with SQL twins
 streaming/  the ingest gate that runs the rule suite on a Structured Stream
 
 ``python -m wardline`` runs a report or the audit suite from the command line.

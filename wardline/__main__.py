@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         spark = local_session()
     ensure_checkpoint_dir(spark)
-    tables = TableSet(spark, ns.root, schemas=SCHEMAS, spread_keys={}, suffix=ns.suffix)
+    tables = TableSet(spark, ns.root, schemas=SCHEMAS, suffix=ns.suffix)
     what = ns.what.upper()
     if what in reports.REPORTS:
         df = reports.REPORTS[what](tables, *[_value(a) for a in ns.arg])

@@ -29,10 +29,12 @@ def scaled_half_up(num: ColumnOrName, den: ColumnOrName, digits: int) -> Column:
     """
     n = _col(num).cast("decimal(38,0)")
     d = _col(den).cast("decimal(38,0)")
+    twice = F.when(d > 0, d * 2).cast("decimal(38,0)")
     scale = F.lit(10**digits).cast("decimal(38,0)")
     q = (F.abs(n) * scale * 2 + d).cast("decimal(38,0)")
-    mag = F.floor(q / (d * 2)).cast("long")
-    return F.when(d > 0, F.signum(n).cast("long") * mag)
+    # without its remainder q divides evenly, so the decimal division has nothing to round
+    mag = ((q - q % twice).cast("decimal(38,0)") / twice).cast("long")
+    return F.signum(n).cast("long") * mag
 
 
 def unscale(scaled: ColumnOrName, digits: int) -> Column:

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a local test session needs; a cluster session keeps its own.
 LOCAL_DEFAULTS = {
@@ -38,11 +39,11 @@ def local_session(cores: int | str = "*", app: str = "wardline") -> SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting a scratch one only if none is configured.
+    """Return the reliable checkpoint folder, setting a scratch one only in a local session without one.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value is
-    used as is.  Only a session without one (a local test) gets a fresh
-    ``mktemp``-style folder.
+    used as is.  A cluster session without it raises: a folder of one machine
+    would be lost, or unseen, on the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +51,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="wardline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` once into the shared checkpoint folder and read it back.
+
+    Cuts lineage like ``checkpoint()``, but runs the plan once, stores columns
+    compressed, and gives the planner true sizes.  Values that depend on the
+    partitioning (partition numbers, row tags) are fixed by it.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/wardline-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -19,13 +19,6 @@ TEST_TABLES = (
 ).split()
 
 
-# Leading key column of the large test tables: used to spread a table whose
-# files give fewer scan partitions than the session has cores (see
-# ``TableSet``).  Dimension tables are left alone: they are broadcast anyway.
-TEST_SPREAD_KEYS = {
-    "lineitem": ("l_orderkey",), "orders": ("o_orderkey",), "events": ("event_id",),
-}
-
 
 class TableSet:
     """Lazy access to one folder of ``<name>.parquet`` tables.
@@ -34,13 +27,6 @@ class TableSet:
     ``schemas`` may pin a StructType per table (the hospital schema does).
     ``suffix`` names the folder suffix (``""`` for folders written by
     ``write_hospital``, ``".parquet"`` for the test tables).
-
-    ``spread_keys`` names a well-spread key per table.  When a table's files
-    yield fewer scan partitions than the session's default parallelism (one
-    large row group, say), the scan is hash-partitioned on that key so the
-    joins and partial aggregates that follow run on every core instead of one.
-    On a cluster reading many files the condition is false and the plan is
-    untouched.  Column pruning and filters still reach the scan below it.
     """
 
     def __init__(
@@ -48,14 +34,12 @@ class TableSet:
         spark: SparkSession,
         root: str,
         schemas: dict[str, StructType] | None = None,
-        spread_keys: dict[str, tuple[str, ...]] | None = None,
         suffix: str | None = None,
     ):
         self.spark = spark
         self.suffix = suffix
         self.root = root.rstrip("/")
         self.schemas = schemas or {}
-        self.spread_keys = TEST_SPREAD_KEYS if spread_keys is None else spread_keys
         self._cache: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
@@ -79,11 +63,6 @@ class TableSet:
             df = reader.parquet(self.path(name))
             if name in self.schemas:  # declared columns only, whatever else the folder holds
                 df = df.select(*self.schemas[name].fieldNames())
-            keys = self.spread_keys.get(name)
-            if keys:
-                cores = self.spark.sparkContext.defaultParallelism
-                if df.rdd.getNumPartitions() < cores:
-                    df = df.repartition(cores, *keys)
             self._cache[name] = df
         return df
 
