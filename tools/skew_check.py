@@ -6,7 +6,7 @@ moved to user 0), then runs "next event of the same user" twice: as a plain
 segments).  For each run it reports the largest and the median number of
 shuffle records read by one task in the busiest stage.
 
-Usage: python tools/skew_check.py [sf_dir] [hot_rows]
+Usage: python tools/skew_check.py [sf_dir] [cell]
 The event log goes to a fresh scratch folder (``mktemp -d``); nothing else is written.
 """
 
@@ -46,7 +46,7 @@ def stage_records(log_dir: str, job_group: str) -> list[tuple[int, list[int]]]:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    hot_rows = int(sys.argv[2]) if len(sys.argv) > 2 else 2000
+    cell = int(sys.argv[2]) if len(sys.argv) > 2 else 200
     log_dir = tempfile.mkdtemp(prefix="wardline-eventlog-")
     spark = (
         SparkSession.builder.master("local[8]")
@@ -75,7 +75,7 @@ def main() -> None:
     plain = skewed.withColumn("nxt", F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
     plain.write.format("noop").mode("overwrite").save()
     sc.setJobGroup("segmented", "next_in_key")
-    seg = next_in_key(skewed, "user_id", "ts", "event_id", "nxt", hot_rows=hot_rows, sample_fraction=1.0)
+    seg = next_in_key(skewed, "user_id", "ts", "event_id", "nxt")
     seg.write.format("noop").mode("overwrite").save()
     sc.setJobGroup("check", "compare results")
     same = plain.select("event_id", "nxt").exceptAll(seg.select("event_id", "nxt")).isEmpty()
@@ -93,14 +93,13 @@ def main() -> None:
     sc.setJobGroup("segmented_join", "interval_join")
     from wardline.operators.joins import interval_join
 
-    sj = interval_join(visits, stays, keys=[("user_id", "su")], left_ts="at", right_ts="st", hours=24,
-                       hot_rows=hot_rows, sample_fraction=1.0)
+    sj = interval_join(visits, stays, keys=[("user_id", "su")], left_ts="at", right_ts="st", hours=24, cell=cell)
     sj.write.format("noop").mode("overwrite").save()
     sc.setJobGroup("check", "compare results")
     same_join = pj.exceptAll(sj.select(*pj.columns)).isEmpty() and sj.select(*pj.columns).exceptAll(pj).isEmpty()
     spark.stop()
 
-    report = {"hot_key_share": round(hot_share, 3), "hot_rows": hot_rows, "same_result": same and same_join}
+    report = {"hot_key_share": round(hot_share, 3), "cell": cell, "same_result": same and same_join}
     for group in ("plain", "segmented", "plain_join", "segmented_join"):
         stages = stage_records(log_dir, group)
         s, recs = max(stages, key=lambda x: (sum(x[1]), max(x[1])))  # the stage that reads every row

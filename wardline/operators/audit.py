@@ -71,14 +71,25 @@ def audit_primary_key(df: DataFrame, table: str, cols: str | Sequence[str], rule
     return dup_rows.unionByName(null_rows)
 
 
-def audit_unique(df: DataFrame, table: str, cols: str | Sequence[str], rule: str | None = None) -> DataFrame:
-    """Values of ``cols`` shared by more than one row; rows with any NULL part are exempt (many NULLs are allowed)."""
+def audit_unique(df: DataFrame, table: str, cols: str | Sequence[str], rule: str | None = None, collation: str | None = None) -> DataFrame:
+    """Values of ``cols`` shared by more than one row; rows with any NULL part are exempt (many NULLs are allowed).
+
+    With ``collation`` (e.g. ``UNICODE_CI_AI_RTRIM``) text that is equal under it is one
+    value, as in a case- and accent-insensitive database; the smallest spelling is shown.
+    """
     cols = _names(cols)
     rule = rule or f"unique({','.join(cols)})"
     not_null = F.lit(True)
     for c in cols:
         not_null = not_null & F.col(c).isNotNull()
-    dups = df.select(*cols).filter(not_null).groupBy(*cols).count().filter(F.col("count") > 1)
+    rows = df.select(*cols).filter(not_null)
+    if collation is None:
+        dups = rows.groupBy(*cols).count()
+    else:
+        text = {f.name for f in rows.schema.fields if f.dataType.typeName() == "string"}
+        by = [(F.collate(F.col(c), collation) if c in text else F.col(c)).alias(f"__u{i}") for i, c in enumerate(cols)]
+        dups = rows.groupBy(*by).agg(F.min(F.struct(*cols)).alias("__v"), F.count(F.lit(1)).alias("count")).select("__v.*", "count")
+    dups = dups.filter(F.col("count") > 1)
     return _shape(dups, rule, table, key_text(cols), F.concat(F.lit("rows="), F.col("count").cast("string")))
 
 
@@ -89,38 +100,69 @@ def _failing(df: DataFrame, table: str, key: Sequence[str], tests: Mapping[str,
     return _shape(hits, F.col("__rule"), table, F.col("__k"), F.lit(detail))
 
 
+def null_tests(cols: Sequence[str]) -> dict[str, Column]:
+    return {f"not_null({c})": F.col(c).isNull() for c in cols}
+
+
+def check_tests(checks: Mapping[str, Column | str]) -> dict[str, Column]:
+    """A condition fails where it is FALSE; NULL (unknown) passes, as in SQL."""
+    conds = {name: F.expr(c) if isinstance(c, str) else c for name, c in checks.items()}
+    return {name: F.coalesce(~c, F.lit(False)) for name, c in conds.items()}
+
+
+def length_tests(limits: Mapping[str, int]) -> dict[str, Column]:
+    return {f"length({c})<={n}": F.coalesce(F.char_length(c) > n, F.lit(False)) for c, n in limits.items()}
+
+
+def decimal_tests(decimals: Mapping[str, tuple[int, int]]) -> dict[str, Column]:
+    """Compared as decimals: text and decimal columns exactly, a DOUBLE by its shortest decimal form."""
+    out = {}
+    for c, (p, s) in decimals.items():
+        exact = F.expr(f"try_cast(cast(`{c}` AS STRING) AS DECIMAL(38,18))")
+        fitted = F.expr(f"try_cast(`{c}` AS DECIMAL({p},{s}))")
+        lost = fitted.isNull() | F.coalesce(fitted.cast("decimal(38,18)") != exact, F.lit(True))
+        out[f"decimal({c},{p},{s})"] = F.col(c).isNotNull() & lost
+    return out
+
+
 def audit_not_null(df: DataFrame, table: str, key: str | Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Rows with NULL in a column declared NOT NULL (one output row per column)."""
-    return _failing(df, table, _names(key), {f"not_null({c})": F.col(c).isNull() for c in cols}, "null")
+    return _failing(df, table, _names(key), null_tests(cols), "null")
 
 
 def audit_check(df: DataFrame, table: str, key: str | Sequence[str], checks: Mapping[str, Column | str]) -> DataFrame:
-    """Rows for which a CHECK condition is FALSE; a NULL (unknown) result passes, as in SQL.
+    """Rows for which a CHECK condition is FALSE.
 
     ``checks`` maps a rule name to a boolean Column or SQL expression string.
     All checks of a table are evaluated in the same pass.
     """
-    tests = {}
-    for name, cond in checks.items():
-        c = F.expr(cond) if isinstance(cond, str) else cond
-        tests[name] = F.coalesce(~c, F.lit(False))
-    return _failing(df, table, _names(key), tests, "check failed")
+    return _failing(df, table, _names(key), check_tests(checks), "check failed")
 
 
 def audit_length(df: DataFrame, table: str, key: str | Sequence[str], limits: Mapping[str, int]) -> DataFrame:
     """Text values longer than the declared ``VARCHAR(n)``/``CHAR(n)`` limit, in characters."""
-    tests = {f"length({c})<={n}": F.coalesce(F.char_length(c) > n, F.lit(False)) for c, n in limits.items()}
-    return _failing(df, table, _names(key), tests, "too long")
+    return _failing(df, table, _names(key), length_tests(limits), "too long")
 
 
 def audit_decimal(df: DataFrame, table: str, key: str | Sequence[str], decimals: Mapping[str, tuple[int, int]]) -> DataFrame:
     """Values that do not fit ``DECIMAL(p, s)``: too many integer digits or more than ``s`` fraction digits."""
-    tests = {}
-    for c, (p, s) in decimals.items():
-        fitted = F.expr(f"try_cast(`{c}` AS DECIMAL({p},{s}))")
-        lost = fitted.isNull() | (fitted.cast("double") != F.col(c).cast("double"))
-        tests[f"decimal({c},{p},{s})"] = F.col(c).isNotNull() & lost
-    return _failing(df, table, _names(key), tests, "does not fit")
+    return _failing(df, table, _names(key), decimal_tests(decimals), "does not fit")
+
+
+def audit_rows(
+    df: DataFrame, table: str, key: str | Sequence[str], *, not_null: Sequence[str] = (),
+    checks: Mapping[str, Column | str] | None = None, lengths: Mapping[str, int] | None = None,
+    decimals: Mapping[str, tuple[int, int]] | None = None,
+) -> DataFrame:
+    """All row-level audits of a table (NOT NULL, CHECK, length, decimal) in one pass."""
+    groups = [("null", null_tests(not_null)), ("check failed", check_tests(checks or {})),
+              ("too long", length_tests(lengths or {})), ("does not fit", decimal_tests(decimals or {}))]
+    hits = [F.when(cond, F.struct(F.lit(name).alias("rule"), F.lit(detail).alias("detail")))
+            for detail, tests in groups for name, cond in tests.items()]
+    if not hits:
+        return empty_audit(df.sparkSession)
+    found = df.select(key_text(_names(key)).alias("__k"), F.explode(F.array_compact(F.array(*hits))).alias("__h"))
+    return _shape(found, F.col("__h.rule"), table, F.col("__k"), F.col("__h.detail"))
 
 
 def audit_foreign_key(

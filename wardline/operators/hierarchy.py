@@ -1,24 +1,23 @@
 """Hierarchy operators over a parent pointer per node (doctor -> supervisor).
 
 Both operators iterate joins with pointer doubling (rounds grow with the
-logarithm of the depth).  Lineage is cut with a reliable ``checkpoint()`` into
-the folder the session names (``spark.checkpoint.dir``), so a lost executor
-recomputes at most one round and the plan does not grow with depth.
+logarithm of the depth).  Each round is written once to the folder the session
+names (``spark.checkpoint.dir``), so a lost executor recomputes at most one
+round and the plan does not grow with depth.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.session import ensure_checkpoint_dir
+from wardline.session import materialise
 
 
-class DepthExceeded(RuntimeError):
-    """Raised when a walk is still extending after ``max_depth`` levels (a cycle, or a deeper tree)."""
+class CycleFound(RuntimeError):
+    """Raised when a walk comes back to the node it started from."""
 
 
 def _names(cols: str | Sequence[str]) -> list[str]:
@@ -29,8 +28,6 @@ def ancestors(
     nodes: DataFrame,
     node: str | Sequence[str],
     parent: str | Sequence[str],
-    *,
-    max_depth: int = 1000,
 ) -> DataFrame:
     """Every node with each node above it, level 1 (the parent) upward.
 
@@ -44,17 +41,14 @@ def ancestors(
     rounds instead of ``d``: with ``jump`` = each node's ancestor exactly ``m``
     levels up and ``closure`` = all pairs up to level ``m``, one round adds the
     pairs at levels ``m+1 .. 2m`` as ``jump`` joined to ``closure`` on the jump
-    target (each pair once), and squares ``jump``.  The jump table is
-    checkpointed each round (its plan would double otherwise); each new band is
-    persisted, its lineage being one join over checkpointed inputs; the closure
-    is the union of the bands.  A chain still extending past ``max_depth`` (a cycle) raises
-    ``DepthExceeded`` rather than silently cutting rows.
+    target (each pair once), and squares ``jump``.  Jump table and bands are
+    written to the checkpoint folder each round; the closure is the union of
+    the bands.  A tree of any depth is walked to its end; a node that meets
+    itself lies on a cycle, which raises ``CycleFound`` at once.
     """
     nk, pk = _names(node), _names(parent)
     if len(nk) != len(pk):
         raise ValueError("node and parent must have the same number of columns")
-    spark = nodes.sparkSession
-    ensure_checkpoint_dir(spark)
     k = len(nk)
     origin = [f"origin_{c}" for c in nk]
     anc = [f"ancestor_{c}" for c in nk]
@@ -65,105 +59,67 @@ def ancestors(
         *[F.col(c).alias(o) for c, o in zip(nk, origin)], *[F.col(c).alias(a) for c, a in zip(pk, anc)],
         F.lit(1).alias("level"),
     )
-    first = base.checkpoint(eager=True)
+    first = materialise(base)
+    itself = F.lit(True)
+    for o, a in zip(origin, anc):
+        itself = itself & (F.col(o) == F.col(a))
     pieces = [first]  # level bands; their union is the closure (a flat plan)
     closure = first  # levels 1..m
     jump = first.drop("level")  # ancestor exactly m levels up
-    m = 1
+    new, m = first, 1
     while True:
+        n, loops = new.agg(F.count(F.lit(1)), F.count_if(itself)).first()
+        if loops:
+            raise CycleFound(f"{loops} nodes are above themselves")
+        if n == 0:
+            break
         # pairs at levels m+1 .. 2m: (a -> b at m) then (b -> c at j <= m)
         step = closure.select(*[F.col(o).alias(f"__b{i}") for i, o in enumerate(origin)],
                               *[F.col(a).alias(f"__c{i}") for i, a in enumerate(anc)], F.col("level").alias("__j"))
-        cond = [jump[anc[i]] == step[f"__b{i}"] for i in range(k)]
-        # the band's inputs are checkpointed, so its lineage is one join: persisting it is enough
-        # (a lost block is recomputed from that join), and the depth probe fills the cache
-        new = jump.join(step, cond, "inner").select(
-            *origin, *[F.col(f"__c{i}").alias(anc[i]) for i in range(k)], (F.col("__j") + m).alias("level")
-        ).persist(StorageLevel.MEMORY_AND_DISK)
-        deepest = new.agg(F.max("level")).first()[0]  # NULL when nothing is new
-        if deepest is None:
-            break
-        if deepest > max_depth:
-            raise DepthExceeded(f"hierarchy walk still extending after {max_depth} levels")
+        met = jump.join(step, [jump[anc[i]] == step[f"__b{i}"] for i in range(k)], "inner")
+        new = materialise(met.select(*origin, *[F.col(f"__c{i}").alias(anc[i]) for i in range(k)], (F.col("__j") + m).alias("level")))
         pieces.append(new)
         closure = pieces[0]
         for p in pieces[1:]:
             closure = closure.unionByName(p)
-        hop = jump.select(*[F.col(o).alias(f"__b{i}") for i, o in enumerate(origin)],
-                          *[F.col(a).alias(f"__c{i}") for i, a in enumerate(anc)])
-        jump = jump.join(hop, [jump[anc[i]] == hop[f"__b{i}"] for i in range(k)], "inner").select(
-            *origin, *[F.col(f"__c{i}").alias(anc[i]) for i in range(k)]
-        ).checkpoint(eager=True)
         m *= 2
+        jump = new.filter(F.col("level") == m).drop("level")  # the band's last level is the squared jump
     return closure
 
 
-def find_cycles(
-    nodes: DataFrame,
-    node: str,
-    parent: str,
-    *,
-    max_rounds: int = 64,
-    checkpoint_every: int = 4,
-) -> DataFrame:
+def find_cycles(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """Nodes whose parent chain never reaches a root, i.e. that lie on a cycle or lead into one.
 
     Output: ``node``, ``on_cycle`` (the node itself is on the cycle) and
     ``cycle_id`` (the smallest key on the cycle the chain ends in).  Nodes
-    that reach a root are not returned.
+    that reach a root are not returned.  A node given by several rows is one
+    node; with several parents it follows the smallest (repeated keys are the
+    key audit's matter), so every node has one way up.
 
     Pointer doubling: round ``k`` holds, per node, the node ``2**k`` steps up
-    and the smallest key among those steps.  After ``ceil(log2(n)) + 1`` rounds
-    (one cheap count gives ``n``) every chain that ends at a root has reached
-    it, every other chain sits on its cycle, and the image of the jump map is
-    exactly the set of nodes on a cycle.  It usually stops much earlier: when no
-    jump is left (no cycles), or when the image stops shrinking (then it is the
-    set of cycle nodes) and ``2**k`` is at least its size (every cycle's
-    smallest key has been seen), so the rounds follow the depth of the
-    hierarchy, not its size.  Each round is one self-join of an
-    ``n``-row table; every ``checkpoint_every`` rounds the state is written to
-    the checkpoint folder so lineage stays short.
+    and the smallest key among those steps.  Chains that end at a root leave
+    the table as soon as they reach it.  When the image of the jump map stops
+    shrinking it is the set of nodes on cycles, and once ``2**k`` is at least its
+    size every cycle's smallest key has been seen.  Each round is one self-join
+    of the nodes that are left, written to the checkpoint folder.
     """
-    spark = nodes.sparkSession
-    ensure_checkpoint_dir(spark)
     g = nodes.select(F.col(node).alias("v"), F.col(parent).alias("p")).filter(F.col("v").isNotNull())
-    n = g.count()
-    rounds = max(1, (max(n, 2) - 1).bit_length() + 1)
-    if rounds > max_rounds:
-        raise DepthExceeded(f"{n} nodes need {rounds} doubling rounds; raise max_rounds")
-    # A parent that is not itself a node ends the chain like a root.
-    known = g.select(F.col("v").alias("k"))
-    g = g.join(known, g["p"] == known["k"], "left").select(
-        "v", F.when(F.col("k").isNotNull(), F.col("p")).alias("p")
-    )
-    # jump = node 2**k steps up (NULL once past a root); low = min key over steps 1..2**k
-    state = g.select("v", F.col("p").alias("jump"), F.col("p").alias("low")).checkpoint(eager=True)
-    image = None
-    for r in range(1, rounds + 1):
-        other = state.select(F.col("v").alias("u"), F.col("jump").alias("jump2"), F.col("low").alias("low2"))
-        state = state.join(other, state["jump"] == other["u"], "left").select(
-            "v",
-            F.col("jump2").alias("jump"),
-            F.when(F.col("jump2").isNull(), F.lit(None)).otherwise(F.least("low", "low2")).alias("low"),
-        )
-        if r % checkpoint_every and r != rounds:
-            continue
-        state = state.checkpoint(eager=True)
-        # at each checkpoint one small aggregate decides whether the answer is already final;
-        # images only shrink, so equal sizes a few rounds apart mean the image is stable
-        live, img = state.agg(F.count("jump"), F.count_distinct("jump")).first()
-        if live == 0:
-            break  # every chain has reached a root: no cycles
-        if img == image and 2**r >= img:
-            break  # the image (= the cycle nodes) is stable and every cycle has been walked round
-        image = img
-    cyclic = state.filter(F.col("jump").isNotNull())
-    # After enough rounds jump(v) is on v's terminal cycle; its 'low' spans the whole cycle.
-    on_cycle = cyclic.select(F.col("jump").alias("c")).distinct()
-    cycle_min = state.select(F.col("v").alias("c"), F.col("low").alias("cycle_id"))
-    labelled = cyclic.join(cycle_min, cyclic["jump"] == cycle_min["c"], "inner").select(
-        F.col("v").alias(node), "cycle_id"
-    )
-    return labelled.join(on_cycle, labelled[node] == on_cycle["c"], "left").select(
-        node, F.col("c").isNotNull().alias("on_cycle"), "cycle_id"
+    g = materialise(g.groupBy("v").agg(F.min("p").alias("p")))
+    # a parent that is not itself a node ends the chain like a root
+    state = materialise(g.join(g.select(F.col("v").alias("p")), "p").select("v", F.col("p").alias("jump"), F.col("p").alias("low")))
+    image, steps = None, 1
+    while True:
+        live, now = state.agg(F.count("v"), F.count_distinct("jump")).first()
+        if live == 0 or (now == image and steps >= now):
+            break
+        image = now
+        other = state.select(F.col("v").alias("jump"), F.col("jump").alias("jump2"), F.col("low").alias("low2"))
+        state = materialise(state.join(other, "jump").select("v", F.col("jump2").alias("jump"), F.least("low", "low2").alias("low")))
+        steps *= 2
+    # jump(v) is now on v's cycle, and that node's 'low' spans the whole cycle
+    on_cycle = state.select(F.col("jump").alias("c")).distinct()
+    cycle_min = state.select(F.col("v").alias("jump"), F.col("low").alias("cycle_id"))
+    labelled = state.select("v", "jump").join(cycle_min, "jump")
+    return labelled.join(on_cycle, labelled["v"] == on_cycle["c"], "left").select(
+        F.col("v").alias(node), F.col("c").isNotNull().alias("on_cycle"), "cycle_id"
     )

@@ -1,15 +1,14 @@
-"""Join building blocks: size-checked broadcast, interval join, skew-safe self pairs.
+"""Join building blocks: skew-safe equality joins, interval join, self pairs.
 
 Scale notes
 -----------
-* A side is broadcast only after a count proves it small (``small_side``).  Otherwise the join stays a shuffle join and AQE may still
-  switch it to a broadcast from real shuffle sizes.
-* The interval join cuts each key's time axis into segments (time buckets, and
-  quantile cuts for a hot key) and joins on ``(key, segment)``, so a key
-  holding a third of all rows is still spread over many tasks.
-* ``self_pairs`` emits each unordered pair of rows that share a group key.  Hot
-  groups (found with a bounded aggregate) are split with a salt on one side and
-  replicated on the other, so no task receives a whole hot group squared.
+* No side is broadcast by hand: Spark compares the real size with
+  ``spark.sql.autoBroadcastJoinThreshold``, at planning and again from shuffle sizes.
+* ``grid_join`` counts both sides per key (a partial aggregate).  A key with
+  more than ``CELL`` rows on a side is cut into slices by a hash of the row, and every
+  left slice meets every right slice in a cell of its own, so a cell compares at
+  most about ``CELL`` x ``CELL`` rows however hot its key is.  ``CELL`` shapes the
+  plan only; every key above it is split, and the result is the same for any value.
 """
 
 from __future__ import annotations
@@ -20,48 +19,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.calendar import epoch_micros
-from wardline.operators.segments import TimeSegments
+from wardline.session import materialise
 
-# Default ceiling for a broadcast side, in estimated bytes (rows times the
-# projected row width).  Dimension tables of the hospital schema (departments,
-# codes, catalogues) sit far below it; a fact table never does.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+CELL = 10_000  # rows of one key that meet in one place, per side
 
-# Estimated bytes per value by type name, for the broadcast size check (strings
-# are costed at a typical short code or name).
-_WIDTH = {"string": 32, "binary": 32, "decimal": 16, "timestamp": 8, "timestamp_ntz": 8, "date": 4,
-          "bigint": 8, "long": 8, "int": 4, "integer": 4, "smallint": 2, "tinyint": 1, "double": 8, "float": 4,
-          "boolean": 1}
 
-_size_cache: dict[tuple[int, int], bool] = {}
+def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, cell: int = CELL) -> DataFrame:
+    """Inner join on ``keys`` (in both sides; the other columns are disjoint), hot keys dealt as a grid.
 
-
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row of ``df`` (nested and unknown types count 64)."""
-    return sum(_WIDTH.get(f.dataType.typeName().split("(")[0], 64) for f in df.schema.fields) + 8
-
-
-def is_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """True when ``df`` is estimated at no more than ``max_bytes`` (row count times row width).
-
-    The count is a plain ``count()``: a partial count per task and one row per
-    task to the final sum, and no column is decoded for an unfiltered Parquet
-    scan.  (A ``limit(n).count()`` would funnel up to ``n`` rows per partition
-    into a single task.)  Meant for dimension-like inputs; memoised per plan.
+    Both inputs are read twice, once for the counts: pass tables or
+    materialised frames.  NULL keys match nothing.
     """
-    key = (df.semanticHash(), max_bytes)
-    hit = _size_cache.get(key)
-    if hit is None:
-        if len(_size_cache) > 4096:
-            _size_cache.clear()
-        hit = df.count() * row_width(df) <= max_bytes
-        _size_cache[key] = hit
-    return hit
+    keys = list(keys)
+    n_l = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__wl_nl"))
+    n_r = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__wl_nr"))
+    slices = n_l.join(n_r, keys).select(
+        *keys, F.ceil(F.col("__wl_nl") / cell).cast("int").alias("__wl_sl"), F.ceil(F.col("__wl_nr") / cell).cast("int").alias("__wl_sr")
+    ).filter((F.col("__wl_sl") > 1) | (F.col("__wl_sr") > 1))
 
+    def dealt(df: DataFrame, own: str, mine: str, other: str, theirs: str) -> DataFrame:
+        """Every row in one slice of its side, copied to each slice of the other side."""
+        cut = df.join(slices, keys, "left")
+        at = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.coalesce(F.col(own), F.lit(1))).cast("int")
+        to = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1))
+        return cut.withColumn(mine, at).withColumn(theirs, to).select(*df.columns, "__wl_i", "__wl_j")
 
-def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """``broadcast(df)`` if a count proves it small, else ``df`` unchanged."""
-    return F.broadcast(df) if is_small(df, max_bytes) else df
+    l = dealt(left, "__wl_sl", "__wl_i", "__wl_sr", "__wl_j")
+    r = dealt(right, "__wl_sr", "__wl_j", "__wl_sl", "__wl_i")
+    return l.join(r, [*keys, "__wl_i", "__wl_j"]).drop("__wl_i", "__wl_j")
 
 
 def interval_join(
@@ -72,109 +57,52 @@ def interval_join(
     left_ts: str,
     right_ts: str,
     hours: int,
-    left_id: str | None = None,
     how: str = "left",
-    bucket_hours: int | None = None,
-    split: str = "range",
-    hot_rows: int = 1_000_000,
-    sample_fraction: float = 0.01,
-    segments: TimeSegments | None = None,
+    cell: int = CELL,
 ) -> DataFrame:
     """Rows of ``left`` with the rows of ``right`` that share the keys and fall in ``[left_ts, left_ts + hours]``.
 
     Both bounds are inclusive, as in ``r BETWEEN l AND l + INTERVAL hours HOUR``.
     ``how='left'`` keeps unmatched left rows once, with NULL right columns;
     ``how='inner'`` keeps only matches.  Left and right column names must be
-    disjoint.  (``left_id`` is accepted for callers that name the left key; the
-    plan does not need it.)
-
-    Plan: the left side's time axis is cut into segments per key
-    (``TimeSegments``: buckets of ``bucket_hours``, default the window, and
-    quantile cuts for a hot key).  Each left row sits in the segment of
-    ``left_ts``; each right row is copied to every segment a matching left row
-    can sit in, those of ``[right_ts - hours, right_ts]``.  A match meets in
-    exactly one segment, so the operator is one equi-join on ``(keys,
-    segment)`` with the range as residual: a plain left outer join, no anti
-    join or de-duplication, and no task holds a whole hot key.
+    disjoint.
+
+    Plan: time is cut into cells as wide as the window.  A left row sits in the
+    cell of ``left_ts``, a right row in its own cell and the one before, so a
+    match meets once, in an equality join on (keys, cell) that ``grid_join``
+    splits where a cell is hot.  For ``how='left'`` the matches return to the
+    left rows by a row tag.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"interval_join supports how='left' or 'inner', not {how!r}")
-    window_us = hours * 3600 * 1_000_000
-    b = "__wl_bucket"
-    lkeys, rkeys = [lk for lk, _ in keys], [rk for _, rk in keys]
-    segs = segments or TimeSegments(left, lkeys, left_ts, bucket_hours=bucket_hours or hours, split=split,
-                                    hot_rows=hot_rows, sample_fraction=sample_fraction)
-    l = TimeSegments.detach(segs.attach(left).withColumn(b, segs.of(left_ts)))
-    ra = segs.attach(right, rkeys)
-    lo, hi = segs.of_epoch(epoch_micros(right_ts) - F.lit(window_us)), segs.of(right_ts)
-    r = TimeSegments.detach(ra.withColumn(b, F.explode(F.sequence(lo, F.greatest(lo, hi)))))
-    cond = l[b] == r[b]
-    for lk, rk in keys:
-        cond = cond & (l[lk] == r[rk])
-    lt, rt = l[left_ts], r[right_ts]
-    cond = cond & (rt >= lt) & (rt <= lt + F.make_dt_interval(hours=F.lit(hours)))
-    return l.join(r, cond, how).drop(l[b]).drop(r[b])
-
-
-def self_pairs(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    order_col: str,
-    carry: Sequence[str] = (),
-    *,
-    hot_rows: int = 100_000,
-    max_hot: int = 1000,
-    salts: int = 16,
-    sample_fraction: float = 0.01,
-) -> DataFrame:
+    window = hours * 3600 * 1_000_000
+    names = [f"__wl_k{i}" for i in range(len(keys))]
+    at = F.floor(epoch_micros(left_ts) / F.lit(window)).cast("long")
+    l = materialise(left.withColumn("__wl_row", F.monotonically_increasing_id()))
+    near = l.select("__wl_row", F.col(left_ts).alias("__wl_lt"), at.alias("__wl_cell"), *[F.col(k).alias(n) for (k, _), n in zip(keys, names)])
+    own = F.floor(epoch_micros(right_ts) / F.lit(window)).cast("long")
+    r = materialise(right)
+    # the cell before holds left rows whose window reaches over into this one
+    far = r.withColumn("__wl_cell", F.explode(F.array(own - 1, own)))
+    far = far.select("__wl_cell", *[F.col(k).alias(n) for (_, k), n in zip(keys, names)], *[F.col(c).alias(c) for c in right.columns])
+    met = grid_join(near, far, [*names, "__wl_cell"], cell=cell)
+    lt, rt = F.col("__wl_lt"), F.col(right_ts)
+    met = met.filter((rt >= lt) & (rt <= lt + F.make_dt_interval(hours=F.lit(hours)))).select("__wl_row", *right.columns)
+    return l.join(met, "__wl_row", how).drop("__wl_row")
+
+
+def self_pairs(df: DataFrame, group_cols: Sequence[str], order_col: str, carry: Sequence[str] = (), *, cell: int = CELL) -> DataFrame:
     """Every unordered pair of rows that share ``group_cols``, ordered by ``order_col``.
 
     Output columns: ``group_cols``, then ``{c}_a`` and ``{c}_b`` for
     ``order_col`` and every ``carry`` column, with ``order_col_a < order_col_b``.
-
-    Groups larger than ``hot_rows`` (at most ``max_hot`` of them, largest first)
-    are joined with a salt: the left copy of each row gets one salt from a hash
-    of its order value and the right copy is replicated over all salts, so the
-    pair ``(a, b)`` is produced once, in the task of ``a``'s salt.  The other
-    groups go through a plain shuffle join (which AQE may still split).
-
-    Hot groups are found on a seeded ``sample_fraction`` sample: the choice only
-    changes how pairs are computed, never which pairs come out, so an estimate
-    is enough and the probe shuffles a sample instead of every key.
+    The input is evaluated once; a hot group is dealt as a grid on both sides.
     """
-    group_cols = list(group_cols)
-    cols = [order_col, *carry]
-    base = df.select(*group_cols, *cols)
-    probe = base if sample_fraction >= 1 else base.sample(fraction=sample_fraction, seed=17)
-    sizes = probe.groupBy(*group_cols).count().filter(F.col("count") > hot_rows * min(sample_fraction, 1.0))
-    hot = sizes.orderBy(F.col("count").desc()).limit(max_hot).drop("count")
-    hot_rows_list = hot.collect()  # bounded by max_hot rows
-    a_cols = [F.col(c).alias(f"{c}_a") for c in cols]
-    b_cols = [F.col(c).alias(f"{c}_b") for c in cols]
-
-    def plain(part: DataFrame) -> DataFrame:
-        a = part.select(*group_cols, *a_cols)
-        b = part.select(*group_cols, *b_cols)
-        return a.join(b, group_cols, "inner").filter(F.col(f"{order_col}_a") < F.col(f"{order_col}_b"))
-
-    if not hot_rows_list:
-        return plain(base)
-    hot_df = base.sparkSession.createDataFrame(hot_rows_list, schema=hot.schema)
-    cold_part = base.join(F.broadcast(hot_df), group_cols, "left_anti")
-    hot_part = base.join(F.broadcast(hot_df), group_cols, "left_semi")
-    salt = "__wl_salt"
-    a = hot_part.select(*group_cols, *a_cols).withColumn(
-        salt, F.pmod(F.xxhash64(F.col(f"{order_col}_a")), F.lit(salts))
-    )
-    b = hot_part.select(*group_cols, *b_cols).withColumn(
-        salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-    )
-    hot_pairs = (
-        a.join(b, [*group_cols, salt], "inner")
-        .filter(F.col(f"{order_col}_a") < F.col(f"{order_col}_b"))
-        .drop(salt)
-    )
-    return plain(cold_part).unionByName(hot_pairs)
+    group_cols, cols = list(group_cols), [order_col, *carry]
+    base = materialise(df.select(*group_cols, *cols))
+    side = lambda x: base.select(*group_cols, *[F.col(c).alias(f"{c}_{x}") for c in cols])
+    pairs = grid_join(side("a"), side("b"), group_cols, cell=cell)
+    return pairs.filter(F.col(f"{order_col}_a") < F.col(f"{order_col}_b"))
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:

@@ -15,8 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.operators.joins import small_side
-from wardline.session import ensure_checkpoint_dir
+from wardline.session import materialise
 
 
 @dataclass(frozen=True)
@@ -52,6 +51,25 @@ def _referencing(child: DataFrame, cols: Sequence[str], parent_rows: DataFrame,
     return child.join(keys, cond, how)
 
 
+def _referencing_any(child: DataFrame, refs: Sequence[tuple[Sequence[str], DataFrame, Sequence[str]]]) -> DataFrame:
+    """Rows of ``child`` that reference one of several row sets; each row once, whatever the number of hits."""
+    flagged, hit = child, F.lit(False)
+    for i, (cols, parent_rows, pcols) in enumerate(refs):
+        pk = parent_rows.select(*[F.col(p).alias(f"__c{i}_{j}") for j, p in enumerate(pcols)]).distinct()
+        pk = pk.withColumn(f"__hit{i}", F.lit(True))
+        flagged = flagged.join(pk, [flagged[c] == pk[f"__c{i}_{j}"] for j, c in enumerate(cols)], "left")
+        hit = hit | F.coalesce(F.col(f"__hit{i}"), F.lit(False))
+    return flagged.filter(hit).select(*child.columns)
+
+
+def _minus(df: DataFrame, gone: DataFrame, kcols: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` that aren't in ``gone``, by key, or by whole rows (NULL equals NULL) without one."""
+    if kcols:
+        return df.join(gone.select(*kcols).distinct(), list(kcols), "left_anti")
+    other = gone.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(df.columns)]).distinct()
+    return df.join(other, [df[c].eqNullSafe(other[f"__g{i}"]) for i, c in enumerate(df.columns)], "left_anti")
+
+
 @dataclass
 class DeleteResult:
     removed: dict[str, DataFrame]
@@ -100,7 +118,8 @@ def propagate_delete(
     ``deletes[t]`` may hold whole rows or only the key columns of ``t``.
     ``keys`` (table -> key columns) is used to pick seed rows by key, to count a
     row reached twice once, and to subtract removed rows; without it, rows are
-    compared whole.  A CASCADE key of a table to itself is not followed.
+    compared whole.  A row that references removed rows through several
+    RESTRICT keys blocks once.  A CASCADE key of a table to itself is not followed.
     """
     names = list(tables)
     removed: dict[str, DataFrame] = {}
@@ -119,17 +138,7 @@ def propagate_delete(
             fk = incoming[0]
             parts.append(_referencing(df, fk.cols, removed[fk.parent], fk.parent_cols, "left_semi"))
         elif incoming:
-            flagged, flags = df, []
-            for i, fk in enumerate(incoming):
-                pk = removed[fk.parent].select(*[F.col(p).alias(f"__c{i}_{j}") for j, p in enumerate(fk.parent_cols)]).distinct()
-                pk = pk.withColumn(f"__hit{i}", F.lit(True))
-                cond = [flagged[c] == pk[f"__c{i}_{j}"] for j, c in enumerate(fk.cols)]
-                flagged = flagged.join(pk, cond, "left").drop(*[f"__c{i}_{j}" for j in range(len(fk.cols))])
-                flags.append(F.coalesce(F.col(f"__hit{i}"), F.lit(False)))
-            any_hit = flags[0]
-            for f in flags[1:]:
-                any_hit = any_hit | f
-            parts.append(flagged.filter(any_hit).select(*df.columns))
+            parts.append(_referencing_any(df, [(fk.cols, removed[fk.parent], fk.parent_cols) for fk in incoming]))
         if not parts:
             removed[t] = df.limit(0)
         else:
@@ -139,22 +148,12 @@ def propagate_delete(
             if len(parts) > 1:  # a row deleted directly may also be reached by a cascade
                 out = out.dropDuplicates(kcols) if kcols else out.distinct()
             removed[t] = out
-    blocked: dict[str, DataFrame] = {t: tables[t].limit(0) for t in names}
-    for fk in fks:
-        if fk.on_delete != "RESTRICT" or fk.parent not in removed or fk.child not in tables:
-            continue
-        refs = _referencing(tables[fk.child], fk.cols, removed[fk.parent], fk.parent_cols, "left_semi")
-        kcols = list((keys or {}).get(fk.child, ()))
-        if kcols:
-            refs = refs.join(removed[fk.child].select(*kcols).distinct(), kcols, "left_anti")
-        blocked[fk.child] = blocked[fk.child].unionByName(refs)
-    survivors = {}
+    blocked: dict[str, DataFrame] = {}
     for t in names:
-        kcols = list((keys or {}).get(t, ()))
-        if kcols:
-            survivors[t] = tables[t].join(removed[t].select(*kcols).distinct(), kcols, "left_anti")
-        else:
-            survivors[t] = tables[t].exceptAll(removed[t])
+        held = [fk for fk in fks if fk.child == t and fk.on_delete == "RESTRICT" and fk.parent in removed]
+        refs = _referencing_any(tables[t], [(fk.cols, removed[fk.parent], fk.parent_cols) for fk in held]) if held else tables[t].limit(0)
+        blocked[t] = _minus(refs, removed[t], list((keys or {}).get(t, ()))) if held else refs
+    survivors = {t: _minus(tables[t], removed[t], list((keys or {}).get(t, ()))) for t in names}
     return DeleteResult(removed, blocked, survivors, names)
 
 
@@ -210,7 +209,10 @@ def propagate_key_change(
     new values has no meaning, as in an UPDATE.
     """
     reached = key_columns_reached(fks, table, col)
-    m = small_side(key_map.select("old_key", "new_key").distinct())
+    m = key_map.select("old_key", "new_key").distinct()
+    torn = m.groupBy("old_key").count().filter("count > 1").limit(3).collect()
+    if torn:
+        raise ValueError(f"old keys with several new keys: {[r['old_key'] for r in torn]}")
     new_tables, changed = {}, {}
     for t, df in tables.items():
         cols = reached.get(t, [])
@@ -234,19 +236,18 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str], *, id_col: str = "id",
 
     The input is range-sorted, tagged with ``monotonically_increasing_id``
     (partition index in the high bits, row index in the low 33 bits) and
-    checkpointed so the tags are fixed.  Per-partition row counts (one row per
-    partition) give each partition's offset; that small table is broadcast.
+    written once so the tags are fixed.  Per-partition row counts (one row per
+    partition) give each partition's offset.
     Ties in ``order_cols`` are numbered in an arbitrary but fixed order.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = df.orderBy(*order_cols).withColumn("__wl_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    tagged = materialise(df.orderBy(*order_cols).withColumn("__wl_mid", F.monotonically_increasing_id()))
     part = F.shiftright("__wl_mid", 33)
     counts = tagged.groupBy(part.alias("__wl_part")).agg(F.count(F.lit(1)).alias("__wl_n"))
     w = Window.orderBy("__wl_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__wl_part", F.coalesce(F.sum("__wl_n").over(w), F.lit(0)).alias("__wl_off"))
     low = F.col("__wl_mid").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        tagged.join(F.broadcast(offsets), part == F.col("__wl_part"))
+        tagged.join(offsets, part == F.col("__wl_part"))
         .withColumn(id_col, F.lit(start) + F.col("__wl_off") + low)
         .drop("__wl_mid", "__wl_part", "__wl_off")
     )

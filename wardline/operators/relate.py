@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.functions.calendar import epoch_micros
-from wardline.operators.joins import self_pairs, small_side
-from wardline.operators.segments import TimeSegments
+from wardline.operators.joins import grid_join, self_pairs
+from wardline.operators.segments import PART, ordered_parts, with_carry
+from wardline.session import materialise
 
 
 # --------------------------------------------------------------------------
@@ -21,50 +22,57 @@ from wardline.operators.segments import TimeSegments
 # --------------------------------------------------------------------------
 
 
-def overlap_pairs(
-    df: DataFrame,
-    key: str | Sequence[str],
-    id_col: str,
-    start: str,
-    end: str,
-    *,
-    bucket_hours: float = 24,
-    split: str = "range",
-    hot_rows: int = 1_000_000,
-    sample_fraction: float = 0.01,
-    segments: TimeSegments | None = None,
-) -> DataFrame:
+def _timed(df: DataFrame, keys: list[str], id_col: str, start: str, end: str) -> DataFrame:
+    """Rows that can overlap, with start and end in microseconds and a level: 2**level is at least the length."""
+    rows = df.select(*keys, id_col, start, end).filter(F.col(start).isNotNull() & F.col(end).isNotNull())
+    rows = rows.withColumn("__wl_s", epoch_micros(start)).withColumn("__wl_e", epoch_micros(end))
+    length = F.greatest(F.col("__wl_e") - F.col("__wl_s"), F.lit(1))
+    return rows.withColumn("__wl_level", F.length(F.bin(length - 1)))
+
+
+def _later_inside(early: DataFrame, late: DataFrame, keys: list[str], id_col: str, start: str, end: str, levels: list[int]) -> DataFrame:
+    """Rows ``e`` and ``l`` (columns prefixed ``__e_``, ``__l_``) where ``l`` starts inside ``e``'s span and they overlap.
+
+    Time is cut into cells of 2**level; an interval covers two cells of its own
+    level at most, so ``early`` rows are copied at most twice whatever their length,
+    and ``late`` rows once per level that occurs (64 at most).  The start of
+    ``l`` lies in one cell of ``e``'s level: every pair meets once.
+    """
+    shift = lambda c, level: F.call_function("shiftright", F.col(c), level)
+    last = F.greatest(F.col("__wl_e") - 1, F.col("__wl_s"))
+    ends = early.withColumn("__wl_last", last)
+    cells = F.array_distinct(F.array(shift("__wl_s", F.col("__wl_level")), shift("__wl_last", F.col("__wl_level"))))
+    cols = (id_col, start, end)
+    e = ends.select(*keys, "__wl_level", F.explode(cells).alias("__wl_cell"), *[F.col(c).alias(f"__e_{c}") for c in cols])
+    at = late.withColumn("__wl_level", F.explode(F.array(*[F.lit(x) for x in levels])))
+    l = at.select(*keys, "__wl_level", shift("__wl_s", F.col("__wl_level")).alias("__wl_cell"), *[F.col(c).alias(f"__l_{c}") for c in cols])
+    hits = grid_join(e, l, [*keys, "__wl_level", "__wl_cell"])
+    return hits.filter(
+        (F.col(f"__l_{start}") >= F.col(f"__e_{start}")) & (F.col(f"__l_{start}") < F.col(f"__e_{end}")) & (F.col(f"__e_{start}") < F.col(f"__l_{end}"))
+    )
+
+
+def _levels(*tables: DataFrame) -> list[int]:
+    """Interval levels that occur (64 at most)."""
+    return sorted({x for t in tables for x in t.agg(F.collect_set("__wl_level")).first()[0]}) or [1]
+
+
+def overlap_pairs(df: DataFrame, key: str | Sequence[str], id_col: str, start: str, end: str) -> DataFrame:
     """Every pair of rows with the same ``key`` whose ``[start, end)`` intervals overlap.
 
     Output: ``key`` columns, ``{id}_a``, ``{id}_b`` (``a < b``) and both
-    intervals.  Of two overlapping intervals, the one that starts later (ties:
-    larger id) starts inside the other's span; that is the join condition.  The
-    earlier interval is copied into every segment (``TimeSegments``) its span
-    covers, the later one sits only in the segment of its start, and the
-    equi-join on ``(key, segment)`` plus the range test finds each pair once.
-    Candidates beyond the true pairs are limited to rows starting in the same
-    segment, so the work follows the output; a hot key is cut into segments of
-    about ``hot_rows`` rows.  The test is exactly ``a.start < b.end AND a.end >
-    b.start``, so an empty interval strictly inside another still counts, as
-    in the reference.
+    intervals.  The test is exactly ``a.start < b.end AND a.end > b.start``,
+    so an empty interval strictly inside another still counts, as in the
+    reference.  k intervals that all overlap give k(k-1)/2 pairs: where only
+    the rows matter, ``overlap_flags`` and ``overlapped_by`` find them in one sweep.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    b = "__wl_b"
-    rows = df.select(*keys, id_col, start, end)
-    segs = segments or TimeSegments(rows, keys, start, bucket_hours=bucket_hours, split=split, hot_rows=hot_rows,
-                                    sample_fraction=sample_fraction)
-    rows = segs.attach(rows)
-    first = segs.of(start)
-    last = segs.of_epoch(epoch_micros(end) - F.lit(1))  # the segment holding end - 1 microsecond
-    early = rows.select(*keys, F.explode(F.sequence(first, F.greatest(first, last))).alias(b),
-                        *[F.col(c).alias(f"__e_{c}") for c in (id_col, start, end)])
-    late = rows.select(*keys, first.alias(b), *[F.col(c).alias(f"__l_{c}") for c in (id_col, start, end)])
+    rows = materialise(_timed(df, keys, id_col, start, end))
+    hits = _later_inside(rows, rows, keys, id_col, start, end, _levels(rows))
     es, ee, ei = F.col(f"__e_{start}"), F.col(f"__e_{end}"), F.col(f"__e_{id_col}")
     ls, le, li = F.col(f"__l_{start}"), F.col(f"__l_{end}"), F.col(f"__l_{id_col}")
-    later = (ls > es) | ((ls == es) & (li > ei))
-    hits = early.join(late, [*keys, b], "inner").filter(later & (ls < ee) & (es < le))
-    a_first = ei < li
-    pick = lambda x, y: F.when(a_first, x).otherwise(y)
+    hits = hits.filter((ls > es) | (li > ei))
+    pick = lambda x, y: F.when(ei < li, x).otherwise(y)
     return hits.select(
         *keys,
         pick(ei, li).alias(f"{id_col}_a"), pick(li, ei).alias(f"{id_col}_b"),
@@ -73,82 +81,68 @@ def overlap_pairs(
     )
 
 
-def cross_overlap_pairs(
-    left: DataFrame,
-    right: DataFrame,
-    key: str | Sequence[str],
-    id_col: str,
-    start: str,
-    end: str,
-    *,
-    bucket_hours: float = 24,
-) -> DataFrame:
+def cross_overlap_pairs(left: DataFrame, right: DataFrame, key: str | Sequence[str], id_col: str, start: str, end: str) -> DataFrame:
     """Pairs of a ``left`` row and a ``right`` row with the same ``key`` whose intervals overlap.
 
-    Output: ``key``, ``left_{id}``, ``right_{id}`` and both intervals.  Both
-    sides go into one interval table with a ``(role, id)`` struct as the row
-    id and ``overlap_pairs`` runs once; pairs whose two rows have different
-    roles are kept (left sorts first).  Used for "participant of one
-    procedure while chief of an overlapping one".
+    Output: ``key``, ``left_{id}``, ``right_{id}`` and both intervals.  Used for
+    "participant of one procedure while chief of an overlapping one".
     """
     keys = [key] if isinstance(key, str) else list(key)
-    tag = "__wl_rid"
-    both = left.select(*keys, F.struct(F.lit(0).alias("r"), F.col(id_col).alias("i")).alias(tag), start, end).unionByName(
-        right.select(*keys, F.struct(F.lit(1).alias("r"), F.col(id_col).alias("i")).alias(tag), start, end))
-    pairs = overlap_pairs(both, keys, tag, start, end, bucket_hours=bucket_hours)
-    return pairs.filter((F.col(f"{tag}_a.r") == 0) & (F.col(f"{tag}_b.r") == 1)).select(
-        *keys,
-        F.col(f"{tag}_a.i").alias(f"left_{id_col}"), F.col(f"{tag}_b.i").alias(f"right_{id_col}"),
-        F.col(f"{start}_a").alias(f"left_{start}"), F.col(f"{end}_a").alias(f"left_{end}"),
-        F.col(f"{start}_b").alias(f"right_{start}"), F.col(f"{end}_b").alias(f"right_{end}"),
-    )
+    a, b = (materialise(_timed(x, keys, id_col, start, end)) for x in (left, right))
+    levels, cols = _levels(a, b), (id_col, start, end)
+    named = lambda hits, l, r: hits.select(
+        *keys, F.col(f"{l}{id_col}").alias(f"left_{id_col}"), F.col(f"{r}{id_col}").alias(f"right_{id_col}"),
+        *[F.col(f"{l}{c}").alias(f"left_{c}") for c in cols[1:]], *[F.col(f"{r}{c}").alias(f"right_{c}") for c in cols[1:]])
+    first = named(_later_inside(a, b, keys, id_col, start, end, levels), "__e_", "__l_")
+    then = _later_inside(b, a, keys, id_col, start, end, levels).filter(F.col(f"__l_{start}") > F.col(f"__e_{start}"))
+    return first.unionByName(named(then, "__l_", "__e_"))
 
 
-def _segmented(df: DataFrame, keys: list[str], ts: str, col: str, segments: TimeSegments | None = None,
-               **opts) -> DataFrame:
-    segs = segments or TimeSegments(df, keys, ts, **opts)
-    return TimeSegments.detach(segs.attach(df).withColumn(col, segs.of(ts)))
-
-
-def overlap_flags(
-    df: DataFrame,
-    key: str | Sequence[str],
-    id_col: str,
-    start: str,
-    end: str,
-    *,
-    split: str = "range",
-    bucket_hours: float = 24,
-    hot_rows: int = 1_000_000,
-    sample_fraction: float = 0.01,
-    segments: TimeSegments | None = None,
-) -> DataFrame:
-    """Rows of ``df`` overlapped by an earlier row of the same ``key``.
+def overlap_flags(df: DataFrame, key: str | Sequence[str], id_col: str, start: str, end: str) -> DataFrame:
+    """Rows of ``df`` overlapped by an earlier row of the same ``key``, with the latest ``overlap_end`` before them.
 
     "Earlier" is the order ``(start, id)``.  A row is flagged when the largest
     ``end`` among earlier rows exceeds its ``start``; for non-empty intervals
     that is the same as overlapping an earlier row, so the flags are empty
-    exactly when ``overlap_pairs`` is.  The running maximum is computed in two
-    bounded pieces: within the row's segment (``TimeSegments``; a window per ``(key, segment)``),
-    and across the key's earlier segments from one aggregate row per segment (a
-    window over those few rows).  No window ever holds all rows of a key.
+    exactly when ``overlap_pairs`` is.  One range sort and a running maximum:
+    the cost doesn't depend on how many intervals overlap, nor on how hot a key is.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    b = "__wl_b"
-    rows = _segmented(df, keys, start, b, segments, split=split, bucket_hours=bucket_hours, hot_rows=hot_rows,
-                      sample_fraction=sample_fraction)
-    within = Window.partitionBy(*keys, b).orderBy(start, id_col).rowsBetween(Window.unboundedPreceding, -1)
+    rows = ordered_parts(df, keys, [start, id_col])
     known_end = F.when(F.col(start).isNotNull(), F.col(end))  # a row without a start is earlier than nothing
-    rows = rows.withColumn("__wl_prev_end", F.max(known_end).over(within))
-    per_bucket = rows.groupBy(*keys, b).agg(F.max(known_end).alias("__wl_bucket_end"))
-    across = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*keys, b, F.max("__wl_bucket_end").over(across).alias("__wl_carry_end"))
-    flagged = (
-        rows.join(carry, [*keys, b], "inner")
-        .withColumn("overlap_end", F.greatest("__wl_prev_end", "__wl_carry_end"))
-        .filter(F.col("overlap_end") > F.col(start))
-    )
-    return flagged.drop(b, "__wl_prev_end", "__wl_carry_end")
+    above = Window.partitionBy(PART, *keys).orderBy(start, id_col).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__wl_prev", F.max(known_end).over(above))
+    parts = rows.groupBy(PART, *keys).agg(F.max(known_end).alias("__wl_top"))
+    before = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    carry = parts.select(PART, *keys, F.max("__wl_top").over(before).alias("__wl_carry"))
+    out = with_carry(rows, carry, keys, ["__wl_carry"]).withColumn("overlap_end", F.greatest("__wl_prev", "__wl_carry"))
+    return out.filter(F.col("overlap_end") > F.col(start)).select(*df.columns, "overlap_end")
+
+
+def overlapped_by(rows: DataFrame, others: DataFrame, key: str | Sequence[str], start: str, end: str) -> DataFrame:
+    """Rows of ``rows`` that overlap some row of ``others`` with the same ``key`` (both have ``key``, ``start``, ``end``).
+
+    Exactly ``EXISTS (other.start < row.end AND other.end > row.start)``, by one
+    sweep: others stand at their start, rows at their end and before others of
+    that time; a row is hit when the largest ``end`` so far exceeds its start.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    asked = rows.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
+    asked = asked.select("*", F.col(end).alias("__wl_at"), F.lit(0).alias("__wl_kind"), F.lit(None).cast(rows.schema[end].dataType).alias("__wl_end"))
+    there = others.select(*keys, F.col(start).alias("__wl_at"), F.lit(1).alias("__wl_kind"), F.col(end).alias("__wl_end"))
+    both = asked.unionByName(there.filter(F.col("__wl_at").isNotNull()), allowMissingColumns=True)
+    dealt = ordered_parts(both, keys, ["__wl_at", "__wl_kind"])
+    above = Window.partitionBy(PART, *keys).orderBy("__wl_at", "__wl_kind").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = dealt.withColumn("__wl_prev", F.max("__wl_end").over(above))
+    parts = dealt.groupBy(PART, *keys).agg(F.max("__wl_end").alias("__wl_top"))
+    before = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    carry = parts.select(PART, *keys, F.max("__wl_top").over(before).alias("__wl_carry"))
+    out = with_carry(dealt, carry, keys, ["__wl_carry"])
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()  # NULL keys match nothing
+    hit = (F.col("__wl_kind") == 0) & known & (F.greatest("__wl_prev", "__wl_carry") > F.col(start))
+    return out.filter(hit).select(*rows.columns)
 
 
 # --------------------------------------------------------------------------
@@ -163,7 +157,7 @@ def pair_cooccurrence(
 
     Output ``item_1, item_2, count_col`` with ``item_1 < item_2``.  Items are
     first made distinct per basket; pairs are emitted per basket with
-    ``self_pairs`` (hot baskets salted) and counted with a partial + final
+    ``self_pairs`` (hot baskets dealt as a grid) and counted with a partial + final
     aggregate.  ``top`` keeps the ``top`` largest counts (ties broken by the
     item values), planned as a single top-k, not a full sort.
     """
@@ -178,17 +172,26 @@ def pair_cooccurrence(
     return counted
 
 
-def equal_measure_pairs(
-    totals: DataFrame, entity: str, partition: Sequence[str], measure: str
-) -> DataFrame:
+def equal_measure_pairs(totals: DataFrame, entity: str, partition: Sequence[str], measure: str) -> DataFrame:
     """Pairs of entities with the same ``measure`` in the same ``partition``.
 
     Output: ``{entity}_a``, ``{entity}_b`` (``a < b``), ``measure`` and the
-    ``partition`` columns.  The group key is ``(partition, measure)``;
-    ``self_pairs`` salts any group that holds many entities.
+    ``partition`` columns.  The group key is ``(partition, measure)``.  A group of k
+    entities has k(k-1)/2 pairs; ``equal_measure_groups`` states the same in k rows.
+    """
+    return self_pairs(totals, [*partition, measure], entity)
+
+
+def equal_measure_groups(totals: DataFrame, entity: str, partition: Sequence[str], measure: str) -> DataFrame:
+    """Entities that share their ``measure`` with another one of the same ``partition``: one row per member.
+
+    Output: ``partition``, ``measure``, ``group_size``, ``entity``.  Linear in
+    the input: sizes are a partial aggregate that joins back to the members.
     """
     keys = [*partition, measure]
-    return self_pairs(totals, keys, entity)
+    members = materialise(totals.select(*keys, entity))
+    sizes = members.groupBy(*keys).agg(F.count_distinct(entity).alias("group_size")).filter(F.col("group_size") > 1)
+    return members.join(sizes, keys).select(*keys, "group_size", entity)
 
 
 def consecutive_equal(counts: DataFrame, code: Sequence[str], period: str, measure: str) -> DataFrame:
@@ -262,42 +265,31 @@ def flag_any(base: DataFrame, base_key: str | Sequence[str], events: DataFrame,
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | str, how: str = "inner") -> DataFrame:
-    """Join a dimension, broadcasting it only when a count proves it small."""
-    d = small_side(dim)
+    """Join a dimension; Spark broadcasts it if its real size allows."""
     if isinstance(on, str):
-        return fact.join(d, on, how)
+        return fact.join(dim, on, how)
     cond: Column | None = None
     for fk, dk in on:
-        c = fact[fk] == d[dk]
+        c = fact[fk] == dim[dk]
         cond = c if cond is None else cond & c
-    return fact.join(d, cond, how)
+    return fact.join(dim, cond, how)
 
 
-def next_in_key(
-    df: DataFrame, key: str | Sequence[str], ts: str, tiebreak: str, out_col: str, *,
-    split: str = "range", bucket_hours: float = 24, hot_rows: int = 1_000_000, sample_fraction: float = 0.01,
-    segments: TimeSegments | None = None,
-) -> DataFrame:
+def next_in_key(df: DataFrame, key: str | Sequence[str], ts: str, tiebreak: str, out_col: str) -> DataFrame:
     """``df`` with ``out_col`` = the ``ts`` of the next row of the same key in ``(ts, tiebreak)`` order.
 
     Same result as ``lead(ts) OVER (PARTITION BY key ORDER BY ts, tiebreak)``,
-    without a window that holds every row of a hot key: the next row is looked
-    up inside the row's segment (window per ``(key, segment)``) and, for the
-    last row of a segment, taken from the first row of the key's next segment
-    (a window over one aggregate row per segment).  Segments as in
-    ``overlap_flags``.
+    NULL keys and times included, without a window that holds every row of a
+    hot key: the last row of a part takes the first ``ts`` of the key's next part.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    b = "__wl_b"
-    rows = _segmented(df, keys, ts, b, segments, split=split, bucket_hours=bucket_hours, hot_rows=hot_rows,
-                      sample_fraction=sample_fraction)
-    w = Window.partitionBy(*keys, b).orderBy(ts, tiebreak)
-    rows = rows.withColumn("__wl_next", F.lead(ts).over(w))
-    firsts = rows.groupBy(*keys, b).agg(F.min(ts).alias("__wl_first"))
-    wb = Window.partitionBy(*keys).orderBy(b)
-    nxt_bucket = firsts.select(*keys, b, F.lead("__wl_first").over(wb).alias("__wl_next_bucket"))
-    return (
-        rows.join(nxt_bucket, [*keys, b], "inner")
-        .withColumn(out_col, F.coalesce("__wl_next", "__wl_next_bucket"))
-        .drop(b, "__wl_next", "__wl_next_bucket")
-    )
+    rows = ordered_parts(df, keys, [ts, tiebreak])
+    here = Window.partitionBy(PART, *keys).orderBy(ts, tiebreak)
+    rows = rows.withColumn("__wl_next", F.lead(ts).over(here)).withColumn("__wl_last", F.lead(F.lit(1)).over(here).isNull())
+    first = F.struct(F.col(ts).isNotNull().alias("known"), F.col(ts).alias("ts"))  # NULL sorts first, as in the window
+    parts = rows.groupBy(PART, *keys).agg(F.min(first).alias("__wl_first"))
+    ahead = Window.partitionBy(*keys).orderBy(PART)
+    carry = parts.select(PART, *keys, F.lead("__wl_first.ts").over(ahead).alias("__wl_ahead"))
+    out = with_carry(rows, carry, keys, ["__wl_ahead"])
+    nxt = F.when(F.col("__wl_last"), F.col("__wl_ahead")).otherwise(F.col("__wl_next"))
+    return out.select(*df.columns, nxt.alias(out_col))

@@ -1,109 +1,33 @@
-"""Cutting a key's time axis into bounded segments.
+"""Ordering a table by (key, time) without putting a whole key in one task.
 
-The time operators (interval join, overlap pairs and flags, next row) work per
-``(key, segment)`` so that no join partition or window holds every row of a
-key.  A key with at most ``hot_rows`` rows uses fixed time buckets; a hot key
-(more rows than that, found on a seeded sample, at most ``max_hot`` of them)
-is cut at approximate quantiles of its timestamps, so each of its segments
-holds about ``hot_rows`` rows whatever the density.  The cut points are
-collected and broadcast, each key keeping only as many as its own size needs
-(so the broadcast grows with the hot rows, and never past ``max_hot *
-max_segments`` values), and a
-row's segment is a pure, monotone function of its key and time: recomputed
-tasks agree with the first run, and a range ``[lo, hi]`` of times maps to the
-contiguous segment range ``[seg(lo), seg(hi)]``.
-
-Any such segmentation gives correct results, so one ``TimeSegments`` (one
-probe job) can be built for a table and key and passed to several operators
-through their ``segments`` argument.
+Rows are range-partitioned by (key, time, tie) and written once with the number
+of their partition, so a key is cut wherever a partition ends, and only there.
+Windows run per (partition, key); what crosses a cut is carried by one
+aggregate row per (partition, key).  There is no threshold: a key of any size is
+spread over as many partitions as its share of the rows needs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from wardline.functions.calendar import epoch_micros
-
-HOUR_US = 3600 * 1_000_000
-CUTS = "__wl_cuts"
 
+from wardline.session import materialise
 
-class TimeSegments:
-    def __init__(
-        self,
-        source: DataFrame,
-        keys: Sequence[str],
-        ts: str,
-        *,
-        bucket_hours: float = 24,
-        split: str = "range",
-        hot_rows: int = 1_000_000,
-        max_hot: int = 1000,
-        max_segments: int = 4096,
-        sample_fraction: float = 0.01,
-    ):
-        if split not in ("range", "time"):
-            raise ValueError(f"split must be 'range' or 'time', not {split!r}")
-        self.keys = list(keys)
-        self.width = int(bucket_hours * HOUR_US)
-        self.cuts: DataFrame | None = None
-        if split == "time":
-            return
-        frac = min(sample_fraction, 1.0)
-        probe = source if frac >= 1 else source.sample(fraction=frac, seed=17)
-        counts = probe.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__wl_n")).filter(F.col("__wl_n") > hot_rows * frac)
-        hot = counts.orderBy(F.col("__wl_n").desc()).limit(max_hot).collect()  # bounded by max_hot rows
-        if not hot:
-            return
-        pieces = 2
-        while pieces < max_segments and hot[0]["__wl_n"] / frac / pieces > hot_rows:
-            pieces *= 2
-        fractions = [i / pieces for i in range(1, pieces)]
-        spark = source.sparkSession
-        key_schema = counts.select(*self.keys).schema
-        hot_keys = spark.createDataFrame([tuple(r[k] for k in self.keys) for r in hot], schema=key_schema)
-        rows = (
-            probe.join(F.broadcast(hot_keys), self.keys, "left_semi")
-            .groupBy(*self.keys)
-            .agg(F.percentile_approx(epoch_micros(ts), fractions, max(10_000, 4 * pieces)).alias(CUTS))
-            .collect()  # bounded: max_hot rows of pieces - 1 values
-        )
-        # each key keeps only the cuts its own size needs (every step-th of the shared quantiles)
-        sizes = {tuple(r[k] for k in self.keys): r["__wl_n"] / frac for r in hot}
-        out = []
-        for r in rows:
-            key = tuple(r[k] for k in self.keys)
-            own = 2
-            while own < pieces and sizes.get(key, 0) / own > hot_rows:
-                own *= 2
-            step = pieces // own
-            out.append((*key, [int(x) for x in r[CUTS][step - 1::step]]))
-        schema = T.StructType([*key_schema.fields, T.StructField(CUTS, T.ArrayType(T.LongType()))])
-        self.cuts = spark.createDataFrame(out, schema=schema)
+PART = "__wl_part"
 
-    def attach(self, df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-        """``df`` with its key's cut points (NULL for a key that is not hot); ``keys`` names df's key columns."""
-        if self.cuts is None:
-            return df
-        names = list(keys or self.keys)
-        cuts = self.cuts.select(*[F.col(k).alias(n) for k, n in zip(self.keys, names)], CUTS)
-        return df.join(F.broadcast(cuts), names, "left").select(*df.columns, CUTS)
 
-    def of_epoch(self, micros: Column) -> Column:
-        """Segment of a time given as epoch microseconds, for a row with attached cut points."""
-        bucket = F.floor(micros / F.lit(self.width)).cast("long")
-        if self.cuts is None:
-            return bucket
-        cut = F.size(F.filter(F.col(CUTS), lambda c: c <= micros)).cast("long")
-        return F.when(F.col(CUTS).isNull(), bucket).otherwise(cut)
+def ordered_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` range-sorted by (keys, order) and written, with its partition number in ``PART``."""
+    return materialise(df.repartitionByRange(*keys, *order).withColumn(PART, F.spark_partition_id()))
 
-    def of(self, ts: str | Column) -> Column:
-        return self.of_epoch(epoch_micros(ts))
 
-    @staticmethod
-    def detach(df: DataFrame) -> DataFrame:
-        return df.drop(CUTS) if CUTS in df.columns else df
+def with_carry(rows: DataFrame, carry: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Attach ``columns`` of ``carry`` (one row per (partition, key)); NULL keys are a key like any other."""
+    other = carry.select(F.col(PART).alias("__wl_p"), *[F.col(k).alias(f"__wl_k{i}") for i, k in enumerate(keys)], *columns)
+    on = F.col(PART) == F.col("__wl_p")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"__wl_k{i}"))
+    return rows.join(other, on).select(*rows.columns, *columns)

@@ -1,9 +1,10 @@
-"""Independent SQL for each stand-in query, in DuckDB's dialect.
+"""SQL for each stand-in query, in DuckDB's dialect.
 
-Written the way the reference states its reports (functions on columns,
-``NOT IN``, literal ``COUNT(DISTINCT)`` over left joins, recursive CTEs), so
-the check compares two different formulations of the same question.
-Exact-rounding expressions mirror ``wardline.functions.numeric``.
+Each question is stated anew, in another form than the Spark plan's: correlated
+counts and EXISTS instead of pre-aggregated joins, lists instead of self joins,
+windows instead of scalar maxima, closed forms instead of walks, so the check
+compares two formulations.  Exact-rounding expressions mirror
+``wardline.functions.numeric``.
 """
 
 from __future__ import annotations
@@ -37,225 +38,184 @@ def _key(*cols: str) -> str:
 
 ORACLE_SQL: dict[str, str] = {}
 
-ORACLE_SQL["revenue_rollup"] = f"""
-SELECT n.n_name, CAST(YEAR(l.l_shipdate) AS INTEGER) AS ship_year, p.p_type, c.c_mktsegment,
-       COUNT(l.l_orderkey) AS total_items,
-       {_money_sum('p.p_retailprice')} AS total_basic_cost,
-       CAST(SUM(GREATEST(0, date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) - p.p_size)
-                * CAST(p.p_retailprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS total_extra_cost,
-       {_money_sum('l.l_extendedprice')} AS final_total_revenue
-FROM lineitem l
-JOIN orders o ON l.l_orderkey = o.o_orderkey
-JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey
-JOIN part p ON l.l_partkey = p.p_partkey
-WHERE l.l_shipdate IS NOT NULL
-GROUP BY n.n_name, YEAR(l.l_shipdate), p.p_type, c.c_mktsegment
-ORDER BY n.n_name, ship_year, p.p_type
+ORACLE_SQL["revenue_rollup"] = """
+WITH buyer AS (SELECT c_custkey AS k, c_mktsegment, (SELECT n_name FROM nation WHERE n_nationkey = c_nationkey) AS n_name FROM customer),
+fact AS (
+    SELECT l_orderkey, CAST(EXTRACT(YEAR FROM l_shipdate) AS INTEGER) AS ship_year, p_type, n_name, c_mktsegment,
+           CAST(p_retailprice AS DECIMAL(12,2)) AS base, CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
+           CAST(l_shipdate AS DATE) - CAST(o_orderdate AS DATE) - p_size AS late
+    FROM orders, lineitem, part, buyer
+    WHERE o_orderkey = l_orderkey AND p_partkey = l_partkey AND k = o_custkey AND n_name IS NOT NULL AND l_shipdate IS NOT NULL)
+SELECT n_name, ship_year, p_type, c_mktsegment, COUNT(l_orderkey) AS total_items,
+       CAST(SUM(base) AS DECIMAL(38,2)) AS total_basic_cost,
+       CAST(SUM(CASE WHEN late > 0 THEN late * base ELSE 0 END) AS DECIMAL(38,2)) AS total_extra_cost,
+       CAST(SUM(price) AS DECIMAL(38,2)) AS final_total_revenue
+FROM fact GROUP BY ALL
 """
 
 ORACLE_SQL["roster_flag"] = """
-SELECT c.c_custkey, c.c_name, c.c_mktsegment,
-       CASE WHEN COUNT(DISTINCT o.o_orderkey) > 0 THEN 'YES' ELSE 'NO' END AS had_order_in_year,
-       COUNT(DISTINCT e.event_id) AS events_count
-FROM customer c
-LEFT JOIN orders o ON c.c_custkey = o.o_custkey AND YEAR(o.o_orderdate) = 1998
-LEFT JOIN events e ON c.c_custkey = e.user_id
-WHERE c.c_mktsegment = 'BUILDING'
-GROUP BY c.c_custkey, c.c_name, c.c_mktsegment
+SELECT c_custkey, c_name, c_mktsegment,
+       IF(EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey
+                    AND o_orderdate >= DATE '1998-01-01' AND o_orderdate < DATE '1999-01-01'), 'YES', 'NO') AS had_order_in_year,
+       (SELECT COUNT(DISTINCT event_id) FROM events WHERE user_id = c_custkey) AS events_count
+FROM customer WHERE c_mktsegment = 'BUILDING'
 """
 
-ORACLE_SQL["frequent_groups"] = f"""
-SELECT c.c_custkey, c.c_name, o.o_orderstatus,
-       COUNT(o.o_orderkey) AS total_orders, {_money_sum('o.o_totalprice')} AS total_cost
-FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey
-GROUP BY c.c_custkey, c.c_name, o.o_orderstatus
-HAVING COUNT(o.o_orderkey) > 3
-ORDER BY total_orders DESC
+ORACLE_SQL["frequent_groups"] = """
+WITH counted AS (
+    SELECT DISTINCT o_custkey, o_orderstatus, COUNT(*) OVER g AS total_orders,
+           CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) OVER g AS DECIMAL(38,2)) AS total_cost
+    FROM orders WINDOW g AS (PARTITION BY o_custkey, o_orderstatus))
+SELECT c_custkey, c_name, o_orderstatus, total_orders, total_cost
+FROM counted, customer WHERE c_custkey = o_custkey AND total_orders > 3
 """
 
 ORACLE_SQL["bridge_average"] = f"""
-SELECT s.s_suppkey, s.s_name,
-       {_ratio('SUM(CAST(CAST(l.l_quantity AS DECIMAL(12,2)) * 100 AS HUGEINT))', 'COUNT(l.l_quantity) * 100', 4)} AS avg_quantity,
-       {_dialect_avg('SUM(l.l_linenumber)', 'COUNT(l.l_linenumber)', 4)} AS avg_linenumber
-FROM supplier s
-JOIN lineitem l ON s.s_suppkey = l.l_suppkey
-JOIN orders o ON l.l_orderkey = o.o_orderkey
-GROUP BY s.s_suppkey, s.s_name
+WITH item AS (
+    SELECT l_suppkey, SUM(CAST(CAST(l_quantity AS DECIMAL(12,2)) * 100 AS HUGEINT)) AS q, COUNT(l_quantity) * 100 AS nq,
+           SUM(l_linenumber) AS l, COUNT(l_linenumber) AS nl
+    FROM lineitem WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey) GROUP BY l_suppkey)
+SELECT s_suppkey, s_name, {_ratio('q', 'nq', 4)} AS avg_quantity, {_dialect_avg('l', 'nl', 4)} AS avg_linenumber
+FROM item, supplier WHERE s_suppkey = l_suppkey
 """
 
 ORACLE_SQL["filtered_leaderboard"] = """
-SELECT c.c_custkey, c.c_name, c.c_acctbal, COUNT(e.event_id) AS total_purchases
-FROM customer c JOIN events e ON c.c_custkey = e.user_id
-WHERE c.c_acctbal < 1000 AND e.event_type = 'purchase'
-GROUP BY c.c_custkey, c.c_name, c.c_acctbal
-ORDER BY total_purchases DESC
+SELECT * FROM (
+    SELECT c_custkey, c_name, c_acctbal,
+           (SELECT COUNT(*) FROM events WHERE user_id = c_custkey AND event_type = 'purchase') AS total_purchases
+    FROM customer WHERE c_acctbal < 1000)
+WHERE total_purchases > 0
 """
 
 ORACLE_SQL["entity_timeline"] = """
-SELECT d.doc_id, d.source, d.n_chars, lb.quality, lb.toxic,
-       CAST(lb.quality + lb.toxic AS DOUBLE) / 2.0 AS avg_label_score
-FROM documents d LEFT JOIN labels lb ON d.doc_id = lb.doc_id
-WHERE d.lang = 'en'
-ORDER BY d.doc_id DESC
+WITH rated AS (SELECT doc_id, quality, toxic, (quality + toxic)::DOUBLE / 2.0 AS score FROM labels)
+SELECT doc_id, source, n_chars, quality, toxic, score AS avg_label_score FROM documents JOIN rated USING (doc_id)
+UNION ALL
+SELECT doc_id, source, n_chars, NULL, NULL, NULL FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM rated)
+"""
+
+ORACLE_SQL["entity_timeline_reduced"] = """
+SELECT doc_id, lang, n_chars, (SELECT (quality + toxic)::DOUBLE / 2.0 FROM labels l WHERE l.doc_id = d.doc_id) AS avg_score
+FROM documents d
 """
 
 ORACLE_SQL["dual_role_lookup"] = """
-SELECT o.o_orderkey, l.l_linenumber, o.o_orderdate,
-       nc.n_name AS customer_nation, ns.n_name AS supplier_nation, l.l_extendedprice
-FROM orders o
-JOIN lineitem l ON o.o_orderkey = l.l_orderkey
-JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN nation nc ON c.c_nationkey = nc.n_nationkey
-LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
-LEFT JOIN nation ns ON s.s_nationkey = ns.n_nationkey
-ORDER BY o.o_orderdate DESC
+WITH home AS (SELECT n_nationkey, n_name FROM nation),
+buyer AS (SELECT c_custkey, n_name AS customer_nation FROM customer, home WHERE n_nationkey = c_nationkey),
+seller AS (SELECT s_suppkey, (SELECT n_name FROM home WHERE n_nationkey = s_nationkey) AS supplier_nation FROM supplier)
+SELECT o_orderkey, l_linenumber, o_orderdate, customer_nation,
+       (SELECT supplier_nation FROM seller WHERE s_suppkey = l_suppkey) AS supplier_nation, l_extendedprice
+FROM lineitem, orders, buyer WHERE l_orderkey = o_orderkey AND o_custkey = c_custkey
 """
 
 ORACLE_SQL["dual_optional_counts"] = """
-SELECT c.c_custkey, c.c_name,
-       COUNT(DISTINCT o.o_orderkey) AS orders_count, COUNT(DISTINCT e.event_id) AS events_count
-FROM customer c
-LEFT JOIN orders o ON c.c_custkey = o.o_custkey
-LEFT JOIN events e ON c.c_custkey = e.user_id
-GROUP BY c.c_custkey, c.c_name
-ORDER BY orders_count DESC
+SELECT c_custkey, c_name,
+       (SELECT COUNT(DISTINCT o_orderkey) FROM orders WHERE o_custkey = c_custkey) AS orders_count,
+       (SELECT COUNT(DISTINCT event_id) FROM events WHERE user_id = c_custkey) AS events_count
+FROM customer
 """
 
 ORACLE_SQL["not_assigned"] = """
-SELECT c.c_custkey, c.c_name, c.c_mktsegment
-FROM customer c
-WHERE c.c_custkey NOT IN (
-    SELECT o.o_custkey FROM orders o
-    WHERE o.o_orderstatus = 'F' AND YEAR(o.o_orderdate) = 1997)
-"""
-
-ORACLE_SQL["equal_measure_pairs"] = """
-WITH totals AS (
-    SELECT o_custkey, CAST(YEAR(o_orderdate) AS INTEGER) AS order_year,
-           CAST(SUM(date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-12-31')) AS BIGINT) AS total_days
-    FROM orders
-    GROUP BY o_custkey, YEAR(o_orderdate)
-    HAVING total_days > 15)
-SELECT a.o_custkey AS customer_a, b.o_custkey AS customer_b, a.total_days, a.order_year
-FROM totals a JOIN totals b
-  ON a.total_days = b.total_days AND a.order_year = b.order_year AND a.o_custkey < b.o_custkey
-ORDER BY a.total_days DESC, a.order_year
+WITH idle AS (
+    SELECT c_custkey FROM customer
+    EXCEPT SELECT o_custkey FROM orders
+    WHERE o_orderstatus = 'F' AND o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1998-01-01')
+SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey IN (SELECT c_custkey FROM idle)
+"""
+
+_YEAR_TOTALS = """
+    SELECT o_custkey, CAST(EXTRACT(YEAR FROM o_orderdate) AS INTEGER) AS order_year,
+           CAST(SUM(DATE '2001-12-31' - CAST(o_orderdate AS DATE)) AS BIGINT) AS total_days
+    FROM orders GROUP BY 1, 2"""
+
+# members of equal totals as one sorted list, then every place with every later place of the list
+ORACLE_SQL["equal_measure_pairs"] = f"""
+WITH grouped AS (
+    SELECT order_year, total_days, list(o_custkey ORDER BY o_custkey) AS members
+    FROM ({_YEAR_TOTALS}) WHERE total_days > 15 GROUP BY order_year, total_days),
+placed AS (SELECT order_year, total_days, members, unnest(range(1, len(members) + 1)) AS i FROM grouped)
+SELECT members[i] AS customer_a, unnest(members[i + 1:]) AS customer_b, total_days, order_year FROM placed
+"""
+
+ORACLE_SQL["equal_measure_groups"] = f"""
+SELECT order_year, total_days, COUNT(*) OVER (PARTITION BY order_year, total_days) AS group_size, o_custkey
+FROM ({_YEAR_TOTALS}) WHERE total_days > 15
+QUALIFY group_size > 1
 """
 
 ORACLE_SQL["pair_cooccurrence"] = """
 WITH basket AS (
-    SELECT DISTINCT l.l_orderkey, p.p_brand
-    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
-SELECT a.p_brand AS brand_1, b.p_brand AS brand_2, COUNT(*) AS co_occurrence_count
-FROM basket a JOIN basket b ON a.l_orderkey = b.l_orderkey AND a.p_brand < b.p_brand
-GROUP BY a.p_brand, b.p_brand
-ORDER BY co_occurrence_count DESC, brand_1, brand_2
-LIMIT 3
+    SELECT l_orderkey, list(DISTINCT p_brand) AS brands FROM lineitem, part WHERE p_partkey = l_partkey GROUP BY l_orderkey),
+first AS (SELECT brands, unnest(brands) AS brand_1 FROM basket),
+pair AS (SELECT brand_1, unnest(list_filter(brands, lambda x: x > brand_1)) AS brand_2 FROM first)
+SELECT brand_1, brand_2, COUNT(*) AS co_occurrence_count FROM pair
+GROUP BY ALL ORDER BY co_occurrence_count DESC, brand_1, brand_2 LIMIT 3
 """
 
 ORACLE_SQL["gap_to_max"] = """
-WITH per_customer AS (
-    SELECT o_custkey, COUNT(o_orderkey) AS num_orders
-    FROM orders WHERE YEAR(o_orderdate) = 1997 GROUP BY o_custkey),
-top AS (SELECT MAX(num_orders) AS max_orders FROM per_customer)
-SELECT pc.o_custkey, pc.num_orders, t.max_orders
-FROM per_customer pc CROSS JOIN top t
-WHERE pc.num_orders <= t.max_orders - 5
-ORDER BY pc.num_orders DESC
+SELECT o_custkey, COUNT(*) AS num_orders, MAX(COUNT(*)) OVER () AS max_orders
+FROM orders WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1998-01-01'
+GROUP BY o_custkey
+QUALIFY max_orders - num_orders >= 5
 """
 
 ORACLE_SQL["weekly_roster"] = """
-SELECT n.n_nationkey, n.n_name, CAST(l.l_shipdate AS DATE) AS ship_date, l.l_returnflag, l.l_linestatus,
-       COUNT(l.l_orderkey) AS assigned_count
-FROM lineitem l
-JOIN supplier s ON l.l_suppkey = s.s_suppkey
-JOIN nation n ON s.s_nationkey = n.n_nationkey
-WHERE yearweek(l.l_shipdate) = yearweek(DATE '1997-05-20')
-GROUP BY n.n_nationkey, n.n_name, CAST(l.l_shipdate AS DATE), l.l_returnflag, l.l_linestatus
-ORDER BY n.n_nationkey, ship_date, l.l_returnflag
+WITH site AS (SELECT s_suppkey, n_nationkey, n_name FROM supplier, nation WHERE n_nationkey = s_nationkey)
+SELECT n_nationkey, n_name, CAST(l_shipdate AS DATE) AS ship_date, l_returnflag, l_linestatus, COUNT(l_orderkey) AS assigned_count
+FROM lineitem, site
+WHERE s_suppkey = l_suppkey AND date_trunc('week', l_shipdate) = date_trunc('week', DATE '1997-05-20')
+GROUP BY ALL
 """
 
+# the parent of k is k // 10, so the ancestor at level v is k // 10**v, down to 0
 ORACLE_SQL["ancestor_closure"] = """
-WITH RECURSIVE tree AS (
-    SELECT c_custkey, CASE WHEN c_custkey <> 0 THEN c_custkey // 10 END AS parent_key FROM customer),
-walk AS (
-    SELECT c_custkey AS origin, c_custkey AS cur, parent_key AS sup, 1 AS lvl
-    FROM tree WHERE parent_key IS NOT NULL
-    UNION ALL
-    SELECT w.origin, t.c_custkey, t.parent_key, w.lvl + 1
-    FROM walk w JOIN tree t ON w.sup = t.c_custkey
-    WHERE t.parent_key IS NOT NULL)
-SELECT w.origin AS customer_key, c1.c_name AS customer_name, w.sup AS supervisor_key,
-       c2.c_name AS supervisor_name, c2.c_mktsegment AS supervisor_segment, w.lvl AS hierarchy_level
-FROM walk w
-JOIN customer c1 ON w.origin = c1.c_custkey
-JOIN customer c2 ON w.sup = c2.c_custkey
-ORDER BY customer_key, hierarchy_level
+WITH up AS (
+    SELECT c_custkey AS customer_key, c_name AS customer_name,
+           unnest(range(1, len(CAST(c_custkey AS VARCHAR)) + 1)) AS v
+    FROM customer WHERE c_custkey <> 0)
+SELECT customer_key, customer_name, c_custkey AS supervisor_key, c_name AS supervisor_name,
+       c_mktsegment AS supervisor_segment, CAST(v AS INTEGER) AS hierarchy_level
+FROM up, customer WHERE c_custkey = customer_key // CAST(10 ** v AS BIGINT)
 """
 
+# turns of a conversation are numbered without gaps, so the ancestors of a turn are all turns before it
 ORACLE_SQL["reply_chain"] = """
-WITH RECURSIVE nodes AS (
-    SELECT conv_id, turn,
-           CASE WHEN turn > 0 THEN conv_id END AS parent_conv,
-           CASE WHEN turn > 0 THEN turn - 1 END AS parent_turn
-    FROM conversations),
-walk AS (
-    SELECT conv_id AS o_conv, turn AS o_turn, parent_conv AS a_conv, parent_turn AS a_turn, 1 AS lvl
-    FROM nodes WHERE parent_conv IS NOT NULL AND parent_turn IS NOT NULL
-    UNION ALL
-    SELECT w.o_conv, w.o_turn, n.parent_conv, n.parent_turn, w.lvl + 1
-    FROM walk w JOIN nodes n ON w.a_conv = n.conv_id AND w.a_turn = n.turn
-    WHERE n.parent_conv IS NOT NULL AND n.parent_turn IS NOT NULL)
-SELECT w.o_conv AS conv_id, w.o_turn AS turn, w.a_turn AS ancestor_turn, c.role AS ancestor_role,
-       w.lvl AS hierarchy_level
-FROM walk w JOIN conversations c ON w.a_conv = c.conv_id AND w.a_turn = c.turn
-ORDER BY conv_id, turn, hierarchy_level
+SELECT late.conv_id, late.turn, early.turn AS ancestor_turn, early.role AS ancestor_role,
+       CAST(late.turn - early.turn AS INTEGER) AS hierarchy_level
+FROM conversations late, conversations early
+WHERE early.conv_id = late.conv_id AND early.turn < late.turn
 """
 
 ORACLE_SQL["consecutive_equal"] = """
 WITH yearly AS (
-    SELECT p.p_brand, p.p_type, CAST(YEAR(l.l_shipdate) AS INTEGER) AS ship_year, COUNT(*) AS n_items
-    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-    GROUP BY p.p_brand, p.p_type, YEAR(l.l_shipdate)
-    HAVING COUNT(*) >= 5)
-SELECT y1.p_brand, y1.p_type, y1.ship_year AS year_1, y2.ship_year AS year_2, y1.n_items
-FROM yearly y1 JOIN yearly y2
-  ON y1.p_brand = y2.p_brand AND y1.p_type = y2.p_type
- AND y1.n_items = y2.n_items AND y2.ship_year = y1.ship_year + 1
-ORDER BY y1.n_items DESC, y1.p_brand
+    SELECT p_brand, p_type, CAST(EXTRACT(YEAR FROM l_shipdate) AS INTEGER) AS year_1, COUNT(*) AS n_items
+    FROM lineitem, part WHERE p_partkey = l_partkey GROUP BY ALL)
+SELECT p_brand, p_type, year_1, year_1 + 1 AS year_2, n_items
+FROM yearly WHERE n_items >= 5
+WINDOW line AS (PARTITION BY p_brand, p_type ORDER BY year_1)
+QUALIFY lead(year_1) OVER line = year_1 + 1 AND lead(n_items) OVER line = n_items
 """
 
+# per visit the list of departments that took its patient within a day; a visit without one has a list of one NULL
 ORACLE_SQL["triage_referral"] = f"""
-WITH ev AS (
-    SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS service_start_ts FROM events),
-visit AS (
-    SELECT event_id AS visit_id, user_id, ts AS arrival_ts,
-           CAST(floor(value / 50) AS INTEGER) AS emergency_level, service_start_ts,
-           CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50
-                THEN 'HOSPITALIZED' ELSE 'DISCHARGED' END AS disposition
-    FROM ev WHERE event_type = 'error'),
-stay AS (
-    SELECT user_id, ts AS admission_ts, event_type AS department_name
-    FROM events WHERE event_type IN ('purchase', 'signup')),
-visit_data AS (
-    SELECT v.visit_id, v.emergency_level,
-           datesub('minute', v.arrival_ts, v.service_start_ts) AS wait_time_mins,
-           v.disposition, s.department_name
-    FROM visit v
-    LEFT JOIN stay s
-      ON v.user_id = s.user_id
-     AND s.admission_ts >= v.arrival_ts
-     AND s.admission_ts <= v.arrival_ts + INTERVAL 24 HOUR)
-SELECT emergency_level,
-       COUNT(DISTINCT visit_id) AS total_visits,
-       {_dialect_avg('SUM(wait_time_mins)', 'COUNT(wait_time_mins)', 2)} AS avg_wait_time_mins,
-       {_ratio("SUM(CASE WHEN disposition = 'HOSPITALIZED' THEN 1 ELSE 0 END)", 'COUNT(DISTINCT visit_id)', 2, 100)} AS hosp_percentage,
-       IFNULL(department_name, 'NO_ADMISSION') AS referred_department,
-       COUNT(department_name) AS referrals_count
-FROM visit_data
-GROUP BY emergency_level, department_name
-ORDER BY emergency_level, referrals_count DESC
+WITH visit AS (
+    SELECT event_id, user_id, ts, event_type, CAST(floor(value / 50) AS INTEGER) AS emergency_level,
+           CAST(props ->> '$.k' AS INTEGER) >= 50 AS kept,
+           datesub('minute', ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS wait
+    FROM events),
+sent AS (
+    SELECT emergency_level, event_id, wait, kept, unnest(coalesce(
+        (SELECT list(s.event_type) FROM events s WHERE s.user_id = v.user_id AND s.event_type IN ('purchase', 'signup')
+            AND s.ts BETWEEN v.ts AND v.ts + INTERVAL 1 DAY), [NULL])) AS department
+    FROM visit v WHERE v.event_type = 'error'),
+per AS (
+    SELECT emergency_level, department, COUNT(DISTINCT event_id) AS total_visits, SUM(wait) AS waits, COUNT(wait) AS n_waits,
+           COUNT(*) FILTER (WHERE kept) AS n_kept, COUNT(department) AS referrals_count
+    FROM sent GROUP BY ALL)
+SELECT emergency_level, total_visits, {_dialect_avg('waits', 'n_waits', 2)} AS avg_wait_time_mins,
+       {_ratio('n_kept', 'total_visits', 2, 100)} AS hosp_percentage,
+       coalesce(department, 'NO_ADMISSION') AS referred_department, referrals_count
+FROM per
 """
 
 ORACLE_SQL["audit_primary_key"] = f"""
@@ -284,6 +244,10 @@ ORACLE_SQL["audit_not_null"] = "\nUNION ALL\n".join(
     f"SELECT 'not_null({c})' AS rule, 'lineitem' AS table_name, {_key('l_orderkey', 'l_linenumber')} AS key_value, "
     f"'null' AS detail FROM lineitem WHERE {c} IS NULL"
     for c in _LINEITEM_COLS
+) + "".join(
+    f"\nUNION ALL SELECT 'not_null({c})', 'customer', {_key('c_custkey', 'event_id')}, 'null' "
+    f"FROM customer LEFT JOIN events ON user_id = c_custkey WHERE {c} IS NULL"
+    for c in ("c_name", "event_id", "value")
 )
 
 ORACLE_SQL["audit_check"] = f"""
@@ -297,6 +261,29 @@ UNION ALL
 SELECT 'customer_acctbal_nonneg', 'customer', {_key('c_custkey')}, 'check failed' FROM customer WHERE NOT (c_acctbal >= 0)
 """
 
+_CLOCKED = "SELECT event_id, event_type, value, strftime(ts, '%H:%M:%S') AS clock, c_acctbal FROM events LEFT JOIN customer ON user_id = c_custkey"
+_FORMS = {
+    "value_between": "value < 5 OR value > 95",
+    "type_in": "event_type = 'error'",
+    "balance_null_or_positive": "c_acctbal <= 0",
+    "type_and_clock": "event_type = 'view' AND NOT (clock >= '07:00:00' AND clock < '15:00:00')"
+                      " OR event_type = 'click' AND NOT (clock >= '15:00:00' AND clock < '23:00:00')",
+}
+ORACLE_SQL["audit_check_forms"] = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS rule, 'events' AS table_name, {_key('event_id')} AS key_value, 'check failed' AS detail "
+    f"FROM ({_CLOCKED}) WHERE {cond}" for name, cond in _FORMS.items())
+
+ORACLE_SQL["default_values"] = """
+SELECT event_id, coalesce(c_acctbal, 0.0) AS balance, coalesce(c_mktsegment, 'NONE') AS segment
+FROM events LEFT JOIN customer ON user_id = c_custkey
+"""
+
+ORACLE_SQL["audit_unique_collated"] = """
+SELECT 'unique(p_name)' AS rule, 'part' AS table_name, min(shown) AS key_value, 'rows=' || CAST(COUNT(*) AS VARCHAR) AS detail
+FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END AS shown FROM part)
+GROUP BY rtrim(lower(strip_accents(shown))) HAVING COUNT(*) > 1
+"""
+
 ORACLE_SQL["audit_length"] = f"""
 SELECT 'length(p_name)<=10' AS rule, 'part' AS table_name, {_key('p_partkey')} AS key_value, 'too long' AS detail
 FROM part WHERE length(p_name) > 10
@@ -349,6 +336,25 @@ UNION ALL SELECT 'orders', 0
 UNION ALL SELECT 'lineitem', 0
 """
 
+ORACLE_SQL["propagate_delete_rows"] = f"""
+WITH gone AS (SELECT n_nationkey FROM nation, region WHERE n_regionkey = r_regionkey AND r_name = 'AFRICA')
+SELECT 'region' AS table_name, 'survives' AS outcome, CAST(r_regionkey AS VARCHAR) AS key_value FROM region WHERE r_name <> 'AFRICA'
+UNION ALL SELECT 'nation', 'survives', CAST(n_nationkey AS VARCHAR) FROM nation WHERE n_nationkey NOT IN (FROM gone)
+UNION ALL SELECT 'customer', 'survives', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_nationkey NOT IN (FROM gone)
+UNION ALL SELECT 'supplier', 'survives', CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_nationkey NOT IN (FROM gone)
+UNION ALL SELECT 'lineitem', 'blocks', {_key('l_orderkey', 'l_linenumber')} FROM lineitem
+    WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)
+      AND (l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey IN (FROM gone))
+           OR l_orderkey IN (SELECT o_orderkey FROM orders, customer WHERE c_custkey = o_custkey AND c_nationkey IN (FROM gone)))
+"""
+
+_RENUMBERED = "CASE WHEN {c} IN (SELECT n_nationkey FROM nation, region WHERE n_regionkey = r_regionkey AND r_name = 'AFRICA') THEN {c} + 100 ELSE {c} END::BIGINT"
+ORACLE_SQL["propagate_key_change_rows"] = f"""
+SELECT 'customer' AS table_name, c_custkey::BIGINT AS row_key, {_RENUMBERED.format(c='c_nationkey')} AS nation_key FROM customer
+UNION ALL SELECT 'supplier', s_suppkey::BIGINT, {_RENUMBERED.format(c='s_nationkey')} FROM supplier
+UNION ALL SELECT 'nation', NULL, {_RENUMBERED.format(c='n_nationkey')} FROM nation
+"""
+
 ORACLE_SQL["assign_ids"] = """
 SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS seq_id FROM events
 """
@@ -382,6 +388,11 @@ ORACLE_SQL["find_cycles_orders"] = _CYCLE_WALK.format(
     node="c_custkey",
 )
 
+ORACLE_SQL["find_cycles_repeated"] = _CYCLE_WALK.format(
+    graph="SELECT o_custkey AS v, min((o_orderkey * 3) // 40) FILTER (WHERE o_orderkey % 7 <> 0) AS p FROM orders GROUP BY o_custkey",
+    node="o_custkey",
+)
+
 ORACLE_SQL["conflict_pairs"] = """
 SELECT l.l_orderkey, l.l_linenumber, o.o_custkey AS c_custkey, l.l_suppkey AS s_suppkey,
        s.s_nationkey AS shared_nationkey
@@ -439,14 +450,37 @@ SELECT 'automobile_has_no_parent', 'customer', {_key('c_custkey')}, 'check faile
 FROM tree WHERE c_mktsegment = 'AUTOMOBILE' AND parent_key IS NOT NULL
 """
 
-ORACLE_SQL["ingest_gate"] = f"""
-WITH iv AS ({_EVENT_INTERVALS})
-SELECT a.event_id, 'overlaps_earlier' AS rule
-FROM iv a
-WHERE EXISTS (SELECT 1 FROM iv b WHERE b.user_id = a.user_id AND b.event_id < a.event_id
-                                   AND b.start_ts < a.end_ts AND b.end_ts > a.start_ts)
-UNION ALL
-SELECT event_id, 'unknown_user' FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)
+_EARLIER = """
+SELECT {out} FROM ({iv}) a
+WHERE EXISTS (SELECT 1 FROM ({iv}) b WHERE b.key = a.key AND (b.s < a.s OR (b.s = a.s AND b.id < a.id)) AND b.e > a.s)
+"""
+ORACLE_SQL["place_overlap"] = _EARLIER.format(
+    out="a.id AS event_id, a.key AS place",
+    iv="SELECT event_id AS id, event_type || '-' || hour(ts) AS key, ts AS s, ts + INTERVAL 10 MINUTE AS e FROM events")
+ORACLE_SQL["chief_overlap"] = _EARLIER.format(
+    out="a.id AS o_orderkey, a.key AS o_custkey",
+    iv="SELECT o_orderkey AS id, o_custkey AS key, o_orderdate AS s, o_orderdate + INTERVAL 30 DAY AS e FROM orders")
+_SUPPLY = ("SELECT DISTINCT o_orderkey AS id, l_suppkey AS key, o_orderdate AS s, o_orderdate + INTERVAL 12 HOUR AS e "
+           "FROM orders, lineitem WHERE l_orderkey = o_orderkey")
+ORACLE_SQL["participant_overlap"] = _EARLIER.format(out="a.id AS event, a.key AS person", iv=_SUPPLY)
+ORACLE_SQL["busy_chief"] = f"""
+SELECT id AS event, key AS person FROM ({_SUPPLY}) a
+WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = a.key AND o.o_orderkey <> a.id
+              AND o.o_orderdate < a.e AND o.o_orderdate + INTERVAL 12 HOUR > a.s)
+"""
+
+# the first delivery (views, clicks) meets the stored rows; the second meets those and what the first left accepted
+ORACLE_SQL["ingest_gate"] = """
+WITH iv AS (SELECT event_id AS id, user_id AS u, ts AS s, ts + INTERVAL 30 MINUTE AS e,
+                   CASE WHEN event_type IN ('purchase', 'signup') THEN 0 WHEN event_type IN ('view', 'click') THEN 1 ELSE 2 END AS d FROM events),
+unknown AS (SELECT id, 'unknown_user' AS rule FROM iv WHERE d > 0 AND u NOT IN (SELECT c_custkey FROM customer)),
+hit_1 AS (SELECT id, 'overlaps' AS rule FROM iv a WHERE d = 1 AND EXISTS (
+    SELECT 1 FROM iv b WHERE b.u = a.u AND b.s < a.e AND b.e > a.s AND (b.d = 0 OR (b.d = 1 AND b.id < a.id)))),
+there AS (SELECT * FROM iv WHERE d = 0 OR (d = 1 AND id NOT IN (SELECT id FROM hit_1 UNION ALL SELECT id FROM unknown))),
+hit_2 AS (SELECT id, 'overlaps' AS rule FROM iv a WHERE d = 2 AND (
+    EXISTS (SELECT 1 FROM there b WHERE b.u = a.u AND b.s < a.e AND b.e > a.s)
+    OR EXISTS (SELECT 1 FROM iv b WHERE b.d = 2 AND b.u = a.u AND b.s < a.e AND b.e > a.s AND b.id < a.id)))
+SELECT id AS event_id, rule FROM (FROM unknown UNION ALL FROM hit_1 UNION ALL FROM hit_2)
 """
 
 ORACLE_SQL["role_conflict"] = """

@@ -32,7 +32,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.functions.calendar import days_between, in_week, in_year, minutes_between
+from wardline.functions.calendar import days_between, in_week, in_year, minutes_between, ntz_literal
 from wardline.functions.numeric import dialect_avg, greatest_strict, ratio
 from wardline.operators.hierarchy import ancestors
 from wardline.operators.joins import anti_join, interval_join
@@ -59,8 +59,11 @@ MIN_ADMISSIONS = 5  # Q14: at least 5 admissions
 REFERRAL_HOURS = 24  # Q15: admission within 24 hours of arrival
 
 
-def _year(as_of: dt.date | None) -> int:
-    return (as_of or dt.date.today()).year
+def _year(as_of: dt.date | None, df: DataFrame) -> int:
+    """Year of ``as_of``, or of the session's current date (one value, no table read)."""
+    if as_of is None:
+        as_of = df.sparkSession.range(1).select(F.current_date()).first()[0]
+    return as_of.year
 
 
 def _text_eq(col: str, value: str, collation: str | None) -> Column:
@@ -110,7 +113,7 @@ def roster_flag(tables: Tables, specialization: str, *, as_of: dt.date | None =
     d = tables["doctor"].filter(_text_eq("specialization", specialization, collation)).select("amka", "specialization")
     p = tables["personnel"].select("amka", "first_name", "last_name")
     base = d.join(p, "amka")
-    shifts = tables["department_shift"].filter(in_year("shift_date", _year(as_of), timestamp=False)).select("shift_id")
+    shifts = tables["department_shift"].filter(in_year("shift_date", _year(as_of, tables["department_shift"]), timestamp=False)).select("shift_id")
     worked = tables["shift_assignment"].join(shifts, "shift_id", "left_semi").select("personnel_amka")
     out = flag_any(base, "amka", worked, "personnel_amka", "had_shift_current_year")
     out = distinct_counts(
@@ -262,7 +265,7 @@ def equal_total_pairs(tables: Tables, min_days: int = MIN_TOTAL_DAYS, *, as_of:
 
     An open stay runs to ``as_of`` (default: now); a stay counts wholly in its admission year.
     """
-    end = F.coalesce(F.col("discharge_ts"), F.lit(as_of) if as_of else F.localtimestamp())
+    end = F.coalesce(F.col("discharge_ts"), ntz_literal(as_of) if as_of else F.localtimestamp())
     totals = (
         tables["hospitalization"]
         .groupBy("patient_amka", F.year("admission_ts").alias("hosp_year"))
@@ -300,7 +303,7 @@ def substance_cooccurrence(tables: Tables, top: int = TOP_PAIRS) -> DataFrame:
 def surgeons_below_max(tables: Tables, gap: int = GAP_TO_MAX, *, as_of: dt.date | None = None) -> DataFrame:
     """Q11: chiefs of this year whose procedure count is at most the year's maximum minus ``gap``."""
     counts = (
-        tables["procedure_event"].filter(in_year("start_ts", _year(as_of)))
+        tables["procedure_event"].filter(in_year("start_ts", _year(as_of, tables["procedure_event"])))
         .groupBy("chief_surgeon_amka").agg(F.count("procedure_event_id").alias("num_surgeries"))
     )
     return gap_to_max(counts, "num_surgeries", gap, "max_surg").orderBy(
@@ -335,10 +338,10 @@ def weekly_roster(tables: Tables, week_of: dt.date) -> DataFrame:
 # ---------------------------------------------------------------- Q13
 
 
-def supervisor_closure(tables: Tables, *, max_depth: int = 1000) -> DataFrame:
+def supervisor_closure(tables: Tables) -> DataFrame:
     """Q13: every doctor with each supervisor above them, level 1 (direct) upward."""
     doc = tables["doctor"].select("amka", "supervisor_amka", "doctor_rank")
-    walk = ancestors(doc, "amka", "supervisor_amka", max_depth=max_depth)
+    walk = ancestors(doc, "amka", "supervisor_amka")
     per = tables["personnel"].select("amka", "first_name", "last_name")
     p1 = per.select(F.col("amka").alias("k1"), F.col("first_name").alias("doc_first_name"),
                     F.col("last_name").alias("doc_last_name"))
@@ -415,7 +418,7 @@ def triage_referral(tables: Tables, hours: int = REFERRAL_HOURS, *, first_match:
     h = tables["hospitalization"].select(
         "hosp_id", F.col("patient_amka").alias("h_patient"), "admission_ts", F.col("department_id").alias("h_dept"))
     vd = interval_join(v, h, keys=[("v_patient", "h_patient")], left_ts="arrival_ts", right_ts="admission_ts",
-                       hours=hours, left_id="visit_id")
+                       hours=hours)
     if first_match:
         w = Window.partitionBy("visit_id").orderBy(F.col("admission_ts").asc_nulls_last(), "hosp_id")
         vd = vd.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")

@@ -34,7 +34,7 @@ from collections.abc import Mapping  # noqa: E402
 
 from wardline.operators import audit as A  # noqa: E402
 from wardline.operators.hierarchy import find_cycles  # noqa: E402
-from wardline.operators.relate import cross_overlap_pairs, lookup, overlap_pairs  # noqa: E402
+from wardline.operators.relate import cross_overlap_pairs, lookup, overlap_flags, overlapped_by  # noqa: E402
 
 Tables = Mapping[str, DataFrame]
 
@@ -81,15 +81,14 @@ def _events(tables: Tables) -> DataFrame:
     return tables["procedure_event"].select("procedure_event_id", "place_id", "chief_surgeon_amka", "start_ts", "end_ts")
 
 
-def place_overlap_rows(tables: Tables, bucket_hours: float = 24) -> DataFrame:
-    """T3: pairs of procedures overlapping in the same place."""
-    return overlap_pairs(_events(tables), "place_id", "procedure_event_id", "start_ts", "end_ts", bucket_hours=bucket_hours)
+def place_overlap_rows(tables: Tables) -> DataFrame:
+    """T3: procedures that overlap an earlier one (by start, then id) in the same place."""
+    return overlap_flags(_events(tables), "place_id", "procedure_event_id", "start_ts", "end_ts")
 
 
-def chief_overlap_rows(tables: Tables, bucket_hours: float = 24) -> DataFrame:
-    """T4: pairs of procedures overlapping with the same chief surgeon."""
-    return overlap_pairs(_events(tables), "chief_surgeon_amka", "procedure_event_id", "start_ts", "end_ts",
-                         bucket_hours=bucket_hours)
+def chief_overlap_rows(tables: Tables) -> DataFrame:
+    """T4: procedures that overlap an earlier one (by start, then id) with the same chief surgeon."""
+    return overlap_flags(_events(tables), "chief_surgeon_amka", "procedure_event_id", "start_ts", "end_ts")
 
 
 def _participation(tables: Tables) -> DataFrame:
@@ -98,24 +97,32 @@ def _participation(tables: Tables) -> DataFrame:
     return pp.join(ev, "procedure_event_id")
 
 
-def participant_overlap_rows(tables: Tables, bucket_hours: float = 24) -> DataFrame:
-    """T5a: a staff member taking part in two overlapping procedures."""
-    return overlap_pairs(_participation(tables), "personnel_amka", "procedure_event_id", "start_ts", "end_ts",
-                         bucket_hours=bucket_hours)
+def participant_overlap_rows(tables: Tables) -> DataFrame:
+    """T5a: participations that overlap an earlier one (by start, then event id) of the same person."""
+    return overlap_flags(_participation(tables), "personnel_amka", "procedure_event_id", "start_ts", "end_ts")
 
 
-def participant_chief_overlap_rows(tables: Tables, bucket_hours: float = 24) -> DataFrame:
-    """T5b: a person taking part in one procedure while chief of another overlapping one.
+def busy_chief_rows(members: DataFrame, chiefs: DataFrame, person: str, event: str, start: str, end: str) -> DataFrame:
+    """T5b's shape: rows of ``members`` that overlap another event of which the person is chief (both have all four columns).
 
-    The same event in both roles is T7, not T5b.
+    The same event in both roles is T7, not T5b.  Chiefs that aren't members of
+    their own event are swept; the few that are (T7 rows) are paired event by event.
     """
-    chief = _events(tables).select(F.col("chief_surgeon_amka").alias("personnel_amka"), "procedure_event_id",
-                                   "start_ts", "end_ts")
-    pairs = cross_overlap_pairs(chief, _participation(tables), "personnel_amka", "procedure_event_id", "start_ts",
-                                "end_ts", bucket_hours=bucket_hours)
-    return pairs.filter(F.col("left_procedure_event_id") != F.col("right_procedure_event_id")).select(
-        "personnel_amka", F.col("left_procedure_event_id").alias("chief_event_id"),
-        F.col("right_procedure_event_id").alias("participant_event_id"))
+    both_roles = chiefs.join(members.select(event, person), [event, person], "left_semi")
+    plain = chiefs.join(members.select(event, person), [event, person], "left_anti")
+    swept = overlapped_by(members, plain, person, start, end)
+    pairs = cross_overlap_pairs(both_roles, members, person, event, start, end)
+    pairs = pairs.filter(F.col(f"left_{event}") != F.col(f"right_{event}")).select(person, F.col(f"right_{event}").alias(event))
+    return swept.select(event, person).unionByName(pairs).distinct()
+
+
+def _chiefs(tables: Tables) -> DataFrame:
+    return _events(tables).select("procedure_event_id", F.col("chief_surgeon_amka").alias("personnel_amka"), "start_ts", "end_ts")
+
+
+def participant_chief_overlap_rows(tables: Tables) -> DataFrame:
+    """T5b: participations of a person who is chief of another overlapping procedure."""
+    return busy_chief_rows(_participation(tables), _chiefs(tables), "personnel_amka", "procedure_event_id", "start_ts", "end_ts")
 
 
 def place_type_mismatch_rows(tables: Tables) -> DataFrame:
@@ -152,30 +159,24 @@ def admin_participant_rows(tables: Tables) -> DataFrame:
     return forbidden_members(pp, "personnel_amka", tables["personnel"], "amka", F.col("personnel_type") == "ADMIN")
 
 
-def _pair(df: DataFrame, rule: str, what: str) -> DataFrame:
-    # a pair is reported on its later row (larger id): the insert the trigger would have refused
-    return _shape(df, rule, "procedure_event", ["procedure_event_id_b"],
-                  F.concat(F.lit(f"overlaps procedure_event {what} "), F.col("procedure_event_id_a").cast("string")))
-
-
 def place_overlaps(tables: Tables) -> DataFrame:
-    return _pair(place_overlap_rows(tables), "T3_place_overlap", "in place")
+    return _shape(place_overlap_rows(tables), "T3_place_overlap", "procedure_event", ["procedure_event_id"],
+                  F.concat(F.lit("overlaps an earlier procedure in place "), F.col("place_id").cast("string")))
 
 
 def chief_overlaps(tables: Tables) -> DataFrame:
-    return _pair(chief_overlap_rows(tables), "T4_chief_overlap", "with chief")
+    return _shape(chief_overlap_rows(tables), "T4_chief_overlap", "procedure_event", ["procedure_event_id"],
+                  F.concat(F.lit("overlaps an earlier procedure with chief "), F.col("chief_surgeon_amka")))
 
 
 def participant_overlaps(tables: Tables) -> DataFrame:
     return _shape(participant_overlap_rows(tables), "T5a_participant_overlap", "procedure_participant",
-                  ["procedure_event_id_b", "personnel_amka"],
-                  F.concat(F.lit("overlaps procedure_event "), F.col("procedure_event_id_a").cast("string")))
+                  ["procedure_event_id", "personnel_amka"], F.lit("overlaps an earlier procedure of the same person"))
 
 
 def participant_chief_overlaps(tables: Tables) -> DataFrame:
     return _shape(participant_chief_overlap_rows(tables), "T5b_participant_is_busy_chief", "procedure_participant",
-                  ["participant_event_id", "personnel_amka"],
-                  F.concat(F.lit("chief of procedure_event "), F.col("chief_event_id").cast("string")))
+                  ["procedure_event_id", "personnel_amka"], F.lit("chief of an overlapping procedure"))
 
 
 def place_type_mismatches(tables: Tables) -> DataFrame:
@@ -221,15 +222,9 @@ def declared_constraints(tables: Tables, only: list[str] | None = None) -> DataF
         pk = list(S.PRIMARY_KEYS[t])
         frames.append(A.audit_primary_key(df, t, pk))
         frames += [A.audit_unique(df, t, list(cols)) for tt, cols in S.UNIQUES if tt == t]
-        frames.append(A.audit_not_null(df, t, pk, S.not_null_columns(t)))
-        if t in S.CHECKS:
-            frames.append(A.audit_check(df, t, pk, S.CHECKS[t]))
-        limits = S.length_limits(t)
-        if limits:
-            frames.append(A.audit_length(df, t, pk, limits))
-        decs = S.decimal_columns(t)
-        if decs:
-            frames.append(A.audit_decimal(df, t, pk, decs))
+        # NOT NULL, CHECK, length and decimal limits in one pass over the table
+        frames.append(A.audit_rows(df, t, pk, not_null=S.not_null_columns(t), checks=S.CHECKS.get(t, {}),
+                                   lengths=S.length_limits(t), decimals=S.decimal_columns(t)))
     for fk in S.FOREIGN_KEYS:
         if fk.child in tables and fk.parent in tables and (not only or fk.child in only):
             frames.append(A.audit_foreign_key(
