@@ -6,10 +6,10 @@ files); every micro-batch is checked in ``foreachBatch`` against the stored
 tables plus everything accepted by earlier batches, and split into accepted
 and rejected rows.  All failing rules of a row are reported at once.
 
-Semantics: a batch row is rejected when any rule fires for it against the
-stored rows or against batch rows that come earlier (smaller key).  Unlike a
-row-at-a-time trigger, a row that conflicts only with another rejected row of
-the same batch is rejected too (the check is set-based and order-free).
+Semantics: a batch row is rejected when any rule fires for it against a stored
+row, whatever the two keys are, or against a batch row with a smaller key.
+Unlike a row-at-a-time trigger, a row that conflicts only with another rejected
+row of the same batch is rejected too (the check is set-based and order-free).
 
 Idempotence: each batch writes ``accepted/batch_id=N`` and
 ``rejected/batch_id=N`` with overwrite, and reads prior acceptances only from
@@ -27,112 +27,181 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from wardline.operators.audit import key_text
-from wardline.plans.rules import declared_constraints, trigger_rules
+from wardline.operators.audit import AUDIT_COLUMNS, audit_foreign_key, audit_primary_key, audit_rows, key_text, union_all
 from wardline.operators.maintain import assign_ids
-from wardline.sources.schemas import GENERATED_KEYS, PRIMARY_KEYS, SCHEMAS, UNIQUES, with_defaults
-from wardline.session import ensure_checkpoint_dir
+from wardline.operators.relate import overlap_pairs, overlapped_by
+from wardline.plans.rules import (
+    admin_participants,
+    allergy_conflicts,
+    busy_chief_rows,
+    chief_is_participant,
+    place_type_mismatches,
+    supervision_cycles,
+    supervision_rules,
+)
+from wardline.session import ensure_checkpoint_dir, materialise
+from wardline.sources.schemas import (
+    CHECKS,
+    FOREIGN_KEYS,
+    GENERATED_KEYS,
+    PRIMARY_KEYS,
+    SCHEMAS,
+    UNIQUES,
+    decimal_columns,
+    length_limits,
+    not_null_columns,
+    with_defaults,
+)
 
 Tables = Mapping[str, DataFrame]
 
-# Overlap keys: stored rows sharing none of these (nor the primary or a unique
-# key) with a batch row cannot conflict with it and are not read by the rules.
-CONFLICT_KEYS = {
-    "procedure_event": ["place_id", "chief_surgeon_amka"],
-    "procedure_participant": ["personnel_amka"],
-    "prescription": ["patient_amka"],
-}
+Rule = Callable[[DataFrame, DataFrame], DataFrame]
 
 
-# Tables whose rules follow chains through arbitrary stored rows (supervision
-# cycles): the gate reads them whole.  The doctor table is small.
-WHOLE_TABLE = {"doctor"}
+def split_batch(batch: DataFrame, stored: DataFrame, key: Sequence[str], rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+    """Generic core: run ``rules`` on a batch and the stored rows, and split the batch.
 
-
-def _relevant_stored(stored: DataFrame, batch: DataFrame, table: str) -> DataFrame:
-    """Stored rows a batch row can conflict with: same overlap key, same primary key or same unique key.
-
-    Each condition is a semi join of the stored table against the batch's
-    distinct values (small, since the batch is); rows found by several are
-    kept once by primary key.  Tables in ``WHOLE_TABLE`` are returned as they are.
-    """
-    if table in WHOLE_TABLE:
-        return stored
-    pk = list(PRIMARY_KEYS[table])
-    probes = [[k] for k in CONFLICT_KEYS.get(table, [])] + [pk] + [list(cols) for t, cols in UNIQUES if t == table]
-    parts = [stored.join(batch.select(*cols).distinct(), cols, "left_semi") for cols in probes]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.dropDuplicates(pk)
-
-
-Rule = Callable[[DataFrame], DataFrame]
-
-
-def split_batch(
-    batch: DataFrame, stored: DataFrame, key: Sequence[str], rules: Sequence[Rule]
-) -> tuple[DataFrame, DataFrame]:
-    """Generic core: run ``rules`` on ``stored`` plus ``batch`` and split the batch.
-
-    Each rule maps the combined rows to offending rows holding the ``key``
-    columns and a ``rule`` column.  Offenders whose key belongs to the batch are
-    rejected (one row per failing rule); the rest of the batch is accepted.
+    Each rule maps ``(batch, stored)`` to the offending *batch* rows, with the
+    ``key`` columns and a ``rule`` column: whichever side of a conflict has the
+    larger key, it is the arriving row that is refused.  The findings are
+    written once; accepted and rejected rows are both read from them.
     """
     key = list(key)
-    combined = stored.unionByName(batch.select(*stored.columns))
-    findings = [r(combined).select(*key, "rule") for r in rules]
-    found = findings[0]
-    for f in findings[1:]:
-        found = found.unionByName(f)
-    rejected = found.join(batch.select(*key).distinct(), key, "left_semi")
-    accepted = batch.join(rejected.select(*key).distinct(), key, "left_anti")
-    return accepted, rejected
+    found = materialise(union_all([r(batch, stored).select(*key, "rule") for r in rules]).distinct())
+    same = [batch[k].eqNullSafe(found[k]) for k in key]
+    return batch.join(found, same, "left_anti"), found
 
 
 def fill_generated_keys(batch: DataFrame, table: str, stored: DataFrame, *, top: int | None = None) -> DataFrame:
-    """Give rows whose generated key (AUTO_INCREMENT) is NULL the next ids after ``top``.
+    """Give rows whose generated key (AUTO_INCREMENT) is NULL the next ids after every id in use.
 
-    ``top`` is the largest id in use; without it the stored maximum is taken (a
-    one-row aggregate over the stored key column; ``run_gate`` computes it once
-    per stream start instead).  Ids follow the batch rows' column order
+    ``top`` is the largest stored id; without it the stored maximum is taken (a
+    one-row aggregate; ``run_gate`` computes it once per stream start).  Explicit
+    ids of the batch count as in use.  Ids follow the batch rows' column order
     (declared columns left to right), so a replayed batch gets the same ids.
     """
     col = GENERATED_KEYS.get(table)
     if col is None or col not in batch.columns:
         return batch
-    missing = batch.filter(F.col(col).isNull())
-    if missing.isEmpty():
+    missing, given = batch.agg(F.count_if(F.col(col).isNull()), F.max(col)).first()
+    if not missing:
         return batch
     if top is None:
-        top = stored.agg(F.max(col)).first()[0] or 0
+        top = stored.agg(F.max(col)).first()[0]
     order = [c for c in batch.columns if c != col]
-    numbered = assign_ids(missing.drop(col), order, id_col=col, start=top + 1)
+    numbered = assign_ids(batch.filter(F.col(col).isNull()).drop(col), order, id_col=col, start=max(top or 0, given or 0) + 1)
     numbered = numbered.withColumn(col, F.col(col).cast(batch.schema[col].dataType)).select(*batch.columns)
     return batch.filter(F.col(col).isNotNull()).unionByName(numbered)
 
 
-def gate_batch(batch: DataFrame, table: str, current: Tables, *, top_id: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Split ``batch`` (new rows of hospital ``table``) into ``(accepted, rejected)``.
+def repeated_value(batch: DataFrame, stored: DataFrame, pk: Sequence[str], cols: Sequence[str], collation: str | None = None) -> DataFrame:
+    """Batch rows whose ``cols`` (all non-NULL) another stored row has, or a batch row with a smaller key.
+
+    ``collation`` compares text without case and accents.  Works on the batch and
+    the stored rows that share a value with it.
+    """
+    text = {f.name for f in batch.schema.fields if f.dataType.typeName() == "string"}
+    value = [(F.collate(F.col(c), collation) if collation and c in text else F.col(c)).alias(f"__v{i}") for i, c in enumerate(cols)]
+    names = [f"__v{i}" for i in range(len(cols))]
+    known = F.lit(True)
+    for c in cols:
+        known = known & F.col(c).isNotNull()
+    rows = batch.filter(known).select(*pk, *value)
+    taken = rows.join(stored.filter(known).select(*value), names, "left_semi")
+    first = rows.groupBy(*names).agg(F.min(F.struct(*pk)).alias("__first"))
+    later = rows.join(first, names).filter(F.col("__first") < F.struct(*pk))
+    return taken.select(*pk).unionByName(later.select(*pk)).distinct()
+
+
+def overlapping(batch: DataFrame, stored: DataFrame, key: str, pk: Sequence[str], id_col: str, start: str, end: str) -> DataFrame:
+    """Batch rows that overlap a stored row of the same ``key``, or a batch row with a smaller ``id_col``.
+
+    Stored rows come in by a sweep over those that share a key with the batch;
+    only the batch, which is small, is paired with itself.
+    """
+    near = stored.join(batch.select(key).distinct(), key, "left_semi")
+    hit = overlapped_by(batch, near, key, start, end).select(*pk)
+    pairs = overlap_pairs(batch, key, id_col, start, end)
+    later = pairs.select(key, F.col(f"{id_col}_b").alias(id_col)).distinct()
+    return hit.unionByName(batch.join(later, [key, id_col], "left_semi").select(*pk)).distinct()
+
 
-    ``rejected`` has the audit shape (``rule, table_name, key_value, detail``),
-    one row per failing rule: the declared constraints of the table and its
-    trigger rules.  Declared column defaults and missing generated keys are
-    filled in first, as an insert would.  The rules run on the stored rows that
-    can conflict (same overlap, primary or unique key) plus the batch, so the
-    cost follows the batch, not the stored table.
+def _keyed(rows: DataFrame, pk: Sequence[str], rule: str, table: str, detail: str) -> DataFrame:
+    return rows.select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), key_text(pk).alias("key_value"), F.lit(detail).alias("detail"))
+
+
+def _conflicts(batch: DataFrame, stored: DataFrame, table: str, current: Tables) -> list[DataFrame]:
+    """Trigger rules of ``table`` that look at other rows of the same kind, as findings on batch rows."""
+    pk = list(PRIMARY_KEYS[table])
+    if table == "doctor":
+        view = dict(current, doctor=stored.unionByName(batch))  # a cycle may run through any stored row
+        return [supervision_rules(dict(current, doctor=batch)), supervision_cycles(view)]
+    if table == "prescription":
+        return [allergy_conflicts(dict(current, prescription=batch))]
+    if table == "procedure_event":
+        key = "procedure_event_id"
+        out = [place_type_mismatches(dict(current, procedure_event=batch))]
+        for col, rule in (("place_id", "T3_place_overlap"), ("chief_surgeon_amka", "T4_chief_overlap")):
+            out.append(_keyed(overlapping(batch, stored, col, pk, key, "start_ts", "end_ts"), pk, rule, table, f"overlap on {col}"))
+        return out
+    if table == "procedure_participant":
+        events = current["procedure_event"]
+        person, event = "personnel_amka", "procedure_event_id"
+        times = events.select(event, "start_ts", "end_ts")
+        mine = materialise(batch.select(*pk).join(times, event))
+        people = mine.select(person).distinct()
+        others = stored.select(*pk).join(people, person, "left_semi").join(times, event)
+        view = dict(current, procedure_participant=batch)
+        chiefs = events.select(event, F.col("chief_surgeon_amka").alias(person), "start_ts", "end_ts").join(people, person, "left_semi")
+        return [
+            _keyed(overlapping(mine, others, person, pk, event, "start_ts", "end_ts"), pk, "T5a_participant_overlap", table, "overlap of the same person"),
+            _keyed(busy_chief_rows(mine, chiefs, person, event, "start_ts", "end_ts"), pk, "T5b_participant_is_busy_chief", table, "chief of an overlapping procedure"),
+            chief_is_participant(view),
+            admin_participants(view),
+        ]
+    return []
+
+
+def gate_batch(
+    batch: DataFrame, table: str, current: Tables, *, top_id: int | None = None, upsert: bool = False, collation: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Split ``batch`` (arriving rows of hospital ``table``) into ``(accepted, rejected)``.
+
+    ``rejected`` has the audit shape (``rule, table_name, key_value, detail``)
+    with the arriving row's primary key, one row per failing rule: the declared
+    constraints of the table and its trigger rules.  Column defaults and
+    missing generated keys are filled in first, as an insert would.  With
+    ``upsert`` a row whose key is stored is a change of that row: it is compared
+    with all other stored rows, not with its old self.  ``collation`` makes
+    unique text compare as in a case- and accent-insensitive database.
+
+    Stored and parent tables are narrowed to the batch's keys by semi joins
+    before any rule sees them; the supervision rule alone reads the doctor
+    table whole, since a cycle may run through any stored row.
     """
     pk = list(PRIMARY_KEYS[table])
-    stored = current[table]
-    batch = fill_generated_keys(with_defaults(batch, table), table, stored, top=top_id)
-    combined = _relevant_stored(stored, batch, table).unionByName(batch.select(*stored.columns))
-    view = dict(current)
-    view[table] = combined
-    findings = declared_constraints(view, only=[table])
-    if table in ("doctor", "prescription", "procedure_event", "procedure_participant"):
-        findings = findings.unionByName(trigger_rules(view, only=[table]))
-    batch_keys = batch.select(key_text(pk).alias("key_value")).distinct()
-    rejected = findings.filter(F.col("table_name") == table).join(batch_keys, "key_value", "left_semi")
+    batch = fill_generated_keys(with_defaults(batch, table), table, current[table], top=top_id)
+    batch = materialise(batch.select(*current[table].columns))
+    stored = current[table].join(batch.select(*pk).distinct(), pk, "left_anti") if upsert else current[table]
+    frames = [audit_primary_key(batch, table, pk)]
+    if not upsert:
+        old = batch.join(stored.select(*pk), pk, "left_semi")
+        frames.append(_keyed(old.select(*pk).distinct(), pk, "primary_key", table, "key is stored"))
+    for t, cols in UNIQUES:
+        if t == table:
+            frames.append(_keyed(repeated_value(batch, stored, pk, cols, collation), pk, f"unique({','.join(cols)})", table, "value is taken"))
+    frames.append(audit_rows(batch, table, pk, not_null=not_null_columns(table), checks=CHECKS.get(table, {}),
+                             lengths=length_limits(table), decimals=decimal_columns(table)))
+    for fk in FOREIGN_KEYS:
+        if fk.child == table and fk.parent in current:
+            parent = stored.unionByName(batch) if fk.parent == table else current[fk.parent]
+            wanted = batch.select(*[F.col(c).alias(p) for c, p in zip(fk.cols, fk.parent_cols)]).distinct()
+            parent = parent.select(*fk.parent_cols).join(wanted, list(fk.parent_cols), "left_semi")
+            frames.append(audit_foreign_key(batch, table, pk, list(fk.cols), parent, list(fk.parent_cols),
+                                            rule=f"foreign_key({','.join(fk.cols)})->{fk.parent}"))
+    frames += _conflicts(batch, stored, table, current)
+    keys = batch.select(key_text(pk).alias("key_value")).distinct()
+    rejected = materialise(union_all(frames).join(keys, "key_value", "left_semi").select(*AUDIT_COLUMNS))
     bad = rejected.select("key_value").distinct()
     accepted = batch.withColumn("__k", key_text(pk)).join(bad, F.col("__k") == bad["key_value"], "left_anti").drop("__k")
     return accepted, rejected
@@ -158,17 +227,18 @@ def run_stream_gate(
     with_batch = T.StructType([*stored.schema.fields, T.StructField("batch_id", T.LongType())])
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df = batch_df.persist()
+        batch_df = materialise(batch_df)
         so_far = stored
         try:
             prior = spark.read.schema(with_batch).parquet(accepted_dir)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":  # anything else must not pass for "nothing accepted yet"
+                raise
+        else:
             so_far = so_far.unionByName(prior.filter(F.col("batch_id") < batch_id).drop("batch_id"))
-        except AnalysisException:  # no accepted output yet
-            pass
         accepted, rejected = gate(batch_df, so_far)
         accepted.write.mode("overwrite").parquet(f"{accepted_dir}/batch_id={batch_id}")
         rejected.write.mode("overwrite").parquet(f"{rejected_dir}/batch_id={batch_id}")
-        batch_df.unpersist()
 
     return (
         source.writeStream.foreachBatch(per_batch)
