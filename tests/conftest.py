@@ -22,17 +22,3 @@ def hospital(spark):
     from tests.hospital_fixture import hospital_tables
 
     return hospital_tables(spark)
-
-
-@pytest.fixture(scope="session")
-def hospital_duck(spark, hospital, tmp_path_factory):
-    """The hospital fixture as DuckDB views over parquet written by Spark."""
-    import duckdb
-
-    root = tmp_path_factory.mktemp("hospital")
-    con = duckdb.connect()
-    for name, df in hospital.items():
-        path = str(root / name)
-        df.coalesce(1).write.mode("overwrite").parquet(path)
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}/*.parquet')")
-    return con

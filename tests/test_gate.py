@@ -37,6 +37,101 @@ def test_gate_stream_matches_batch_audit(spark, hospital, tmp_path):
     assert rej <= audited
 
 
+def _event(spark, *row):
+    from wardline.sources.schemas import SCHEMAS
+
+    return spark.createDataFrame([row], _nullable(SCHEMAS["procedure_event"]))
+
+
+def _rules(rejected):
+    return {(r["key_value"], r["rule"]) for r in rejected.collect()}
+
+
+def test_gate_unique_value_of_another_key(spark, hospital):
+    import datetime as dt
+
+    from wardline.sources.schemas import SCHEMAS
+
+    row = ("90000000001", "New", "Person", 30, "a1@h.gr", "9", dt.date(2020, 1, 1), "DOCTOR")  # the email is stored
+    batch = spark.createDataFrame([row], SCHEMAS["personnel"])
+    accepted, rejected = gate_batch(batch, "personnel", hospital)
+    assert accepted.count() == 0 and _rules(rejected) == {("90000000001", "unique(email)")}
+    other = spark.createDataFrame([row[:4] + ("A1@H.gr",) + row[5:]], SCHEMAS["personnel"])
+    assert gate_batch(other, "personnel", hospital)[0].count() == 1  # binary comparison by default
+    assert gate_batch(other, "personnel", hospital, collation="UNICODE_CI_AI_RTRIM")[0].count() == 0
+
+
+def test_gate_overlap_with_a_stored_row_of_larger_id(spark, hospital):
+    import datetime as dt
+
+    # the very slot, place and chief of stored event 6, with id 0
+    batch = _event(spark, 0, 1, "PC1", 1, "00000000002", dt.datetime(2024, 1, 1, 23), dt.datetime(2024, 1, 2, 1), 120)
+    accepted, rejected = gate_batch(batch, "procedure_event", hospital)
+    assert accepted.count() == 0
+    assert {("0", "T3_place_overlap"), ("0", "T4_chief_overlap")} <= _rules(rejected)
+
+
+def test_gate_participant_overlap_in_either_order(spark, hospital):
+    from wardline.sources.schemas import SCHEMAS
+
+    for new, old in ((1, 4), (4, 1)):  # events 1 and 4 overlap
+        stored = spark.createDataFrame([(old, "00000000005")], SCHEMAS["procedure_participant"])
+        batch = spark.createDataFrame([(new, "00000000005")], SCHEMAS["procedure_participant"])
+        accepted, rejected = gate_batch(batch, "procedure_participant", dict(hospital, procedure_participant=stored))
+        assert accepted.count() == 0
+        assert (f"{new}|00000000005", "T5a_participant_overlap") in _rules(rejected)
+
+
+def test_gate_generated_id_avoids_explicit_ids(spark, hospital):
+    import datetime as dt
+
+    from wardline.sources.schemas import SCHEMAS
+
+    rows = [(None, "22222222222", 2, 2, "K2", dt.datetime(2025, 5, 2), None, "A00", None, None),
+            (211, "22222222222", 2, 2, "K2", dt.datetime(2025, 5, 3), None, "A00", None, None)]
+    batch = spark.createDataFrame(rows, _nullable(SCHEMAS["hospitalization"]))
+    accepted, rejected = gate_batch(batch, "hospitalization", hospital)
+    assert rejected.count() == 0
+    assert sorted(r.hosp_id for r in accepted.collect()) == [211, 212]
+
+
+def test_gate_upsert_compares_with_other_rows_only(spark, hospital):
+    import datetime as dt
+
+    free = _event(spark, 6, 1, "PC1", 1, "00000000002", dt.datetime(2024, 1, 1, 22), dt.datetime(2024, 1, 2, 1), 180)
+    assert gate_batch(free, "procedure_event", hospital)[0].count() == 0  # as an insert: the key is stored
+    accepted, rejected = gate_batch(free, "procedure_event", hospital, upsert=True)
+    assert rejected.count() == 0 and accepted.count() == 1  # overlaps only its old self
+    busy = _event(spark, 6, 1, "PC1", 1, "00000000002", dt.datetime(2025, 1, 1, 10), dt.datetime(2025, 1, 1, 11), 60)
+    rules = _rules(gate_batch(busy, "procedure_event", hospital, upsert=True)[1])
+    assert ("6", "T3_place_overlap") in rules and ("6", "primary_key") not in rules
+
+
+def test_gate_within_batch_keeps_the_first(spark, hospital):
+    import datetime as dt
+
+    day = lambda h: dt.datetime(2031, 1, 1, h)
+    batch = _event(spark, 20, 1, "PC1", 1, "00000000002", day(9), day(11), 120).unionByName(
+        _event(spark, 21, 1, "PC1", 1, "00000000003", day(10), day(12), 120))
+    accepted, rejected = gate_batch(batch, "procedure_event", hospital)
+    assert [r.procedure_event_id for r in accepted.collect()] == [20]
+    assert _rules(rejected) == {("21", "T3_place_overlap")}
+
+
+def test_gate_does_not_swallow_read_errors(spark, hospital, tmp_path):
+    import pytest
+
+    out = tmp_path / "out"
+    (out / "accepted" / "batch_id=0").mkdir(parents=True)
+    (out / "accepted" / "batch_id=0" / "part-0.parquet").write_text("no parquet")
+    src = tmp_path / "in"
+    hospital["procedure_event"].filter("procedure_event_id = 6").coalesce(1).write.parquet(str(src))
+    current = dict(hospital, procedure_event=hospital["procedure_event"].limit(0))
+    q = run_gate(spark, "procedure_event", str(src), current, str(out), checkpoint_location=str(tmp_path / "c"))
+    with pytest.raises(Exception):  # noqa: B017 - the stream's own error
+        q.awaitTermination(300)
+
+
 def test_gate_batch_rejects_duplicate_key(spark, hospital):
     events = hospital["procedure_event"]
     batch = events.filter(F.col("procedure_event_id") == 6)

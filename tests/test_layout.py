@@ -12,7 +12,7 @@ from wardline.sources.tables import TableSet, write_hospital
 def test_reports_from_parquet_layout(spark, hospital, tmp_path):
     root = str(tmp_path / "hospital")
     write_hospital(hospital, root)
-    t = TableSet(spark, root, schemas=SCHEMAS, spread_keys={})
+    t = TableSet(spark, root, schemas=SCHEMAS)
     assert t["hospitalization"].columns == [f.name for f in SCHEMAS["hospitalization"].fields]
     for name, report in R.REPORTS.items():
         if name == "Q13":
@@ -26,14 +26,3 @@ def test_reports_from_parquet_layout(spark, hospital, tmp_path):
     assert "PushedFilters: [IsNotNull(patient_amka), EqualTo(patient_amka," in plan
     assert {r.hosp_id for r in one_patient.collect()} == {1, 2, 3, 4, 7}
     assert RU.declared_constraints(t).count() == 0
-
-
-def test_explain_analyze_reports_plan_and_time(spark, hospital, tmp_path):
-    from wardline.plans.profile import explain_analyze
-
-    root = str(tmp_path / "h2")
-    write_hospital(hospital, root)
-    t = TableSet(spark, root, schemas=SCHEMAS, spread_keys={})
-    res = explain_analyze(R.bridge_average(t, "00000000001"), runs=2)
-    assert res.seconds > 0
-    assert "PushedFilters" in res.plan and "EqualTo(doctor_amka,00000000001)" in res.plan

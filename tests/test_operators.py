@@ -6,15 +6,24 @@ import datetime as dt
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.hospital_fixture import ROWS
 from wardline.functions.calendar import in_week, minutes_between
-from wardline.functions.numeric import dialect_avg, greatest_strict, ratio
-from wardline.operators.hierarchy import DepthExceeded, ancestors, find_cycles
+from wardline.functions.numeric import dialect_avg, greatest_strict, ratio, scaled_half_up
+from wardline.operators.hierarchy import CycleFound, ancestors, find_cycles
 from wardline.operators.joins import interval_join, self_pairs
 from wardline.operators.maintain import assign_ids, propagate_delete, propagate_key_change
-from wardline.operators.relate import consecutive_equal, next_in_key, overlap_flags, overlap_pairs
+from wardline.operators.relate import (
+    consecutive_equal,
+    cross_overlap_pairs,
+    equal_measure_groups,
+    next_in_key,
+    overlap_flags,
+    overlap_pairs,
+    overlapped_by,
+)
 from wardline.plans.rules import declared_constraints
 from wardline.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS
 
@@ -37,63 +46,50 @@ def test_overlap_pairs_and_flags_match_brute_force(spark):
         df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz, e timestamp_ntz")
         want_pairs = {(a[0], b[0]) for a, b in itertools.combinations(sorted(rows), 2)
                       if a[1] == b[1] and a[2] < b[3] and a[3] > b[2]}
-        for hours in (0.5, 6, 24):
-            got = {(r[0], r[1]) for r in overlap_pairs(df, "k", "id", "s", "e", bucket_hours=hours)
-                   .select("id_a", "id_b").collect()}
-            assert got == want_pairs
+        got = {(r[0], r[1]) for r in overlap_pairs(df, "k", "id", "s", "e").select("id_a", "id_b").collect()}
+        assert got == want_pairs
         want_flags = {r[0] for r in rows
                       if any(o[1] == r[1] and (o[2], o[0]) < (r[2], r[0]) and o[3] > r[2] for o in rows)}
-        for split, hot, frac in (("range", 1_000_000, 0.01), ("range", 7, 1.0), ("range", 7, 0.5), ("time", 0, 1)):
-            got_flags = {r[0] for r in overlap_flags(df, "k", "id", "s", "e", split=split, bucket_hours=2, hot_rows=hot,
-                                                     sample_fraction=frac).select("id").collect()}
-            assert got_flags == want_flags
+        got_flags = {r[0] for r in overlap_flags(df, "k", "id", "s", "e").select("id").collect()}
+        assert got_flags == want_flags
+        asked, there = rows[::2], rows[1::2]
+        frame = lambda x: spark.createDataFrame(x, "id long, k int, s timestamp_ntz, e timestamp_ntz")
+        hit = {r[0] for r in overlapped_by(frame(asked), frame(there), "k", "s", "e").collect()}
+        assert hit == {r[0] for r in asked if any(o[1] == r[1] and o[2] < r[3] and o[3] > r[2] for o in there)}
+        cross = {(r.left_id, r.right_id) for r in cross_overlap_pairs(frame(asked), frame(there), "k", "id", "s", "e").collect()}
+        assert cross == {(r[0], o[0]) for r in asked for o in there if o[1] == r[1] and o[2] < r[3] and o[3] > r[2]}
         assert (not got_flags) == (not want_pairs)
 
 
-def test_self_pairs_salted_equals_plain(spark):
+def test_self_pairs_grid_equals_plain(spark):
     rnd = random.Random(7)
     rows = [(rnd.choice([0, 0, 0, 1, 2]), i) for i in range(300)]  # key 0 is hot
     df = spark.createDataFrame(rows, "g int, x long")
-    plain = {tuple(r) for r in self_pairs(df, ["g"], "x", hot_rows=10_000).collect()}
-    salted = {tuple(r) for r in self_pairs(df, ["g"], "x", hot_rows=50, salts=4, sample_fraction=1.0).collect()}
-    sampled = {tuple(r) for r in self_pairs(df, ["g"], "x", hot_rows=50, salts=4, sample_fraction=0.3).collect()}
-    assert sampled == salted
-    want = {(a[0], a[1], b[1]) for a, b in itertools.combinations(rows, 2) if a[0] == b[0] and a[1] < b[1]}
-    want |= {(a[0], b[1], a[1]) for a, b in itertools.combinations(rows, 2) if a[0] == b[0] and b[1] < a[1]}
-    assert plain == salted == want
+    plain = sorted(tuple(r) for r in self_pairs(df, ["g"], "x").collect())
+    grid = sorted(tuple(r) for r in self_pairs(df, ["g"], "x", cell=20).collect())
+    want = {(a[0], min(a[1], b[1]), max(a[1], b[1])) for a, b in itertools.combinations(rows, 2) if a[0] == b[0]}
+    assert plain == grid == sorted(want)  # each pair once
 
 
 def test_interval_join_hot_key_split_matches_plain(spark):
     rnd = random.Random(5)
     left = spark.createDataFrame(
-        [(i, 0 if i % 2 else rnd.randrange(1, 5), BASE + dt.timedelta(minutes=rnd.randrange(0, 5000))) for i in range(400)],
+        [(i, 0 if i % 2 else rnd.randrange(1, 5), BASE + dt.timedelta(minutes=rnd.randrange(0, 5000))) for i in range(400)]
+        + [(400, None, BASE), (401, 0, None)],
         "vid long, pk int, at timestamp_ntz")
     right = spark.createDataFrame(
         [(0 if j % 2 else rnd.randrange(1, 5), BASE + dt.timedelta(minutes=rnd.randrange(-100, 5200))) for j in range(300)],
         "rk int, rt timestamp_ntz")
     kw = dict(keys=[("pk", "rk")], left_ts="at", right_ts="rt", hours=2)
-    plain = sorted(tuple(r) for r in interval_join(left, right, split="time", **kw).collect())
-    hot = sorted(tuple(r) for r in interval_join(left, right, hot_rows=20, sample_fraction=1.0, **kw).collect())
-    from wardline.operators.segments import TimeSegments
-
-    shared = TimeSegments(left.select("pk", "at"), ["pk"], "at", bucket_hours=2, hot_rows=30, sample_fraction=1.0)
-    reused = sorted(tuple(r) for r in interval_join(left, right, segments=shared, **kw).collect())
-    assert reused == plain
+    order = lambda t: tuple((x is None, x) for x in t)
+    plain = sorted((tuple(r) for r in interval_join(left, right, **kw).collect()), key=order)
+    hot = sorted((tuple(r) for r in interval_join(left, right, cell=7, **kw).collect()), key=order)
     lrows, rrows = left.collect(), right.collect()
     want = []
     for lr in lrows:
-        hits = [rr for rr in rrows if rr.rk == lr.pk and lr.at <= rr.rt <= lr.at + dt.timedelta(hours=2)]
+        hits = [rr for rr in rrows if lr["at"] and rr.rk == lr.pk and lr["at"] <= rr.rt <= lr["at"] + dt.timedelta(hours=2)]
         want += [(*lr, *rr) for rr in hits] or [(*lr, None, None)]
-    assert plain == hot == sorted(want, key=lambda t: tuple((x is None, x) for x in t))
-
-
-def test_overlap_pairs_hot_key_split(spark):
-    rows = _intervals(4, n=200, keys=2)
-    df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz, e timestamp_ntz")
-    plain = {tuple(r) for r in overlap_pairs(df, "k", "id", "s", "e", split="time").select("id_a", "id_b").collect()}
-    hot = {tuple(r) for r in overlap_pairs(df, "k", "id", "s", "e", hot_rows=10, sample_fraction=1.0)
-           .select("id_a", "id_b").collect()}
-    assert plain == hot and plain
+    assert plain == hot == sorted(want, key=order)
 
 
 def test_interval_join_left_semantics(spark):
@@ -105,17 +101,14 @@ def test_interval_join_left_semantics(spark):
          ("q", BASE + dt.timedelta(hours=24, seconds=1))],
         "rk string, rt timestamp_ntz")
     got = sorted((r.vid, r.rt) for r in interval_join(left, right, keys=[("pk", "rk")], left_ts="at", right_ts="rt",
-                                                      hours=24, left_id="vid").collect())
+                                                      hours=24).collect())
     assert got == [(1, BASE + dt.timedelta(hours=1)), (1, BASE + dt.timedelta(hours=24)), (2, None), (3, None)]
 
 
 def test_next_in_key_equals_lead(spark):
     rows = _intervals(11, n=200, keys=3)
     df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz, e timestamp_ntz")
-    got = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt", bucket_hours=3).collect()}
-    got_time = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt", split="time", bucket_hours=3).collect()}
-    got_hot = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt", hot_rows=5, sample_fraction=1.0).collect()}
-    assert got == got_time == got_hot
+    got = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt").collect()}
     by_key = {}
     for r in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
         by_key.setdefault(r[1], []).append(r)
@@ -126,6 +119,13 @@ def test_next_in_key_equals_lead(spark):
     assert got == want
 
 
+def test_next_in_key_keeps_null_keys_and_times(spark):
+    rows = [(1, None, BASE), (2, None, BASE + dt.timedelta(hours=1)), (3, 7, None), (4, 7, None), (5, 7, BASE)]
+    df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz")
+    got = {r.id: r.nxt for r in next_in_key(df, "k", "s", "id", "nxt").collect()}
+    assert got == {1: BASE + dt.timedelta(hours=1), 2: None, 3: None, 4: BASE, 5: None}
+
+
 def test_consecutive_equal_lead_equals_self_join(spark):
     rows = [("a", 2020, 5), ("a", 2021, 5), ("a", 2022, 5), ("a", 2024, 5), ("b", 2020, 6), ("b", 2021, 7)]
     df = spark.createDataFrame(rows, "code string, yr int, n long")
@@ -143,17 +143,24 @@ def test_hierarchy_operators(spark):
     assert cyc == {(5, True, 5), (6, True, 5), (7, False, 5)}
 
 
-def test_ancestors_deep_chain_and_depth_limit(spark):
-    chain = spark.range(0, 300).select(F.col("id").alias("n"),
-                                       F.when(F.col("id") > 0, F.col("id") - 1).alias("p"))
-    walk = ancestors(chain, "n", "p", max_depth=299)
-    assert walk.count() == 299 * 300 // 2
-    assert walk.filter("origin_n = 299").agg(F.max("level")).first()[0] == 299
-    try:
-        ancestors(chain, "n", "p", max_depth=298)
-        raise AssertionError("expected DepthExceeded")
-    except DepthExceeded:
-        pass
+def test_ancestors_deep_chain_and_cycle(spark):
+    chain = spark.range(0, 1500).select(F.col("id").alias("n"),
+                                        F.when(F.col("id") > 0, F.col("id") - 1).alias("p"))
+    walk = ancestors(chain, "n", "p")
+    assert walk.count() == 1499 * 1500 // 2
+    assert walk.filter("origin_n = 1499").agg(F.max("level")).first()[0] == 1499
+    ring = chain.select("n", F.coalesce("p", F.lit(40)).alias("p")).filter("n < 60")  # 0 to 40 in a ring, the rest above it
+    with pytest.raises(CycleFound):
+        ancestors(ring, "n", "p")
+
+
+def test_find_cycles_with_repeated_nodes(spark):
+    rows = [(1, 2), (1, 2), (1, 2), (2, 1), (2, 1)]  # one node given three times
+    got = {(r.n, r.on_cycle, r.cycle_id) for r in find_cycles(spark.createDataFrame(rows, "n long, p long"), "n", "p").collect()}
+    assert got == {(1, True, 1), (2, True, 1)}
+    rows = [(1, 3), (1, 2), (2, 1), (3, None), (4, 4), (None, 1)]  # two parents: the smallest is followed
+    got = {(r.n, r.on_cycle, r.cycle_id) for r in find_cycles(spark.createDataFrame(rows, "n long, p long"), "n", "p").collect()}
+    assert got == {(1, True, 1), (2, True, 1), (4, True, 4)}
 
 
 def test_assign_ids_dense_in_order(spark):
@@ -220,31 +227,39 @@ def test_top_k_tie_is_broken_by_item(spark):
     assert got == [(1, 2, 3), (2, 3, 3), (1, 3, 2)]
 
 
-def test_hot_key_window_groups_are_bounded(spark):
-    from wardline.operators.segments import TimeSegments
+def test_hot_key_is_spread_over_parts(spark):
+    from wardline.operators.segments import PART, ordered_parts
 
     rnd = random.Random(3)
     # key 0 holds a third of the rows
     rows = [(i, 0 if i % 3 == 0 else rnd.randrange(1, 50), BASE + dt.timedelta(seconds=rnd.randrange(10**6)))
             for i in range(6000)]
     df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz")
-    segs = TimeSegments(df, ["k"], "s", hot_rows=200, sample_fraction=1.0)
-    seg = segs.attach(df).withColumn("seg", segs.of("s"))
-    sizes = seg.groupBy("k", "seg").count()
-    assert sizes.filter("k = 0").count() >= 8  # the hot key is cut into pieces
-    assert sizes.agg(F.max("count")).first()[0] <= 400  # no window group near the 2000 rows of key 0
-    assert seg.count() == 6000
+    was = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        sizes = ordered_parts(df, ["k"], ["s", "id"]).groupBy("k", PART).count()
+        assert sizes.filter("k = 0").count() >= 6
+        assert sizes.agg(F.max("count")).first()[0] <= 500  # of 2000 rows of key 0
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
 
+def test_long_intervals_are_not_copied_into_every_cell(spark):
+    from wardline.operators.relate import _levels, _timed
+
+    rows = [(1, 0, BASE, BASE + dt.timedelta(days=3650)), (2, 0, BASE + dt.timedelta(days=9), BASE + dt.timedelta(days=9, seconds=1))]
+    df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz, e timestamp_ntz")
+    assert len(_levels(_timed(df, ["k"], "id", "s", "e"))) == 2
+    assert [tuple(r) for r in overlap_pairs(df, "k", "id", "s", "e").select("id_a", "id_b").collect()] == [(1, 2)]
 
-def test_cut_points_follow_each_hot_key_size(spark):
-    from wardline.operators.segments import TimeSegments
 
-    rows = [(0, BASE + dt.timedelta(seconds=i)) for i in range(4000)] + \
-           [(1, BASE + dt.timedelta(seconds=7 * i)) for i in range(600)] + [(2, BASE)] * 10
-    df = spark.createDataFrame(rows, "k int, s timestamp_ntz")
-    segs = TimeSegments(df, ["k"], "s", hot_rows=250, sample_fraction=1.0)
-    cuts = {r.k: len(r["__wl_cuts"]) for r in segs.cuts.collect()}
-    assert cuts == {0: 15, 1: 3}  # 16 and 4 segments; key 2 is not hot
+def test_equal_measure_groups(spark):
+    df = spark.createDataFrame([(1, 2020, 5), (2, 2020, 5), (3, 2020, 6), (4, 2021, 5), (5, 2020, 5)], "who int, yr int, n long")
+    got = {tuple(r) for r in equal_measure_groups(df, "who", ["yr"], "n").collect()}
+    assert got == {(2020, 5, 3, 1), (2020, 5, 3, 2), (2020, 5, 3, 5)}
 
 
 def test_overlap_flags_null_start_flags_nothing(spark):
@@ -280,9 +295,14 @@ def test_exact_rounding_against_decimal(spark):
     cases = [(rnd.randrange(-10**9, 10**9), rnd.choice([0, 1, 2, 3, 7, 8, 16, 20000, rnd.randrange(1, 10**6)]))
              for _ in range(1000)]
     cases += [(201, 20000), (1, 8), (-1, 8), (5, 1000), (125, 10000), (-125, 10000)]  # exact ties
+    cases += [(rnd.randrange(-10**9, 10**9), rnd.randrange(10**6, 10**12)) for _ in range(1000)]
+    cases += [(5_000_000, 10_000_001), (5_000_000, 10_000_000), (5_000_001, 10_000_001)]
     df = spark.createDataFrame(cases, "n long, d long")
     got = df.select("n", "d", ratio("n", "d", 2, times=100).alias("pct"), dialect_avg("n", "d", 2).alias("avg")).collect()
 
+    one = spark.createDataFrame([(5_000_000, 10_000_001)], "n long, d long").select(scaled_half_up("n", "d", 0)).first()[0]
+    assert one == 0
+
     def half_up(x: Decimal, digits: int) -> Decimal:
         return x.quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP)
 
@@ -295,6 +315,42 @@ def test_exact_rounding_against_decimal(spark):
         assert r.avg == float(half_up(half_up(q, 4), 2)), (r.n, r.d, r.avg)  # AVG(int) keeps 4 digits, then ROUND
 
 
+def test_propagate_delete_blocks_each_row_once(spark):
+    from wardline.operators.maintain import ForeignKey
+
+    parent = spark.createDataFrame([(1,), (2,)], "code long")
+    child = spark.createDataFrame([(10, 1, 2), (11, 1, 1), (12, None, None)], "id long, c1 long, c2 long")
+    fks = [ForeignKey("child", ("c1",), "parent", ("code",), "RESTRICT"), ForeignKey("child", ("c2",), "parent", ("code",), "RESTRICT")]
+    for keys in (None, {"parent": ("code",), "child": ("id",)}):
+        res = propagate_delete({"parent": parent, "child": child}, fks, {"parent": parent}, keys)
+        assert sorted(r.id for r in res.blocked["child"].collect()) == [10, 11]  # 10 has two removed parents
+    # a row removed by a cascade doesn't block, without keys either
+    both = [fks[0], ForeignKey("child", ("c2",), "parent", ("code",), "CASCADE")]
+    res = propagate_delete({"parent": parent, "child": child}, both, {"parent": parent.filter("code = 1")})
+    assert [r.id for r in res.removed["child"].collect()] == [11]
+    assert [r.id for r in res.blocked["child"].collect()] == [10]
+
+
+def test_key_change_with_two_new_keys_raises(spark):
+    from wardline.operators.maintain import ForeignKey
+
+    t = {"parent": spark.createDataFrame([(1,)], "code long"), "child": spark.createDataFrame([(1,)], "c long")}
+    twice = spark.createDataFrame([(1, 5), (1, 6)], "old_key long, new_key long")
+    with pytest.raises(ValueError):
+        propagate_key_change(t, [ForeignKey("child", ("c",), "parent", ("code",))], "parent", "code", twice)
+
+
+def test_collated_unique_audit(spark):
+    from wardline.operators.audit import audit_decimal, audit_unique
+
+    df = spark.createDataFrame([("A@x",), ("a@x",), ("Ωδός",), ("ωδος",), ("b",), (None,), (None,)], "email string")
+    assert audit_unique(df, "t", "email").count() == 0
+    got = {(r.key_value, r.detail) for r in audit_unique(df, "t", "email", collation="UNICODE_CI_AI_RTRIM").collect()}
+    assert {d for _, d in got} == {"rows=2"} and len(got) == 2
+    long = spark.createDataFrame([("1234567890123456.01",), ("1234567890123456.013",)], "v string")
+    assert [r.key_value for r in audit_decimal(long, "t", "v", {"v": (20, 2)}).collect()] == ["1234567890123456.013"]
+
+
 def test_propagate_delete_seed_by_key_counts_each_row_once(spark, hospital):
     keys = {t: PRIMARY_KEYS[t] for t in hospital}
     deletes = {"hospitalization": spark.createDataFrame([(1,)], "hosp_id long"),

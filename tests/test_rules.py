@@ -46,18 +46,11 @@ def test_allergy_conflict(hospital):
 
 
 def test_overlaps(hospital):
-    assert _set(RU.place_overlap_rows(hospital), "procedure_event_id_a", "procedure_event_id_b") == {(1, 4), (2, 3)}
-    assert _set(RU.chief_overlap_rows(hospital), "procedure_event_id_a", "procedure_event_id_b") == {(1, 4)}
-    assert _set(RU.participant_overlap_rows(hospital), "personnel_amka", "procedure_event_id_a",
-                "procedure_event_id_b") == {(N5, 1, 4)}
-    assert _set(RU.participant_chief_overlap_rows(hospital), "personnel_amka", "chief_event_id",
-                "participant_event_id") == {(A4, 3, 2), (A1, 4, 1)}
-
-
-def test_overlap_bucket_width_does_not_change_pairs(hospital):
-    for hours in (0.25, 1, 24, 24 * 30):
-        assert _set(RU.place_overlap_rows(hospital, bucket_hours=hours), "procedure_event_id_a",
-                    "procedure_event_id_b") == {(1, 4), (2, 3)}
+    # 1 (10:00-11:00) and 4 (10:30-10:45), 2 (11:00-12:00) and 3 (11:30-12:30): the later of each pair is reported
+    assert _set(RU.place_overlap_rows(hospital), "procedure_event_id") == {(4,), (3,)}
+    assert _set(RU.chief_overlap_rows(hospital), "procedure_event_id") == {(4,)}
+    assert _set(RU.participant_overlap_rows(hospital), "personnel_amka", "procedure_event_id") == {(N5, 4)}
+    assert _set(RU.participant_chief_overlap_rows(hospital), "personnel_amka", "procedure_event_id") == {(A4, 2), (A1, 1)}
 
 
 def test_lookup_rules(hospital):

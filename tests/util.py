@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import collections
 import datetime as dt
 from decimal import Decimal
 
@@ -15,15 +14,3 @@ def norm(v):
 
 def rows_of(df):
     return [tuple(norm(x) for x in r) for r in df.collect()]
-
-
-def same_rows(spark_df, duck_con, sql, *, ordered=False):
-    got = rows_of(spark_df)
-    res = duck_con.execute(sql)
-    want = [tuple(norm(x) for x in r) for r in res.fetchall()]
-    assert [d[0] for d in res.description] == spark_df.columns, (spark_df.columns, [d[0] for d in res.description])
-    if ordered:
-        assert got == want
-    else:
-        assert collections.Counter(got) == collections.Counter(want), (got, want)
-    return got
