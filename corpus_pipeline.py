@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardline.llm import bpe, exact_dedup, mixing, quality, simhash
-from wardline.llm.common import materialise, read
+from wardline.llm.common import fresh, materialise, read
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject (score of at least 0.5); held-out labels are never learnt."""
-    scored = quality.classify(docs, read(spark, sf_dir, "labels"), name="__score")
-    return scored.where("__score >= 0.5").select(*docs.columns)
+    score = fresh(docs, "__score")
+    scored = quality.classify(docs, read(spark, sf_dir, "labels"), name=score)
+    return scored.where(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

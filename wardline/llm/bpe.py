@@ -208,8 +208,10 @@ def encode(df: DataFrame, ranks: str, pattern: str, text_col: str = "text", name
     """``df`` plus ``name``, the ids (array of int) of each whole text; null and empty texts have none.
 
     ``ranks`` is the path of a rank file on the driver, sent to the workers once (its size is that of the vocabulary).
+    A column called ``name`` is replaced.
     """
     ship(df.sparkSession)
+    df = df.drop(name)
     with open(ranks, "rb") as f:
         lines = df.sparkSession.sparkContext.broadcast(f.read())
 
@@ -228,6 +230,7 @@ def encode(df: DataFrame, ranks: str, pattern: str, text_col: str = "text", name
 def decode(df: DataFrame, ranks: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
     """``df`` plus ``name``, the bytes of each row's ids; a null list gives no bytes, a null or unknown id raises an error."""
     ship(df.sparkSession)
+    df = df.drop(name)
     with open(ranks, "rb") as f:
         lines = df.sparkSession.sparkContext.broadcast(f.read())
 

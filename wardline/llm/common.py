@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardline.session import ensure_checkpoint_dir
+from wardline.session import materialise
+
+__all__ = ["fresh", "materialise", "read", "running_sum", "ship", "slices", "texts", "whole_runs"]
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -31,17 +32,12 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once into the shared checkpoint folder and read it back.
-
-    Cuts lineage like ``checkpoint()``, but runs the plan once, stores columns
-    compressed, and gives the planner true sizes.  Values that depend on the
-    partitioning (run numbers, ranks) are fixed by it.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/wardline-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def fresh(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardline.llm.common import materialise, ship, texts
+from wardline.llm.common import fresh, materialise, ship, texts
 
 RADIX = 16  # runs that one merge takes at most
 KEY = ["__sha", "__size"]
 
 
-def with_digest(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` plus ``__sha`` (SHA-256 of the text's UTF-8 bytes, A-Z lower-cased; null as empty) and ``__size`` (bytes)."""
+def with_digest(df: DataFrame, text_col: str = "text", names: tuple[str, str] = ("__sha", "__size")) -> DataFrame:
+    """``df`` plus the SHA-256 of the text's UTF-8 bytes, A-Z lower-cased (null as empty), and their number."""
     ship(df.sparkSession)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -39,9 +39,9 @@ def with_digest(df: DataFrame, text_col: str = "text") -> DataFrame:
             raw = texts(batch, text_col)
             sha = pa.array([hashlib.sha256(t.lower()).digest() for t in raw], pa.binary())
             size = pa.array([len(t) for t in raw], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, sha, size], [*batch.schema.names, *KEY])
+            yield pa.RecordBatch.from_arrays([*batch.columns, sha, size], [*batch.schema.names, *names])
 
-    schema = T.StructType([*df.schema.fields, T.StructField("__sha", T.BinaryType()), T.StructField("__size", T.LongType())])
+    schema = T.StructType([*df.schema.fields, T.StructField(names[0], T.BinaryType()), T.StructField(names[1], T.LongType())])
     return df.mapInArrow(digest, schema)
 
 
@@ -124,10 +124,10 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
-    """The rows of ``df`` that stay, all columns kept; of repeated rows one stays."""
-    ident = F.to_json(F.struct(F.col(id_col).alias("i")))  # null has a value of its own
-    kept = exact_groups(df, id_col, text_col, keep).where("kept")
-    kept = kept.select(F.col("sha").alias("__sha"), F.to_json(F.struct(F.col("id").alias("i"))).alias("__ident"))
-    rows = with_digest(df, text_col).withColumn("__ident", ident).join(kept, ["__sha", "__ident"], "left_semi")
-    again = F.row_number().over(Window.partitionBy("__sha", "__ident").orderBy("__sha"))
-    return rows.withColumn("__again", again).where("__again = 1").select(*df.columns)
+    """The rows of ``df`` that stay, all columns kept; of repeated rows one stays, of copies without any id one."""
+    sha, size, ident, again = (fresh(df, x) for x in ("__sha", "__size", "__ident", "__again"))
+    named = lambda c: F.to_json(F.struct(c.alias("i")))  # null has a value of its own
+    kept = exact_groups(df, id_col, text_col, keep).where("kept").select(F.col("sha").alias(sha), named(F.col("id")).alias(ident))
+    rows = with_digest(df, text_col, (sha, size)).withColumn(ident, named(F.col(id_col))).join(kept, [sha, ident], "left_semi")
+    nth = F.row_number().over(Window.partitionBy(sha, ident).orderBy(sha))
+    return rows.withColumn(again, nth).where(F.col(again) == 1).select(*df.columns)

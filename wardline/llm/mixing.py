@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import materialise, running_sum
+from wardline.llm.common import fresh, materialise, running_sum
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 1024  # words of a block
@@ -119,13 +119,14 @@ def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     The one document per source that the quota cuts stays whole.  Documents
     without words take no part.  Rows alike in id, source and size share a decision.
     """
-    key = F.to_json(F.struct(F.col(id_col).alias("i"), F.col(source_col).alias("s"), F.col("__size")))
-    sized = df.withColumn("__size", word_count(F.col(text_col)))
-    rows = sized.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col("__size").alias("size"), key.alias("key"))
+    size, key, times, time = (fresh(df, x) for x in ("__size", "__key", "__times", "__time"))
+    sized = df.withColumn(size, word_count(F.col(text_col)))
+    sized = sized.withColumn(key, F.to_json(F.struct(F.col(id_col).alias("i"), F.col(source_col).alias("s"), F.col(size).alias("n"))))
+    rows = sized.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(size).alias("size"), F.col(key).alias("key"))
     rows = materialise(rows.distinct().withColumn("row", F.monotonically_increasing_id()))
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = materialise(with_targets(materialise(cycled_weights(sources, weights)), share, float(passes)))
-    used = mix(rows, sources, seed, passes).select("row", "pass").distinct().groupBy("row").agg(F.count(F.lit(1)).alias("times"))
-    times = rows.join(used, "row").select(F.col("key").alias("__key"), "times")
-    out = sized.withColumn("__key", key).join(times, "__key")
-    return out.withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*df.columns)
+    used = mix(rows, sources, seed, passes).select("row", "pass").distinct().groupBy("row").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    used = rows.join(used, "row").select(F.col("key").alias(key), F.col("n").alias(times))
+    out = sized.join(used, key)
+    return out.withColumn(time, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*df.columns)

@@ -155,8 +155,12 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``df`` plus ``name`` in 0 .. 1, higher where label 1 is likelier; null and empty texts are scored by their length term."""
+    """``df`` plus ``name`` in 0 .. 1, higher where label 1 is likelier; null and empty texts are scored by their length term.
+
+    A column called ``name`` is replaced.  Repeated rows and null ids are rows of their own.
+    """
     ship(df.sparkSession)
+    df = df.drop(name)
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import materialise, ship, slices, texts, whole_runs
+from wardline.llm.common import fresh, materialise, ship, slices, texts, whole_runs
 from wardline.llm.components import components
 
 BITS = 64
@@ -149,29 +149,42 @@ def bucket_links(marks: DataFrame, distance: int = 4, tile: int = TILE) -> DataF
     return sorted_rows.mapInArrow(_link(distance, keys), "a long, b long")
 
 
+def _grouped(df: DataFrame, id_col: str, text_col: str, n: int, distance: int, seed: int) -> DataFrame:
+    """``id, tag`` (a hash of the text), ``fingerprint, component`` of every row."""
+    text = F.col(text_col).cast("string")
+    rows = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("tag"))
+    rows = materialise(with_fingerprint(rows, "text", "fingerprint", n, seed))
+    classes = materialise(rows.groupBy(F.col("fingerprint").alias("mark")).agg(F.min("id").alias("node")))
+    of = components(bucket_links(classes.where(F.col("node").isNotNull()), distance))
+    named = classes.join(of, "node", "left").select(F.col("mark").alias("fingerprint"), F.coalesce("component", "node").alias("component"))
+    return rows.join(named, "fingerprint").select("id", "tag", "fingerprint", "component")
+
+
 def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, distance: int = 4, seed: int = 42) -> DataFrame:
     """One row per input row: ``id, fingerprint`` (signed long), ``component`` (smallest id reachable by links).
 
     Texts that are null, empty or without words have fingerprint 0 and link
     like any other.  Null ids are no names: such a row gets the component of
-    its fingerprint, null if no id is in it.  Repeated rows are one node.
-    Extra columns are ignored; an empty table gives an empty result.
+    its fingerprint, null if no id is in it.  Rows that share an id are one
+    node.  Extra columns are ignored; an empty table gives an empty result.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = materialise(with_fingerprint(rows, "text", "fingerprint", n, seed))
-    classes = materialise(rows.groupBy(F.col("fingerprint").alias("mark")).agg(F.min("id").alias("node")))
-    links = bucket_links(classes.where(F.col("node").isNotNull()), distance)
-    of = components(links)
-    named = classes.join(of, "node", "left").select(F.col("mark").alias("fingerprint"), F.coalesce("component", "node").alias("component"))
-    return rows.join(named, "fingerprint").select("id", "fingerprint", "component")
+    return _grouped(df, id_col, text_col, n, distance, seed).drop("tag")
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, distance: int = 4, seed: int = 42) -> DataFrame:
-    """The rows of ``df`` whose id is the smallest of its component; of repeated rows and of null ids one per component stays."""
-    groups = simhash_groups(df, id_col, text_col, n, distance, seed)
-    stay = groups.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("__id")).distinct()
-    rows = df.withColumn("__id", F.col(id_col).cast("long"))
-    if_null = F.coalesce(F.col("__id"), F.lit(-1 << 63))
-    rows = rows.withColumn("__key", if_null).join(stay.select(F.coalesce("__id", F.lit(-1 << 63)).alias("__key")), "__key", "left_semi")
-    again = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
-    return rows.withColumn("__again", again).where("__again = 1").select(*df.columns)
+    """One row per component, the one whose id is the smallest; all columns kept.
+
+    Rows that share an id are one document.  Rows with a null id stay, one
+    per text, where no row with an id has their fingerprint.
+    """
+    key, again = fresh(df, "__key"), fresh(df, "__again")
+
+    def named(ident, tag):  # a null id goes by its text
+        return F.to_json(F.struct(ident.alias("i"), F.when(ident.isNull(), tag).alias("t")))
+
+    groups = _grouped(df, id_col, text_col, n, distance, seed).where(F.col("id").eqNullSafe(F.col("component")))
+    stay = groups.select(named(F.col("id"), F.col("tag")).alias(key)).distinct()
+    own = named(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string")))
+    rows = df.withColumn(key, own).join(stay, key, "left_semi")
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    return rows.withColumn(again, nth).where(F.col(again) == 1).select(*df.columns)
