@@ -185,7 +185,7 @@ def near_answer(rows, threshold=0.93):
     good = {}
     for i, v, label in rows:
         if i is not None and label is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
-            good.setdefault(i, []).append((np.array(v, float), label))
+            good.setdefault(i, []).append((np.array(v, float) / max(map(abs, v)), label))
     links, counts = [], {}
     flat = [(i, v, lab) for i, vs in good.items() for v, lab in vs]
     for a, (i, v, x) in enumerate(flat):
