@@ -75,8 +75,14 @@ def _projected(vectors: np.ndarray, basis: dict[int, np.ndarray]) -> np.ndarray:
 def _cells(basis: dict[int, np.ndarray], eps: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raws = batch.column("vector").to_pylist()
-            cells = [np.floor(_projected(np.frombuffer(r)[None], basis)[0] / eps).astype(np.int32).tolist() for r in raws]
+            raws = np.array(batch.column("vector").to_pylist(), object)
+            size = np.fromiter(map(len, raws), np.int64, len(raws))
+            cells = np.zeros((len(raws), LEAD), np.int32)
+            for n in np.unique(size):  # vectors of one length at a time
+                at = np.flatnonzero(size == n)
+                vectors = np.frombuffer(b"".join(raws[at].tolist())).reshape(len(at), -1)
+                cells[at] = np.floor(_projected(vectors, basis) / eps)
+            cells = cells.tolist()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], [*batch.schema.names, "cells"])
 
     return run
