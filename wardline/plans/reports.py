@@ -191,13 +191,14 @@ def filtered_leaderboard(tables: Tables, max_age: int = MAX_AGE, category: str =
 # ---------------------------------------------------------------- Q6
 
 
-def entity_timeline(tables: Tables, patient_amka: str | None = None, *, with_discharge: bool = True) -> DataFrame:
+def entity_timeline(tables: Tables, patient_amka: str | None = None, *, with_discharge: bool = True, ordered: bool = True) -> DataFrame:
     """Q6: a patient's stays, newest first, with admission/discharge diagnoses and the mean score.
 
     With ``patient_amka`` the report is that one patient's (the filter reaches
     the scan); without it, every patient's stays, with ``patient_amka`` first.
     ``with_discharge=False`` is the reduced Q6b (no discharge lookup, 7 columns).
     The mean is NULL for an unrated stay (any NULL score propagates).
+    ``ordered=False`` leaves out the global sort, for whole tables that go on to a file.
     """
     stays = tables["hospitalization"]
     if patient_amka is not None:
@@ -229,7 +230,7 @@ def entity_timeline(tables: Tables, patient_amka: str | None = None, *, with_dis
     if not with_discharge:
         out = out.withColumnRenamed("admission_diagnosis_code", "icd10_code").withColumnRenamed(
             "admission_diagnosis_desc", "icd10_description")
-    return out.orderBy(*lead, F.col("admission_ts").desc(), "hosp_id")
+    return out.orderBy(*lead, F.col("admission_ts").desc(), "hosp_id") if ordered else out
 
 
 # ---------------------------------------------------------------- Q7
@@ -260,7 +261,7 @@ def not_assigned(tables: Tables, day: dt.date, department_id: int) -> DataFrame:
 # ---------------------------------------------------------------- Q9
 
 
-def equal_total_pairs(tables: Tables, min_days: int = MIN_TOTAL_DAYS, *, as_of: dt.datetime | None = None) -> DataFrame:
+def equal_total_pairs(tables: Tables, min_days: int = MIN_TOTAL_DAYS, *, as_of: dt.datetime | None = None, ordered: bool = True) -> DataFrame:
     """Q9: patient pairs with the same total stay days (> ``min_days``) in the same admission year.
 
     An open stay runs to ``as_of`` (default: now); a stay counts wholly in its admission year.
@@ -273,9 +274,10 @@ def equal_total_pairs(tables: Tables, min_days: int = MIN_TOTAL_DAYS, *, as_of:
         .filter(F.col("total_days") > min_days)
     )
     pairs = equal_measure_pairs(totals, "patient_amka", ["hosp_year"], "total_days")
-    return pairs.select(
+    out = pairs.select(
         F.col("patient_amka_a").alias("patient_A"), F.col("patient_amka_b").alias("patient_B"), "total_days", "hosp_year"
-    ).orderBy(F.col("total_days").desc(), "hosp_year", "patient_A", "patient_B")
+    )
+    return out.orderBy(F.col("total_days").desc(), "hosp_year", "patient_A", "patient_B") if ordered else out
 
 
 # ---------------------------------------------------------------- Q10
@@ -338,7 +340,7 @@ def weekly_roster(tables: Tables, week_of: dt.date) -> DataFrame:
 # ---------------------------------------------------------------- Q13
 
 
-def supervisor_closure(tables: Tables) -> DataFrame:
+def supervisor_closure(tables: Tables, *, ordered: bool = True) -> DataFrame:
     """Q13: every doctor with each supervisor above them, level 1 (direct) upward."""
     doc = tables["doctor"].select("amka", "supervisor_amka", "doctor_rank")
     walk = ancestors(doc, "amka", "supervisor_amka")
@@ -348,13 +350,13 @@ def supervisor_closure(tables: Tables) -> DataFrame:
     d2 = doc.select(F.col("amka").alias("k2"), F.col("doctor_rank").alias("sup_rank"))
     p2 = per.select(F.col("amka").alias("k3"), F.col("first_name").alias("sup_first_name"),
                     F.col("last_name").alias("sup_last_name"))
-    return (
+    out = (
         walk.join(p1, walk.origin_amka == p1.k1).join(d2, walk.ancestor_amka == d2.k2).join(p2, F.col("k2") == p2.k3)
         .select(F.col("origin_amka").alias("original_doctor_amka"), "doc_first_name", "doc_last_name",
                 F.col("ancestor_amka").alias("supervisor_amka"), "sup_first_name", "sup_last_name", "sup_rank",
                 F.col("level").alias("hierarchy_level"))
-        .orderBy("original_doctor_amka", "hierarchy_level")
     )
+    return out.orderBy("original_doctor_amka", "hierarchy_level") if ordered else out
 
 
 # ---------------------------------------------------------------- Q14
