@@ -194,11 +194,11 @@ class Vocabulary:
         return b"".join(map(self.bytes.__getitem__, ids.tolist()))
 
 
-_LOADED: dict[int, Vocabulary] = {}  # one per worker process and rank file
+_LOADED: dict[tuple[bytes, str], Vocabulary] = {}  # one per worker process and rank file
 
 
 def _vocabulary(lines: bytes, pattern: str) -> Vocabulary:
-    key = hash((lines, pattern))
+    key = (lines, pattern)
     if key not in _LOADED:
         _LOADED[key] = Vocabulary(lines, pattern)
     return _LOADED[key]
