@@ -175,7 +175,7 @@ ORACLE_SQL = {
                  CASE WHEN kind = 'call' AND text = '' THEN '$.prompt: too short'
                       WHEN kind = 'call' AND text IS NULL THEN '$.prompt: missing' END AS error FROM c)
         SELECT conv_id, turn, kind, call_id, status, error,
-               row_number() OVER (PARTITION BY conv_id ORDER BY turn, kind, text) - 1 AS position,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position,
                CASE kind
                  WHEN 'call' THEN '{"arguments":{"prompt":' || to_json(text) || '},"error":' || coalesce(to_json(error), 'null')
                       || ',"id":"' || call_id || '","kind":"call","name":"reply","role":"assistant","status":"' || status || '"}'

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm.common import materialise, running_sum, ship
 
-EVENT = "row long, part int, kind string, call_id string, name string, body string, error string, refs array<string>"
+EVENT = "part int, kind string, call_id string, name string, body string, error string, refs array<string>"
 TYPES = {
     "string": lambda v: isinstance(v, str),
     "boolean": lambda v: isinstance(v, bool),
@@ -116,15 +116,19 @@ def events_of(role: str | None, text: str | None, tools: dict[str, dict]) -> lis
 
 
 def _events(tools: dict[str, dict]):
+    """Messages -> events, with the conversation, turn and role of their message."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["row", "part", "kind", "call_id", "name", "body", "error", "refs"]
-        kinds = [pa.int64(), pa.int32(), *[pa.string()] * 5, pa.list_(pa.string())]
+        names = ["part", "kind", "call_id", "name", "body", "error", "refs"]
+        kinds = [pa.int32(), *[pa.string()] * 5, pa.list_(pa.string())]
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("row", "role", "text")), strict=True)
-            found = [(row, i, *event) for row, role, text in rows for i, event in enumerate(events_of(role, text, tools))]
+            rows = zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)
+            found = [(at, i, *event) for at, (role, text) in enumerate(rows) for i, event in enumerate(events_of(role, text, tools))]
             if found:
-                cols = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names)
+                at, *cols = zip(*found, strict=True)
+                message = batch.select(["row", "conv", "turn", "role"]).take(pa.array(at))
+                cols = [pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*message.columns, *cols], [*message.schema.names, *names])
 
     return run
 
@@ -153,7 +157,7 @@ def format_chats(messages: DataFrame, tools: dict[str, dict], conv_col: str = "c
 
     ``position`` counts a conversation's events from 0 in an order in which a
     result follows its call and a call follows the results it refers to,
-    otherwise by turn, part and text.  Status of a call: answered, open,
+    otherwise by turn, part and a hash of the content.  Status of a call: answered, open,
     duplicate (a later call with a taken identifier), unresolved (it refers to
     a call that is missing, comes in a circle, or is itself unresolved).  Of a result: linked or orphan.
     Null conversations form one of their own; null turns come first; null and
@@ -161,16 +165,17 @@ def format_chats(messages: DataFrame, tools: dict[str, dict], conv_col: str = "c
     """
     ship(messages.sparkSession)
     rows = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col("role").cast("string"), F.col("text").cast("string"))
-    rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()))
-    told = materialise(rows.select("row", "role", "text").mapInArrow(_events(tools), EVENT))
-    # identifiers are joined as text within the conversation, null among nulls
-    key = F.to_json(F.struct("conv"))
-    events = materialise(told.join(rows.select("row", "conv", "turn", "role"), "row").withColumn("key", key))
-    first = F.struct(F.coalesce("turn", F.lit(-1 << 62)).alias("t"), "part", "body", "row")
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    conv = rows.schema["conv"].dataType.simpleString()
+    told = rows.mapInArrow(_events(tools), f"row long, conv {conv}, turn long, role string, {EVENT}")
+    # identifiers are joined within the conversation, null among nulls; ties go by a hash of what is said
+    told = materialise(told.withColumn("key", F.to_json(F.struct("conv"))).withColumn("tie", F.xxhash64("body")))
+    events = told.drop("body", "name")  # what is said stays aside until the end
+    first = F.struct(F.coalesce("turn", F.lit(-1 << 62)).alias("t"), "part", "tie", "row")
     calls = events.where("kind = 'call' and call_id is not null").groupBy("key", "call_id")
-    calls = materialise(calls.agg(F.min(first).alias("f"), F.min_by("refs", first).alias("refs")))
+    calls = calls.agg(F.min(first).alias("f"), F.min_by("refs", first).alias("refs"))
     results = events.where("kind = 'result'").groupBy("key", "call_id").agg(F.min(F.coalesce("turn", F.lit(-1 << 62))).alias("answered"))
-    calls = calls.join(results, ["key", "call_id"], "left")
+    calls = materialise(calls.join(results, ["key", "call_id"], "left"))
     # a call's time is its turn or, if later, that of the results it refers to; level counts the links on the way
     done = materialise(calls.where(F.size("refs") == 0).select("key", "call_id", F.col("f.t").alias("time"), F.lit(0).alias("level"), "answered"))
     known = done
@@ -186,9 +191,9 @@ def format_chats(messages: DataFrame, tools: dict[str, dict], conv_col: str = "c
         done = materialise(ready.where("met = n").select("key", "call_id", "time", "level", "answered"))
         known = known.unionByName(done)
         waiting = materialise(waiting.join(done, ["key", "call_id"], "left_anti"))
-    owner = calls.select("key", "call_id", F.col("f.row").alias("own_row"), F.col("f.part").alias("own_part"), F.col("f.t").alias("own_t"))
-    owner = owner.join(known.withColumn("resolved", F.lit(True)), ["key", "call_id"], "left").withColumnRenamed("answered", "answer_time")
-    owner = owner.drop("answer_time").join(results, ["key", "call_id"], "left")
+    owner = calls.select("key", "call_id", F.col("f.row").alias("own_row"), F.col("f.part").alias("own_part"), F.col("f.t").alias("own_t"), "answered")
+    timed = known.select("key", "call_id", "time", "level", F.lit(True).alias("resolved"))
+    owner = owner.join(timed, ["key", "call_id"], "left")
     linked = events.join(owner, ["key", "call_id"], "left")
     mine = (F.col("own_row") == F.col("row")) & (F.col("own_part") == F.col("part"))
     status = (
@@ -204,11 +209,11 @@ def format_chats(messages: DataFrame, tools: dict[str, dict], conv_col: str = "c
     turn = F.coalesce("turn", F.lit(-1 << 62))
     moved = F.col("status").isin("answered", "open", "linked") & F.col("time").isNotNull()
     linked = linked.withColumn("status", status).select(
-        "conv", "turn", "part", "role", "kind", "call_id", "name", "body", "error", "status", "key",
+        "row", "conv", "turn", "part", "role", "kind", "call_id", "error", "status", "key", "tie",
         F.when(moved, F.greatest(turn, "time")).when(F.col("status") == "linked", F.greatest(turn, "own_t")).otherwise(turn).alias("time"),
         F.when(moved | (F.col("status") == "linked"), F.coalesce("level", F.lit(0)) + F.when(F.col("kind") == "result", 1).otherwise(0)).otherwise(0).alias("level"),
     )
-    placed = running_sum(linked, ["key"], ["time", "level", F.col("turn").asc_nulls_first(), "part", "body"], F.lit(1), "position")
-    placed = placed.drop("key", "time", "level")
+    placed = running_sum(linked, ["key"], ["time", "level", F.col("turn").asc_nulls_first(), "part", "tie"], F.lit(1), "position")
+    placed = placed.join(told.select("row", "part", "name", "body"), ["row", "part"]).drop("row", "key", "tie", "time", "level")
     kinds = {f.name: f.dataType.simpleString() for f in placed.schema if f.name not in ("body", "name")}
     return placed.mapInArrow(_written, ", ".join(f"`{n}` {k}" for n, k in kinds.items()) + ", json string")
