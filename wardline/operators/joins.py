@@ -28,14 +28,18 @@ def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, cell: i
     """Inner join on ``keys`` (in both sides; the other columns are disjoint), hot keys dealt as a grid.
 
     Both inputs are read twice, once for the counts: pass tables or
-    materialised frames.  NULL keys match nothing.
+    materialised frames.  The counts are a job of their own, so without a hot
+    key the join stays a plain one.  NULL keys match nothing.
     """
     keys = list(keys)
     n_l = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__wl_nl"))
     n_r = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__wl_nr"))
     slices = n_l.join(n_r, keys).select(
         *keys, F.ceil(F.col("__wl_nl") / cell).cast("int").alias("__wl_sl"), F.ceil(F.col("__wl_nr") / cell).cast("int").alias("__wl_sr")
-    ).filter((F.col("__wl_sl") > 1) | (F.col("__wl_sr") > 1))
+    )
+    slices = materialise(slices.filter((F.col("__wl_sl") > 1) | (F.col("__wl_sr") > 1)))
+    if slices.isEmpty():  # no key over a cell: the grid would be one cell per key
+        return left.join(right, keys)
 
     def dealt(df: DataFrame, own: str, mine: str, other: str, theirs: str) -> DataFrame:
         """Every row in one slice of its side, copied to each slice of the other side."""

@@ -492,8 +492,7 @@ def propagate_delete_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     tables = {name: t[name] for name in TEST_KEYS}
     doomed = t["region"].filter(F.col("r_name") == DELETE_REGION)
-    res = propagate_delete(tables, TEST_FKS, {"region": doomed})
-    return res.summary()
+    return propagate_delete(tables, TEST_FKS, {"region": doomed}, TEST_KEYS).summary()
 
 
 def _delete_by_keys(spark: SparkSession, sf_dir: str):
