@@ -152,3 +152,38 @@ def test_licences(spark):
     assert found[7] == (["cc_by_nc", "cc_by_nc"], ["cc-by-nc-reference"], ["CC-BY-NC-4.0"])
     assert found[6] == found[8] == found[9] == ([], [], [])
     assert licenses.scan(spark.createDataFrame([], DOCS)).collect() == []
+
+
+LINES = {  # the tables' own licence lines
+    "Released under the MIT License.": "MIT",
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+}
+
+
+def test_licences_of_the_tables_lines(spark):
+    """Every document's licences by its lines, stated without the scan's sentences."""
+    from pyspark.sql import functions as F
+
+    texts = spark.read.parquet(f"{SF_2}/documents.parquet").select("doc_id", "text").collect()
+    want = {r.doc_id: ",".join(sorted({LINES[x.strip()] for x in (r.text or "").splitlines() if x.strip() in LINES})) for r in texts}
+    assert set(want.values()) >= set(LINES.values())
+    got = QUERIES["op8_license_scan"](spark, SF_2).where(F.col("licences") != "").collect()
+    assert {r.doc_id: r.licences for r in got} == {i: x for i, x in want.items() if x}
+
+
+def test_licences_gnu_forms(spark):
+    forms = {
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "This work is licensed under the GNU General Public License, version 3.0.": "GPL-3.0",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "This work is licensed under the GNU General Public License, version 2 or later.": "GPL-2.0",
+        "This work is licensed under the GNU General Public License, version 3.0, or (at your option) any later version.": "GPL-3.0",
+        "This work is licensed under the GNU Lesser General Public License, version 2.1 or later.": "LGPL-2.1",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        "This work is licensed under the Mozilla Public License, version 2.0.": "MPL-2.0",
+        "Licensed under the ISC License.": "ISC",
+    }
+    got = licenses.scan(frame(spark, [(i, t, None) for i, t in enumerate(forms)])).collect()
+    assert [list(r.licences) for r in sorted(got)] == [[x] for x in forms.values()]

@@ -43,7 +43,33 @@ SENTENCES = {
     "cc_by_nc": "licensed under cc by nc 4 0",
     "cc_by_nc_nd": "licensed under cc by nc nd 4 0",
     "cc0": "licensed under cc0 1 0",
+    "isc_grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc_grant2": "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc_ref": "licensed under the isc license",
+    "isc_ref2": "released under the isc license",
+    "mpl_ref": "this work is licensed under the mozilla public license version 2 0",
+    "mpl_form": "this source code form is subject to the terms of the mozilla public license version 2 0",
+    "lgpl_free21": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl_free3": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl_free3": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
 }
+# Identifier and wording of the GNU licences, version, licence; a reference may leave out a last "0" and may go on with "or later".
+GNU = [
+    ("gpl_ref3", "general", "3", "GPL-3.0"),
+    ("gpl_ref2", "general", "2", "GPL-2.0"),
+    ("lgpl_ref3", "lesser general", "3", "LGPL-3.0"),
+    ("lgpl_ref21", "lesser general", "2 1", "LGPL-2.1"),
+    ("agpl_ref3", "affero general", "3", "AGPL-3.0"),
+]
+LATER = {"": "", "_later": " or later", "_any": " or any later version", "_option": " or at your option any later version"}
+REFERENCES = {}  # identifier: licence
+for _name, _words, _version, _licence in GNU:
+    for _zero in ("", " 0") if " " not in _version else ("",):
+        for _tail, _later in LATER.items():
+            # gpl_ref3 and gpl_ref2 are the forms with "0"
+            _id = _name + ("" if _zero or " " in _version else "_short") + _tail
+            SENTENCES[_id] = f"this work is licensed under the gnu {_words} public license version {_version}{_zero}{_later}"
+            REFERENCES[_id] = _licence
 # Rule name, licence, ordered sentence identifiers.
 RULES = [
     ("mit-text", "MIT", ["mit_grant", "mit_notice", "as_is"]),
@@ -64,6 +90,16 @@ RULES = [
     ("cc-by-nc-reference", "CC-BY-NC-4.0", ["cc_by_nc"]),
     ("cc-by-nc-nd-reference", "CC-BY-NC-ND-4.0", ["cc_by_nc_nd"]),
     ("cc0-reference", "CC0-1.0", ["cc0"]),
+    ("isc-text", "ISC", ["isc_grant"]),
+    ("isc-text-2", "ISC", ["isc_grant2"]),
+    ("isc-reference", "ISC", ["isc_ref"]),
+    ("isc-reference-2", "ISC", ["isc_ref2"]),
+    ("mpl-reference", "MPL-2.0", ["mpl_ref"]),
+    ("mpl-form", "MPL-2.0", ["mpl_form"]),
+    ("lgpl-2.1-notice", "LGPL-2.1", ["lgpl_free21"]),
+    ("lgpl-3-notice", "LGPL-3.0", ["lgpl_free3"]),
+    ("agpl-3-notice", "AGPL-3.0", ["agpl_free3"]),
+    *((name.replace("_", "-"), licence, [name]) for name, licence in REFERENCES.items() if name not in ("gpl_ref3", "gpl_ref2")),
 ]
 SPLIT = r"[.!?:;]+(?:\s+|$)|[\r\n]+"  # where a sentence ends
 # every known sentence holds one of these, so a text with none has no known sentence
