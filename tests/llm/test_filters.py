@@ -187,3 +187,104 @@ def test_licences_gnu_forms(spark):
     }
     got = licenses.scan(frame(spark, [(i, t, None) for i, t in enumerate(forms)])).collect()
     assert [list(r.licences) for r in sorted(got)] == [[x] for x in forms.values()]
+
+
+# public texts as they are usually wrapped
+WRAPPED = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+""",
+    "Apache-2.0": """Copyright 2020 someone
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+""",
+    "GPL-2.0": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+""",
+}
+PARTS = {
+    "MIT": ["mit_title2", "mit_grant", "mit_notice", "as_is", "mit_liability"],
+    "Apache-2.0": ["apache_ref2", "apache_use", "apache_copy", "apache_basis", "apache_see"],
+    "BSD-3-Clause": ["bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse"],
+    "GPL-3.0": ["gpl_free3", "gpl_hope"],
+    "GPL-2.0": ["gpl_free2", "gpl_hope"],
+    "MPL-2.0": ["mpl_form2"],
+}
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", ";; "])
+def test_licences_wrapped(spark, mark):
+    """Wrapped texts, bare and as comments, with either line end; the next licence right behind."""
+    texts = {x: "".join(mark + line + "\n" for line in text.splitlines()) for x, text in WRAPPED.items()}
+    rows = [(i, t, None) for i, t in enumerate(texts.values())]
+    rows += [(100 + i, t.replace("\n", "\r\n"), None) for i, t, _ in rows]
+    rows += [(200, "Vendor: MIT\nLicense: other\n", None), (201, "released under\n\nthe MIT License", None), (202, "x\n" * 50_000 + "!" * 50_000 + texts["MIT"], None)]
+    got = {r.id: (list(r.sentences), list(r.licences)) for r in licenses.scan(frame(spark, rows)).collect()}
+    for i, (licence, parts) in enumerate(PARTS.items()):
+        want = ["BSD-2-Clause", licence] if licence == "BSD-3-Clause" else [licence]
+        assert got[i] == got[100 + i] == (parts, want)
+    assert got[200] == got[201] == ([], [])
+    assert got[202] == (PARTS["MIT"], ["MIT"])

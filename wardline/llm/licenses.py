@@ -1,7 +1,9 @@
 """License scans by sentence rules; DataFrame functions only.
 
-A text is cut into sentences, each is normalised, and known licence sentences
-become identifiers.  The sequence of a document's identifiers is then matched
+Sentences end at punctuation and line breaks, but a known sentence may run on
+over single line breaks (with comment marks), colons and semicolons, as wrapped
+licence texts do; titles stand on one line.  A text is normalised whole, and
+known licence sentences become identifiers.  The sequence of a document's identifiers is then matched
 against licence rules: a rule is an ordered list of identifiers, between which
 other known sentences may stand.  All of it happens inside a row: no shuffle, no skew.
 """
@@ -49,6 +51,7 @@ SENTENCES = {
     "isc_ref2": "released under the isc license",
     "mpl_ref": "this work is licensed under the mozilla public license version 2 0",
     "mpl_form": "this source code form is subject to the terms of the mozilla public license version 2 0",
+    "mpl_form2": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "lgpl_free21": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
     "lgpl_free3": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "agpl_free3": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
@@ -96,28 +99,47 @@ RULES = [
     ("isc-reference-2", "ISC", ["isc_ref2"]),
     ("mpl-reference", "MPL-2.0", ["mpl_ref"]),
     ("mpl-form", "MPL-2.0", ["mpl_form"]),
+    ("mpl-form-2", "MPL-2.0", ["mpl_form2"]),
     ("lgpl-2.1-notice", "LGPL-2.1", ["lgpl_free21"]),
     ("lgpl-3-notice", "LGPL-3.0", ["lgpl_free3"]),
     ("agpl-3-notice", "AGPL-3.0", ["agpl_free3"]),
     *((name.replace("_", "-"), licence, [name]) for name, licence in REFERENCES.items() if name not in ("gpl_ref3", "gpl_ref2")),
 ]
-SPLIT = r"[.!?:;]+(?:\s+|$)|[\r\n]+"  # where a sentence ends
+TITLES = {"mit_title", "mit_title2"}  # words as short as these could meet over a line break by chance
+# steps that turn lower-case text into words with one mark between them: a space,
+# SOFT where a sentence may end or run on, HARD where it ends
+SOFT, HARD = "\n", "\x01"
+STEPS = [
+    (r"\r\n?|[\x00-\x02]", "\n"),
+    (r"\bv\.\s++(?=[0-9])", "v "),  # "v. 2.0" is no end
+    (r"(?<![.!?:;])[:;]++(?:\s++|$)", "\x02"),
+    (r"(?<![.!?:;])[.!?:;]++(?:\s++|$)", HARD),
+    (r"\n[^a-z0-9\n]*+\n[^a-z0-9]*+(?!http)", HARD),  # a blank line, but for one before an address
+    (r"[^a-z0-9\n\x01\x02]++", " "),
+    (r"(?: ?+[\n\x02])++ ?+", SOFT),
+    (r"[ \n]?(?:\x01[ \n]?+)++", HARD),
+]
 # every known sentence holds one of these, so a text with none has no known sentence
 HINT = r"(?i)licen[sc]e|copyright|redistribut|warrant"
 assert all(re.search(HINT, s) for s in SENTENCES.values())  # noqa: S101
 
 
-def normalised(sentence: Column) -> Column:
-    """ASCII lower case, runs of anything but letters and digits as one space."""
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def marked(text: Column) -> Column:
+    """A-Z lower-cased words of a text with one mark between them and HARD at both ends."""
+    out = F.lower(text)
+    for pattern, mark in STEPS[:-1]:
+        out = F.regexp_replace(out, pattern, mark)
+    return F.regexp_replace(F.concat(F.lit(HARD), out, F.lit(HARD)), *STEPS[-1])
 
 
 def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
-    """Identifiers of the known sentences of a text, in order; null text has none."""
+    """Identifiers of the known sentences of a text, in order; of several that begin at one place the longest. Null text has none."""
     known = F.create_map(*(F.lit(x) for name, s in sentences.items() for x in (s, name)))
-    found = F.transform(F.split(text, SPLIT, -1), lambda s: F.try_element_at(known, normalised(s)))
+    longest = sorted(sentences, key=lambda name: -len(sentences[name]))
+    forms = "|".join(sentences[name].replace(" ", " " if name in TITLES else f"[ {SOFT}]") for name in longest)
+    found = F.regexp_extract_all(marked(text), F.lit(f"(?<=[{SOFT}{HARD}])(?:{forms})(?=[{SOFT}{HARD}])"), F.lit(0))
     none = F.array().cast("array<string>")
-    return F.when(text.rlike(HINT), F.array_compact(found)).otherwise(none)
+    return F.when(text.rlike(HINT), F.transform(found, lambda s: F.try_element_at(known, F.translate(s, SOFT, " ")))).otherwise(none)
 
 
 def matched_rules(ids: Column, rules: list[tuple[str, str, list[str]]] = RULES) -> Column:
