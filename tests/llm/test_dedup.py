@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import DOCS, components, exact_groups, frame, lower, messy, sha, simhash
@@ -216,6 +218,39 @@ def test_substring_lots(spark, monkeypatch):
     assert substring_rows(frame(spark, rows, clash=False)) == substring_answer(rows)
 
 
+@pytest.mark.parametrize("hot", [1, 20])
+def test_substring_hot_anchors(spark, monkeypatch, hot):
+    """A passage in most documents, amid text of their own: its anchors' strings are dealt one by one."""
+    monkeypatch.setattr(substring_dedup, "HOT", hot)
+    rnd = random.Random(hot)
+    passage = "".join(rnd.choice("abcdefgh é") for _ in range(150))
+    own = lambda n: "".join(rnd.choice("ab") for _ in range(n))
+    rows = [(i, own(rnd.randrange(60)) + passage[rnd.randrange(9) :] + own(rnd.randrange(60)), None) for i in rnd.sample(range(500), 80)]
+    rows += [(600 + i, own(200), None) for i in range(10)] + [(3, "a" * 300 + passage * 2, None), (3, passage, None), (None, passage, None), (900, "a" * 300, None)]
+    assert substring_rows(frame(spark, rows, clash=False).repartition(5)) == substring_answer(rows)
+
+
+def test_substring_hot_anchor_is_dealt():
+    """No bucket gets the surroundings of a hot anchor; its strings spread over all."""
+    rnd = random.Random(4)
+    passage, own = "".join(rnd.choice("abcdefgh") for _ in range(150)), lambda: "".join(rnd.choice("abcdefgh") for _ in range(60))
+    texts = [own() + passage + own() for _ in range(300)]
+    first = pa.RecordBatch.from_pydict({"doc": list(range(300)), "text": texts})
+    marks = list(substring_dedup._shared(1, 100)(substring_dedup._fingerprints(1)(iter([first]))))
+    rows = pa.Table.from_batches(substring_dedup._marks(iter(marks))).sort_by("__doc").to_pydict()
+    batch = pa.RecordBatch.from_pydict({"doc": rows["__doc"], "tag": [0] * 300, "text": texts, "marks": rows["marks"], "hot": rows["hot"]})
+    out = pa.Table.from_batches(substring_dedup._strings(16)(iter([batch]))).to_pydict()
+    sizes, grams = {}, Counter()
+    for bucket, blob, kind in zip(out["bucket"], out["blob"], out["kind"], strict=True):
+        if kind == substring_dedup.AROUND:
+            ids, _, which, first, _, at, _ = substring_dedup._unpack(blob, "i8", "i8", "u4", "i8", "u1", "u1", "u1")
+            grams.update(texts[d][p : p + substring_dedup.GRAM] for d, p in zip(ids[which].tolist(), (first + at).tolist(), strict=True))
+        if kind == substring_dedup.SINGLE:
+            sizes[bucket] = sizes.get(bucket, 0) + len(substring_dedup._unpack(blob, "i8", "i8", "i8", "u1")[0])
+    assert max(grams.values(), default=0) <= 100
+    assert len(sizes) == 16 and max(sizes.values()) < 2 * sum(sizes.values()) / 16
+
+
 def test_anchors_cover_every_string():
     rnd = random.Random(9)
     texts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(0, 400))) for _ in range(30)]
