@@ -290,6 +290,39 @@ def test_chats(spark):
     assert tool_chat.format_chats(df.limit(0), TOOLS).collect() == []
 
 
+@pytest.mark.parametrize(
+    ("schema", "good", "bad"),
+    [
+        ({"minimum": 1, "maximum": 3}, [1, 3, "x"], [0, 4, 0.5]),
+        ({"exclusiveMinimum": 1, "exclusiveMaximum": 3}, [2, 1.5], [1, 3]),
+        ({"multipleOf": 0.1}, [0.3, 7], [0.25]),
+        ({"maxLength": 2}, ["ab", 100], ["abc"]),
+        ({"pattern": "^a+$"}, ["aa", 1], ["ab"]),
+        ({"const": 1}, [1, 1.0], [True, 2]),
+        ({"enum": [0, "a"]}, [0, "a"], [False]),
+        ({"anyOf": [{"type": "string"}, {"minimum": 5}]}, ["a", 5], [4]),
+        ({"oneOf": [{"type": "integer"}, {"minimum": 5, "type": "number"}]}, [4, 5.5], [5, 4.5]),
+        ({"allOf": [{"minimum": 1}, {"maximum": 3}]}, [2], [0, 4]),
+        ({"not": {"type": "string"}}, [1], ["a"]),
+        ({"minItems": 1, "maxItems": 2, "uniqueItems": True}, [[1], [1, True]], [[], [1, 2, 3], [{"a": 1}, {"a": 1.0}]]),
+        ({"minProperties": 1, "maxProperties": 1}, [{"a": 1}], [{}, {"a": 1, "b": 2}]),
+        ({"properties": {"a": True}, "additionalProperties": {"type": "string"}}, [{"a": 1, "b": "x"}], [{"b": 1}]),
+        ({"items": False}, [[]], [[1]]),
+    ],
+)
+def test_schema_keywords(schema, good, bad):
+    tool_chat.check_schema(schema, "t")
+    assert [tool_chat.fault(v, schema) for v in good] == [None] * len(good)
+    assert all(tool_chat.fault(v, schema) for v in bad)
+    assert tool_chat.fault({"$ref": "call"}, schema) is None
+
+
+def test_unchecked_keywords_are_refused(spark):
+    for schema in ({"dependentRequired": {}}, {"properties": {"a": {"anyOf": [{"format": "date"}]}}}, {"type": "text"}):
+        with pytest.raises(ValueError, match="t"):
+            tool_chat.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string"), {"t": schema})
+
+
 def test_chat_with_a_common_identifier(spark):
     """A thousand calls and a thousand results of one identifier make two thousand rows."""
     rows = [("x", i, "assistant", call(("c", "find", {"q": f"q{i}"}))) for i in range(1000)]

@@ -10,7 +10,10 @@ depends on the result of another call.
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
+from fractions import Fraction
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,35 +38,111 @@ def canonical(value: object) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
-def fault(value: object, schema: dict, path: str = "$") -> str | None:
-    """First breach of a JSON schema (type, enum, required, properties, additionalProperties, items, minLength), or none.
+NOTES = {"title", "description", "default", "examples", "deprecated", "readOnly", "writeOnly", "$comment", "$schema", "$id"}  # these check nothing
+ONE, SOME, NAMED = {"items", "additionalProperties", "not"}, {"anyOf", "oneOf", "allOf"}, {"properties"}  # these hold schemas
+CHECKS = ONE | SOME | NAMED | {
+    "type", "enum", "const", "required", "minLength", "maxLength", "pattern", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum",
+    "multipleOf", "minItems", "maxItems", "uniqueItems", "minProperties", "maxProperties",
+}
+
+
+def check_schema(schema: object, path: str) -> None:
+    """Raise for a keyword or a type that fault() doesn't check, so nothing passes unchecked."""
+    if isinstance(schema, bool):
+        return
+    if not isinstance(schema, dict):
+        raise ValueError(f"{path}: not a schema")
+    if odd := sorted(set(schema) - CHECKS - NOTES):
+        raise ValueError(f"{path}: schema keywords that are not checked: {', '.join(odd)}")
+    kinds = schema.get("type", [])
+    if odd := sorted({kinds} - set(TYPES) if isinstance(kinds, str) else set(kinds) - set(TYPES)):
+        raise ValueError(f"{path}: unknown types: {', '.join(odd)}")
+    if "pattern" in schema:
+        re.compile(schema["pattern"])
+    inner = [(k, schema[k]) for k in ONE if k in schema]
+    inner += [(f"{k}[{i}]", x) for k in SOME for i, x in enumerate(schema.get(k, []))]
+    inner += [(f"{k}.{name}", x) for k in NAMED for name, x in schema.get(k, {}).items()]
+    for name, x in inner:
+        check_schema(x, f"{path}.{name}")
+
+
+def _plain(value: object) -> object:
+    """Equal for equal JSON values: 1 and 1.0 are, 1 and true are not."""
+    if isinstance(value, dict):
+        return "object", frozenset((k, _plain(v)) for k, v in value.items())
+    return ("array", *map(_plain, value)) if isinstance(value, list) else (isinstance(value, bool), value)
+
+
+def _exact(number: float) -> Fraction:
+    return Fraction(number) if isinstance(number, int) else Fraction(str(number))
+
+
+def fault(value: object, schema: dict | bool, path: str = "$") -> str | None:
+    """First breach of a JSON schema (the keywords of CHECKS; patterns as in ``re``), or none.
 
     A reference to another call's result stands for any value.
     """
     if isinstance(value, dict) and set(value) == {"$ref"}:
         return None
+    if isinstance(schema, bool):
+        return None if schema else f"{path}: not allowed"
     kinds = schema.get("type")
     kinds = [kinds] if isinstance(kinds, str) else kinds
     if kinds and not any(TYPES[k](value) for k in kinds):
         return f"{path}: not {' or '.join(kinds)}"
-    if "enum" in schema and value not in schema["enum"]:
+    open_ = bool(_refs(value))  # what a reference stands for may make it equal, or unequal
+    if "enum" in schema and not open_ and _plain(value) not in map(_plain, schema["enum"]):
         return f"{path}: not in enum"
-    if isinstance(value, str) and len(value) < schema.get("minLength", 0):
-        return f"{path}: too short"
+    if "const" in schema and not open_ and _plain(value) != _plain(schema["const"]):
+        return f"{path}: not the constant"
+    if isinstance(value, str):
+        if len(value) < schema.get("minLength", 0):
+            return f"{path}: too short"
+        if len(value) > schema.get("maxLength", len(value)):
+            return f"{path}: too long"
+        if "pattern" in schema and not re.search(schema["pattern"], value):
+            return f"{path}: not of the pattern"
+    if TYPES["number"](value):
+        if value < schema.get("minimum", value) or value <= schema.get("exclusiveMinimum", -math.inf) != -math.inf:
+            return f"{path}: too small"
+        if value > schema.get("maximum", value) or value >= schema.get("exclusiveMaximum", math.inf) != math.inf:
+            return f"{path}: too large"
+        if "multipleOf" in schema and not (math.isfinite(value) and _exact(value) % _exact(schema["multipleOf"]) == 0):
+            return f"{path}: not a multiple"
     if isinstance(value, dict):
-        fields = schema.get("properties", {})
+        fields, others = schema.get("properties", {}), schema.get("additionalProperties", True)
         for name in schema.get("required", []):
             if name not in value:
                 return f"{path}.{name}: missing"
+        if len(value) < schema.get("minProperties", 0):
+            return f"{path}: too few properties"
+        if len(value) > schema.get("maxProperties", len(value)):
+            return f"{path}: too many properties"
         for name, inner in sorted(value.items()):
-            if name in fields:
-                bad = fault(inner, fields[name], f"{path}.{name}")
-            else:
-                bad = f"{path}.{name}: unknown" if schema.get("additionalProperties") is False else None
-            if bad:
+            if name not in fields and others is False:
+                return f"{path}.{name}: unknown"
+            if bad := fault(inner, fields.get(name, others), f"{path}.{name}"):
                 return bad
-    if isinstance(value, list) and "items" in schema:
-        return next((bad for i, v in enumerate(value) if (bad := fault(v, schema["items"], f"{path}[{i}]"))), None)
+    if isinstance(value, list):
+        if len(value) < schema.get("minItems", 0):
+            return f"{path}: too few items"
+        if len(value) > schema.get("maxItems", len(value)):
+            return f"{path}: too many items"
+        if schema.get("uniqueItems") and not open_ and len(set(map(_plain, value))) < len(value):
+            return f"{path}: repeated items"
+        if bad := next((bad for i, v in enumerate(value) if (bad := fault(v, schema.get("items", True), f"{path}[{i}]"))), None):
+            return bad
+    for inner in schema.get("allOf", []):
+        if bad := fault(value, inner, path):
+            return bad
+    if "anyOf" in schema and all(fault(value, x, path) for x in schema["anyOf"]):
+        return f"{path}: none of anyOf"
+    if "oneOf" in schema:
+        fits = sum(not fault(value, x, path) for x in schema["oneOf"])
+        if not fits or fits > 1 and not open_:
+            return f"{path}: {'several' if fits else 'none'} of oneOf"
+    if "not" in schema and not open_ and not fault(value, schema["not"], path):
+        return f"{path}: not allowed"
     return None
 
 
@@ -162,7 +241,10 @@ def format_chats(messages: DataFrame, tools: dict[str, dict], conv_col: str = "c
     a call that is missing, comes in a circle, or is itself unresolved).  Of a result: linked or orphan.
     Null conversations form one of their own; null turns come first; null and
     empty texts are plain messages; repeated rows are events of their own.
+    A tool's schema with a keyword that fault() doesn't check is refused.
     """
+    for name, schema in tools.items():
+        check_schema(schema, name)
     ship(messages.sparkSession)
     rows = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col("role").cast("string"), F.col("text").cast("string"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
