@@ -397,3 +397,34 @@ def test_pipeline(spark):
     assert got.count() > 0
     assert "pipeline" not in entry.oracle_sql()
     assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in entry.queries() if re.match(r"op\d+_", q)}
+
+
+def test_pipeline_equals_chained_stages(spark, reference):
+    """The pipeline's rows, as a multiset, against brute-force stages one after the other (scores taken from the classifier)."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    good = {r.doc_id for r in quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")).collect() if r.score >= 0.5}
+    rows = {r.doc_id: (r.text, r.source) for r in docs.collect() if r.doc_id in good}
+    last = {}
+    for i, (t, _) in rows.items():
+        raw = (t or "").encode().lower()
+        last[raw] = max(i, last.get(raw, i))
+    ids = sorted(last.values())
+    marks = {i: simhash(rows[i][0]) for i in ids}
+    of = components(ids, [(a, b) for a in ids for b in ids if b < a and (marks[a] ^ marks[b]).bit_count() <= 4])
+    size = defaultdict(int)
+    line = []
+    for i in sorted(set(of.values())):
+        t, s = rows[i]
+        size[s] += words(t)
+        line.append((hashlib.md5(f"17|{i}".encode()).hexdigest(), words(t), i))
+    quota = {s: math.floor(x + 1e-9) for s, x in targets(size).items()}
+    at, want = defaultdict(int), []
+    for _, n, i in sorted(line):
+        t, s = rows[i]
+        coded = reference.encode_ordinary(t or "")
+        told = (i, len(coded), hashlib.sha256(",".join(map(str, coded)).encode()).hexdigest(), sha((t or "").encode()))
+        want += [told] * sum(n > 0 and at[s] + k * size[s] < quota[s] for k in (0, 1))
+        at[s] += n
+    got = corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert len(want) > len(set(want)) > 20
+    assert sorted(map(tuple, got)) == sorted(want)
