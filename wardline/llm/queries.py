@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, exact_dedup, grid_join, licenses, mixing, quality, simhash, substring_dedup, tool_chat, url_rules
+from wardline.llm import bpe, exact_dedup, grid_join, licenses, mixing, pieces, quality, simhash, substring_dedup, tool_chat, url_rules
 from wardline.llm.common import read
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -114,6 +114,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded with an end id and decoded again with the 32k piece model."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.round_trip(read(spark, sf_dir, "documents"), model).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -127,6 +133,7 @@ QUERIES = {
         op8_license_scan,
         op9_exact_dedup,
         op10_substring_dedup,
+        op11_piece_round_trip,
     )
 }
 
