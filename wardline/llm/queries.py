@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, exact_dedup, grid_join, licenses, mixing, pieces, quality, simhash, substring_dedup, tool_chat, url_rules
+from wardline.llm import bpe, exact_dedup, grid_join, licenses, mixing, negatives, pieces, quality, simhash, spelling, substring_dedup, tool_chat, url_rules
 from wardline.llm.common import read
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -120,6 +120,26 @@ def op11_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"), model).withColumnRenamed("id", "doc_id")
 
 
+def _one_lost(run: Column) -> Column:
+    """A run without one code point, for every 31st pair of document and run, told by a checksum."""
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), run).cast("binary"))
+    at = (h % F.length(run)).cast("int")
+    return F.when(h % 31 == 0, F.concat(run.substr(F.lit(1), at), run.substr(at + 2, F.length(run)))).otherwise(run)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of seven and more letters with the more frequent spellings that they lead to."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.spelling_variants(spelling.count_words(docs, change=_one_lost), ratio=10)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector: five positives each, five negatives of 80 to 100 percent of each one's score."""
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -134,6 +154,8 @@ QUERIES = {
         op9_exact_dedup,
         op10_substring_dedup,
         op11_piece_round_trip,
+        op12_spelling_variants,
+        op13_hard_negatives,
     )
 }
 
