@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import os
+import shutil
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as E
@@ -21,6 +27,20 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(E.oracle_sql()) and set(QUERIES) <= set(E.queries())
 
 
+@pytest.mark.parametrize("gone", [["wardline/llm", "tests/llm"], ["wardline/llm", "tests/llm", "corpus_pipeline.py"], ["corpus_pipeline.py"]])
+def test_optional_parts_may_be_deleted(tmp_path, gone):
+    """The entry of a copy without the training-data operators has all other queries."""
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    copy = str(tmp_path / "copy")
+    left_out = {os.path.join(root, g) for g in gone}
+    shutil.copytree(root, copy, ignore=lambda d, names: [n for n in names if n in {".git", "__pycache__"} or os.path.join(d, n) in left_out])
+    say = "import json, __spark_entry__ as E; print(json.dumps([sorted(E.queries()), sorted(E.oracle_sql())]))"
+    out = subprocess.run([sys.executable, "-c", say], cwd=copy, capture_output=True, text=True, check=True, env=os.environ | {"PYTHONPATH": copy})
+    names, sql = json.loads(out.stdout.strip().splitlines()[-1])
+    assert set(QUERIES) <= set(names) and set(QUERIES) <= set(sql)
+    assert any(n.startswith("op") for n in names) == ("wardline/llm" not in gone) and "pipeline" not in names
+
+
 @pytest.fixture(scope="module")
 def con():
     return duck(SF)
