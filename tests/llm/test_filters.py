@@ -118,6 +118,16 @@ def test_urls_rules_that_reach_over_partitions(spark):
     assert got == sorted((i, *url_answer(u, rules)) for i, u in rows)
 
 
+def test_urls_of_a_megabyte(spark):
+    """Every partition may begin with a url that is far longer than any rule."""
+    rules = [("com", "/", "block"), ("com", "/x", "allow"), ("com", "/x" + "y" * 2000, "block")]
+    rows = [(i, f"http://s.com/{'x' if i % 2 else ''}{'y' * 1_000_000}{i}") for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(4)
+    given = spark.createDataFrame(rules, "host string, path string, verdict string")
+    got = sorted((r.id, r.host, r.path, r.rule, r.verdict) for r in url_rules.apply_rules(pages, given).collect())
+    assert got == sorted((i, *url_answer(u, rules)) for i, u in rows)
+
+
 def test_urls_empty(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string")
     rules = spark.createDataFrame([("com", "/", "block")], "host string, path string, verdict string")

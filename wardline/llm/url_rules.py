@@ -6,7 +6,8 @@ all subdomains, so a url has one key per number of host labels that any rule
 has.  Rules and urls are range-sorted together; a sweep over each partition
 keeps the stack of nested rules that are open, and its top is the rule with the
 longest path at that host.  Rules opened in earlier partitions are those whose
-key is a prefix of a partition's first key, found by an equality join.
+key is a prefix of a partition's first key, found by an equality join on the
+prefixes as long as some rule's key.
 """
 
 from __future__ import annotations
@@ -83,10 +84,11 @@ def apply_rules(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     asks = asks.select(_key(tail, F.col("path")).alias("key"), F.lit(1).alias("kind"), "row", none.alias("rule"), none.alias("verdict"), F.lit(0).alias("host_size"))
     dealt = asks.unionByName(opens).repartitionByRange("key", "kind", "row")
     dealt = materialise(dealt.withColumn("part", F.spark_partition_id()))
-    # rules that an earlier partition opened and that reach into this one
+    # rules that an earlier partition opened and that reach into this one; a url may be far longer than any rule
     first = dealt.groupBy("part").agg(F.min("key").alias("first"))
-    prefix = F.transform(F.sequence(F.lit(1), F.length("first")), lambda i: F.substring("first", F.lit(1), i))
-    carried = first.select("part", F.explode(prefix).alias("key")).join(opens, "key").select(*dealt.columns)
+    sizes = sorted(r[0] for r in opens.select(F.length("key")).distinct().collect())  # as many as a key has characters, at most
+    sized = first.withColumn("size", F.explode(F.array(*map(F.lit, sizes)).cast("array<int>"))).where(F.length("first") >= F.col("size"))
+    carried = sized.select("part", F.substring("first", F.lit(1), F.col("size")).alias("key")).join(opens, "key").select(*dealt.columns)
     parts = (first.agg(F.max("part")).first()[0] or 0) + 1
     swept = dealt.unionByName(carried).repartitionById(parts, F.col("part")).sortWithinPartitions("key", "kind")
     fits = swept.drop("part").mapInArrow(_sweep, "row long, rule string, verdict string, host_size int")
