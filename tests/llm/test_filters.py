@@ -164,6 +164,18 @@ def test_licences(spark):
     assert licenses.scan(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_licences_of_notices_repeated_thousands_of_times(spark):
+    """Third-party notices: the sentences of a rule again and again, its last one nowhere or at the end."""
+    names = ["bsd_grant", "bsd_source", "bsd_binary"]
+    once = "\n".join(licenses.SENTENCES[n] + "." for n in names) + "\n"
+    last = licenses.SENTENCES["bsd_endorse"] + "."
+    got = {r.id: r for r in licenses.scan(frame(spark, [(1, once * 10_000, None), (2, once * 10_000 + last, None)])).collect()}
+    assert list(got[1].sentences) == names * 10_000 and list(got[1].licences) == ["BSD-2-Clause"]
+    assert "BSD-3-Clause" in got[2].licences
+    backwards = "\n".join(licenses.SENTENCES[n] + "." for n in names[::-1]) + "\n"
+    assert list(licenses.scan(frame(spark, [(1, backwards, None)])).first().rules) == []
+
+
 LINES = {  # the tables' own licence lines
     "Released under the MIT License.": "MIT",
     "Licensed under the Apache License, Version 2.0.": "Apache-2.0",

@@ -142,13 +142,19 @@ def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
     return F.when(text.rlike(HINT), F.transform(found, lambda s: F.try_element_at(known, F.translate(s, SOFT, " ")))).otherwise(none)
 
 
+def _in_order(ids: Column, parts: list[str]) -> Column:
+    """Whether ``parts`` stand in ``ids`` in their order: one pass that counts how many of them are met."""
+    if len(parts) == 1:
+        return F.array_contains(ids, parts[0])
+    wanted = F.array(*map(F.lit, parts))
+    # an index behind the last part gives null, which equals nothing
+    met = F.aggregate(ids, F.lit(0), lambda n, x: n + F.coalesce(F.get(wanted, n) == x, F.lit(False)).cast("int"))
+    return met == len(parts)
+
+
 def matched_rules(ids: Column, rules: list[tuple[str, str, list[str]]] = RULES) -> Column:
     """Structs (rule, licence) of the rules whose identifiers stand in ``ids`` in their order."""
-    line = F.concat(F.lit(","), F.array_join(ids, ","), F.lit(","))
-    hits = [
-        F.when(line.rlike(",(?:.*,)?".join(["", *parts]) + ","), F.struct(F.lit(name).alias("rule"), F.lit(licence).alias("licence")))
-        for name, licence, parts in rules
-    ]
+    hits = [F.when(_in_order(ids, parts), F.struct(F.lit(name).alias("rule"), F.lit(licence).alias("licence"))) for name, licence, parts in rules]
     return F.array_compact(F.array(*hits))
 
 
