@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from wardline.operators import acceptance
 from wardline.operators.acceptance import Cover, accept_in_order, refused_claims
@@ -91,6 +92,14 @@ def test_batch_and_stored_rows(spark):
     assert accepted.count() == refused.count() == 0
 
 
+def test_barred_rows_are_told_what_they_meet(spark):
+    schema = "id long, place string, s long, e long"
+    batch = spark.createDataFrame([(1, "p", 0, 10), (2, "p", 5, 12), (3, "p", 11, 20), (4, "p", 50, 60)], schema)
+    accepted, refused = accept_in_order(batch, None, ["id"], [("overlap", "place", "s", "e")], barred=F.col("id").isin(1, 3, 4))
+    assert [r.id for r in accepted.collect()] == [2]  # 1 stands in nobody's way
+    assert [(r.id, r.rule) for r in refused.collect()] == [(3, "overlap")]
+
+
 def test_cover():
     rnd = random.Random(2)
     for _ in range(300):

@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import random
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wardline.operators import hierarchy
 from wardline.plans.rules import declared_constraints, trigger_rules
+from wardline.sources.schemas import SCHEMAS
 from wardline.streaming.gate import gate_batch, run_gate
 
 
@@ -118,19 +128,116 @@ def test_gate_within_batch_keeps_the_first(spark, hospital):
     assert _rules(rejected) == {("21", "T3_place_overlap")}
 
 
-def test_gate_does_not_swallow_read_errors(spark, hospital, tmp_path):
-    import pytest
+@pytest.mark.parametrize("fault", ["no parquet", "another schema"])
+def test_gate_does_not_swallow_read_errors(spark, hospital, tmp_path, fault):
+    """What batch 0 accepted is damaged before batch 1 reads it: the stream ends with an error and accepts nothing."""
+    events = hospital["procedure_event"]
+    src, out, ckpt = str(tmp_path / "in"), tmp_path / "out", str(tmp_path / "c")
+    current = dict(hospital, procedure_event=events.limit(0))
 
-    out = tmp_path / "out"
-    (out / "accepted" / "batch_id=0").mkdir(parents=True)
-    (out / "accepted" / "batch_id=0" / "part-0.parquet").write_text("no parquet")
-    src = tmp_path / "in"
-    hospital["procedure_event"].filter("procedure_event_id = 6").coalesce(1).write.parquet(str(src))
-    current = dict(hospital, procedure_event=hospital["procedure_event"].limit(0))
-    q = run_gate(spark, "procedure_event", str(src), current, str(out), checkpoint_location=str(tmp_path / "c"))
-    with pytest.raises(Exception):  # noqa: B017 - the stream's own error
+    def deliver(where):
+        events.filter(where).coalesce(1).write.mode("append").parquet(src)
+        q = run_gate(spark, "procedure_event", src, current, str(out), checkpoint_location=ckpt)
         q.awaitTermination(300)
 
+    deliver("procedure_event_id = 6")
+    held = out / "accepted" / "batch_id=0"
+    assert spark.read.parquet(str(held)).count() == 1
+    for f in held.glob("*.parquet"):
+        if fault == "no parquet":
+            f.write_text(fault)
+        else:
+            pq.write_table(pa.table({"procedure_event_id": ["six"], "place_id": ["one"]}), f)
+        crc = f.parent / f".{f.name}.crc"
+        if crc.exists():
+            crc.unlink()
+    with pytest.raises(StreamingQueryException):
+        deliver("procedure_event_id = 1")
+    assert not (out / "accepted" / "batch_id=1").exists()
+
+
+def test_gate_admits_one_by_one(spark, hospital):
+    """A row that clashes only with a refused row is accepted; the order is that of the keys."""
+    day = lambda h: dt.datetime(2031, 1, 1, h)
+    chief, other = "00000000002", "00000000003"
+    rows = [
+        (20, 1, "PC1", 1, chief, day(9), day(11), 120),
+        (21, 1, "PC1", 1, other, day(10), day(12), 120),  # overlaps 20
+        (22, 1, "PC1", 1, chief, day(11), day(13), 120),  # overlaps 21 only
+        (23, 1, "PC1", 1, "99999999999", day(14), day(16), 120),  # no such doctor
+        (24, 1, "PC1", 1, other, day(15), day(17), 120),  # overlaps 23 only
+        (24, 1, "PC1", 1, other, day(18), day(19), 60),  # the key of an accepted row
+        (21, 1, "PC1", 1, other, day(20), day(21), 60),  # the key of a refused row
+    ]
+    batch = spark.createDataFrame(rows, _nullable(SCHEMAS["procedure_event"]))
+    accepted, rejected = gate_batch(batch, "procedure_event", hospital)
+    assert {(r.procedure_event_id, r.start_ts.hour) for r in accepted.collect()} == {(20, 9), (21, 20), (22, 11), (24, 15)}
+    found = _rules(rejected)
+    assert {("21", "T3_place_overlap"), ("24", "primary_key")} <= found
+    assert any(key == "23" and rule.startswith("foreign_key(chief") for key, rule in found)
+    assert not {"20", "22"} & {key for key, _ in found}
+
+
+def test_gate_participants_one_by_one(spark, hospital):
+    """The second of two participations at the same time goes, the third, after the refused one, stays."""
+    day = lambda h: dt.datetime(2032, 1, 1, h)
+    new = [(31, 1, "PC1", 1, "00000000002", day(9), day(11), 120), (32, 1, "PC1", 2, "00000000003", day(10), day(12), 120),
+           (33, 1, "PC1", 1, "00000000002", day(11), day(13), 120)]
+    events = hospital["procedure_event"].unionByName(spark.createDataFrame(new, SCHEMAS["procedure_event"]))
+    batch = spark.createDataFrame([(31, "00000000005"), (32, "00000000005"), (33, "00000000005")], SCHEMAS["procedure_participant"])
+    accepted, rejected = gate_batch(batch, "procedure_participant", dict(hospital, procedure_event=events))
+    assert sorted(r.procedure_event_id for r in accepted.collect()) == [31, 33]
+    assert _rules(rejected) == {("32|00000000005", "T5a_participant_overlap")}
+
+
+def _climb(rows, stored):
+    up = dict(stored) | dict(rows)
+    out = set()
+    for v, _ in rows:
+        seen, at = set(), v
+        while at is not None and at not in seen:
+            seen.add(at)
+            at = up.get(at)
+        if at is not None:
+            out.add(v)
+    return out
+
+
+@pytest.mark.parametrize("pushed", [1000, 2])
+def test_cycles_are_climbed_from_the_batch(spark, monkeypatch, pushed):
+    monkeypatch.setattr(hierarchy, "PUSHED", pushed)
+    rnd = random.Random(pushed)
+    schema = "v int, p int"
+    for n in (12, 40):
+        stored = [(v, rnd.choice([None, *range(60)])) for v in range(n)]
+        rows = [(v, rnd.choice([None, *range(60)])) for v in range(n - 4, n + 8)]
+        got = hierarchy.cycles_through(spark.createDataFrame(rows, schema), spark.createDataFrame(stored, schema), "v", "p")
+        assert {r.v for r in got.collect()} == _climb(rows, stored)
+    long = [(v, v + 1) for v in range(20)] + [(20, 5)]  # a tail into a cycle of sixteen
+    rows = spark.createDataFrame([(100, 0), (101, 300), (3, 4)], schema)
+    assert {r.v for r in hierarchy.cycles_through(rows, spark.createDataFrame(long, schema), "v", "p").collect()} == {100, 3}
+
+
+def test_climbing_reads_what_it_reaches(spark, tmp_path):
+    """Of a large sorted table only the row groups with the reached keys are read: a filter on a list of keys goes into every scan."""
+    table = spark.range(200_000).select(F.col("id").alias("v"), F.when(F.col("id") > 0, F.floor(F.col("id") / 20)).alias("p")).repartitionByRange(50, "v").sortWithinPartitions("v")
+    table.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    lists = []
+    batch = spark.createDataFrame([(300_000, 199_999), (300_001, 300_000)], "v long, p long")
+    isin = Column.isin
+
+    def noted(self, *keys):
+        lists.append(len(keys[0]))
+        return isin(self, *keys)
+
+    Column.isin = noted
+    try:
+        assert hierarchy.cycles_through(batch, stored, "v", "p").count() == 0
+    finally:
+        Column.isin = isin
+    assert len(lists) <= 8 and all(n <= 2 for n in lists)  # rounds by depth, keys by the batch
+
 
 def test_gate_batch_rejects_duplicate_key(spark, hospital):
     events = hospital["procedure_event"]

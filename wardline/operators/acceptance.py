@@ -115,8 +115,11 @@ def _cut(claims: DataFrame) -> DataFrame:
     firsts = materialise(rows.groupBy("space", "key", PART).agg(F.min("s").alias("first")))
     order = Window.partitionBy("space", "key").orderBy(PART)
     ends = firsts.withColumn("next", F.lead("first").over(order)).where(F.col("next").isNotNull()).drop("first")
-    # keys that are cut, and of them the claims that reach over the next cut
-    over = rows.join(materialise(ends), ["space", "key", PART]).where(F.col("e") > F.col("next")).drop("next")
+    ends = materialise(ends)
+    if ends.isEmpty():  # no key is cut
+        return rows
+    # the claims that reach over their key's next cut
+    over = rows.join(ends, ["space", "key", PART]).where(F.col("e") > F.col("next")).drop("next")
     later = firsts.select("space", "key", F.col(PART).alias("__to"), "first")
     copies = over.join(later, ["space", "key"]).where((F.col("__to") > F.col(PART)) & (F.col("e") > F.col("first")))
     return rows.unionByName(copies.withColumn(PART, F.col("__to")).select(*rows.columns))
@@ -125,20 +128,25 @@ def _cut(claims: DataFrame) -> DataFrame:
 def refused_claims(claims: DataFrame) -> DataFrame:
     """``row, rule``: the claims by which rows are refused, when rows are admitted one by one in the order of ``row``.
 
+    A claim that is ``barred`` (an optional boolean column) belongs to a row that is refused for
+    another reason: it stands in nobody's way, but what it meets is told.
     ``claims`` has ``row`` (long, the place of arrival; null for claims of stored rows),
     ``space`` (the rule's name), ``key`` (string), ``s`` and ``e`` (long): two claims meet when
     space and key are equal and ``a.s < b.e AND a.e > b.s``.  Claims with a null key, start or end, or an end
     before the start, meet nothing.  A row may have several claims; rows that aren't returned are accepted.
     """
     usable = F.col("key").isNotNull() & (F.col("s") <= F.col("e"))
-    claims = materialise(claims.where(usable).select("row", "space", "key", "s", "e"))
+    barred = F.coalesce("barred", F.lit(False)) if "barred" in claims.columns else F.lit(False)
+    claims = materialise(claims.where(usable).select("row", "space", "key", "s", "e", barred.alias("barred")))
     # a claim that is alone on its key can't be met
     groups = claims.groupBy("space", "key").agg(F.count(F.lit(1)).alias("n"), F.count("row").alias("fresh"))
     crowded = materialise(groups.where((F.col("n") > 1) & (F.col("fresh") > 0)).select("space", "key"))
+    if crowded.isEmpty():
+        return claims.select("row", F.col("space").alias("rule")).limit(0)
     pieces = materialise(_cut(claims.join(crowded, ["space", "key"], "left_semi")))
     counts = pieces.where(F.col("row").isNotNull()).groupBy("row").agg((F.count(F.lit(1)) == 1).alias("sole"))
     pieces = materialise(pieces.join(counts, "row", "left").withColumn("known", F.col("row").isNull()))
-    pending, decided = pieces, []
+    pending, decided = pieces.where(~F.col("barred")), []
     while True:
         verdicts = _scanned(pending).mapInArrow(_decide, "row long, verdict int")
         verdicts = materialise(verdicts.groupBy("row").agg(F.min("verdict").alias("verdict")))
@@ -156,18 +164,19 @@ def refused_claims(claims: DataFrame) -> DataFrame:
     return materialise(_scanned(final).mapInArrow(_refusals, "row long, rule string").distinct())
 
 
-def _claims(df: DataFrame, row: Column, intervals: Sequence[tuple[str, str, str, str]], values: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+def _claims(
+    df: DataFrame, row: Column, intervals: Sequence[tuple[str, str, str, str]], values: Sequence[tuple[str, Sequence[str]]], barred: Column
+) -> DataFrame:
     types = dict(df.dtypes)
     time = lambda c: epoch_micros(c) if types[c].startswith(("timestamp", "date")) else F.col(c).cast("long")
-    text = lambda c: F.col(c) if isinstance(c, str) else c
     out = [F.struct(F.lit(rule).alias("space"), F.col(key).cast("string").alias("key"), time(s).alias("s"), time(e).alias("e")) for rule, key, s, e in intervals]
     for rule, cols in values:
         known = F.lit(True)
         for c in cols:
-            known = known & text(c).isNotNull()
-        key = F.when(known, F.to_json(F.struct(*(text(c).alias(f"k{i}") for i, c in enumerate(cols)))))
+            known = known & F.col(c).isNotNull()
+        key = F.when(known, F.to_json(F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(cols)))))
         out.append(F.struct(F.lit(rule).alias("space"), key.alias("key"), F.lit(0).cast("long").alias("s"), F.lit(1).cast("long").alias("e")))
-    return df.select(row.alias("row"), F.explode(F.array(*out)).alias("c")).select("row", "c.*")
+    return df.select(row.alias("row"), barred.alias("barred"), F.explode(F.array(*out)).alias("c")).select("row", "c.*", "barred")
 
 
 def accept_in_order(
@@ -176,6 +185,7 @@ def accept_in_order(
     order: Sequence[str],
     intervals: Sequence[tuple[str, str, str, str]] = (),
     values: Sequence[tuple[str, Sequence[str]]] = (),
+    barred: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(accepted, refused)`` rows of ``batch`` when they are admitted one by one in ``order``.
 
@@ -183,17 +193,20 @@ def accept_in_order(
     admitted rows of a key may overlap.  ``values`` lists (rule, columns): no two
     may agree in all of them (a null agrees with nothing).  ``stored`` rows are
     admitted already; they may have been inconsistent.  ``refused`` has the
-    batch's columns and ``rule``, one row per rule that refuses the row.  Ties
+    batch's columns and ``rule``, one row per rule that refuses the row.  Rows that
+    are ``barred`` (for a reason outside) are in ``refused`` if they meet
+    something, and not in ``accepted``; they stand in nobody's way.  Ties
     in ``order`` are broken by the other columns; of wholly equal rows any is first.
 
     Stored rows are narrowed to the batch's keys and times before anything else.
     """
     cols = batch.columns
     numbered = materialise(assign_ids(batch, [*order, *(c for c in cols if c not in order)], id_col=ROW))
-    claims = _claims(numbered, F.col(ROW), intervals, values)
+    out = F.coalesce(barred, F.lit(False)) if barred is not None else F.lit(False)
+    claims = _claims(numbered, F.col(ROW), intervals, values, out)
     if stored is not None:
         asked = materialise(claims.groupBy("space", "key").agg(F.min("s").alias("__from"), F.max("e").alias("__to")))
-        old = _claims(stored, F.lit(None).cast("long"), intervals, values).join(asked, ["space", "key"])
+        old = _claims(stored, F.lit(None).cast("long"), intervals, values, F.lit(False)).join(asked, ["space", "key"])
         claims = claims.unionByName(old.where((F.col("s") < F.col("__to")) & (F.col("e") > F.col("__from"))).drop("__from", "__to"))
     refused = refused_claims(claims).withColumnRenamed("row", ROW)
-    return numbered.join(refused, ROW, "left_anti").select(*cols), numbered.join(refused, ROW).select(*cols, "rule")
+    return numbered.where(~out).join(refused, ROW, "left_anti").select(*cols), numbered.join(refused, ROW).select(*cols, "rule")

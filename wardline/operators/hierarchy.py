@@ -87,6 +87,41 @@ def ancestors(
     return closure
 
 
+PUSHED = 1000  # keys that go into the scan as a list, at most; more are joined
+
+
+def cycles_through(rows: DataFrame, stored: DataFrame, node: str, parent: str) -> DataFrame:
+    """Keys (column ``node``) of ``rows`` whose chain of parents never ends, climbing from these rows only.
+
+    The chain runs through ``rows`` and ``stored``; of several parents of a node
+    the smallest counts, and one in ``rows`` before one in ``stored``.  Each
+    round looks up the parents of the nodes just reached, all chains at once;
+    up to ``PUSHED`` of them go into the scan of ``stored`` as a list, so of
+    files sorted by ``node`` only the row groups that hold them are read.  A
+    chain that meets a node it stood on before (Brent's mark, which moves up at every
+    power of two) never ends; so the rounds follow the depth, not the table.
+    """
+    edge = lambda df: df.select(F.col(node).alias("at"), F.col(parent).alias("up")).where("at is not null")
+    mine = materialise(edge(rows).groupBy("at").agg(F.min("up").alias("up")))
+    chains = materialise(mine.where("up is not null").select(F.col("at").alias("start"), F.col("at").alias("mark"), F.col("up").alias("at")))
+    endless, steps, power = rows.select(F.col(node).alias("start")).limit(0), 1, 1
+    while not chains.isEmpty():
+        met = materialise(chains.where("at = mark").select("start"))
+        endless = endless.unionByName(met)
+        chains = chains.join(met, "start", "left_anti")
+        if steps == power:
+            chains, steps, power = chains.withColumn("mark", F.col("at")), 0, 2 * power
+        reached = materialise(chains.select("at").distinct())
+        some = [r[0] for r in reached.limit(PUSHED + 1).collect()]
+        old = edge(stored)
+        old = old.where(F.col("at").isin(some)) if len(some) <= PUSHED else old.join(reached, "at", "left_semi")
+        old = old.join(mine, "at", "left_anti").groupBy("at").agg(F.min("up").alias("up"))
+        above = mine.join(reached, "at", "left_semi").unionByName(old).where("up is not null")
+        chains = materialise(chains.join(above, "at").select("start", "mark", F.col("up").alias("at")))
+        steps += 1
+    return endless.select(F.col("start").alias(node))
+
+
 def find_cycles(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """Nodes whose parent chain never reaches a root, i.e. that lie on a cycle or lead into one.
 

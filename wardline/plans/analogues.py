@@ -687,43 +687,48 @@ def ingest_gate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 on the test tables: events arrive as a stream in two micro-batches, with others stored already.
 
     Purchases and signups are stored; views and clicks arrive first, the rest
-    after them.  Rules: an event overlapping a stored or accepted event of the same
-    user, or one of its own batch with a smaller id (30-minute intervals), and
-    an event of a user who is not a customer.  The result is the rejected
-    rows, one per failing rule.
+    after them.  Events are admitted one by one in the order of their id: one that
+    overlaps a stored or admitted event of the same user (30-minute intervals) is
+    refused, as is one of a user who is not a customer.  What users have
+    occupied is the stream's keyed state.  The result is the rejected rows,
+    one per failing rule.
     """
     import uuid
 
     from wardline.session import ensure_checkpoint_dir
-    from wardline.streaming.gate import overlapping, run_stream_gate, split_batch
+    from wardline.streaming.keyed import admitted, run_keyed_gate
 
     t = _t(spark, sf_dir)
     run = f"{ensure_checkpoint_dir(spark)}/ingest-gate-{uuid.uuid4().hex}"
     events, customers = t["events"], t["customer"].select("c_custkey")
-    kind = F.col("event_type")
-    stored = events.filter(kind.isin(*GATE_STORED))
-
-    def overlaps(rows: DataFrame, so_far: DataFrame) -> DataFrame:
-        hit = overlapping(_half_hours(rows), _half_hours(so_far), "user_id", ["event_id"], "event_id", "start_ts", "end_ts")
-        return hit.withColumn("rule", F.lit("overlaps"))
-
-    def unknown_user(rows: DataFrame, so_far: DataFrame) -> DataFrame:
-        return rows.join(customers, rows.user_id == customers.c_custkey, "left_anti").select("event_id", F.lit("unknown_user").alias("rule"))
-
-    def gate(batch: DataFrame, so_far: DataFrame):
-        return split_batch(batch, so_far, ["event_id"], [overlaps, unknown_user])
+    kind, end = F.col("event_type"), F.col("ts") + F.expr("INTERVAL 30 MINUTES")
+    stored = events.filter(kind.isin(*GATE_STORED)).withColumn("end_ts", end)
+    unknown = F.col("user_id").isNotNull() & F.col("c_custkey").isNull()
 
     # two deliveries into one folder, each taken up by the next run of the stream
     for sent in (kind.isin(*GATE_FIRST), ~kind.isin(*GATE_STORED, *GATE_FIRST) | kind.isNull()):
         events.filter(sent).write.mode("append").parquet(f"{run}/in")
-        source = spark.readStream.schema(events.schema).parquet(f"{run}/in")
-        q = run_stream_gate(spark, source, stored, gate, f"{run}/out", checkpoint_location=f"{run}/checkpoint")
+        source = spark.readStream.schema(events.schema).parquet(f"{run}/in").withColumn("end_ts", end)
+        source = source.join(customers, F.col("user_id") == F.col("c_custkey"), "left")
+        checked = admitted(source, stored, "user_id", "event_id", "ts", "end_ts", static={"unknown_user": unknown}, cell_seconds=30 * 86_400)
+        q = run_keyed_gate(checked, f"{run}/out", checkpoint_location=f"{run}/checkpoint", key=["event_id"])
         q.awaitTermination()  # availableNow: ends when what has arrived is done
         if q.exception() is not None:
             raise q.exception()
     return spark.read.parquet(f"{run}/out/rejected").select("event_id", "rule")
 
 
+def accept_in_order_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3-T5's shape as a trigger sees it: events admitted one by one by id, none overlapping an admitted one of its user (6 hours)."""
+    from wardline.operators.acceptance import accept_in_order
+
+    t = _t(spark, sf_dir)
+    events = t["events"].select("event_id", "user_id", "ts", (F.col("ts") + F.expr("INTERVAL 6 HOURS")).alias("end_ts"))
+    accepted, refused = accept_in_order(events, None, ["event_id"], [("overlaps", "user_id", "ts", "end_ts")])
+    out = accepted.select("event_id", "user_id", F.lit(None).cast("string").alias("rule"))
+    return out.unionByName(refused.select("event_id", "user_id", "rule"))
+
+
 def role_conflict_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7's shape: line items whose supplier key equals their own order's customer key (lead listed as member)."""
     from wardline.plans.rules import role_conflicts
@@ -802,6 +807,7 @@ QUERIES: dict[str, Query] = {
     "busy_chief": busy_chief_q,
     "supervision_checks": supervision_checks_q,
     "ingest_gate": ingest_gate_q,
+    "accept_in_order": accept_in_order_q,
     "role_conflict": role_conflict_q,
     "forbidden_member": forbidden_member_q,
 }

@@ -470,17 +470,28 @@ WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = a.key AND o.o_orderkey
 """
 
 # the first delivery (views, clicks) meets the stored rows; the second meets those and what the first left accepted
+# one event after the other: a step looks at the user's next event and the list of what the user has occupied
 ORACLE_SQL["ingest_gate"] = """
-WITH iv AS (SELECT event_id AS id, user_id AS u, ts AS s, ts + INTERVAL 30 MINUTE AS e,
+WITH RECURSIVE iv AS (SELECT event_id AS id, user_id AS u, ts AS s, ts + INTERVAL 30 MINUTE AS e, user_id NOT IN (SELECT c_custkey FROM customer) AS unknown,
                    CASE WHEN event_type IN ('purchase', 'signup') THEN 0 WHEN event_type IN ('view', 'click') THEN 1 ELSE 2 END AS d FROM events),
-unknown AS (SELECT id, 'unknown_user' AS rule FROM iv WHERE d > 0 AND u NOT IN (SELECT c_custkey FROM customer)),
-hit_1 AS (SELECT id, 'overlaps' AS rule FROM iv a WHERE d = 1 AND EXISTS (
-    SELECT 1 FROM iv b WHERE b.u = a.u AND b.s < a.e AND b.e > a.s AND (b.d = 0 OR (b.d = 1 AND b.id < a.id)))),
-there AS (SELECT * FROM iv WHERE d = 0 OR (d = 1 AND id NOT IN (SELECT id FROM hit_1 UNION ALL SELECT id FROM unknown))),
-hit_2 AS (SELECT id, 'overlaps' AS rule FROM iv a WHERE d = 2 AND (
-    EXISTS (SELECT 1 FROM there b WHERE b.u = a.u AND b.s < a.e AND b.e > a.s)
-    OR EXISTS (SELECT 1 FROM iv b WHERE b.d = 2 AND b.u = a.u AND b.s < a.e AND b.e > a.s AND b.id < a.id)))
-SELECT id AS event_id, rule FROM (FROM unknown UNION ALL FROM hit_1 UNION ALL FROM hit_2)
+todo AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY d, id) AS k FROM iv WHERE d > 0),
+walk(u, k, id, hit, held) AS (
+    SELECT u, 0::BIGINT, NULL::BIGINT, false, coalesce(list({'s': s, 'e': e}) FILTER (WHERE d = 0), []) FROM iv GROUP BY u
+    UNION ALL
+    SELECT u, k, id, hit, CASE WHEN hit OR unknown THEN held ELSE list_append(held, {'s': s, 'e': e}) END FROM (
+        SELECT t.*, w.held, len(list_filter(w.held, lambda h: h.s < t.e AND h.e > t.s)) > 0 AS hit FROM walk w JOIN todo t ON t.u = w.u AND t.k = w.k + 1))
+SELECT id AS event_id, 'overlaps' AS rule FROM walk WHERE hit
+UNION ALL SELECT id, 'unknown_user' FROM todo WHERE unknown
+"""
+
+ORACLE_SQL["accept_in_order"] = """
+WITH RECURSIVE todo AS (SELECT event_id AS id, user_id AS u, ts AS s, ts + INTERVAL 6 HOUR AS e, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+walk(u, k, id, hit, held) AS (
+    SELECT DISTINCT u, 0::BIGINT, NULL::BIGINT, false, [{'s': NULL::TIMESTAMP, 'e': NULL::TIMESTAMP}] FROM todo
+    UNION ALL
+    SELECT u, k, id, hit, CASE WHEN hit THEN held ELSE list_append(held, {'s': s, 'e': e}) END FROM (
+        SELECT t.*, w.held, len(list_filter(w.held, lambda h: h.s < t.e AND h.e > t.s)) > 0 AS hit FROM walk w JOIN todo t ON t.u = w.u AND t.k = w.k + 1))
+SELECT id AS event_id, u AS user_id, CASE WHEN hit THEN 'overlaps' END AS rule FROM walk WHERE id IS NOT NULL
 """
 
 ORACLE_SQL["role_conflict"] = """

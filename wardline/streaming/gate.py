@@ -6,10 +6,12 @@ files); every micro-batch is checked in ``foreachBatch`` against the stored
 tables plus everything accepted by earlier batches, and split into accepted
 and rejected rows.  All failing rules of a row are reported at once.
 
-Semantics: a batch row is rejected when any rule fires for it against a stored
-row, whatever the two keys are, or against a batch row with a smaller key.
-Unlike a row-at-a-time trigger, a row that conflicts only with another rejected
-row of the same batch is rejected too (the check is set-based and order-free).
+Semantics: the rows of a batch are admitted one by one in the order of their
+key, as a trigger would see them.  A row is rejected when a rule fires for it
+against a stored row, whatever the two keys are, or against an accepted row of
+the batch before it (``wardline.operators.acceptance``); a row that conflicts only with a
+rejected row is accepted.  Rules on the row itself and on other tables don't
+depend on the order; rows of a batch that share a primary key are judged together by them.
 
 Idempotence: each batch writes ``accepted/batch_id=N`` and
 ``rejected/batch_id=N`` with overwrite, and reads prior acceptances only from
@@ -27,7 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from wardline.operators.audit import AUDIT_COLUMNS, audit_foreign_key, audit_primary_key, audit_rows, key_text, union_all
+from wardline.operators.acceptance import accept_in_order
+from wardline.operators.audit import AUDIT_COLUMNS, audit_foreign_key, audit_rows, key_text, union_all
+from wardline.operators.hierarchy import cycles_through
 from wardline.operators.maintain import assign_ids
 from wardline.operators.relate import overlap_pairs, overlapped_by
 from wardline.plans.rules import (
@@ -36,7 +40,6 @@ from wardline.plans.rules import (
     busy_chief_rows,
     chief_is_participant,
     place_type_mismatches,
-    supervision_cycles,
     supervision_rules,
 )
 from wardline.session import ensure_checkpoint_dir, materialise
@@ -54,6 +57,7 @@ from wardline.sources.schemas import (
 )
 
 Tables = Mapping[str, DataFrame]
+NUMBER, BARRED = "__wl_number", "__wl_barred"
 
 Rule = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -130,31 +134,24 @@ def _keyed(rows: DataFrame, pk: Sequence[str], rule: str, table: str, detail: st
     return rows.select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), key_text(pk).alias("key_value"), F.lit(detail).alias("detail"))
 
 
-def _conflicts(batch: DataFrame, stored: DataFrame, table: str, current: Tables) -> list[DataFrame]:
-    """Trigger rules of ``table`` that look at other rows of the same kind, as findings on batch rows."""
+def _trigger_findings(batch: DataFrame, stored: DataFrame, table: str, current: Tables) -> list[DataFrame]:
+    """Trigger rules of ``table`` whose answer doesn't depend on which rows of the batch are accepted, as findings on batch rows."""
     pk = list(PRIMARY_KEYS[table])
     if table == "doctor":
-        view = dict(current, doctor=stored.unionByName(batch))  # a cycle may run through any stored row
-        return [supervision_rules(dict(current, doctor=batch)), supervision_cycles(view)]
+        cycles = cycles_through(batch, stored, "amka", "supervisor_amka")
+        return [supervision_rules(dict(current, doctor=batch)), _keyed(cycles, pk, "T1d_supervision_cycle", table, "the chain of supervisors never ends")]
     if table == "prescription":
         return [allergy_conflicts(dict(current, prescription=batch))]
     if table == "procedure_event":
-        key = "procedure_event_id"
-        out = [place_type_mismatches(dict(current, procedure_event=batch))]
-        for col, rule in (("place_id", "T3_place_overlap"), ("chief_surgeon_amka", "T4_chief_overlap")):
-            out.append(_keyed(overlapping(batch, stored, col, pk, key, "start_ts", "end_ts"), pk, rule, table, f"overlap on {col}"))
-        return out
+        return [place_type_mismatches(dict(current, procedure_event=batch))]
     if table == "procedure_participant":
         events = current["procedure_event"]
         person, event = "personnel_amka", "procedure_event_id"
-        times = events.select(event, "start_ts", "end_ts")
-        mine = materialise(batch.select(*pk).join(times, event))
+        mine = materialise(batch.select(*pk).join(events.select(event, "start_ts", "end_ts"), event))
         people = mine.select(person).distinct()
-        others = stored.select(*pk).join(people, person, "left_semi").join(times, event)
         view = dict(current, procedure_participant=batch)
         chiefs = events.select(event, F.col("chief_surgeon_amka").alias(person), "start_ts", "end_ts").join(people, person, "left_semi")
         return [
-            _keyed(overlapping(mine, others, person, pk, event, "start_ts", "end_ts"), pk, "T5a_participant_overlap", table, "overlap of the same person"),
             _keyed(busy_chief_rows(mine, chiefs, person, event, "start_ts", "end_ts"), pk, "T5b_participant_is_busy_chief", table, "chief of an overlapping procedure"),
             chief_is_participant(view),
             admin_participants(view),
@@ -162,6 +159,21 @@ def _conflicts(batch: DataFrame, stored: DataFrame, table: str, current: Tables)
     return []
 
 
+# Trigger rules by which rows of one table exclude each other: rule, key, start, end.
+EXCLUSIONS = {
+    "procedure_event": [("T3_place_overlap", "place_id", "start_ts", "end_ts"), ("T4_chief_overlap", "chief_surgeon_amka", "start_ts", "end_ts")],
+    "procedure_participant": [("T5a_participant_overlap", "personnel_amka", "start_ts", "end_ts")],
+}
+
+
+def _timed(rows: DataFrame, table: str, current: Tables) -> DataFrame:
+    """Rows with the times that their exclusions are about: a participant's are those of the procedure."""
+    if table != "procedure_participant":
+        return rows
+    times = current["procedure_event"].select("procedure_event_id", "start_ts", "end_ts")
+    return rows.join(times, "procedure_event_id", "left")
+
+
 def gate_batch(
     batch: DataFrame, table: str, current: Tables, *, top_id: int | None = None, upsert: bool = False, collation: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -173,38 +185,47 @@ def gate_batch(
     missing generated keys are filled in first, as an insert would.  With
     ``upsert`` a row whose key is stored is a change of that row: it is compared
     with all other stored rows, not with its old self.  ``collation`` makes
-    unique text compare as in a case- and accent-insensitive database.
+    unique text compare as in a case- and accent-insensitive database (a value
+    that an earlier row of the batch has is then taken, accepted or not).
 
     Stored and parent tables are narrowed to the batch's keys by semi joins
-    before any rule sees them; the supervision rule alone reads the doctor
-    table whole, since a cycle may run through any stored row.
+    before any rule sees them.
     """
     pk = list(PRIMARY_KEYS[table])
     batch = fill_generated_keys(with_defaults(batch, table), table, current[table], top=top_id)
-    batch = materialise(batch.select(*current[table].columns))
-    stored = current[table].join(batch.select(*pk).distinct(), pk, "left_anti") if upsert else current[table]
-    frames = [audit_primary_key(batch, table, pk)]
-    if not upsert:
-        old = batch.join(stored.select(*pk), pk, "left_semi")
-        frames.append(_keyed(old.select(*pk).distinct(), pk, "primary_key", table, "key is stored"))
-    for t, cols in UNIQUES:
-        if t == table:
-            frames.append(_keyed(repeated_value(batch, stored, pk, cols, collation), pk, f"unique({','.join(cols)})", table, "value is taken"))
-    frames.append(audit_rows(batch, table, pk, not_null=not_null_columns(table), checks=CHECKS.get(table, {}),
-                             lengths=length_limits(table), decimals=decimal_columns(table)))
+    batch = materialise(batch.select(*current[table].columns).withColumn(NUMBER, F.monotonically_increasing_id()))
+    rows = batch.drop(NUMBER)
+    stored = current[table].join(rows.select(*pk).distinct(), pk, "left_anti") if upsert else current[table]
+    uniques = [list(cols) for t, cols in UNIQUES if t == table]
+
+    # rules that don't depend on the order: on the row itself by its number, on other tables by its key
+    frames = [audit_rows(batch, table, [NUMBER], not_null=[*not_null_columns(table), *pk], checks=CHECKS.get(table, {}),
+                         lengths=length_limits(table), decimals=decimal_columns(table))]
     for fk in FOREIGN_KEYS:
         if fk.child == table and fk.parent in current:
-            parent = stored.unionByName(batch) if fk.parent == table else current[fk.parent]
-            wanted = batch.select(*[F.col(c).alias(p) for c, p in zip(fk.cols, fk.parent_cols)]).distinct()
+            parent = stored.unionByName(rows) if fk.parent == table else current[fk.parent]
+            wanted = rows.select(*[F.col(c).alias(p) for c, p in zip(fk.cols, fk.parent_cols)]).distinct()
             parent = parent.select(*fk.parent_cols).join(wanted, list(fk.parent_cols), "left_semi")
-            frames.append(audit_foreign_key(batch, table, pk, list(fk.cols), parent, list(fk.parent_cols),
+            frames.append(audit_foreign_key(batch, table, [NUMBER], list(fk.cols), parent, list(fk.parent_cols),
                                             rule=f"foreign_key({','.join(fk.cols)})->{fk.parent}"))
-    frames += _conflicts(batch, stored, table, current)
-    keys = batch.select(key_text(pk).alias("key_value")).distinct()
-    rejected = materialise(union_all(frames).join(keys, "key_value", "left_semi").select(*AUDIT_COLUMNS))
-    bad = rejected.select("key_value").distinct()
-    accepted = batch.withColumn("__k", key_text(pk)).join(bad, F.col("__k") == bad["key_value"], "left_anti").drop("__k")
-    return accepted, rejected
+    keyed = _trigger_findings(rows, stored, table, current)
+    if collation:
+        keyed += [_keyed(repeated_value(rows, stored, pk, c, collation), pk, f"unique({','.join(c)})", table, "value is taken") for c in uniques]
+    numbers = batch.select(F.col(NUMBER).cast("string").alias("__number"), key_text(pk).alias("__key"))
+    found = [f.join(numbers, f["key_value"] == numbers["__number"]) for f in frames]
+    found += [f.join(numbers, f["key_value"] == numbers["__key"]) for f in keyed]
+    found = materialise(union_all([f.select("__number", "rule", "detail") for f in found]).distinct())
+
+    # rules between rows of the table: one by one, in the order of the key
+    values = [("primary_key", pk)] + ([] if collation else [(f"unique({','.join(c)})", c) for c in uniques])
+    bad = found.select(F.col("__number").cast("long").alias(NUMBER)).distinct().withColumn(BARRED, F.lit(True))
+    asked = _timed(batch.join(bad, NUMBER, "left"), table, current)
+    held = _timed(stored, table, current)
+    accepted, refused = accept_in_order(asked, held, pk, EXCLUSIONS.get(table, ()), values, barred=F.col(BARRED))
+    detail = F.when(F.col("rule") == "primary_key", "key is taken").when(F.col("rule").startswith("unique"), "value is taken").otherwise("overlap")
+    late = refused.select(F.col(NUMBER).cast("string").alias("__number"), "rule", detail.alias("detail"))
+    rejected = found.unionByName(late).join(numbers, "__number").select("rule", F.lit(table).alias("table_name"), F.col("__key").alias("key_value"), "detail")
+    return accepted.select(*rows.columns), materialise(rejected.select(*AUDIT_COLUMNS))
 
 
 def run_stream_gate(
