@@ -5,16 +5,20 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from tests.hospital_fixture import ROWS
 from wardline.functions.calendar import in_week, minutes_between
 from wardline.functions.numeric import dialect_avg, greatest_strict, ratio, scaled_half_up
+from wardline.operators import audit as A
 from wardline.operators.hierarchy import CycleFound, ancestors, find_cycles
 from wardline.operators.joins import interval_join, self_pairs
-from wardline.operators.maintain import assign_ids, propagate_delete, propagate_key_change
+from wardline.operators.maintain import ForeignKey, assign_ids, propagate_delete, propagate_key_change
 from wardline.operators.relate import (
     consecutive_equal,
     cross_overlap_pairs,
@@ -392,3 +396,55 @@ def test_minutes_between_truncates_like_timestampdiff(spark):
         micros = (r.b - r.a) // dt.timedelta(microseconds=1)
         want = abs(micros) // 60_000_000 * (1 if micros >= 0 else -1)
         assert r.m == want, (r.a, r.b, r.m, want)
+
+
+def test_keys_of_a_table_at_once(spark):
+    """One scan gives what the single audits give: ties, NULL parts, a primary key that is declared unique too."""
+    rnd = random.Random(6)
+    rows = [(rnd.choice([None, *range(40)]), rnd.choice([None, *range(3)]), rnd.choice([None, "x", "y", *map(str, range(60))])) for _ in range(120)]
+    df = spark.createDataFrame(rows, "a int, b int, c string")
+    for primary, uniques in ((["a", "b"], [["c"], ["b", "c"]]), (["a"], [["a"], ["c", "a"]]), (["c"], [])):
+        want = A.audit_primary_key(df, "t", primary)
+        for u in uniques:
+            want = want.unionByName(A.audit_unique(df, "t", u))
+        got = A.audit_keys(df, "t", primary, uniques)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert A.audit_keys(df.limit(0), "t", ["a"], [["c"]]).count() == 0
+
+
+def test_foreign_keys_of_all_tables_at_once(spark):
+    """One anti join gives what one per key gives: composite keys, NULL parts, other types, repeated parents, a parent referred to twice."""
+    rnd = random.Random(7)
+    some = lambda n, top: [(i, rnd.choice([None, *range(top)]), rnd.choice([None, *range(4)])) for i in range(n)]
+    tables = {
+        "p": spark.createDataFrame(some(30, 9), "id int, x int, y int"),
+        "q": spark.createDataFrame(some(20, 30), "id long, x long, y int"),
+        "r": spark.createDataFrame([(i, str(rnd.randrange(40)), None) for i in range(25)], "id int, s string, y int"),
+    }
+    keys = dict.fromkeys(tables, ["id"])
+    fks = [ForeignKey("q", ("x",), "p", ("id",)), ForeignKey("q", ("x", "y"), "p", ("x", "y")), ForeignKey("p", ("x", "y"), "q", ("x", "y")),
+           ForeignKey("p", ("id",), "q", ("id",)), ForeignKey("q", ("id",), "p", ("x",)), ForeignKey("p", ("y",), "p", ("x",)), ForeignKey("q", ("id",), "gone", ("id",))]
+    got = sorted(map(tuple, A.audit_foreign_keys(tables, keys, fks).collect()))
+    want = A.union_all([A.audit_foreign_key(tables[f.child], f.child, "id", f.cols, tables[f.parent], f.parent_cols, rule=f"foreign_key({','.join(f.cols)})->{f.parent}")
+                        for f in fks[:-1]])
+    assert got == sorted(map(tuple, want.collect())) and got
+    texts = A.audit_foreign_keys(tables, keys, [ForeignKey("r", ("s",), "p", ("id",))]).collect()
+    assert {r.key_value for r in texts} == {str(r.id) for r in tables["r"].collect() if int(r.s) >= 30}
+    assert A.audit_foreign_keys(tables, keys, fks, only=["r"]) is None
+
+
+def test_audits_scan_each_table_a_few_times(spark):
+    """Executed plan of the whole catalogue: a scan for keys, one for rows, one as child, one as parent, whatever the number of keys."""
+    df = E.queries()["audit_all"](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = Counter(re.findall(r"Location: .*?/(\w+)\.parquet", plan))
+    assert scans and max(scans.values()) <= 4
+
+
+def test_delete_wave_reads_each_table_once_for_a_result(spark):
+    df = E.queries()["propagate_delete_rows"](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = Counter(re.findall(r"Location: .*?/(\w+)\.parquet", plan))
+    assert {"customer", "supplier", "nation", "region"} <= set(scans) and max(scans.values()) <= 1

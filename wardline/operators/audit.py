@@ -165,6 +165,76 @@ def audit_rows(
     return _shape(found, F.col("__h.rule"), table, F.col("__k"), F.col("__h.detail"))
 
 
+def audit_keys(df: DataFrame, table: str, primary: Sequence[str], uniques: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """The primary key and all unique keys of a table in one scan and one exchange (GROUPING SETS).
+
+    Same rows as ``audit_primary_key`` and ``audit_unique`` together: key values
+    of several rows, rows with a NULL in the primary key, and unique values of
+    several rows (a NULL part exempts a row).
+    """
+    sets = list(dict.fromkeys(tuple(s) for s in (primary, *uniques)))
+    cols = list(dict.fromkeys(c for s in sets for c in s))
+    counts = df.select(*cols).groupingSets(sets, *cols).agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__set"))
+    found = []
+    for key in sets:
+        mine = F.col("__set") == sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in key)
+        null = F.lit(False)
+        for c in key:
+            null = null | F.col(c).isNull()
+        one = lambda rule, detail, key=key: F.struct(F.lit(rule).alias("rule"), key_text(key).alias("key"), detail.alias("detail"))
+        rules = ["primary_key"] * (key == tuple(primary)) + [f"unique({','.join(key)})"] * (key in map(tuple, uniques))
+        many = F.concat(F.lit("rows="), F.col("__n").cast("string"))
+        found.append(F.when(mine & ~null & (F.col("__n") > 1), F.array(*(one(rule, many) for rule in rules))))
+        if key == tuple(primary):  # every row with a NULL part is told
+            found.append(F.when(mine & null, F.array_repeat(one("primary_key", F.lit("null key")), F.col("__n").cast("int"))))
+    hits = counts.select(F.explode(F.flatten(F.array_compact(F.array(*found)))).alias("h"))
+    return _shape(hits, F.col("h.rule"), table, F.col("h.key"), F.col("h.detail"))
+
+
+def audit_foreign_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], fks: Sequence, only: Sequence[str] | None = None) -> DataFrame | None:
+    """All foreign keys of all tables: one scan per child, one per parent, one anti join.
+
+    ``fks`` have ``child, cols, parent, parent_cols``; those between ``tables`` (with a child in
+    ``only``, if given) are checked, ``None`` if there is none.  A child's row becomes a row per
+    key without NULLs (number of the parent's key, value), a parent's row one per key that is
+    referred to; values are compared as the parent's types.  Same rows as ``audit_foreign_key``
+    for each.  The parents' side isn't reduced first: a plain exchange can be split where a value is hot.
+    """
+    fks = [fk for fk in fks if fk.child in tables and fk.parent in tables and (not only or fk.child in only)]
+    if not fks:
+        return None
+    targets = list(dict.fromkeys((fk.parent, tuple(fk.parent_cols)) for fk in fks))
+    number = {t: i for i, t in enumerate(targets)}
+    types = {p: dict(tables[p].dtypes) for p in {fk.parent for fk in fks}}
+
+    def value(cols: Sequence[str], parent: str, pcols: Sequence[str]) -> Column:
+        return F.array(*[F.col(c).try_cast(types[parent][p]).cast("string") for c, p in zip(cols, pcols, strict=True)])
+
+    def known(cols: Sequence[str]) -> Column:
+        out = F.lit(True)
+        for c in cols:
+            out = out & F.col(c).isNotNull()
+        return out
+
+    held = []
+    for parent in dict.fromkeys(fk.parent for fk in fks):
+        mine = [cols for p, cols in targets if p == parent]
+        each = [F.when(known(c), F.struct(F.lit(number[parent, c]).alias("target"), value(c, parent, c).alias("value"))) for c in mine]
+        held.append(tables[parent].select(F.explode(F.array_compact(F.array(*each))).alias("r")).select("r.*"))
+    asked = []
+    for child in dict.fromkeys(fk.child for fk in fks):
+        each = []
+        for fk in (fk for fk in fks if fk.child == child):
+            target = fk.parent, tuple(fk.parent_cols)
+            # several keys between the same tables have one rule name when their columns agree
+            each.append(F.when(known(fk.cols), F.struct(
+                F.lit(number[target]).alias("target"), value(fk.cols, *target).alias("value"),
+                F.lit(f"foreign_key({','.join(fk.cols)})->{fk.parent}").alias("rule"), F.concat(F.lit("missing "), key_text(fk.cols)).alias("detail"))))
+        rows = tables[child].select(key_text(_names(keys[child])).alias("key_value"), F.explode(F.array_compact(F.array(*each))).alias("r"))
+        asked.append(rows.select("r.target", "r.value", "r.rule", F.lit(child).alias("table_name"), "key_value", "r.detail"))
+    return union_all(asked).join(union_all(held), ["target", "value"], "left_anti").select(*AUDIT_COLUMNS)
+
+
 def audit_foreign_key(
     child: DataFrame,
     table: str,

@@ -109,7 +109,10 @@ def propagate_delete(
     * ``removed[t]``: rows of ``t`` deleted directly or by a cascade, found in
       parent-before-child order with one semi join per CASCADE key (several
       cascade paths into one table are OR-ed with left joins to distinct parent
-      keys, so rows are never duplicated or merged);
+      keys, so rows are never duplicated or merged).  The cascade is a wave of
+      deltas: each table's removed keys are written once, with the columns that other keys refer
+      to, and all later levels and the results start from them, so that a
+      table is read once for the wave and once for a result;
     * ``blocked[t]``: rows of ``t`` that reference a removed row through a
       RESTRICT key and are not removed themselves.  Any such row makes the
       whole delete fail in the reference, even when it sits below a cascade;
@@ -123,9 +126,10 @@ def propagate_delete(
     """
     names = list(tables)
     removed: dict[str, DataFrame] = {}
+    delta: dict[str, DataFrame] = {}  # the keys of removed rows, or whole rows of a table without keys
     for t in _cascade_order(names, fks):
         df = tables[t]
-        incoming = [fk for fk in fks if fk.child == t and fk.on_delete == "CASCADE" and fk.parent in removed]
+        incoming = [fk for fk in fks if fk.child == t and fk.on_delete == "CASCADE" and fk.parent in delta]
         kcols = list((keys or {}).get(t, ()))
         parts = []
         if t in deletes:
@@ -136,24 +140,28 @@ def propagate_delete(
                 parts.append(seed.select(*df.columns))
         if len(incoming) == 1:
             fk = incoming[0]
-            parts.append(_referencing(df, fk.cols, removed[fk.parent], fk.parent_cols, "left_semi"))
+            parts.append(_referencing(df, fk.cols, delta[fk.parent], fk.parent_cols, "left_semi"))
         elif incoming:
-            parts.append(_referencing_any(df, [(fk.cols, removed[fk.parent], fk.parent_cols) for fk in incoming]))
+            parts.append(_referencing_any(df, [(fk.cols, delta[fk.parent], fk.parent_cols) for fk in incoming]))
         if not parts:
-            removed[t] = df.limit(0)
-        else:
-            out = parts[0]
-            for p in parts[1:]:
-                out = out.unionByName(p)
-            if len(parts) > 1:  # a row deleted directly may also be reached by a cascade
-                out = out.dropDuplicates(kcols) if kcols else out.distinct()
-            removed[t] = out
+            removed[t] = delta[t] = df.limit(0)
+            continue
+        if kcols:
+            wanted = list(dict.fromkeys([*kcols, *(c for fk in fks if fk.parent == t for c in fk.parent_cols)]))
+            parts = [p.select(*wanted) for p in parts]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        if len(parts) > 1:  # a row deleted directly may also be reached by a cascade
+            out = out.dropDuplicates(kcols) if kcols else out.distinct()
+        delta[t] = materialise(out)
+        removed[t] = df.join(delta[t].select(*kcols).distinct(), kcols, "left_semi") if kcols else delta[t]
     blocked: dict[str, DataFrame] = {}
     for t in names:
-        held = [fk for fk in fks if fk.child == t and fk.on_delete == "RESTRICT" and fk.parent in removed]
-        refs = _referencing_any(tables[t], [(fk.cols, removed[fk.parent], fk.parent_cols) for fk in held]) if held else tables[t].limit(0)
-        blocked[t] = _minus(refs, removed[t], list((keys or {}).get(t, ()))) if held else refs
-    survivors = {t: _minus(tables[t], removed[t], list((keys or {}).get(t, ()))) for t in names}
+        held = [fk for fk in fks if fk.child == t and fk.on_delete == "RESTRICT" and fk.parent in delta]
+        refs = _referencing_any(tables[t], [(fk.cols, delta[fk.parent], fk.parent_cols) for fk in held]) if held else tables[t].limit(0)
+        blocked[t] = _minus(refs, delta[t], list((keys or {}).get(t, ()))) if held else refs
+    survivors = {t: _minus(tables[t], delta[t], list((keys or {}).get(t, ()))) for t in names}
     return DeleteResult(removed, blocked, survivors, names)
 
 

@@ -44,6 +44,7 @@ from wardline.operators.relate import (
 )
 from wardline.plans import reports as R
 from wardline.plans.reports import triage_summary
+from wardline.plans.rules import Catalogue, declared_constraints
 from wardline.sources.tables import TableSet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -471,6 +472,42 @@ def audit_foreign_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A catalogue over the growing tables; some of its constraints hold, others don't.
+TEST_CATALOGUE = Catalogue(
+    primary_keys={"customer": ("c_custkey",), "supplier": ("s_suppkey",), "part": ("p_partkey",), "orders": ("o_orderkey",),
+                  "lineitem": ("l_orderkey", "l_linenumber"), "events": ("event_id",)},
+    uniques=[("orders", ("o_custkey", "o_orderdate")), ("customer", ("c_name",)), ("part", ("p_name",)), ("part", ("p_brand", "p_type", "p_size")),
+             ("events", ("user_id", "event_type")), ("lineitem", ("l_partkey", "l_suppkey", "l_shipdate"))],
+    foreign_keys=[ForeignKey("orders", ("o_custkey",), "customer", ("c_custkey",)), ForeignKey("lineitem", ("l_orderkey",), "orders", ("o_orderkey",)),
+                  ForeignKey("lineitem", ("l_suppkey",), "supplier", ("s_suppkey",)), ForeignKey("lineitem", ("l_partkey",), "part", ("p_partkey",)),
+                  ForeignKey("events", ("user_id",), "customer", ("c_custkey",)), ForeignKey("part", ("p_partkey",), "customer", ("c_custkey",)),
+                  ForeignKey("customer", ("c_custkey",), "events", ("user_id",)), ForeignKey("customer", ("c_custkey", "c_nationkey"), "supplier", ("s_suppkey", "s_nationkey"))],
+    not_null={"lineitem": ("l_orderkey", "l_suppkey", "l_shipdate"), "events": ("user_id", "ts")},
+    checks={"supplier": {"balance": "s_acctbal >= 0"}, "customer": {"balance": "c_acctbal >= 0"}, "events": {"value": "value BETWEEN 5 AND 95"}},
+    lengths={"part": {"p_name": 10, "p_brand": 10}, "customer": {"c_name": 18}},
+    decimals={"customer": {"c_acctbal": (5, 2)}},
+)
+
+
+def roster_flag_now_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 and Q9 by the clock: customers with an order within as many days as lie between 1998-01-01 and today, and days since their last order."""
+    t = _t(spark, sf_dir)
+    c = t["customer"].select("c_custkey")
+    now, today = F.current_timestamp(), F.current_date()
+    since = F.datediff(today, F.lit("1998-01-01").cast("date"))
+    o = t["orders"].select("o_custkey", "o_orderdate")
+    last = o.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order"))
+    recent = o.filter(days_between("o_orderdate", today) < since).select("o_custkey")
+    out = flag_any(c, "c_custkey", recent, "o_custkey", "had_recent_order").join(last, F.col("c_custkey") == F.col("o_custkey"), "left")
+    days = days_between(F.coalesce(F.col("last_order").cast("timestamp"), now), now)
+    return out.select("c_custkey", "had_recent_order", days.cast("long").alias("days_since"), F.year(today).alias("this_year"))
+
+
+def audit_all_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1-D6 at once over a catalogue of six tables: keys, foreign keys and row rules."""
+    return declared_constraints(_t(spark, sf_dir), catalogue=TEST_CATALOGUE)
+
+
 # ---------------------------------------------------------------- D7, D8, ids
 
 TEST_FKS = [
@@ -556,9 +593,12 @@ def assign_ids_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def find_cycles_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item's part supervised by the part of the supplier that the line names (a graph that grows with the table)."""
     t = _t(spark, sf_dir)
-    nodes = t["nation"].select("n_nationkey", F.expr("pmod(n_nationkey * 5, 25)").alias("parent_key"))
-    return find_cycles(nodes, "n_nationkey", "parent_key")
+    li = t["lineitem"].select("l_partkey", "l_suppkey", "l_orderkey")
+    nodes = li.groupBy("l_partkey").agg(F.max(F.struct("l_orderkey", "l_suppkey")).alias("last"))
+    nodes = nodes.select("l_partkey", F.when(F.col("last.l_orderkey") % 3 > 0, F.col("last.l_suppkey")).alias("parent_key"))
+    return find_cycles(nodes, "l_partkey", "parent_key")
 
 
 def find_cycles_orders_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -806,6 +846,8 @@ QUERIES: dict[str, Query] = {
     "participant_overlap": participant_overlap_q,
     "busy_chief": busy_chief_q,
     "supervision_checks": supervision_checks_q,
+    "audit_all": audit_all_q,
+    "roster_flag_now": roster_flag_now_q,
     "ingest_gate": ingest_gate_q,
     "accept_in_order": accept_in_order_q,
     "role_conflict": role_conflict_q,

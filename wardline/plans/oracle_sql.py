@@ -284,6 +284,42 @@ FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END AS s
 GROUP BY rtrim(lower(strip_accents(shown))) HAVING COUNT(*) > 1
 """
 
+# the clock stands still within a statement; what is asked changes at midnight only
+ORACLE_SQL["roster_flag_now"] = """
+SELECT c_custkey, CASE WHEN EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderdate >= DATE '1998-01-02') THEN 'YES' ELSE 'NO' END AS had_recent_order,
+       coalesce((SELECT current_date - max(o.o_orderdate)::DATE FROM orders o WHERE o.o_custkey = c.c_custkey), 0) AS days_since,
+       CAST(year(current_date) AS INTEGER) AS this_year
+FROM customer c
+"""
+
+_ALL_KEYS = {"customer": ["c_custkey"], "supplier": ["s_suppkey"], "part": ["p_partkey"], "orders": ["o_orderkey"],
+             "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"]}
+_ALL_UNIQUES = [("orders", "o_custkey,o_orderdate"), ("customer", "c_name"), ("part", "p_name"), ("part", "p_brand,p_type,p_size"),
+                ("events", "user_id,event_type"), ("lineitem", "l_partkey,l_suppkey,l_shipdate")]
+_ALL_FKS = ["orders o_custkey customer c_custkey", "lineitem l_orderkey orders o_orderkey", "lineitem l_suppkey supplier s_suppkey",
+            "lineitem l_partkey part p_partkey", "events user_id customer c_custkey", "part p_partkey customer c_custkey",
+            "customer c_custkey events user_id", "customer c_custkey,c_nationkey supplier s_suppkey,s_nationkey"]
+_ALL_ROWS = [
+    *[("lineitem", f"not_null({c})", f"{c} IS NULL", "null") for c in ("l_orderkey", "l_suppkey", "l_shipdate")],
+    *[("events", f"not_null({c})", f"{c} IS NULL", "null") for c in ("user_id", "ts")],
+    ("supplier", "balance", "s_acctbal < 0", "check failed"), ("customer", "balance", "c_acctbal < 0", "check failed"),
+    ("events", "value", "value < 5 OR value > 95", "check failed"),
+    ("part", "length(p_name)<=10", "length(p_name) > 10", "too long"), ("part", "length(p_brand)<=10", "length(p_brand) > 10", "too long"),
+    ("customer", "length(c_name)<=18", "length(c_name) > 18", "too long"),
+    ("customer", "decimal(c_acctbal,5,2)", "abs(c_acctbal) >= 999.995 OR round(c_acctbal, 2) <> c_acctbal", "does not fit"),
+]
+ORACLE_SQL["audit_all"] = "\nUNION ALL\n".join([
+    *[f"SELECT 'primary_key' AS rule, '{t}' AS table_name, {_key(*k)} AS key_value, CASE WHEN {' OR '.join(c + ' IS NULL' for c in k)} "
+      f"THEN 'null key' ELSE 'rows=' || COUNT(*) END AS detail FROM {t} GROUP BY {', '.join(k)} HAVING COUNT(*) > 1 OR {' OR '.join(c + ' IS NULL' for c in k)}"
+      for t, k in _ALL_KEYS.items()],
+    *[f"SELECT 'unique({u})', '{t}', {_key(*u.split(','))}, 'rows=' || COUNT(*) FROM {t} WHERE {' AND '.join(c + ' IS NOT NULL' for c in u.split(','))} "
+      f"GROUP BY {u} HAVING COUNT(*) > 1" for t, u in _ALL_UNIQUES],
+    *[f"SELECT 'foreign_key({cols})->{p}', '{c}', {_key(*('c.' + k for k in _ALL_KEYS[c]))}, 'missing ' || {_key(*('c.' + x for x in cols.split(',')))} FROM {c} c "
+      f"WHERE {' AND '.join(f'c.{x} IS NOT NULL' for x in cols.split(','))} AND NOT EXISTS (SELECT 1 FROM {p} p WHERE "
+      f"{' AND '.join(f'p.{y} = c.{x}' for x, y in zip(cols.split(','), pcols.split(','), strict=True))})" for c, cols, p, pcols in map(str.split, _ALL_FKS)],
+    *[f"SELECT '{rule}', '{t}', {_key(*_ALL_KEYS[t])}, '{detail}' FROM {t} WHERE {cond}" for t, rule, cond, detail in _ALL_ROWS],
+])
+
 ORACLE_SQL["audit_length"] = f"""
 SELECT 'length(p_name)<=10' AS rule, 'part' AS table_name, {_key('p_partkey')} AS key_value, 'too long' AS detail
 FROM part WHERE length(p_name) > 10
@@ -381,7 +417,8 @@ HAVING max(step) = 2 * (SELECT n FROM n)
 """
 
 ORACLE_SQL["find_cycles"] = _CYCLE_WALK.format(
-    graph="SELECT n_nationkey AS v, CAST((n_nationkey * 5) % 25 AS INTEGER) AS p FROM nation", node="n_nationkey"
+    graph="SELECT l_partkey AS v, CASE WHEN max(l_orderkey) % 3 > 0 THEN max(l_orderkey * 1000000000 + l_suppkey) % 1000000000 END AS p FROM lineitem GROUP BY l_partkey",
+    node="l_partkey",
 )
 ORACLE_SQL["find_cycles_orders"] = _CYCLE_WALK.format(
     graph="SELECT c.c_custkey AS v, o.o_custkey AS p FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_orderkey",

@@ -30,7 +30,8 @@ def conflicts(
 # (rule, table_name, key_value, detail); ``*_rows`` variants return raw rows.
 # ---------------------------------------------------------------------------
 
-from collections.abc import Mapping  # noqa: E402
+from collections.abc import Mapping, Sequence  # noqa: E402
+from dataclasses import dataclass, field  # noqa: E402
 
 from wardline.operators import audit as A  # noqa: E402
 from wardline.operators.hierarchy import find_cycles  # noqa: E402
@@ -210,27 +211,45 @@ def trigger_rules(tables: Tables, only: list[str] | None = None) -> DataFrame:
     return A.union_all(frames)
 
 
-def declared_constraints(tables: Tables, only: list[str] | None = None) -> DataFrame:
-    """D1-D6 for every table present in ``tables``, driven by the constraint catalogue."""
+@dataclass(frozen=True)
+class Catalogue:
+    """The declared constraints of a set of tables, by table name."""
+
+    primary_keys: Mapping[str, Sequence[str]]
+    uniques: Sequence[tuple[str, Sequence[str]]] = ()
+    foreign_keys: Sequence = ()
+    not_null: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    checks: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    lengths: Mapping[str, Mapping[str, int]] = field(default_factory=dict)
+    decimals: Mapping[str, Mapping[str, tuple[int, int]]] = field(default_factory=dict)
+
+
+def hospital_catalogue() -> Catalogue:
     from wardline.sources import schemas as S
 
+    of = lambda f: {t: f(t) for t in S.TABLES}
+    return Catalogue(S.PRIMARY_KEYS, S.UNIQUES, S.FOREIGN_KEYS, of(S.not_null_columns), S.CHECKS, of(S.length_limits), of(S.decimal_columns))
+
+
+def declared_constraints(tables: Tables, only: list[str] | None = None, catalogue: Catalogue | None = None) -> DataFrame:
+    """D1-D6 for every table present in ``tables``, driven by the constraint catalogue.
+
+    Per table one scan for its keys and one for its rows; over all tables one
+    scan per child and one per parent for the foreign keys, and one anti join.
+    """
+    c = catalogue or hospital_catalogue()
     frames = []
-    for t in S.TABLES:
+    for t, pk in c.primary_keys.items():
         if t not in tables or (only and t not in only):
             continue
-        df = tables[t]
-        pk = list(S.PRIMARY_KEYS[t])
-        frames.append(A.audit_primary_key(df, t, pk))
-        frames += [A.audit_unique(df, t, list(cols)) for tt, cols in S.UNIQUES if tt == t]
+        frames.append(A.audit_keys(tables[t], t, list(pk), [list(cols) for tt, cols in c.uniques if tt == t]))
         # NOT NULL, CHECK, length and decimal limits in one pass over the table
-        frames.append(A.audit_rows(df, t, pk, not_null=S.not_null_columns(t), checks=S.CHECKS.get(t, {}),
-                                   lengths=S.length_limits(t), decimals=S.decimal_columns(t)))
-    for fk in S.FOREIGN_KEYS:
-        if fk.child in tables and fk.parent in tables and (not only or fk.child in only):
-            frames.append(A.audit_foreign_key(
-                tables[fk.child], fk.child, list(S.PRIMARY_KEYS[fk.child]), list(fk.cols),
-                tables[fk.parent], list(fk.parent_cols), rule=f"foreign_key({','.join(fk.cols)})->{fk.parent}"))
-    return A.union_all(frames)
+        row_rules = [x.get(t, {}) for x in (c.not_null, c.checks, c.lengths, c.decimals)]
+        if any(row_rules):
+            not_null, checks, lengths, decimals = row_rules
+            frames.append(A.audit_rows(tables[t], t, list(pk), not_null=list(not_null), checks=checks, lengths=lengths, decimals=decimals))
+    orphans = A.audit_foreign_keys(tables, c.primary_keys, c.foreign_keys, only)
+    return A.union_all([*frames, orphans] if orphans is not None else frames)
 
 
 def audit_all(tables: Tables) -> DataFrame:
