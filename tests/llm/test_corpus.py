@@ -111,6 +111,21 @@ def test_schedule_is_even(spark, block):
     assert {s: seen[s] for s in n} == n
 
 
+def test_documents_come_in_the_weights_proportions(spark):
+    """Documents of one block each, read by their first slot: any stretch has each source's share of the targets."""
+    rnd = random.Random(9)
+    rows = [(i, " ".join(["w"] * mixing.BLOCK), rnd.choice("aaaaaabbc")) for i in range(240)]
+    got = mixing.mixed_words(frame(spark, rows)).collect()
+    assert all((r.first_slot is None) == (r.taken == 0) for r in got)
+    target = {s: next(r.target for r in got if r.id == i) for i, _, s in rows}
+    source = {i: s for i, _, s in rows}
+    line = [source[r.id] for r in sorted((r for r in got if r.first_slot is not None), key=lambda r: r.first_slot)]
+    for start in range(0, 60, 7):
+        part = line[start : start + 60]
+        for s in target:
+            assert abs(part.count(s) / len(part) - target[s] / sum(target.values())) < 0.12
+
+
 def test_mixed_rows(spark):
     df = frame(spark, messy())
     out = mixing.mixed_rows(df)

@@ -97,8 +97,10 @@ def mix(rows: DataFrame, sources: DataFrame, seed: int = 17, passes: int = 2, bl
 
 
 def mixed_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, passes: int = 2, seed: int = 17) -> DataFrame:
-    """One row per input row: ``id, size, source_size, target, taken`` (words the mix takes, repeats counted).
+    """One row per input row: ``id, size, source_size, target, taken`` (words the mix takes, repeats counted), ``first_slot``.
 
+    ``first_slot`` is the first slot of the schedule that takes words of the row, null if none does:
+    rows read in its order come in the weights' proportions over any stretch.
     Null texts have size 0; a null source is a source of its own, the last.
     Sources without words have target 0.  Repeated rows are rows of their own.
     Extra columns are ignored; an empty table gives an empty result.
@@ -107,10 +109,10 @@ def mixed_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()))
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = materialise(with_targets(materialise(cycled_weights(sources, weights)), share, float(passes)))
-    taken = mix(rows, sources, seed, passes).select("row", (F.col("to_word") - F.col("from_word")).alias("words"))
-    taken = taken.groupBy("row").agg(F.sum("words").alias("taken"))
+    taken = mix(rows, sources, seed, passes).select("row", "slot", (F.col("to_word") - F.col("from_word")).alias("words"))
+    taken = taken.groupBy("row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
     out = rows.join(taken, "row", "left").join(sources, rows["source"].eqNullSafe(sources["source"]))
-    return out.select("id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return out.select("id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot")
 
 
 def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, passes: int = 2, seed: int = 17) -> DataFrame:

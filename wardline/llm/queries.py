@@ -222,7 +222,7 @@ ORACLE_SQL = {
         FROM s LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
         GROUP BY page_id""",
     "op8_license_scan": _licence_sql(),
-    # the taken words in closed form: a document's stretch of its source's line, twice, below the quota
+    # the taken words in closed form: a document's stretch of its source's line, twice, below the quota; slots by mirrored bits
     "op5_source_mixing": r"""
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -240,12 +240,17 @@ ORACLE_SQL = {
         l AS (SELECT min_by((goal - before) / weight_left, k) AS level FROM c WHERE cap >= w * ((goal - before) / weight_left)),
         t AS (SELECT source, source_size, least(cap, w * level) AS target FROM c, l),
         p AS (
-            SELECT d.doc_id, d.size, t.source_size::BIGINT AS source_size, t.target, floor(t.target)::BIGINT AS quota,
+            SELECT d.doc_id, d.source, d.size, t.source_size::BIGINT AS source_size, t.target, floor(t.target)::BIGINT AS quota,
                    (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.size, d.doc_id) - d.size)::BIGINT AS a
-            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        b AS (SELECT source, ceil(floor(target) / 1024.0)::BIGINT AS blocks, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM t),
+        e AS (SELECT *, sum(blocks) OVER (ORDER BY k) AS stop, (sum(blocks) OVER ())::BIGINT AS total FROM b),
+        w AS (SELECT any_value(total) AS total, greatest(1, length(ltrim(bin(greatest(any_value(total), 1) - 1), '0'))) AS bits FROM e),
+        i AS (SELECT slot, sum(((slot >> j) & 1) << (bits - 1 - j)) AS point FROM w, range(1::BIGINT << bits) AS r(slot), range(bits) AS m(j) GROUP BY slot),
+        o AS (SELECT source, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS nth FROM i JOIN e ON point >= stop - blocks AND point < stop)
         SELECT doc_id, size, source_size, target,
-               (greatest(least(a + size, quota) - a, 0) + greatest(least(a + source_size + size, quota) - a - source_size, 0))::BIGINT AS taken
-        FROM p""",
+               (greatest(least(a + size, quota) - a, 0) + greatest(least(a + source_size + size, quota) - a - source_size, 0))::BIGINT AS taken, o.slot AS first_slot
+        FROM p LEFT JOIN o ON o.source IS NOT DISTINCT FROM p.source AND o.nth = a // 1024 AND size > 0 AND a < quota""",
     "op9_exact_dedup": f"""
         WITH t AS (SELECT doc_id, {LOWER} AS txt FROM documents),
         g AS (SELECT txt, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY txt)
