@@ -448,3 +448,49 @@ def test_delete_wave_reads_each_table_once_for_a_result(spark):
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     scans = Counter(re.findall(r"Location: .*?/(\w+)\.parquet", plan))
     assert {"customer", "supplier", "nation", "region"} <= set(scans) and max(scans.values()) <= 1
+
+
+@pytest.mark.parametrize("top", [1, 3, 20])
+def test_top_pairs_are_found_without_the_rare_items(spark, monkeypatch, top):
+    """Same answer as all pairs counted, ties included, and far fewer pairs made."""
+    from wardline.operators import relate
+
+    rnd = random.Random(top)
+    baskets = [(b, min(int(rnd.paretovariate(0.9)), 400)) for b in range(300) for _ in range(rnd.randrange(2, 14))]
+    df = spark.createDataFrame(baskets, "basket int, item int")
+    held = {b: sorted({i for x, i in baskets if x == b}) for b in range(300)}
+    count = Counter(p for items in held.values() for p in itertools.combinations(items, 2))
+    want = sorted(((a, b, n) for (a, b), n in count.items()), key=lambda x: (-x[2], x[0], x[1]))[:top]
+    monkeypatch.setattr(relate, "SEEDS", 12)
+    made = []
+    pairs = relate.self_pairs
+
+    def counted(some, *args, **kw):
+        made.append(pairs(some, *args, **kw).count())
+        return pairs(some, *args, **kw)
+
+    monkeypatch.setattr(relate, "self_pairs", counted)
+    assert [tuple(r) for r in relate.pair_cooccurrence(df, "basket", "item", top=top).collect()] == want
+    assert made[-1] < sum(count.values()) * 0.8 and (top > 3 or sum(made) < sum(count.values()) * 1.2)
+    monkeypatch.setattr(relate, "SEEDS", 10_000)  # few items: no bound is sought
+    assert [tuple(r) for r in relate.pair_cooccurrence(df, "basket", "item", top=top).collect()] == want
+
+
+def test_overlaps_any_and_busy_chiefs(spark):
+    """Against all pairs, with people who are chief and member of one event, and a key cut into many parts."""
+    from wardline.operators.relate import overlaps_any
+    from wardline.plans.rules import busy_chief_rows
+
+    rnd = random.Random(17)
+    at = lambda h: BASE + dt.timedelta(hours=h)
+    events = {e: (s := rnd.randrange(400), s + rnd.randrange(1, 9)) for e in range(150)}
+    chief = {e: rnd.choice([None, *range(5)]) for e in events}
+    members = {(e, p) for e in events for p in range(5) if rnd.random() < 0.3} | {(e, p) for e, p in chief.items() if p is not None and rnd.random() < 0.3}
+    meet = lambda a, b: events[a][0] < events[b][1] and events[a][1] > events[b][0]
+    schema = "event int, person int, s timestamp, e timestamp"
+    chiefs = spark.createDataFrame([(e, p, at(events[e][0]), at(events[e][1])) for e, p in chief.items()], schema)
+    rows = spark.createDataFrame([(e, p, at(events[e][0]), at(events[e][1])) for e, p in members], schema)
+    got = {(r.event, r.person) for r in busy_chief_rows(rows, chiefs, "person", "event", "s", "e").collect()}
+    assert got == {(e, p) for e, p in members if any(x != e and chief[x] == p and meet(x, e) for x in events)}
+    any_ = {r.event for r in overlaps_any(chiefs, "person", "event", "s", "e").collect()}
+    assert any_ == {e for e, p in chief.items() if p is not None and any(x != e and chief[x] == p and meet(x, e) for x in events)}

@@ -24,17 +24,24 @@ from wardline.session import materialise
 CELL = 10_000  # rows of one key that meet in one place, per side
 
 
-def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, cell: int = CELL) -> DataFrame:
+def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, cell: int = CELL, alike: bool = False) -> DataFrame:
     """Inner join on ``keys`` (in both sides; the other columns are disjoint), hot keys dealt as a grid.
 
     Both inputs are read twice, once for the counts: pass tables or
-    materialised frames.  The counts are a job of their own, so without a hot
+    materialised frames.  ``alike`` says that both have as many rows of each key,
+    which are then counted once.  The counts are a job of their own, so without a hot
     key the join stays a plain one.  NULL keys match nothing.
     """
     keys = list(keys)
     n_l = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__wl_nl"))
-    n_r = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__wl_nr"))
-    slices = n_l.join(n_r, keys).select(
+    if alike:
+        known = F.lit(True)
+        for k in keys:
+            known = known & F.col(k).isNotNull()
+        counts = n_l.filter(known).withColumn("__wl_nr", F.col("__wl_nl"))
+    else:
+        counts = n_l.join(right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__wl_nr")), keys)
+    slices = counts.select(
         *keys, F.ceil(F.col("__wl_nl") / cell).cast("int").alias("__wl_sl"), F.ceil(F.col("__wl_nr") / cell).cast("int").alias("__wl_sr")
     )
     slices = materialise(slices.filter((F.col("__wl_sl") > 1) | (F.col("__wl_sr") > 1)))
@@ -95,17 +102,21 @@ def interval_join(
     return l.join(met, "__wl_row", how).drop("__wl_row")
 
 
-def self_pairs(df: DataFrame, group_cols: Sequence[str], order_col: str, carry: Sequence[str] = (), *, cell: int = CELL) -> DataFrame:
+def self_pairs(
+    df: DataFrame, group_cols: Sequence[str], order_col: str, carry: Sequence[str] = (), *, cell: int = CELL, written: bool = False
+) -> DataFrame:
     """Every unordered pair of rows that share ``group_cols``, ordered by ``order_col``.
 
     Output columns: ``group_cols``, then ``{c}_a`` and ``{c}_b`` for
     ``order_col`` and every ``carry`` column, with ``order_col_a < order_col_b``.
-    The input is evaluated once; a hot group is dealt as a grid on both sides.
+    The input is evaluated once (``written``: it is a table already) and its
+    groups are counted once; a hot group is dealt as a grid on both sides.
     """
     group_cols, cols = list(group_cols), [order_col, *carry]
-    base = materialise(df.select(*group_cols, *cols))
+    base = df.select(*group_cols, *cols)
+    base = base if written else materialise(base)
     side = lambda x: base.select(*group_cols, *[F.col(c).alias(f"{c}_{x}") for c in cols])
-    pairs = grid_join(side("a"), side("b"), group_cols, cell=cell)
+    pairs = grid_join(side("a"), side("b"), group_cols, cell=cell, alike=True)
     return pairs.filter(F.col(f"{order_col}_a") < F.col(f"{order_col}_b"))
 
 

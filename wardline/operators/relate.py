@@ -119,6 +119,29 @@ def overlap_flags(df: DataFrame, key: str | Sequence[str], id_col: str, start: s
     return out.filter(F.col("overlap_end") > F.col(start)).select(*df.columns, "overlap_end")
 
 
+def overlaps_any(df: DataFrame, key: str | Sequence[str], id_col: str, start: str, end: str) -> DataFrame:
+    """Rows of ``df`` that overlap another row of the same ``key``, before or behind them in the order ``(start, id)``.
+
+    One sweep: an earlier row's largest ``end`` passes the row's start, or the
+    next row starts before its end.  For intervals that aren't empty that is
+    "overlaps another row"; rows with a null key or time overlap nothing.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    known = F.col(start).isNotNull() & F.col(end).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    rows = ordered_parts(df.filter(known), keys, [start, id_col])
+    here = Window.partitionBy(PART, *keys).orderBy(start, id_col)
+    rows = rows.withColumn("__wl_prev", F.max(end).over(here.rowsBetween(Window.unboundedPreceding, -1))).withColumn("__wl_next", F.lead(start).over(here))
+    parts = rows.groupBy(PART, *keys).agg(F.max(end).alias("__wl_top"), F.min(start).alias("__wl_first"))
+    over = Window.partitionBy(*keys).orderBy(PART)
+    carry = parts.select(PART, *keys, F.max("__wl_top").over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("__wl_carry"), F.lead("__wl_first").over(over).alias("__wl_ahead"))
+    out = with_carry(rows, carry, keys, ["__wl_carry", "__wl_ahead"])
+    before = F.greatest("__wl_prev", "__wl_carry") > F.col(start)
+    behind = F.least("__wl_next", "__wl_ahead") < F.col(end)
+    return out.filter(F.coalesce(before, F.lit(False)) | F.coalesce(behind, F.lit(False))).select(*df.columns)
+
+
 def overlapped_by(rows: DataFrame, others: DataFrame, key: str | Sequence[str], start: str, end: str) -> DataFrame:
     """Rows of ``rows`` that overlap some row of ``others`` with the same ``key`` (both have ``key``, ``start``, ``end``).
 
@@ -150,6 +173,9 @@ def overlapped_by(rows: DataFrame, others: DataFrame, key: str | Sequence[str],
 # --------------------------------------------------------------------------
 
 
+SEEDS = 64  # most frequent items whose pairs give the first bound of a top-k
+
+
 def pair_cooccurrence(
     df: DataFrame, basket: str | Sequence[str], item: str, *, top: int | None = None, count_col: str = "co_occurrence_count"
 ) -> DataFrame:
@@ -160,16 +186,31 @@ def pair_cooccurrence(
     ``self_pairs`` (hot baskets dealt as a grid) and counted with a partial + final
     aggregate.  ``top`` keeps the ``top`` largest counts (ties broken by the
     item values), planned as a single top-k, not a full sort.
+
+    With ``top`` and more than ``SEEDS`` items most pairs are never made: a pair
+    is in no more baskets than its rarer item, so items rarer than the
+    ``top``-th count among the pairs of the ``SEEDS`` most frequent items can't be in
+    the answer.  Ties with that count stay, and the answer is the same.
     """
     baskets = [basket] if isinstance(basket, str) else list(basket)
-    distinct_items = df.select(*baskets, item).distinct()
-    pairs = self_pairs(distinct_items, baskets, item)
-    counted = pairs.groupBy(F.col(f"{item}_a").alias("item_1"), F.col(f"{item}_b").alias("item_2")).agg(
-        F.count(F.lit(1)).alias(count_col)
-    )
-    if top is not None:
-        counted = counted.orderBy(F.col(count_col).desc(), "item_1", "item_2").limit(top)
-    return counted
+    items = materialise(df.select(*baskets, item).distinct())
+
+    def counted(some: DataFrame) -> DataFrame:
+        pairs = self_pairs(some, baskets, item, written=True)
+        return pairs.groupBy(F.col(f"{item}_a").alias("item_1"), F.col(f"{item}_b").alias("item_2")).agg(F.count(F.lit(1)).alias(count_col))
+
+    if top is None:
+        return counted(items)
+    in_order = [F.col(count_col).desc(), "item_1", "item_2"]
+    sizes = materialise(items.filter(F.col(item).isNotNull()).groupBy(item).agg(F.count(F.lit(1)).alias("__wl_n")))
+    first = sizes.orderBy(F.col("__wl_n").desc(), item).limit(SEEDS + 1).collect()
+    if len(first) > SEEDS:
+        seeds = items.filter(F.col(item).isin([r[0] for r in first[:SEEDS]]))
+        best = counted(materialise(seeds)).orderBy(*in_order).limit(top).collect()
+        if len(best) == top:
+            often = materialise(sizes.filter(F.col("__wl_n") >= best[-1][count_col]).select(item))
+            items = materialise(items.join(often, item, "left_semi"))
+    return counted(items).orderBy(*in_order).limit(top)
 
 
 def equal_measure_pairs(totals: DataFrame, entity: str, partition: Sequence[str], measure: str) -> DataFrame:
@@ -186,11 +227,12 @@ def equal_measure_groups(totals: DataFrame, entity: str, partition: Sequence[str
     """Entities that share their ``measure`` with another one of the same ``partition``: one row per member.
 
     Output: ``partition``, ``measure``, ``group_size``, ``entity``.  Linear in
-    the input: sizes are a partial aggregate that joins back to the members.
+    the input: sizes are a partial aggregate that is written and joins back to the members.
     """
     keys = [*partition, measure]
     members = materialise(totals.select(*keys, entity))
     sizes = members.groupBy(*keys).agg(F.count_distinct(entity).alias("group_size")).filter(F.col("group_size") > 1)
+    sizes = materialise(sizes)  # written, so that both sides of the join are exchanges that can be split where a group is hot
     return members.join(sizes, keys).select(*keys, "group_size", entity)
 
 

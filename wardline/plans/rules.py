@@ -35,7 +35,8 @@ from dataclasses import dataclass, field  # noqa: E402
 
 from wardline.operators import audit as A  # noqa: E402
 from wardline.operators.hierarchy import find_cycles  # noqa: E402
-from wardline.operators.relate import cross_overlap_pairs, lookup, overlap_flags, overlapped_by  # noqa: E402
+from wardline.operators.relate import lookup, overlap_flags, overlapped_by, overlaps_any  # noqa: E402
+from wardline.session import materialise  # noqa: E402
 
 Tables = Mapping[str, DataFrame]
 
@@ -106,15 +107,21 @@ def participant_overlap_rows(tables: Tables) -> DataFrame:
 def busy_chief_rows(members: DataFrame, chiefs: DataFrame, person: str, event: str, start: str, end: str) -> DataFrame:
     """T5b's shape: rows of ``members`` that overlap another event of which the person is chief (both have all four columns).
 
-    The same event in both roles is T7, not T5b.  Chiefs that aren't members of
-    their own event are swept; the few that are (T7 rows) are paired event by event.
+    The same event in both roles is T7, not T5b.  Members who aren't chief of
+    their own event are swept against all chiefs; those who are stand where
+    their event's chief stands, so they are hit when that chief row overlaps
+    another of the same person.  Both are linear, however many events a person leads.
     """
-    both_roles = chiefs.join(members.select(event, person), [event, person], "left_semi")
-    plain = chiefs.join(members.select(event, person), [event, person], "left_anti")
-    swept = overlapped_by(members, plain, person, start, end)
-    pairs = cross_overlap_pairs(both_roles, members, person, event, start, end)
-    pairs = pairs.filter(F.col(f"left_{event}") != F.col(f"right_{event}")).select(person, F.col(f"right_{event}").alias(event))
-    return swept.select(event, person).unionByName(pairs).distinct()
+    members = materialise(members.select(event, person, start, end))
+    chiefs = materialise(chiefs.select(event, person, start, end))
+    own = materialise(members.join(chiefs.select(event, person), [event, person], "left_semi"))
+    others = members.join(own.select(event, person), [event, person], "left_anti")
+    swept = overlapped_by(others, chiefs, person, start, end).select(event, person)
+    if own.isEmpty():
+        return swept.distinct()
+    led = chiefs.join(own.select(person).distinct(), person, "left_semi")
+    busy = overlaps_any(led, person, event, start, end)
+    return swept.unionByName(own.join(busy.select(event, person), [event, person], "left_semi").select(event, person)).distinct()
 
 
 def _chiefs(tables: Tables) -> DataFrame:
