@@ -597,7 +597,7 @@ def find_cycles_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     li = t["lineitem"].select("l_partkey", "l_suppkey", "l_orderkey")
     nodes = li.groupBy("l_partkey").agg(F.max(F.struct("l_orderkey", "l_suppkey")).alias("last"))
-    nodes = nodes.select("l_partkey", F.when(F.col("last.l_orderkey") % 3 > 0, F.col("last.l_suppkey")).alias("parent_key"))
+    nodes = nodes.select("l_partkey", F.when(F.col("last.l_orderkey") % 97 > 0, F.col("last.l_suppkey")).alias("parent_key"))
     return find_cycles(nodes, "l_partkey", "parent_key")
 
 

@@ -417,7 +417,7 @@ HAVING max(step) = 2 * (SELECT n FROM n)
 """
 
 ORACLE_SQL["find_cycles"] = _CYCLE_WALK.format(
-    graph="SELECT l_partkey AS v, CASE WHEN max(l_orderkey) % 3 > 0 THEN max(l_orderkey * 1000000000 + l_suppkey) % 1000000000 END AS p FROM lineitem GROUP BY l_partkey",
+    graph="SELECT l_partkey AS v, CASE WHEN max(l_orderkey) % 97 > 0 THEN max(l_orderkey * 1000000000 + l_suppkey) % 1000000000 END AS p FROM lineitem GROUP BY l_partkey",
     node="l_partkey",
 )
 ORACLE_SQL["find_cycles_orders"] = _CYCLE_WALK.format(
