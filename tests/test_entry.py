@@ -41,6 +41,16 @@ def test_optional_parts_may_be_deleted(tmp_path, gone):
     assert any(n.startswith("op") for n in names) == ("wardline/llm" not in gone) and "pipeline" not in names
 
 
+def test_tasks_find_the_package_from_another_folder(tmp_path):
+    """A session that starts elsewhere: the Python workers of a query import the package all the same."""
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    say = (f"import sys; sys.path.insert(0, {root!r}); import __spark_entry__ as E; from wardline.session import local_session; "
+           f"print(E.queries()['accept_in_order'](local_session(2), {SF!r}).count())")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", say], cwd=tmp_path, capture_output=True, text=True, env=env)
+    assert out.stdout.strip().endswith("1000"), out.stderr[-2000:]
+
+
 @pytest.fixture(scope="module")
 def con():
     return duck(SF)

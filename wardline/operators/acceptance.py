@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from wardline.functions.calendar import epoch_micros
 from wardline.operators.maintain import assign_ids
 from wardline.operators.segments import PART
-from wardline.session import materialise
+from wardline.session import materialise, ship
 
 ROW = "__wl_row"  # place of a row in the order of arrival, from 1 on
 
@@ -135,6 +135,7 @@ def refused_claims(claims: DataFrame) -> DataFrame:
     space and key are equal and ``a.s < b.e AND a.e > b.s``.  Claims with a null key, start or end, or an end
     before the start, meet nothing.  A row may have several claims; rows that aren't returned are accepted.
     """
+    ship(claims.sparkSession)
     usable = F.col("key").isNotNull() & (F.col("s") <= F.col("e"))
     barred = F.coalesce("barred", F.lit(False)) if "barred" in claims.columns else F.lit(False)
     claims = materialise(claims.where(usable).select("row", "space", "key", "s", "e", barred.alias("barred")))

@@ -58,6 +58,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def ship(spark: SparkSession) -> None:
+    """Put the package on the Python workers' path, for the steps that run Python in tasks (a session may start elsewhere)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back.
 

@@ -24,7 +24,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from wardline.functions.calendar import epoch_micros
 from wardline.operators.acceptance import Cover
-from wardline.session import materialise
+from wardline.session import materialise, ship
 
 START, END, FOUND = "__wl_s", "__wl_e", "__wl_rules"
 STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -125,6 +125,7 @@ def admitted(
     (the state's first content).  ``order`` is a column that isn't null: rows of a
     micro-batch are taken in its order.  A row with a null key or time meets nothing.
     """
+    ship(stream.sparkSession)
     found = [F.when(cond, F.lit(name)) for name, cond in (static or {}).items()]
     found = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
     rows = stream.withColumn(START, epoch_micros(start)).withColumn(END, epoch_micros(end)).withColumn(FOUND, found)
