@@ -28,6 +28,7 @@ from wardline.operators.relate import (
     overlap_pairs,
     overlapped_by,
 )
+from wardline.operators.spans import BLOCK, in_blocks, numbered, points_in_spans, tagged
 from wardline.plans.rules import declared_constraints
 from wardline.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS
 
@@ -251,14 +252,71 @@ def test_hot_key_is_spread_over_parts(spark):
             spark.conf.set(k, v)
 
 
-def test_long_intervals_are_not_copied_into_every_cell(spark):
-    from wardline.operators.relate import _levels, _timed
-
+def test_long_intervals_are_copied_by_what_they_hold(spark):
     rows = [(1, 0, BASE, BASE + dt.timedelta(days=3650)), (2, 0, BASE + dt.timedelta(days=9), BASE + dt.timedelta(days=9, seconds=1))]
     df = spark.createDataFrame(rows, "id long, k int, s timestamp_ntz, e timestamp_ntz")
-    assert len(_levels(_timed(df, ["k"], "id", "s", "e"))) == 2
     assert [tuple(r) for r in overlap_pairs(df, "k", "id", "s", "e").select("id_a", "id_b").collect()] == [(1, 2)]
 
+    long = [(i, 0, i, i + 1_000_000) for i in range(40)]  # each holds 10 to 49 of 50 points
+    spans = tagged(spark.createDataFrame(long, "i long, k int, lo long, hi long"))
+    points = spark.createDataFrame([(0, x) for x in range(-5, 0)] + [(0, 30 + x) for x in range(50)], "pk int, at long")
+    asked, dots = numbered(spans, points, [("k", "pk")], "lo", "hi", "at")
+    assert sorted(r[0] for r in dots.select("__wl_no").collect()) == list(range(55))
+    want = {i: sum(i <= 30 + x < i + 1_000_000 for x in range(50)) for i in range(40)}
+    assert {r.i: r["__wl_to"] - r["__wl_from"] for r in asked.collect()} == want
+    assert in_blocks(asked, 8).count() <= sum(n // 8 + 2 for n in want.values())
+
+
+def test_points_in_spans_edges(spark):
+    """Equal times, repeated points, reversed, empty and null spans, null keys, other keys next in order, empty tables."""
+    spans = [(1, "a", 5, 9), (2, "a", 9, 9), (3, "a", 9, 5), (4, None, 0, 99), (5, "b", None, 9), (6, "b", -99, 99), (7, "c", 0, 1), (7, "c", 0, 1)]
+    points = [("a", 4), ("a", 5), ("a", 5), ("a", 8), ("a", 9), (None, 5), ("b", None), ("b", -99), ("b", 99), ("d", 0)]
+    left = spark.createDataFrame(spans, "i int, k string, lo long, hi long")
+    right = spark.createDataFrame(points, "pk string, at long")
+    order = lambda t: tuple((x is None, x) for x in t)
+    for block in (1, 3, 64):
+        for how in ("inner", "left"):
+            want = []
+            for s in spans:
+                hits = [p for p in points if None not in (s[1], s[2], s[3], p[1]) and p[0] == s[1] and s[2] <= p[1] < s[3]]
+                want += [s + p for p in hits] or ([s + (None, None)] if how == "left" else [])
+            got = points_in_spans(tagged(left), right, [("k", "pk")], "lo", "hi", "at", how=how, block=block).collect()
+            assert sorted(map(tuple, got), key=order) == sorted(want, key=order)
+    assert points_in_spans(tagged(left.limit(0)), right, [("k", "pk")], "lo", "hi", "at", how="left").count() == 0
+    assert points_in_spans(tagged(left), right.limit(0), [("k", "pk")], "lo", "hi", "at", how="left").count() == len(spans)
+
+
+def test_a_hot_key_of_spans_is_spread(spark):
+    """One key holds all rows: range parts, blocks and joins still divide it (the numbers run through the table)."""
+    was = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        spans = tagged(spark.range(4000).select(F.lit(0).alias("k"), F.col("id").alias("lo"), (F.col("id") + 20).alias("hi")))
+        points = spark.range(4000).select(F.lit(0).alias("pk"), F.col("id").alias("at"))
+        asked, dots = numbered(spans, points, [("k", "pk")], "lo", "hi", "at")
+        met = in_blocks(asked).join(dots.withColumn("__wl_block", F.floor(F.col("__wl_no") / BLOCK)), "__wl_block")
+        assert met.filter("__wl_no >= __wl_from AND __wl_no < __wl_to").count() == 4000 * 20 - 190
+        blocks = in_blocks(asked).groupBy("__wl_block").count().collect()
+        assert len(blocks) == 63 and max(r["count"] for r in blocks) <= BLOCK + 20
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
+def test_instants_are_compared_across_a_clock_change(spark):
+    """TIMESTAMP columns over the hour that a zone repeats: 24 hours are 24 hours."""
+    was = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Athens")  # clocks went back at 2023-10-29 01:00 UTC
+    try:
+        left = spark.range(1).select(F.timestamp_seconds(F.lit(1698530400)).alias("at"), F.lit(1).alias("k"))  # 2023-10-28 22:00 UTC
+        seconds = [1698530400 + 24 * 3600, 1698530400 + 24 * 3600 + 1, 1698530400 + 5 * 3600, 1698530400 - 1]
+        right = spark.createDataFrame([(1, s) for s in seconds], "rk int, s long").select("rk", "s", F.timestamp_seconds("s").alias("rt"))
+        got = interval_join(left, right, keys=[("k", "rk")], left_ts="at", right_ts="rt", hours=24).select("s").collect()
+        assert sorted(r.s for r in got) == sorted([seconds[0], seconds[2]])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", was)
+
 
 def test_equal_measure_groups(spark):
     df = spark.createDataFrame([(1, 2020, 5), (2, 2020, 5), (3, 2020, 6), (4, 2021, 5), (5, 2020, 5)], "who int, yr int, n long")

@@ -17,8 +17,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardline.functions.calendar import epoch_micros
+from wardline.operators.spans import BLOCK, points_in_spans, tagged
 from wardline.session import materialise
 
 CELL = 10_000  # rows of one key that meet in one place, per side
@@ -69,37 +71,29 @@ def interval_join(
     right_ts: str,
     hours: int,
     how: str = "left",
-    cell: int = CELL,
+    cell: int = BLOCK,
 ) -> DataFrame:
     """Rows of ``left`` with the rows of ``right`` that share the keys and fall in ``[left_ts, left_ts + hours]``.
 
     Both bounds are inclusive, as in ``r BETWEEN l AND l + INTERVAL hours HOUR``.
     ``how='left'`` keeps unmatched left rows once, with NULL right columns;
     ``how='inner'`` keeps only matches.  Left and right column names must be
-    disjoint.
+    disjoint; two TIMESTAMPs are compared as instants, other types by the clock.
 
-    Plan: time is cut into cells as wide as the window.  A left row sits in the
-    cell of ``left_ts``, a right row in its own cell and the one before, so a
-    match meets once, in an equality join on (keys, cell) that ``grid_join``
-    splits where a cell is hot.  For ``how='left'`` the matches return to the
-    left rows by a row tag.
+    Plan: ``points_in_spans``.  Both sides are range-sorted together, a left row
+    learns the numbers of its matches from a running count and meets them in
+    blocks of ``cell`` right rows.  No side is joined back, and a hot key is
+    spread like any other rows.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"interval_join supports how='left' or 'inner', not {how!r}")
+    wall = not all(isinstance(df.schema[c].dataType, T.TimestampType) for df, c in ((left, left_ts), (right, right_ts)))
+    clock = epoch_micros if wall else (lambda c: F.unix_micros(F.col(c)))
     window = hours * 3600 * 1_000_000
-    names = [f"__wl_k{i}" for i in range(len(keys))]
-    at = F.floor(epoch_micros(left_ts) / F.lit(window)).cast("long")
-    l = materialise(left.withColumn("__wl_row", F.monotonically_increasing_id()))
-    near = l.select("__wl_row", F.col(left_ts).alias("__wl_lt"), at.alias("__wl_cell"), *[F.col(k).alias(n) for (k, _), n in zip(keys, names)])
-    own = F.floor(epoch_micros(right_ts) / F.lit(window)).cast("long")
-    r = materialise(right)
-    # the cell before holds left rows whose window reaches over into this one
-    far = r.withColumn("__wl_cell", F.explode(F.array(own - 1, own)))
-    far = far.select("__wl_cell", *[F.col(k).alias(n) for (_, k), n in zip(keys, names)], *[F.col(c).alias(c) for c in right.columns])
-    met = grid_join(near, far, [*names, "__wl_cell"], cell=cell)
-    lt, rt = F.col("__wl_lt"), F.col(right_ts)
-    met = met.filter((rt >= lt) & (rt <= lt + F.make_dt_interval(hours=F.lit(hours)))).select("__wl_row", *right.columns)
-    return l.join(met, "__wl_row", how).drop("__wl_row")
+    spans = tagged(left.withColumn("__wl_lo", clock(left_ts)).withColumn("__wl_hi", clock(left_ts) + window + 1))
+    points = right.withColumn("__wl_right", clock(right_ts))
+    met = points_in_spans(spans, points, keys, "__wl_lo", "__wl_hi", "__wl_right", how=how, block=cell)
+    return met.drop("__wl_lo", "__wl_hi", "__wl_right")
 
 
 def self_pairs(

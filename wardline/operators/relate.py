@@ -11,9 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.functions.calendar import epoch_micros
-from wardline.operators.joins import grid_join, self_pairs
+from wardline.operators.joins import self_pairs
 from wardline.operators.segments import PART, ordered_parts, with_carry
+from wardline.operators.spans import TAG, micros, points_in_spans, tagged
 from wardline.session import materialise
 
 
@@ -23,38 +23,14 @@ from wardline.session import materialise
 
 
 def _timed(df: DataFrame, keys: list[str], id_col: str, start: str, end: str) -> DataFrame:
-    """Rows that can overlap, with start and end in microseconds and a level: 2**level is at least the length."""
+    """Rows that can overlap, with start and end in microseconds."""
     rows = df.select(*keys, id_col, start, end).filter(F.col(start).isNotNull() & F.col(end).isNotNull())
-    rows = rows.withColumn("__wl_s", epoch_micros(start)).withColumn("__wl_e", epoch_micros(end))
-    length = F.greatest(F.col("__wl_e") - F.col("__wl_s"), F.lit(1))
-    return rows.withColumn("__wl_level", F.length(F.bin(length - 1)))
+    s, e = micros(df, start, end)
+    return rows.withColumn("__wl_s", s).withColumn("__wl_e", e)
 
 
-def _later_inside(early: DataFrame, late: DataFrame, keys: list[str], id_col: str, start: str, end: str, levels: list[int]) -> DataFrame:
-    """Rows ``e`` and ``l`` (columns prefixed ``__e_``, ``__l_``) where ``l`` starts inside ``e``'s span and they overlap.
-
-    Time is cut into cells of 2**level; an interval covers two cells of its own
-    level at most, so ``early`` rows are copied at most twice whatever their length,
-    and ``late`` rows once per level that occurs (64 at most).  The start of
-    ``l`` lies in one cell of ``e``'s level: every pair meets once.
-    """
-    shift = lambda c, level: F.call_function("shiftright", F.col(c), level)
-    last = F.greatest(F.col("__wl_e") - 1, F.col("__wl_s"))
-    ends = early.withColumn("__wl_last", last)
-    cells = F.array_distinct(F.array(shift("__wl_s", F.col("__wl_level")), shift("__wl_last", F.col("__wl_level"))))
-    cols = (id_col, start, end)
-    e = ends.select(*keys, "__wl_level", F.explode(cells).alias("__wl_cell"), *[F.col(c).alias(f"__e_{c}") for c in cols])
-    at = late.withColumn("__wl_level", F.explode(F.array(*[F.lit(x) for x in levels])))
-    l = at.select(*keys, "__wl_level", shift("__wl_s", F.col("__wl_level")).alias("__wl_cell"), *[F.col(c).alias(f"__l_{c}") for c in cols])
-    hits = grid_join(e, l, [*keys, "__wl_level", "__wl_cell"])
-    return hits.filter(
-        (F.col(f"__l_{start}") >= F.col(f"__e_{start}")) & (F.col(f"__l_{start}") < F.col(f"__e_{end}")) & (F.col(f"__e_{start}") < F.col(f"__l_{end}"))
-    )
-
-
-def _levels(*tables: DataFrame) -> list[int]:
-    """Interval levels that occur (64 at most)."""
-    return sorted({x for t in tables for x in t.agg(F.collect_set("__wl_level")).first()[0]}) or [1]
+def _prefixed(rows: DataFrame, prefix: str, also: Sequence[str] = ()) -> DataFrame:
+    return rows.select(*[F.col(c) if c in also else F.col(c).alias(prefix + c) for c in rows.columns])
 
 
 def overlap_pairs(df: DataFrame, key: str | Sequence[str], id_col: str, start: str, end: str) -> DataFrame:
@@ -63,15 +39,18 @@ def overlap_pairs(df: DataFrame, key: str | Sequence[str], id_col: str, start: s
     Output: ``key`` columns, ``{id}_a``, ``{id}_b`` (``a < b``) and both
     intervals.  The test is exactly ``a.start < b.end AND a.end > b.start``,
     so an empty interval strictly inside another still counts, as in the
-    reference.  k intervals that all overlap give k(k-1)/2 pairs: where only
+    reference.  The pairs are the starts inside a row's interval
+    (``points_in_spans``), so the work follows the rows and the pairs, not the
+    lengths.  k intervals that all overlap give k(k-1)/2 pairs: where only
     the rows matter, ``overlap_flags`` and ``overlapped_by`` find them in one sweep.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rows = materialise(_timed(df, keys, id_col, start, end))
-    hits = _later_inside(rows, rows, keys, id_col, start, end, _levels(rows))
+    rows = tagged(_timed(df, keys, id_col, start, end))
+    early, late = _prefixed(rows, "__e_", [*keys, TAG]), _prefixed(rows.drop(TAG), "__l_")
+    hits = points_in_spans(early, late, [(k, f"__l_{k}") for k in keys], "__e___wl_s", "__e___wl_e", "__l___wl_s")
     es, ee, ei = F.col(f"__e_{start}"), F.col(f"__e_{end}"), F.col(f"__e_{id_col}")
     ls, le, li = F.col(f"__l_{start}"), F.col(f"__l_{end}"), F.col(f"__l_{id_col}")
-    hits = hits.filter((ls > es) | (li > ei))
+    hits = hits.filter((F.col("__e___wl_s") < F.col("__l___wl_e")) & ((F.col("__l___wl_s") > F.col("__e___wl_s")) | (li > ei)))
     pick = lambda x, y: F.when(ei < li, x).otherwise(y)
     return hits.select(
         *keys,
@@ -85,17 +64,24 @@ def cross_overlap_pairs(left: DataFrame, right: DataFrame, key: str | Sequence[s
     """Pairs of a ``left`` row and a ``right`` row with the same ``key`` whose intervals overlap.
 
     Output: ``key``, ``left_{id}``, ``right_{id}`` and both intervals.  Used for
-    "participant of one procedure while chief of an overlapping one".
+    "participant of one procedure while chief of an overlapping one".  One sorted
+    pass serves both sides: a row asks for starts of the other side, and of two
+    that start together only the left one asks.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    a, b = (materialise(_timed(x, keys, id_col, start, end)) for x in (left, right))
-    levels, cols = _levels(a, b), (id_col, start, end)
-    named = lambda hits, l, r: hits.select(
-        *keys, F.col(f"{l}{id_col}").alias(f"left_{id_col}"), F.col(f"{r}{id_col}").alias(f"right_{id_col}"),
-        *[F.col(f"{l}{c}").alias(f"left_{c}") for c in cols[1:]], *[F.col(f"{r}{c}").alias(f"right_{c}") for c in cols[1:]])
-    first = named(_later_inside(a, b, keys, id_col, start, end, levels), "__e_", "__l_")
-    then = _later_inside(b, a, keys, id_col, start, end, levels).filter(F.col(f"__l_{start}") > F.col(f"__e_{start}"))
-    return first.unionByName(named(then, "__l_", "__e_"))
+    keys, cols = [key] if isinstance(key, str) else list(key), (id_col, start, end)
+    sides = (_timed(x, keys, id_col, start, end).withColumn("__wl_side", F.lit(i)) for i, x in enumerate((left, right)))
+    rows = next(sides).unionByName(next(sides))
+    rows = rows.withColumn("__wl_other", 1 - F.col("__wl_side")).withColumn("__wl_lo", F.col("__wl_s") + F.col("__wl_side"))
+    rows = tagged(rows)
+    early, late = _prefixed(rows, "__e_", [*keys, TAG]), _prefixed(rows.drop(TAG, "__wl_lo", "__wl_other"), "__l_")
+    on = [*((k, f"__l_{k}") for k in keys), ("__e___wl_other", "__l___wl_side")]
+    hits = points_in_spans(early, late, on, "__e___wl_lo", "__e___wl_e", "__l___wl_s")
+    hits = hits.filter(F.col("__e___wl_s") < F.col("__l___wl_e"))
+    asks = F.col("__e___wl_side") == 0
+    of = lambda c, l, r: F.when(asks, F.col(l + c)).otherwise(F.col(r + c))
+    return hits.select(
+        *keys, of(id_col, "__e_", "__l_").alias(f"left_{id_col}"), of(id_col, "__l_", "__e_").alias(f"right_{id_col}"),
+        *[of(c, "__e_", "__l_").alias(f"left_{c}") for c in cols[1:]], *[of(c, "__l_", "__e_").alias(f"right_{c}") for c in cols[1:]])
 
 
 def overlap_flags(df: DataFrame, key: str | Sequence[str], id_col: str, start: str, end: str) -> DataFrame:
