@@ -16,8 +16,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     every node ties its smaller neighbours and itself to the smallest of them.
     Both keep the components, never add links beyond one per node and
     neighbour, and end with every node linked to its component's smallest.
-    Smallest neighbours are partial aggregates; a hub's links are a join
-    side that adaptive execution may split.  Null ends, self links and
+    Smallest neighbours are partial aggregates, written before they are joined:
+    joined as plain tables they leave a hub's links to be split by adaptive
+    execution, which can't split an aggregate's own exchange.  Null ends, self links and
     repeated links are ignored; an empty table gives an empty result.
     """
     u, v = F.col(a).cast("long"), F.col(b).cast("long")
@@ -31,10 +32,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         seen = state
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = materialise(low)
         # large star: neighbours above u, tied to the smallest around u
-        star = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        star = both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        star = materialise(star.distinct())
         # small star: u and its smaller neighbours, tied to the smallest of them
-        least = star.groupBy("u").agg(F.min("v").alias("m"))
+        least = materialise(star.groupBy("u").agg(F.min("v").alias("m")))
         tied = star.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         cur = materialise(tied.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
     stars = cur.select(F.col("u").alias("node"), F.col("v").alias("component"))

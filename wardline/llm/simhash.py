@@ -139,6 +139,7 @@ def bucket_links(marks: DataFrame, distance: int = 4, tile: int = TILE) -> DataF
     ).select("b.pick", "b.key", "mark", "node")
     met = dealt.groupBy("pick", "key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     met = met.select("pick", "key", F.ceil(F.col("rows") / tile).cast("int").alias("chunks"))
+    met = materialise(met)  # joined as a plain table, so a hot bucket's rows may be split before they are tiled
     dealt = dealt.join(met, ["pick", "key"])
     own = F.pmod(F.xxhash64("mark", F.lit(7)), F.col("chunks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
