@@ -491,6 +491,57 @@ def test_foreign_keys_of_all_tables_at_once(spark):
     assert A.audit_foreign_keys(tables, keys, fks, only=["r"]) is None
 
 
+def test_primary_key_is_counted_by_itself(spark):
+    """Its groups are about as many as the rows: these aren't repeated, nor as wide as all keys together."""
+    df = spark.range(300).select((F.col("id") * 3).alias("a"), (F.col("id") % 299).alias("b"), (F.col("id") % 7).alias("c"), (F.col("id") % 150).alias("d"))
+    found = A.audit_keys(df, "t", ["a"], [["b", "c"]])
+    assert [tuple(r) for r in found.collect()] == []
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Expand" not in plan and "hashpartitioning(a" in plan
+    both = Counter((r.rule, r.detail) for r in A.audit_keys(df, "t", ["b"], [["d"], ["c", "d"]]).collect())
+    assert both == {("primary_key", "rows=2"): 1, ("unique(d)", "rows=2"): 150}
+
+
+def test_foreign_keys_move_no_rows_for_a_few_orphans(spark):
+    """The parents are too large to be broadcast; still no child is shuffled, and the written values are the missing ones only."""
+    parent = spark.range(5000).select(F.col("id").alias("target"), (F.col("id") % 7).cast("int").alias("n0"))
+    child = spark.range(20000).select(F.col("id").alias("fk"), (F.col("id") % 5002).alias("target"), (F.col("id") % 5002 % 7).cast("int").alias("n0"))
+    tables, keys = {"p": parent, "c": child}, {"p": ["target"], "c": ["fk"]}
+    fks = [ForeignKey("c", ("target",), "p", ("target",)), ForeignKey("c", ("target", "n0"), "p", ("target", "n0")), ForeignKey("p", ("n0",), "p", ("target",))]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        df = A.audit_foreign_keys(tables, keys, fks)
+        got = Counter((r.rule, r.key_value) for r in df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lost = [str(i) for i in range(20000) if i % 5002 >= 5000]
+    assert got == Counter((f"foreign_key({c})->p", i) for c in ("target", "target,n0") for i in lost)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_foreign_keys_with_many_orphans_of_all_kinds(spark, threshold):
+    """Nothing is broadcast or all is: a hot missing value, texts that are no numbers, NULL parts, dates, rows that come twice."""
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    parent = spark.createDataFrame([(i, day(i)) for i in range(20)] + [(None, day(3)), (5, None)], "id int, d date")
+    raw = [(i % 300, "900" if i % 2 else str(i % 25), day(i % 22) if i % 7 else None) for i in range(400)] + [(1000, "x", day(1)), (1001, None, day(50)), (1002, "19", day(19))]
+    tables = {"p": parent, "c": spark.createDataFrame(raw, "id int, s string, d date")}
+    fks = [ForeignKey("c", ("s",), "p", ("id",)), ForeignKey("c", ("s", "d"), "p", ("id", "d"))]
+    want = [("foreign_key(s)->p", "c", str(i), f"missing {s}") for i, s, _ in raw if s is not None and not (s.isdigit() and int(s) < 20)]
+    want += [("foreign_key(s,d)->p", "c", str(i), f"missing {s}|{d}") for i, s, d in raw if s is not None and d is not None and not (s.isdigit() and int(s) < 20 and day(int(s)) == d)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = [tuple(r) for r in A.audit_foreign_keys(tables, dict.fromkeys(tables, ["id"]), fks).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(got) == sorted(want)
+    good = {"p": parent, "c": tables["c"].filter("id = 1002")}
+    assert A.audit_foreign_keys(good, dict.fromkeys(good, ["id"]), fks).collect() == []
+
+
 def test_audits_scan_each_table_a_few_times(spark):
     """Executed plan of the whole catalogue: a scan for keys, one for rows, one as child, one as parent, whatever the number of keys."""
     df = E.queries()["audit_all"](spark, "/root/testdata/sf0.001")

@@ -22,7 +22,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.session import materialise
+
 AUDIT_COLUMNS = ("rule", "table_name", "key_value", "detail")
+WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 def _names(cols: str | Sequence[str]) -> list[str]:
@@ -166,15 +169,25 @@ def audit_rows(
 
 
 def audit_keys(df: DataFrame, table: str, primary: Sequence[str], uniques: Sequence[Sequence[str]] = ()) -> DataFrame:
-    """The primary key and all unique keys of a table in one scan and one exchange (GROUPING SETS).
+    """The primary key of a table in one scan and one exchange, all other unique keys in another (GROUPING SETS).
 
     Same rows as ``audit_primary_key`` and ``audit_unique`` together: key values
     of several rows, rows with a NULL in the primary key, and unique values of
     several rows (a NULL part exempts a row).
+
+    The primary key is counted by itself: most of its groups have one row, so a
+    task holds about all its rows, and these should be no wider than the key.
     """
     sets = list(dict.fromkeys(tuple(s) for s in (primary, *uniques)))
+    return union_all([_key_sets(df, table, some, primary, uniques) for some in (sets[:1], sets[1:]) if some])
+
+
+def _key_sets(df: DataFrame, table: str, sets: Sequence[tuple], primary: Sequence[str], uniques: Sequence[Sequence[str]]) -> DataFrame:
     cols = list(dict.fromkeys(c for s in sets for c in s))
-    counts = df.select(*cols).groupingSets(sets, *cols).agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__set"))
+    if len(sets) == 1:
+        counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).withColumn("__set", F.lit(0))
+    else:
+        counts = df.select(*cols).groupingSets(sets, *cols).agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__set"))
     found = []
     for key in sets:
         mine = F.col("__set") == sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in key)
@@ -192,13 +205,18 @@ def audit_keys(df: DataFrame, table: str, primary: Sequence[str], uniques: Seque
 
 
 def audit_foreign_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], fks: Sequence, only: Sequence[str] | None = None) -> DataFrame | None:
-    """All foreign keys of all tables: one scan per child, one per parent, one anti join.
+    """All foreign keys of all tables: one scan per table and one exchange of values, then one scan per child with orphans.
 
     ``fks`` have ``child, cols, parent, parent_cols``; those between ``tables`` (with a child in
-    ``only``, if given) are checked, ``None`` if there is none.  A child's row becomes a row per
-    key without NULLs (number of the parent's key, value), a parent's row one per key that is
-    referred to; values are compared as the parent's types.  Same rows as ``audit_foreign_key``
-    for each.  The parents' side isn't reduced first: a plain exchange can be split where a value is hot.
+    ``only``, if given) are checked, ``None`` if there is none.  Same rows as ``audit_foreign_key``
+    for each; values are compared as the parent's types.
+
+    A row becomes a value per key without NULLs that it has or refers to, and these are grouped:
+    a value that no parent holds is missing.  So the exchange has the distinct values of each task,
+    without the rows they come from, however hot one is.  The missing values are written
+    (``materialise``; this runs when called) and only the children that have some are read again:
+    files of true size let the planner broadcast them, where few are missing, instead of
+    shuffling the children, and AQE split a hot one, where many are.
     """
     fks = [fk for fk in fks if fk.child in tables and fk.parent in tables and (not only or fk.child in only)]
     if not fks:
@@ -206,9 +224,16 @@ def audit_foreign_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Seque
     targets = list(dict.fromkeys((fk.parent, tuple(fk.parent_cols)) for fk in fks))
     number = {t: i for i, t in enumerate(targets)}
     types = {p: dict(tables[p].dtypes) for p in {fk.parent for fk in fks}}
+    # whole numbers are compared as long, all else as text
+    slot = {(p, cols): [f"{'n' if types[p][c] in WHOLE else 's'}{i}" for i, c in enumerate(cols)] for p, cols in targets}
+    slots = sorted({s for names in slot.values() for s in names})
 
-    def value(cols: Sequence[str], parent: str, pcols: Sequence[str]) -> Column:
-        return F.array(*[F.col(c).try_cast(types[parent][p]).cast("string") for c, p in zip(cols, pcols, strict=True)])
+    def value(cols: Sequence[str], target: tuple) -> list[Column]:
+        """The number of the parent's key and its parts, each in its slot; NULL if a column is NULL."""
+        parent, pcols = target
+        kind = lambda s: "long" if s[0] == "n" else "string"
+        part = {s: F.col(c).try_cast(types[parent][p]).cast(kind(s)) for s, c, p in zip(slot[target], cols, pcols, strict=True)}
+        return [F.lit(number[target]).alias("target"), *[part.get(s, F.lit(None).cast(kind(s))).alias(s) for s in slots]]
 
     def known(cols: Sequence[str]) -> Column:
         out = F.lit(True)
@@ -216,23 +241,33 @@ def audit_foreign_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Seque
             out = out & F.col(c).isNotNull()
         return out
 
-    held = []
-    for parent in dict.fromkeys(fk.parent for fk in fks):
-        mine = [cols for p, cols in targets if p == parent]
-        each = [F.when(known(c), F.struct(F.lit(number[parent, c]).alias("target"), value(c, parent, c).alias("value"))) for c in mine]
-        held.append(tables[parent].select(F.explode(F.array_compact(F.array(*each))).alias("r")).select("r.*"))
-    asked = []
+    used = []
+    for t in dict.fromkeys(x for fk in fks for x in (fk.child, fk.parent)):
+        asked = dict.fromkeys((tuple(fk.cols), (fk.parent, tuple(fk.parent_cols)), False) for fk in fks if fk.child == t)
+        each = [*asked, *((cols, (t, cols), True) for p, cols in targets if p == t)]
+        each = [F.when(known(cols), F.struct(*value(cols, target), F.lit(held).alias("held"))) for cols, target, held in each]
+        used.append(tables[t].select(F.explode(F.array(*each)).alias("r")).filter("r IS NOT NULL").select("r.*"))
+    missing = materialise(union_all(used).groupBy("target", *slots).agg(F.max("held").alias("held")).filter(~F.col("held")).drop("held"))
+    lacking = {r.target for r in missing.select("target").distinct().collect()}
+
+    found = []
     for child in dict.fromkeys(fk.child for fk in fks):
-        each = []
-        for fk in (fk for fk in fks if fk.child == child):
-            target = fk.parent, tuple(fk.parent_cols)
-            # several keys between the same tables have one rule name when their columns agree
-            each.append(F.when(known(fk.cols), F.struct(
-                F.lit(number[target]).alias("target"), value(fk.cols, *target).alias("value"),
-                F.lit(f"foreign_key({','.join(fk.cols)})->{fk.parent}").alias("rule"), F.concat(F.lit("missing "), key_text(fk.cols)).alias("detail"))))
-        rows = tables[child].select(key_text(_names(keys[child])).alias("key_value"), F.explode(F.array_compact(F.array(*each))).alias("r"))
-        asked.append(rows.select("r.target", "r.value", "r.rule", F.lit(child).alias("table_name"), "key_value", "r.detail"))
-    return union_all(asked).join(union_all(held), ["target", "value"], "left_anti").select(*AUDIT_COLUMNS)
+        mine = [(fk, number[fk.parent, tuple(fk.parent_cols)]) for fk in fks if fk.child == child]
+        mine = [(fk, n) for fk, n in mine if n in lacking]
+        if not mine:
+            continue
+        each = [F.when(known(fk.cols), F.struct(F.lit(i).alias("fk"), *value(fk.cols, targets[n]))) for i, (fk, n) in enumerate(mine)]
+        cols = list(dict.fromkeys([*_names(keys[child]), *(c for fk, _ in mine for c in fk.cols)]))
+        rows = tables[child].select(*cols, F.explode(F.array(*each)).alias("__r")).filter("__r IS NOT NULL")
+        gone = materialise(missing.filter(F.col("target").isin([n for _, n in mine])))
+        same = rows["__r.target"] == gone["target"]
+        for s in slots:  # a value that doesn't fit the parent's type is NULL, and missing
+            same = same & rows[f"__r.{s}"].eqNullSafe(gone[s])
+        # several keys between the same tables have one rule name when their columns agree
+        of = lambda what, mine=mine: F.coalesce(*[F.when(F.col("__r.fk") == i, what(fk)) for i, (fk, _) in enumerate(mine)])
+        found.append(_shape(rows.join(gone, same, "left_semi"), of(lambda fk: F.lit(f"foreign_key({','.join(fk.cols)})->{fk.parent}")), child,
+                            key_text(_names(keys[child])), of(lambda fk: F.concat(F.lit("missing "), key_text(fk.cols)))))
+    return union_all(found) if found else empty_audit(missing.sparkSession)
 
 
 def audit_foreign_key(

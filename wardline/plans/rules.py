@@ -241,8 +241,10 @@ def hospital_catalogue() -> Catalogue:
 def declared_constraints(tables: Tables, only: list[str] | None = None, catalogue: Catalogue | None = None) -> DataFrame:
     """D1-D6 for every table present in ``tables``, driven by the constraint catalogue.
 
-    Per table one scan for its keys and one for its rows; over all tables one
-    scan per child and one per parent for the foreign keys, and one anti join.
+    Per table one scan for its primary key, one for its unique keys, one for its
+    rows and one for the values of its foreign keys, as child and as parent; these
+    are compared when this is called, and the children that have orphans are read
+    once more.
     """
     c = catalogue or hospital_catalogue()
     frames = []
