@@ -411,7 +411,7 @@ def test_pipeline(spark):
     assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(got.columns)
     assert got.count() > 0
     assert "pipeline" not in entry.oracle_sql()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in entry.queries() if re.match(r"op\d+_", q)}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in entry.queries() if re.match(r"op\d+_", q)}
 
 
 def test_pipeline_equals_chained_stages(spark, reference):
